@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import packing, token_files
+from . import near_dup, packing, token_files
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op7_token_files": token_files.op7_token_files,
+    "op9_near_dup": near_dup.op9_near_dup,
 }
 ORACLE_SQL: dict[str, str] = {}
