@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import near_dup, packing, token_files
+from . import host_rules, near_dup, packing, secret_scan, token_files
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op7_token_files": token_files.op7_token_files,
+    "op8_host_rules": host_rules.op8_host_rules,
     "op9_near_dup": near_dup.op9_near_dup,
+    "op10_secret_scan": secret_scan.op10_secret_scan,
 }
 ORACLE_SQL: dict[str, str] = {}
