@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import host_rules, near_dup, packing, pii, secret_scan, token_files
+from . import host_rules, langid, near_dup, packing, pii, secret_scan, token_files
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op2_pii_surrogates": pii.op2_pii_surrogates,
+    "op5_language_id": langid.op5_language_id,
+    "llm_language_pages": langid.language_pages,
     "op7_token_files": token_files.op7_token_files,
     "op8_host_rules": host_rules.op8_host_rules,
     "op9_near_dup": near_dup.op9_near_dup,
