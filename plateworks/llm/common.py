@@ -9,8 +9,9 @@ import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows an Arrow batch carries to a Python worker. Long texts make rows wide, so
@@ -110,44 +111,96 @@ def open_store(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+class Merger:
+    """Union of ids by their smallest, in memory: for what one task holds."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        root = x
+        while (up := self.parent.get(root, root)) != root:
+            root = up
+        while (up := self.parent.get(x, x)) != root:
+            self.parent[x] = root
+            x = up
+        return root
+
+    def join(self, a: int, b: int) -> None:
+        a, b = self.find(a), self.find(b)
+        if a != b:
+            self.parent[max(a, b)] = min(a, b)
+
+    def stars(self) -> pa.RecordBatch:
+        """Each id that is not the smallest of its set, with that smallest one."""
+        ids = list(self.parent)
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([self.find(x) for x in ids], pa.int64())], names=["a", "b"])
+
+
+def contract(edges: DataFrame) -> DataFrame:
+    """Edges with the same components, and within each partition none that others imply."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merger = Merger()
+        for batch in batches:
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+                merger.join(a, b)
+        yield merger.stars()
+
+    return edges.mapInArrow(run, "a long, b long")
+
+
 def components(edges: DataFrame, name: str = "components", max_rounds: int = 60) -> DataFrame:
-    """Connected components of ``edges(a long, b long)`` as ``(id, component)``.
-
-    ``component`` is the smallest id reachable. Every round each vertex takes the smallest
-    label of its neighbours and then the label of that label (pointer jumping), so the
-    number of rounds grows with the logarithm of a component's diameter. Each round is
-    written to the shared folder; nothing but one boolean reaches the driver. A vertex
-    with very many links only adds rows to a partially aggregated minimum.
-    Null ends and self-links are ignored; an empty table gives an empty result.
+    """Connected components of ``edges(a long, b long)`` as ``(id, component)``, without the smallest ids.
+
+    ``component`` is the smallest id reachable; ids that are the smallest of their component
+    are left out. Edges lead from larger to smaller ids. In each round every id takes its
+    smallest neighbour as parent, its other neighbours are hooked to that parent, and it
+    moves on to its parent's parent, so that the number of rounds grows with the logarithm
+    of a component's diameter. Each round is written to the shared folder; only a boolean
+    reaches the driver. An id with very many neighbours is a partially aggregated minimum
+    and a join side that can be split. Null ends and self-links are ignored; an empty table gives an empty result.
     """
-    edges = edges.where("a is not null and b is not null and a <> b").select("a", "b")
-    both = materialize(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-edges")
-    labels = materialize(
-        both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("component")),
-        f"{name}-labels",
-    )
+    edges = edges.where("a is not null and b is not null and a <> b")
+    edges = edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("r"), F.lit(True).alias("moved"))
+    edges = materialize(edges, f"{name}-edges")
     for _ in range(max_rounds):
-        near = (
-            both.join(labels.select(F.col("id").alias("b"), "component"), "b")
-            .groupBy(F.col("a").alias("id"))
-            .agg(F.min("component").alias("near"))
-        )
-        hooked = labels.join(near, "id", "left").select(
-            "id", F.col("component").alias("was"), F.least("component", F.coalesce("near", "component")).alias("via")
-        )
-        # A root also takes the smallest label that any of its members has found.
-        roots = hooked.groupBy(F.col("was").alias("via")).agg(F.min("via").alias("to"))
-        nxt = materialize(
-            hooked.join(roots, "via", "left").select(
-                "id", "was", F.least("via", F.coalesce("to", "via")).alias("component")
-            ),
-            f"{name}-labels",
-        )
-        changed = not nxt.where("was <> component").isEmpty()
-        discard(labels)
-        labels_next = nxt.select("id", "component")
-        labels_next._plateworks_path = nxt._plateworks_path
-        labels = labels_next
-        if not changed:
-            return labels
+        parents = edges.groupBy("v").agg(F.min("r").alias("p"))
+        above = parents.select(F.col("v").alias("p"), F.col("p").alias("g"))
+        jumped = parents.join(above, "p", "left").select("v", F.coalesce("g", "p").alias("r"), F.col("g").isNotNull().alias("moved"))
+        hooks = edges.join(parents, "v").where("r <> p").select(F.col("r").alias("v"), F.col("p").alias("r"), F.lit(True).alias("moved"))
+        nxt = materialize(jumped.union(hooks), f"{name}-edges")
+        settled = nxt.where("moved").isEmpty()
+        discard(edges)
+        edges = nxt
+        if settled:
+            return edges.select(F.col("v").alias("id"), F.col("r").alias("component"))
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+
+
+#: Bits of the filter that ``id_filter`` makes: two megabytes, whatever the number of ids.
+FILTER_BITS = 1 << 24
+
+
+def filter_place(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)).cast("int")
+
+
+def hashed_place(column: str) -> Column:
+    """``filter_place`` for ids that are hashes already."""
+    return F.pmod(F.col(column), F.lit(FILTER_BITS)).cast("int")
+
+
+def in_filter(bits: bytes, places: np.ndarray) -> np.ndarray:
+    return (np.frombuffer(bits, np.uint8)[places >> 3] >> (places & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def id_filter(ids: DataFrame, column: str = "id", place: Callable[[str], Column] = filter_place) -> bytes:
+    """A bitmap of ``FILTER_BITS`` bits of the hashed ids, as bytes: of fixed size, so safe to send to all executors."""
+    at = place(column).cast("long") + 1  # positions count from one
+    rows = ids.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).toLocalIterator()
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for row in rows:
+        begin = (row["bucket"] - 1) * 4096
+        out[begin : begin + 4096] = np.frombuffer(row["bits"], np.uint8)
+    return out.tobytes()

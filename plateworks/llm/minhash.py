@@ -24,17 +24,17 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, discard, materialize
+from .common import components, contract, filter_place, id_filter, materialize
 
 HASHES = 96
 WIDTH = 5
 REGION = 2048
 LAST_LEVEL = 40
 #: Neighbours that each member of a region keeps in step 3; step 4 covers the others.
-NEIGHBOURS = 2
+NEIGHBOURS = 1
 #: Standard deviations below the threshold at which a sketch still makes a candidate.
 SLACK = 3.4
 
@@ -252,15 +252,16 @@ def _sorted_regions(rows: DataFrame) -> DataFrame:
 
 def linked_classes(
     classes: DataFrame,
-    sets_for: Callable[[DataFrame], DataFrame],
+    sets_for: Callable[[DataFrame, bytes], DataFrame],
     depth: int,
     percent: int,
     name: str,
+    place: Callable[[str], Column] = filter_place,
 ) -> DataFrame:
-    """Components ``(id, component)`` of the classes that have a link.
+    """Components ``(id, component)`` of the classes that are linked with one of a smaller id.
 
-    ``classes(id, n, keys, sketch)`` are distinct sets; ``sets_for(ids)`` gives ``(id, shingles binary)``
-    of the wanted ids; two sets are linked if 100 * intersection >= ``percent`` * union.
+    ``classes(id, n, keys, sketch)`` are distinct sets; ``sets_for(ids, bits)`` gives ``(id, shingles binary)``
+    of the wanted ids (``bits``: their filter of fixed size); two sets are linked if 100 * intersection >= ``percent`` * union.
     """
     threshold = percent / 100
     regions = regions_of(classes.where("n > 0"), depth, name)
@@ -283,14 +284,12 @@ def linked_classes(
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     pairs = materialize(_sorted_regions(regions).mapInArrow(nearest, "a long, b long").where("a <> b").distinct(), f"{name}-pairs")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = materialize(sets_for(wanted), f"{name}-sets")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    sets = materialize(sets_for(wanted.distinct(), id_filter(wanted, place=place)), f"{name}-sets")
     first = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     second = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    links = materialize(
-        pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(confirm, "a long, b long"), f"{name}-links"
-    )
-    found = components(links, name)
+    links = pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(confirm, "a long, b long")
+    found = components(contract(links), name)
 
     def unjoined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches):
@@ -313,15 +312,15 @@ def linked_classes(
                     continue
                 # One link for each two components is enough to join them.
                 _, one = np.unique(np.stack([np.minimum(own[x], own[y]), np.maximum(own[x], own[y])]), axis=1, return_index=True)
-                a, b = ids[begin:end][x[one]], ids[begin:end][y[one]]
+                a, b = own[x[one]], own[y[one]]
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     known = regions.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     open_rows = _sorted_regions(known).mapInArrow(unjoined, "tree int, region long, id long, component long")
     open_rows = materialize(open_rows, f"{name}-open")
-    more = materialize(_sorted_regions(open_rows.join(sets, "id")).mapInArrow(settle, "a long, b long").distinct(), f"{name}-more")
-    if more.isEmpty():
-        return found
-    joined = components(links.union(more), name)
-    discard(found)
-    return joined
+    more = _sorted_regions(open_rows.join(sets, "id")).mapInArrow(settle, "a long, b long").distinct()
+    # Links between components found so far: a small graph on their smallest ids.
+    merged = components(more, f"{name}-more").select(F.col("id").alias("was"), F.col("component").alias("now"))
+    heads = merged.select(F.col("was").alias("id"), F.col("now").alias("component"))
+    moved = found.join(merged, found["component"] == merged["was"], "left").select("id", F.coalesce("now", "component").alias("component"))
+    return moved.union(heads.join(found, "id", "left_anti"))

@@ -16,21 +16,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import minhash
-from .common import map_batches, materialize, prepare, texts_of
+from .common import filter_place, in_filter, map_batches, materialize, prepare, texts_of
 
 ORDERS = 24
 DEPTH = 3
 PERCENT = 75
 
 
-def shingle_sets(documents: DataFrame) -> DataFrame:
-    """``(id, shingles)``: each document's sorted 64-bit shingle hashes."""
+def shingle_sets(documents: DataFrame, ids: DataFrame, bits: bytes) -> DataFrame:
+    """``(id, shingles)``: sorted 64-bit shingle hashes of the documents in ``ids``.
+
+    The filter keeps texts of other documents out of the shuffle; the join is exact."""
+    shared = documents.sparkSession.sparkContext.broadcast(bits)
 
     def compute(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        batch = batch.filter(pa.array(in_filter(shared.value, batch.column("place").to_numpy())))
         sets = [minhash.shingles(minhash.lowered_words(t)).tobytes() for t in texts_of(batch)]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], names=["id", "shingles"])
 
-    return map_batches(documents.select("doc_id", "text"), compute, "id long, shingles binary")
+    read = documents.select("doc_id", "text", filter_place("doc_id").alias("place"))
+    return map_batches(read, compute, "id long, shingles binary").join(ids, "id", "left_semi")
 
 
 def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -53,7 +58,7 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = sketched.join(heads, ["fp", "id"], "left_semi").select("id", "n", "keys", "sketch").dropDuplicates(["id"])
     found = minhash.linked_classes(
         classes,
-        lambda ids: shingle_sets(read.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")).dropDuplicates(["id"]),
+        lambda ids, bits: shingle_sets(read, ids, bits).dropDuplicates(["id"]),
         DEPTH,
         percent,
         "near",
