@@ -71,15 +71,15 @@ class TextModel:
 
 
 def fit_text_model(labelled: DataFrame, text: str = "text", label: str = "lang", sample: int = SAMPLE) -> TextModel:
-    """Fit to at most ``sample`` rows of each label, the least by hash of id and text; null labels and texts are left out."""
+    """Fit to at most ``sample`` rows of each label, the least by hash of the id; null labels are left out."""
     order = F.xxhash64("doc_id")
     rows = labelled.where(F.col(label).isNotNull()).withColumn("_label", F.col(label).cast("string"))
-    languages = sorted(r[0] for r in rows.select("_label").distinct().collect())
+    languages = sorted(r[0] for r in rows.select("_label").distinct().collect()) or [UNKNOWN]
     # The hash below which a label has just `sample` rows; texts are read only for the rows below it.
     chosen = F.lit(False)
     for one in languages:
         least = rows.where(F.col("_label") == one).select(order.alias("order")).orderBy("order").limit(sample)
-        chosen = chosen | ((F.col("_label") == one) & (order <= least.agg(F.max("order")).first()[0]))
+        chosen = chosen | ((F.col("_label") == one) & (order <= F.lit(least.agg(F.max("order")).first()[0])))
     picked = rows.where(chosen).select("_label", F.col(text).alias("_text"), order.alias("_order"))
     counts = np.full((BUCKETS, len(languages)), 0.1, np.float64)
     for row in picked.orderBy("_order", "_text").limit(sample * len(languages)).toLocalIterator():

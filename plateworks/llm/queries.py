@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from . import host_rules, langid, near_dup, packing, pii, secret_scan, token_files
+from . import bm25, host_rules, langid, mixing, near_dup, packing, paragraphs, pii, secret_scan, token_files
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op2_pii_surrogates": pii.op2_pii_surrogates,
+    "op3_paragraphs": paragraphs.op3_paragraphs,
+    "op4_mixing": mixing.op4_mixing,
     "op5_language_id": langid.op5_language_id,
     "llm_language_pages": langid.language_pages,
+    "op6_bm25": bm25.op6_bm25,
     "op7_token_files": token_files.op7_token_files,
     "op8_host_rules": host_rules.op8_host_rules,
     "op9_near_dup": near_dup.op9_near_dup,
     "op10_secret_scan": secret_scan.op10_secret_scan,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_bm25": bm25.OP6_SQL}
