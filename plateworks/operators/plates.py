@@ -84,11 +84,13 @@ def fit_curves(df: DataFrame, curve: str, x: str, od: str) -> DataFrame:
     import numpy as np
     import pandas as pd
 
+    names = [curve, *(c.split()[0] for c in FIT.split(", ")[1:])]
+
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         name = str(pdf[curve].iloc[0])
         data = pdf[[x, od]].dropna().sort_values(x)
         t, y = data[x].to_numpy(float), data[od].to_numpy(float)
-        zeros = pd.DataFrame([(name, False, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0)], columns=[c.split()[0] for c in FIT.split(", ")])
+        zeros = pd.DataFrame([(name, False, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0)], columns=names)
         if (y > GROWN_OD).sum() < GROWN_POINTS or len(y) < 4 or np.ptp(t) == 0:
             return zeros
         scale, span = y.max(), np.ptp(t)
@@ -121,9 +123,9 @@ def fit_curves(df: DataFrame, curve: str, x: str, od: str) -> DataFrame:
         if best is None:
             return zeros
         top, rate, middle = best[1][0] * scale, best[1][1] / span, best[1][2] * span + t[0]
-        return pd.DataFrame([(name, True, top, rate, middle, middle - 2 / rate, middle + 2 / rate, np.log(2) / rate)], columns=zeros.columns)
+        return pd.DataFrame([(name, True, top, rate, middle, middle - 2 / rate, middle + 2 / rate, np.log(2) / rate)], columns=names)
 
-    return df.groupBy(curve).applyInPandas(fit, FIT.replace("curve_id", curve))
+    return df.groupBy(curve).applyInPandas(fit, FIT.replace("curve_id", f"`{curve}`", 1))
 
 
 def slopes(df: DataFrame, curve: list[str]) -> DataFrame:
