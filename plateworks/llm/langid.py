@@ -32,7 +32,7 @@ DECLARED_RIGHT, SUFFIX_RIGHT = 0.9, 0.7
 #: Weight, in documents, of the level above in a host's and a suffix's prior.
 HOST_WEIGHT, SUFFIX_WEIGHT = 10.0, 50.0
 #: A document is rejected if its best language has less posterior, or it has fewer trigrams.
-LEAST_POSTERIOR, LEAST_TRIGRAMS = 0.6, 3
+LEAST_POSTERIOR, LEAST_TRIGRAMS = 0.6, 1
 #: A text whose mean log likelihood ratio against evenly spread trigrams is below this is in no known language.
 LEAST_GAIN = 0.0
 UNKNOWN = "und"
