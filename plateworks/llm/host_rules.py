@@ -133,3 +133,43 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(spark.read.parquet(f"{sf_dir}/documents.parquet")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_failed", "own_failures"
     )
+
+
+def _verdict_sql() -> str:
+    """The verdicts' SQL, one block a rule."""
+    rules = {"base": "base_failed", "symbols": "10 * n_symbols > n_words", "lines": "10 * n_dup_lines > 3 * n_lines", "word_length": "word_chars < 3 * n_words or word_chars > 12 * n_words"}
+    marks = ", ".join(f"cast({r} as integer) as f_{n}" for n, r in rules.items())
+    sums = ", ".join(f"sum(f_{n}) as f_{n}" for n in rules)
+    pooled = ", ".join(f"sum(f_{n}) / n as m_{n}, greatest(0, sum(f_{n} * f_{n} / cast(n_docs as double)) / n - (sum(f_{n}) / n) * (sum(f_{n}) / n)) as s_{n}" for n in rules)
+    between = ", ".join(f"greatest(0, (s_{n} - m_{n} * (1 - m_{n}) * k / n) * n / greatest(1, n - n2 / n)) as b_{n}" for n in rules)
+    sizes = ", ".join(f"greatest(2, least(n / k, case when b_{n} > 0 then m_{n} * (1 - m_{n}) / b_{n} - 1 else n / k end)) as z_{n}" for n in rules)
+    rate = lambda n: f"((h.f_{n} + m_{n} * z_{n}) / (n_docs + z_{n}))"
+    failed = " or ".join(f"{rate(n)} - 2.0 * sqrt({rate(n)} * (1 - {rate(n)}) / (n_docs + z_{n} + 1)) > 0.5" for n in rules)
+    return f"""
+with texts as (
+  select row_number() over () as rid, doc_id, coalesce(source, '') as host, coalesce(text, '') as t,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as ws from documents
+), windows as (
+  select rid, i, count(*) over (partition by rid, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) as c
+  from (select rid, ws, unnest(range(1, len(ws) - 1)) as i from texts where len(ws) > 2)
+), repeats as (
+  select rid, count(distinct i + k) as n from (select rid, i, unnest([0, 1, 2]) as k from windows where c > 1) group by 1
+), counts as (
+  select rid, doc_id, host, len(ws) as n_words, length(array_to_string(ws, '')) as word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) as n_symbols,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines from texts
+), features as (
+  select c.*, len(lines) as n_lines, len(lines) - len(list_distinct(lines)) as n_dup_lines, coalesce(r.n, 0) as n_repeat_words,
+    n_words < 50 or 100 * coalesce(r.n, 0) > 50 * n_words as base_failed from counts c left join repeats r using (rid)
+), marked as (select *, {marks} from features),
+hosts as (select host, count(*) as n_docs, {sums} from marked group by 1),
+pooled as (select k, n, n2, {pooled} from hosts, (select count(*) as k, cast(sum(n_docs) as double) as n, cast(sum(n_docs * n_docs) as double) as n2 from hosts) group by k, n, n2),
+spread as (select *, {between} from pooled), prior as (select *, {sizes} from spread),
+verdicts as (select host, {failed} as host_failed from hosts h, prior)
+select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars, cast(n_symbols as bigint) as n_symbols, cast(n_dup_lines as bigint) as n_dup_lines,
+  cast(n_repeat_words as bigint) as n_repeat_words, base_failed, not base_failed and (not host_failed or f_base + f_symbols + f_lines + f_word_length = 0) as kept,
+  host_failed, f_base + f_symbols + f_lines + f_word_length as own_failures
+from marked join verdicts using (host)
+"""
+
+
+OP8_SQL = _verdict_sql()

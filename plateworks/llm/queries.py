@@ -17,4 +17,4 @@ QUERIES = {
     "op9_near_dup": near_dup.op9_near_dup,
     "op10_secret_scan": secret_scan.op10_secret_scan,
 }
-ORACLE_SQL: dict[str, str] = {"op6_bm25": bm25.OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_bm25": bm25.OP6_SQL, "op8_host_rules": host_rules.OP8_SQL}
