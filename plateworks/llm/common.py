@@ -150,11 +150,16 @@ def contract(edges: DataFrame) -> DataFrame:
     return edges.mapInArrow(run, "a long, b long")
 
 
+#: Links that one task merges in memory (some ten megabytes); more are merged in rounds.
+TASK_LINKS = 500_000
+
+
 def components(edges: DataFrame, name: str = "components", max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges(a long, b long)`` as ``(id, component)``, without the smallest ids.
 
     ``component`` is the smallest id reachable; ids that are the smallest of their component
-    are left out. Edges lead from larger to smaller ids. In each round every id takes its
+    are left out. Up to ``TASK_LINKS`` edges are merged by one task. Else edges lead from
+    larger to smaller ids; in each round every id takes its
     smallest neighbour as parent, its other neighbours are hooked to that parent, and it
     moves on to its parent's parent, so that the number of rounds grows with the logarithm
     of a component's diameter. Each round is written to the shared folder; only a boolean
@@ -164,6 +169,9 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 60)
     edges = edges.where("a is not null and b is not null and a <> b")
     edges = edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("r"), F.lit(True).alias("moved"))
     edges = materialize(edges, f"{name}-edges")
+    if edges.count() <= TASK_LINKS:
+        merged = contract(edges.select(F.col("v").alias("a"), F.col("r").alias("b")).coalesce(1))
+        return materialize(merged.select(F.col("a").alias("id"), F.col("b").alias("component")), f"{name}-merged")
     for _ in range(max_rounds):
         parents = edges.groupBy("v").agg(F.min("r").alias("p"))
         above = parents.select(F.col("v").alias("p"), F.col("p").alias("g"))
@@ -198,7 +206,7 @@ def in_filter(bits: bytes, places: np.ndarray) -> np.ndarray:
 def id_filter(ids: DataFrame, column: str = "id", place: Callable[[str], Column] = filter_place) -> bytes:
     """A bitmap of ``FILTER_BITS`` bits of the hashed ids, as bytes: of fixed size, so safe to send to all executors."""
     at = place(column).cast("long") + 1  # positions count from one
-    rows = ids.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).toLocalIterator()
+    rows = ids.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).collect()
     out = np.zeros(FILTER_BITS // 8, np.uint8)
     for row in rows:
         begin = (row["bucket"] - 1) * 4096

@@ -7,7 +7,7 @@ Linking works on distinct sets ("classes": equal sets are one vertex) in these s
 2. a region of more than ``REGION`` members is split by one more level of its order, again
    and again, so density sets the depth. What still is larger at the last level (sketches
    that agree almost everywhere) is dealt into parts that share one member as a hub;
-3. within a region, members are compared by sketch. Each keeps its closest neighbours and
+3. within a region, members are compared by sketch. Each keeps its closest neighbour and
    the region's best-connected member as candidates; these are verified on full sets;
 4. members of one region that may be linked (by sketch) but are not yet in one component
    are verified exactly, all of them, region by region, on full sets.
@@ -33,8 +33,8 @@ HASHES = 96
 WIDTH = 5
 REGION = 2048
 LAST_LEVEL = 40
-#: Neighbours that each member of a region keeps in step 3; step 4 covers the others.
-NEIGHBOURS = 1
+#: Pairs of rows that a task compares in memory at a time; one region can have ``REGION`` squared.
+SLICE_PAIRS = REGION * REGION
 #: Standard deviations below the threshold at which a sketch still makes a candidate.
 SLACK = 3.4
 
@@ -179,50 +179,70 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(kept)
 
 
+def _numbered(table: pa.Table) -> np.ndarray:
+    """The number, from zero, of each row's region."""
+    tree, region = (table.column(c).to_numpy() for c in ("tree", "region"))
+    return np.concatenate([[0], np.cumsum((tree[1:] != tree[:-1]) | (region[1:] != region[:-1]))])
+
+
+def _slices(table: pa.Table) -> Iterator[pa.Table]:
+    """Whole regions of a table, so few at a time that their pairs fit in memory (one at least)."""
+    sizes = np.bincount(_numbered(table))
+    begin = at = pairs = 0
+    for size in sizes.tolist():
+        if pairs and pairs + size * size > SLICE_PAIRS:
+            yield table.slice(begin, at - begin)
+            begin, pairs = at, 0
+        at, pairs = at + size, pairs + size * size
+    yield table.slice(begin)
+
+
 def _likely(table: pa.Table, threshold: float, apart: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Pairs (i, j) of rows of one region whose sketches and sizes allow a link, their agreement, and each row's region number."""
-    tree, region, n = (table.column(c).to_numpy() for c in ("tree", "region", "n"))
+    n, number = table.column("n").to_numpy(), _numbered(table)
     component = table.column("component").to_numpy() if apart else None
     sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, HASHES)
-    number = np.concatenate([[0], np.cumsum((tree[1:] != tree[:-1]) | (region[1:] != region[:-1]))])
     least = HASHES * threshold - SLACK * np.sqrt(HASHES * threshold * (1 - threshold))
-    found: list[tuple[np.ndarray, np.ndarray]] = []
+    first: list[np.ndarray] = []
+    second: list[np.ndarray] = []
+    agree: list[np.ndarray] = []
     for k in range(1, len(number)):
-        near = np.flatnonzero(number[:-k] == number[k:])
+        near = np.flatnonzero(number[:-k] == number[k:]).astype(np.int32)
         if not len(near):
             break
         small, large = np.minimum(n[near], n[near + k]), np.maximum(n[near], n[near + k])
         near = near[small >= threshold * large]
         if apart:
             near = near[component[near] != component[near + k]]
-        for at in range(0, len(near), 1 << 16):
-            part = near[at : at + (1 << 16)]
-            same = (sketch[part] == sketch[part + k]).sum(axis=1)
+        for at in range(0, len(near), 1 << 15):
+            part = near[at : at + (1 << 15)]
+            same = np.count_nonzero(sketch[part] == sketch[part + k], axis=1)
             fits = same >= least
-            found.append((np.stack([part[fits], part[fits] + k]), same[fits]))
-    if not found:
-        empty = np.empty(0, np.int64)
+            first.append(part[fits])
+            second.append(part[fits] + np.int32(k))
+            agree.append(same[fits].astype(np.int16))
+    if not first:
+        empty = np.empty(0, np.int32)
         return empty, empty, empty, number
-    pairs, same = np.concatenate([f[0] for f in found], axis=1), np.concatenate([f[1] for f in found])
-    return pairs[0], pairs[1], same, number
+    return np.concatenate(first), np.concatenate(second), np.concatenate(agree), number
 
 
 def _closest(i: np.ndarray, j: np.ndarray, same: np.ndarray, number: np.ndarray) -> np.ndarray:
-    """Indices of the pairs to verify first: each row's closest few, and all with the best-connected row of its region."""
+    """Indices of the pairs to verify first: each row with its closest, and all with the best-connected row of its region."""
     if not len(i):
         return i
-    degree = np.bincount(np.concatenate([i, j]), minlength=len(number))
+    rows, pairs = len(number), len(i)
+    degree = np.bincount(i, minlength=rows) + np.bincount(j, minlength=rows)
     order = np.lexsort((-degree, number))
-    first = order[np.concatenate([[True], number[order][1:] != number[order][:-1]])]
-    hub = np.zeros(len(number), bool)
-    hub[first] = True
+    hub = np.zeros(rows, bool)
+    hub[order[np.concatenate([[True], number[order][1:] != number[order][:-1]])]] = True
     wanted = hub[i] | hub[j]
-    both, other = np.concatenate([i, j]), np.tile(np.arange(len(i)), 2)
-    order = np.lexsort((-same[other], both))
-    ordered = both[order]
-    begins = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    rank = np.arange(len(ordered)) - np.repeat(begins, np.diff(np.append(begins, len(ordered))))
-    wanted[other[order[rank < NEIGHBOURS]]] = True
+    # The closest of a row: the highest agreement, and of equals the first pair.
+    merit = same.astype(np.int64) * pairs + (pairs - 1 - np.arange(pairs))
+    best = np.full(rows, -1, np.int64)
+    np.maximum.at(best, i, merit)
+    np.maximum.at(best, j, merit)
+    wanted[pairs - 1 - best[best >= 0] % pairs] = True
     return np.flatnonzero(wanted)
 
 
@@ -267,7 +287,7 @@ def linked_classes(
     regions = regions_of(classes.where("n > 0"), depth, name)
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _runs(batches):
+        for table in (part for run in _runs(batches) for part in _slices(run)):
             i, j, same, number = _likely(table, threshold, False)
             chosen = _closest(i, j, same, number)
             ids = table.column("id").to_numpy()
@@ -292,13 +312,13 @@ def linked_classes(
     found = components(contract(links), name)
 
     def unjoined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _runs(batches):
+        for table in (part for run in _runs(batches) for part in _slices(run)):
             i, j, _, _ = _likely(table, threshold, True)
             rows = np.unique(np.concatenate([i, j]))
             yield from table.select(["tree", "region", "id", "component"]).take(pa.array(rows)).combine_chunks().to_batches()
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _runs(batches):
+        for table in (part for run in _runs(batches) for part in _slices(run)):
             tree, region, ids, component = (table.column(c).to_numpy() for c in ("tree", "region", "id", "component"))
             sets = [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()]
             cuts = np.flatnonzero((tree[1:] != tree[:-1]) | (region[1:] != region[:-1])) + 1

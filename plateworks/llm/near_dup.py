@@ -54,8 +54,10 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *minhash.sketch_columns(sets, ORDERS, DEPTH)], names=["id", "n", "fp", "keys", "sketch"])
 
     sketched = materialize(map_batches(read, sketch, minhash.SKETCHED), "near-sketch")
-    heads = materialize(sketched.where("n > 0 and id is not null").groupBy("fp").agg(F.min("id").alias("id")), "near-heads")
-    classes = sketched.join(heads, ["fp", "id"], "left_semi").select("id", "n", "keys", "sketch").dropDuplicates(["id"])
+    first = F.min(F.struct("id", "n", "keys", "sketch")).alias("first")
+    heads = sketched.where("n > 0 and id is not null").groupBy("fp").agg(first).select("fp", "first.*")
+    heads = materialize(heads, "near-heads")
+    classes = heads.select("id", "n", "keys", "sketch")
     found = minhash.linked_classes(
         classes,
         lambda ids, bits: shingle_sets(read, ids, bits).dropDuplicates(["id"]),

@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from plateworks.llm import minhash, near_dup
+from plateworks.llm import common, minhash, near_dup
 from plateworks.llm.common import components, filter_place, id_filter
 
 
@@ -75,7 +75,9 @@ def test_nulls_repeats_and_clashing_columns(spark):
     assert kept.columns == ["doc_id", "text", "fp"] and sorted(r.fp for r in kept.collect()) == [3, 4, 5]
 
 
-def test_components_of_a_path_and_a_star(spark):
+@pytest.mark.parametrize("most", [500_000, 10])
+def test_components_of_a_path_and_a_star(spark, monkeypatch, most):
+    monkeypatch.setattr(common, "TASK_LINKS", most)
     edges = [(k, k + 1) for k in range(100, 160)] + [(7, k) for k in range(200, 260)] + [(5, 5), (None, 4)]
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert {got[k] for k in range(101, 161)} == {100} and {got[k] for k in range(200, 260)} == {7} and len(got) == 60 + 60
