@@ -47,3 +47,13 @@ def hamming_features(df: DataFrame, vector: str) -> DataFrame:
 
 def keep_positions(df: DataFrame, vector: str, keep: list[int]) -> DataFrame:
     return df.withColumn(vector, F.transform(F.array(*map(F.lit, keep)), lambda k: F.get(F.col(vector), k)))
+
+
+def project(df: DataFrame, vector: str, k: int = 2) -> DataFrame:
+    """``projection``: the first ``k`` principal components (a linear stand-in for a neighbour embedding)."""
+    from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    ready = df.withColumn("_v", array_to_vector(F.transform(vector, lambda x: x.cast("double"))))
+    out = PCA(k=k, inputCol="_v", outputCol="_p").fit(ready).transform(ready)
+    return out.withColumn("projection", vector_to_array("_p")).drop("_v", "_p")

@@ -146,3 +146,22 @@ def panel(df: DataFrame, keys: list[str], od: str, deliver: str = "mean_od") ->
 def ordered_levels(compound: Column, first: str = "DMSO") -> Column:
     """A sort key with one level first and the rest by name."""
     return F.struct((compound != first).cast("int").alias("rest"), compound.alias("name"))
+
+
+def dose_growth(df: DataFrame, hour: float, group: list[str], controls: list[str] | None = None, every: bool = False) -> DataFrame:
+    """Growth by compound and concentration at the reading closest to an hour: statistics, or with ``every`` the readings.
+
+    Compounds in ``controls`` are left out; rows carry ``level`` to order compounds, DMSO first.
+    """
+    near = nearest_time(df, group, hour)
+    if controls:
+        near = near.where(~F.col("compound").isin(controls))
+    out = near if every else dose_stats(near, ["compound", "concentration"], "corrected")
+    return out.withColumn("level", ordered_levels(F.col("compound")))
+
+
+def compare_parameters(fits: DataFrame, wells: DataFrame, water: DataFrame, dose: str = "concentration") -> DataFrame:
+    """Curve parameters with their wells' compounds, and water rows repeated for every dose as a control."""
+    named = fits.join(wells, "well").withColumn("is_control", F.lit(False))
+    repeated = controls_for_each(water, wells, dose).withColumn("is_control", F.lit(True))
+    return named.unionByName(repeated, allowMissingColumns=True)

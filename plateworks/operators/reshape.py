@@ -56,3 +56,25 @@ def clip_to_quartiles(df: DataFrame, column: str) -> DataFrame:
 def histogram(df: DataFrame, value: str, width: float = 1.0) -> DataFrame:
     """Counts in bins centred on multiples of ``width``."""
     return df.groupBy((F.floor((F.col(value) + width / 2) / width)).cast("long").alias("bin")).agg(F.count("*").alias("n"))
+
+
+def histogram2d(df: DataFrame, first: str, second: str, widths: tuple[float, float]) -> DataFrame:
+    """Joint counts in bins from zero."""
+    bins = [F.floor(F.col(c) / w).cast("long").alias(n) for c, w, n in ((first, widths[0], "bin_a"), (second, widths[1], "bin_b"))]
+    return df.groupBy(*bins).agg(F.count("*").alias("n"))
+
+
+def grouped_lists(df: DataFrame, group: str, member: str) -> DataFrame:
+    """Members of each group in order. For groups that fit in a row."""
+    return df.groupBy(group).agg(F.sort_array(F.collect_list(member)).alias("members"))
+
+
+def labelled(df: DataFrame, column: str, labels: dict[str, str], default: str | None = None) -> DataFrame:
+    """``label`` of a column's values by a small map; others get ``default``."""
+    names = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
+    return df.withColumn("label", F.coalesce(names[F.col(column)], F.lit(default)))
+
+
+def least_ranked(df: DataFrame, group: str, value: str) -> DataFrame:
+    """Rows that hold their group's least value; ties are kept."""
+    return df.withColumn("_m", F.min(value).over(Window.partitionBy(group))).where(F.col(value) == F.col("_m")).drop("_m")

@@ -68,3 +68,12 @@ def search(frame: DataFrame, n: int = 3, seed: int = 1, grid: dict[str, list] =
             row |= {f"{part}_{k}": v for k, v in evaluate(probabilities(model, frame.where(F.col("split") == part))).items()}
         out.append(row)
     return out
+
+
+def save(model, folder: str, name: str, stamp: str | None = None) -> str:
+    """Save a fitted model under a name with the time, and return its path."""
+    from datetime import datetime
+
+    path = f"{folder}/{name}_{stamp or datetime.now().strftime('%d.%m.%Y_%H.%M')}"
+    model.write().overwrite().save(path)
+    return path

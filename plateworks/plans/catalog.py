@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import capital_first_two, clean_name, first_letter, one_hot, strain_number, strip_quotes
@@ -526,3 +526,58 @@ def random_split_exact(spark, sf_dir):
 def split_labels(spark, sf_dir):
     e = read(spark, sf_dir, "embeddings").select("vec_id")
     return splits.label_split(e, e.where("vec_id % 5 = 0"), e.where("vec_id % 3 = 0"), "vec_id")
+
+
+@query("select cast(floor(l_quantity / 10) as bigint) as bin_a, cast(floor(l_extendedprice / 20000) as bigint) as bin_b, count(*) as n from lineitem group by 1, 2")
+def histogram_joint(spark, sf_dir):
+    return reshape.histogram2d(read(spark, sf_dir, "lineitem"), "l_quantity", "l_extendedprice", (10, 20000))
+
+
+@query("select p_brand, array_to_string(list_sort(list(p_partkey)), ',') as members from part where p_partkey < 200 group by 1")
+def group_members(spark, sf_dir):
+    lists = reshape.grouped_lists(read(spark, sf_dir, "part").where("p_partkey < 200"), "p_brand", "p_partkey")
+    return lists.withColumn("members", F.array_join(F.col("members").cast("array<string>"), ","))
+
+
+@query("select o_orderkey, case o_orderstatus when 'F' then 'filled' when 'O' then 'open' else 'unknown' end as label from orders")
+def label_map(spark, sf_dir):
+    return reshape.labelled(read(spark, sf_dir, "orders"), "o_orderstatus", {"F": "filled", "O": "open"}, "unknown").select("o_orderkey", "label")
+
+
+@query("select s_nationkey, s_suppkey from (select *, min(s_acctbal) over (partition by s_nationkey) as m from supplier) where s_acctbal = m")
+def min_rank_rows(spark, sf_dir):
+    return reshape.least_ranked(read(spark, sf_dir, "supplier"), "s_nationkey", "s_acctbal").select("s_nationkey", "s_suppkey")
+
+
+@query("select coalesce(l_returnflag, 'all') as flag, coalesce(l_linestatus, 'all') as status, count(*) as n from lineitem group by rollup (l_returnflag, l_linestatus)")
+def rollup_counts(spark, sf_dir):
+    """An extension: subtotals."""
+    r = read(spark, sf_dir, "lineitem").rollup("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"))
+    return r.select(F.coalesce("l_returnflag", F.lit("all")).alias("flag"), F.coalesce("l_linestatus", F.lit("all")).alias("status"), "n")
+
+
+@query("select event_type, epoch_us(time_bucket(interval 1 day, ts)) // 86400000000 as day, count(*) as n, round(avg(value), 6) as mean_value from events group by 1, 2")
+def events_by_day(spark, sf_dir):
+    """An extension: tumbling windows."""
+    e = read(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    w = e.groupBy("event_type", F.window("ts", "1 day")).agg(F.count("*").alias("n"), F.avg("value").alias("mean_value"))
+    return rounded(w.select("event_type", F.floor(F.unix_seconds("window.start") / 86400).alias("day"), "n", "mean_value"), "mean_value")
+
+
+def projection(spark, sf_dir):
+    """Two principal components of every compound. SQL has no form for it."""
+    out = features.project(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "embedding", 2)
+    return out.select("vec_id", *(F.round(F.col("projection")[k], 4).alias(f"pc{k + 1}") for k in range(2)))
+
+
+QUERIES["projection"] = projection
+
+
+def growth_fits(spark, sf_dir):
+    """A logistic curve for each event series. SQL has no form for it."""
+    c = curves(spark, sf_dir).withColumn("curve_id", F.concat_ws("_", "event_type", "user_id"))
+    cumulative = F.sum("corrected").over(Window.partitionBy("curve_id").orderBy("point"))
+    return plates.fit_curves(c.select("curve_id", "hours", (cumulative / 100).alias("od")), "curve_id", "hours", "od")
+
+
+QUERIES["growth_fits"] = growth_fits

@@ -99,3 +99,18 @@ def test_shapes(spark):
     r = reshape.venn(a, b, "k").first()
     assert tuple(r) == (1, 0, 1)
     assert reshape.clip_to_quartiles(spark.createDataFrame([(float(k),) for k in range(5)], "v double"), "v").agg(F.min("clipped"), F.max("clipped")).first() == (1.0, 3.0)
+
+
+def test_projection_and_dose_growth(spark):
+    rng = random.Random(5)
+    rows = [(k, [float(3 * rng.gauss(0, 1)), rng.gauss(0, 1) * 0.1, 0.0]) for k in range(40)]
+    got = features.project(spark.createDataFrame(rows, "k int, v array<double>"), "v", 1).collect()
+    assert all(abs(abs(r.projection[0]) - abs(r.v[0])) < 0.3 for r in got)
+    data = [(c, d, f"{c}{d}{n}", h, float(h + n)) for c in ("DMSO", "drug", "Water") for d in (1.0, 2.0) for n in range(3) for h in (0.0, 5.0, 9.0)]
+    df = spark.createDataFrame(data, "compound string, concentration double, curve string, hours double, corrected double")
+    out = plates.dose_growth(df, 5.5, ["curve"], ["Water"]).orderBy("level", "concentration").collect()
+    assert [(r.compound, r.concentration, r.n, r.mean_od, r.median_od) for r in out] == [(c, d, 3, 6.0, 6.0) for c in ("DMSO", "drug") for d in (1.0, 2.0)]
+    fits = spark.createDataFrame([("A1", 0.5)], "well string, rate double")
+    wells = spark.createDataFrame([("A1", "drug", 2.0), ("A2", "drug", 4.0)], "well string, compound string, concentration double")
+    water = spark.createDataFrame([("H1", "Water", 0.0, 0.7)], "well string, compound string, concentration double, rate double")
+    assert plates.compare_parameters(fits, wells, water).count() == 3
