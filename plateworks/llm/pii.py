@@ -51,11 +51,14 @@ _PATTERNS = {
     "ip": re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\w|\.\d)"),
     "phone": re.compile(r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|(?:\(\d{2,5}\) ?|\d{2,4}[-.])\d{3,4}[ .-]\d{3,4}|\+\d{8,15})(?!\w|[.-]\d)"),
     "name": re.compile(
-        r"(?<!\w)(?:(?P<title>" + "|".join(map(re.escape, sorted(_TITLE_GENDER, key=len, reverse=True))) + r")\.? +(?:(?P<tgiven>" + "|".join(map(re.escape, _POOLS)) + r") +)?(?P<tlast>[^\W\d_][\w'-]+)"
+        r"(?=[A-ZÀ-ÞЀ-Яг])(?<!\w)(?:(?P<title>" + "|".join(map(re.escape, sorted(_TITLE_GENDER, key=len, reverse=True))) + r")\.? +(?:(?P<tgiven>" + "|".join(map(re.escape, _POOLS)) + r") +)?(?P<tlast>[^\W\d_][\w'-]+)"
         r"|(?P<given>" + "|".join(map(re.escape, _POOLS)) + r") +(?P<last>[^\W\d_][\w'-]+))(?!\w)"
     ),
 }
 
+_NUMERIC = {"iban", "card", "ssn", "ip", "phone"}  # kinds that no text without a digit has
+_DIGIT = re.compile(r"\d")
+
 _ALPHABETS = [
     "0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ",
     "àáâãäåæèéêëìíîïòóôõöøùúûüýÿ", "çðñþß", "ÀÁÂÃÄÅÆÈÉÊËÌÍÎÏÒÓÔÕÖØÙÚÛÜÝ", "ÇÐÑÞ",
@@ -208,8 +211,9 @@ def _dressed(kind: str, found: str, entity: str, made: str) -> str:
 def mentions(text: str) -> list[tuple[int, int, str, str]]:
     """Non-overlapping (start, end, kind, mention); where two overlap, the kind listed first in ``KINDS`` stays."""
     out: list[tuple[int, int, str, str]] = []
+    numbers = _DIGIT.search(text)
     for kind in KINDS:
-        if kind == "email" and "@" not in text:
+        if kind == "email" and "@" not in text or kind in _NUMERIC and not numbers:
             continue
         for m in _PATTERNS[kind].finditer(text):
             if kind == "name":
