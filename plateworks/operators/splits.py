@@ -32,11 +32,19 @@ def group_split(df: DataFrame, group: str, key: str, train: float = 0.8, valid:
 
 
 def exact_split(df: DataFrame, order: Column, valid: float = 0.1, test: float = 0.1) -> DataFrame:
-    """Exactly floor(share * n) rows to validation, then to test, the rest to train, by ``order``."""
-    n = df.count()
-    place = F.row_number().over(Window.orderBy(order))
-    v, t = int(valid * n), int(test * n)
-    return df.withColumn("_k", place).withColumn("split", F.when(F.col("_k") <= v, "valid").when(F.col("_k") <= v + t, "test").otherwise("train")).drop("_k")
+    """Exactly floor(share * n) rows to validation, then to test, the rest to train, by ``order`` (hex digits, see ``seeded``).
+
+    Ranks come from counts by the first four digits, of which there are 65,536 at most, and
+    from windows within these, so no task holds all rows.
+    """
+    marked = df.withColumn("_o", order).withColumn("_b", F.substring("_o", 1, 4))
+    counts = marked.groupBy("_b").agg(F.count("*").alias("_c"))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_b", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_s"), F.sum("_c").over(Window.partitionBy()).alias("_n"))
+    placed = marked.join(F.broadcast(starts), "_b").withColumn("_k", F.col("_s") + F.row_number().over(Window.partitionBy("_b").orderBy("_o")))
+    v, t = F.floor(F.lit(valid) * F.col("_n")), F.floor(F.lit(test) * F.col("_n"))
+    out = placed.withColumn("split", F.when(F.col("_k") <= v, "valid").when(F.col("_k") <= v + t, "test").otherwise("train"))
+    return out.select(*df.columns, "split")
 
 
 def seeded(key: str, seed: int) -> Column:
