@@ -1,20 +1,24 @@
 """Exact top-k search by BM25: an inverted index by shard, block-max pruning, exact merge.
 
-Index: each shard holds up to ``SHARD_DOCS`` documents, ordered by length, as packed arrays
-in one row (terms by 64-bit hash, postings by term and place). Documents of like length
-stand together, so the blocks of ``BLOCK`` places have tight maxima.
+Index: each shard holds up to ``SHARD_DOCS`` documents of its input partition in one file of
+flat arrays, mapped into memory (terms by 64-bit hash, postings by term and place). Documents
+are placed by their commonest word and then by length, so that the blocks of ``BLOCK`` places
+are alike and have tight maxima.
 
 Search: document frequencies and lengths are summed over all shards first, so scores do not
 depend on sharding. For a query and a shard, the sum of its terms' block maxima bounds every
-document of a block; blocks are scored from the highest bound down, and scoring stops at
-the first bound below the k-th best score so far (the pivot test of block-max WAND, on
-blocks of documents instead of single ones). Shards' best are merged by query. Queries are
-packed in blocks in the shared folder, which each shard's task reads one after another, so
-neither is held whole anywhere.
+document of a block; blocks are scored from the highest bound down, and scoring stops when
+no bound left reaches the k-th best score (the pivot test of block-max WAND, on blocks of
+documents). Queries with like bounds are taken together: the terms that are frequent in the
+shard are one matrix, whose products with the queries' weights give bounds and scores; the
+others are read from their postings. Shards' best are merged by query. Queries are packed in
+blocks in the shared folder, which each shard's task reads one after another, so neither
+is held whole anywhere.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,18 +28,27 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import minhash
-from .common import hashed_place, id_filter, in_filter, map_batches, materialize, open_store, prepare, texts_of
+from .common import enter, hashed_place, id_filter, in_filter, map_batches, materialize, open_store, prepare, shared_path, texts_of
+from .token_files import map_ids
 
 K1, B = 1.2, 0.75
 TOP = 10
-SHARD_DOCS = 4096
+#: A shard is closed at this many documents, or postings: what a task holds in memory.
+SHARD_DOCS, SHARD_POSTINGS = 16_384, 8_000_000
 BLOCK = 32
-QUERY_BLOCK = 256
+QUERY_BLOCK = 128
+#: Queries scored together, blocks scored at a time, and the share of a shard's documents from which a term is frequent.
+TOGETHER, STRIDE, FREQUENT = 32, 8, 1 / 16
 #: Scores count to this many decimals; ties go to the smaller document id.
 DECIMALS = 6
 _EPS = 10.0**-DECIMALS
 
-INDEX = "n_docs long, sum_length long, doc_ids binary, lengths binary, terms binary, begins binary, places binary, counts binary"
+INDEX = "file string, n_docs long, sum_length long, n_terms long, n_postings long"
+#: A shard's file: these arrays one after another, by (name, type, length by the row's counts).
+LAYOUT = (
+    ("doc_ids", "<i8", lambda r: r["n_docs"]), ("lengths", "<i8", lambda r: r["n_docs"]), ("terms", "<i8", lambda r: r["n_terms"]),
+    ("begins", "<i8", lambda r: r["n_terms"] + 1), ("counts", "<u4", lambda r: r["n_postings"]), ("places", "<u2", lambda r: r["n_postings"]),
+)
 
 
 def term_ids(text: str) -> np.ndarray:
@@ -44,32 +57,51 @@ def term_ids(text: str) -> np.ndarray:
     return np.fromiter(map(minhash._words.__getitem__, words), np.uint64, len(words)).view(np.int64)
 
 
-def _packed(doc_ids: list[int], texts: list[np.ndarray]) -> dict[str, object]:
-    lengths = np.array([len(t) for t in texts], np.int64)
-    order = np.argsort(lengths, kind="stable")
-    place = np.empty(len(order), np.int64)
+def term_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct words of a text and how often each occurs."""
+    terms, counts = np.unique(term_ids(text), return_counts=True)
+    return terms, counts.astype(np.uint32)
+
+
+def _packed(doc_ids: list[int], found: list[tuple[np.ndarray, np.ndarray]]) -> dict[str, np.ndarray]:
+    """The arrays of a shard."""
+    lengths = np.array([int(c.sum()) for _, c in found], np.int64)
+    common = [int(t[c.argmax()]) & 0xFF if len(t) else -1 for t, c in found]
+    order = np.lexsort((lengths, common))
+    place = np.empty(len(order), np.uint16)
     place[order] = np.arange(len(order))
-    flat, owner = np.concatenate(texts), np.repeat(place, lengths)
-    by = np.lexsort((owner, flat))
-    flat, owner = flat[by], owner[by]
-    first = np.flatnonzero(np.concatenate([[True], (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])])) if len(flat) else np.empty(0, np.int64)
-    counts = np.diff(np.append(first, len(flat)))
-    terms = flat[first]
-    starts = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]])) if len(terms) else first
-    return {
-        "n_docs": len(doc_ids),
-        "sum_length": int(lengths.sum()),
-        "doc_ids": np.array(doc_ids, np.int64)[order].tobytes(),
-        "lengths": lengths[order].tobytes(),
-        "terms": terms[starts].tobytes(),
-        "begins": np.append(starts, len(terms)).astype(np.int64).tobytes(),
-        "places": owner[first].astype(np.uint16).tobytes(),
-        "counts": np.minimum(counts, 0xFFFFFFFF).astype(np.uint32).tobytes(),
-    }
+    owner = np.repeat(place, [len(t) for t, _ in found])
+    terms, counts = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+    found.clear()
+    by = np.lexsort((owner, terms)).astype(np.int32)
+    terms = terms[by]
+    starts = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]])) if len(terms) else np.empty(0, np.int64)
+    begins = np.append(starts, len(terms)).astype(np.int64)
+    return {"doc_ids": np.array(doc_ids, np.int64)[order], "lengths": lengths[order], "terms": terms[starts], "begins": begins, "counts": counts[by], "places": owner[by]}
+
+
+def _store(folder: str, shard: dict[str, np.ndarray]) -> dict[str, object]:
+    """Write a shard's file and return its row. Every attempt writes a file of its own."""
+    store, path = open_store(folder)
+    name = f"{uuid.uuid4().hex}.idx"
+    with store.open_output_stream(f"{path}/{name}") as out:
+        for key, kind, _ in LAYOUT:
+            out.write(np.ascontiguousarray(shard[key], kind).tobytes())
+    return {"file": f"{folder}/{name}", "n_docs": len(shard["doc_ids"]), "sum_length": int(shard["lengths"].sum()), "n_terms": len(shard["terms"]), "n_postings": len(shard["places"])}
+
+
+def _load(row: dict) -> dict[str, np.ndarray]:
+    """A shard's arrays, mapped into memory."""
+    raw, at, out = map_ids(row["file"], "u1"), 0, {}
+    for key, kind, length in LAYOUT:
+        size = length(row) * np.dtype(kind).itemsize
+        out[key] = raw[at : at + size].view(kind)
+        at += size
+    return out
 
 
 def build_index(documents: DataFrame) -> DataFrame:
-    """The index of all rows with an id, written to the shared folder: a row a shard.
+    """The index of all rows with an id, as files in the shared folder: a row a shard.
 
     Null and empty texts have no terms but count as documents; a row without ``doc_id`` cannot
     be returned and is left out; repeated rows are documents of their own. Only ``doc_id``
@@ -80,80 +112,108 @@ def build_index(documents: DataFrame) -> DataFrame:
 
     prepare(documents.sparkSession)
     arrow = to_arrow_schema(StructType.fromDDL(INDEX))
+    folder = shared_path(documents.sparkSession, "bm25-shards")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("words")
         ids: list[int] = []
-        texts: list[np.ndarray] = []
+        texts: list[tuple[np.ndarray, np.ndarray]] = []
+        held = 0
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
                 ids.append(doc_id)
-                texts.append(term_ids(text))
-                if len(ids) == SHARD_DOCS:
-                    yield pa.RecordBatch.from_pylist([_packed(ids, texts)], schema=arrow)
-                    ids, texts = [], []
+                texts.append(term_counts(text))
+                held += len(texts[-1][0])
+                if len(ids) == SHARD_DOCS or held >= SHARD_POSTINGS:
+                    yield pa.RecordBatch.from_pylist([_store(folder, _packed(ids, texts))], schema=arrow)
+                    ids, texts, held = [], [], 0
         if ids:
-            yield pa.RecordBatch.from_pylist([_packed(ids, texts)], schema=arrow)
+            yield pa.RecordBatch.from_pylist([_store(folder, _packed(ids, texts))], schema=arrow)
 
     read = documents.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return materialize(read.mapInArrow(build, INDEX), "bm25-index")
 
 
 class Shard:
-    """One shard's arrays with impacts and block maxima under global statistics."""
-
-    def __init__(self, row: dict, average: float):
-        self.doc_ids = np.frombuffer(row["doc_ids"], np.int64)
-        lengths = np.frombuffer(row["lengths"], np.int64)
-        self.terms = np.frombuffer(row["terms"], np.int64)
-        self.begins = np.frombuffer(row["begins"], np.int64)
-        self.places = np.frombuffer(row["places"], np.uint16).astype(np.int64)
-        tf = np.frombuffer(row["counts"], np.uint32).astype(float)
-        self.impacts = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.places] / max(average, 1e-9)))
-        block = self.places // BLOCK
-        term = np.repeat(np.arange(len(self.terms)), np.diff(self.begins))
-        first = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])])) if len(term) else np.empty(0, np.int64)
-        self.cells = np.append(first, len(term))  # postings of one term in one block
-        self.cell_block = block[first]
-        self.cell_max = np.maximum.reduceat(self.impacts, first) if len(first) else np.empty(0)
-        self.term_cells = np.searchsorted(first, self.begins)
+    """One shard's arrays with impacts under global statistics."""
+
+    def __init__(self, shard: dict[str, np.ndarray], average: float):
+        self.doc_ids, lengths, self.terms, self.begins, self.places = (shard[k] for k in ("doc_ids", "lengths", "terms", "begins", "places"))
+        self.impacts = shard["counts"].astype(float)
+        over = (K1 * (1 - B + B * lengths / max(average, 1e-9)))[self.places]
+        over += self.impacts
+        self.impacts *= K1 + 1
+        self.impacts /= over
         self.blocks = -(-len(self.doc_ids) // BLOCK)
-
-    def best(self, terms: np.ndarray, weights: np.ndarray, own: int, top: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
-        """The places and scores of up to ``top`` documents that are over ``floor``, and how they score."""
-        at = np.searchsorted(self.terms, terms)
-        at = np.minimum(at, max(len(self.terms) - 1, 0))
-        known = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
+        self.width = self.blocks * BLOCK
+        size = np.diff(self.begins)
+        frequent = np.flatnonzero(size >= max(2, FREQUENT * len(self.doc_ids)))
+        self.row = np.full(len(self.terms), -1)
+        self.row[frequent] = np.arange(len(frequent))
+        self.matrix = np.zeros((len(frequent), self.width))
+        for n, t in enumerate(frequent.tolist()):
+            a, b = self.begins[t], self.begins[t + 1]
+            self.matrix[n, self.places[a:b]] = self.impacts[a:b]
+        self.maxima = self.matrix.reshape(len(frequent), self.blocks, BLOCK).max(axis=2)
+
+    def _split(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A query's weights of frequent terms, and the scores that its other terms give each place."""
+        dense, rest = np.zeros(len(self.matrix)), np.zeros(self.width)
+        if not len(self.terms):
+            return dense, rest
+        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        known = self.terms[at] == terms
         at, weights = at[known], weights[known]
-        a, n = self.term_cells[at], self.term_cells[at + 1] - self.term_cells[at]
-        cells = np.repeat(a - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(a) else np.empty(0, np.int64)
-        heavy = np.repeat(weights, n)
-        block = self.cell_block[cells]
-        bound = np.bincount(block, heavy * self.cell_max[cells], self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        rank = np.empty(self.blocks, np.int64)
-        rank[order] = np.arange(self.blocks)
-        of_cell = rank[block]
-        by = np.argsort(of_cell, kind="stable")
-        cells, heavy, of_cell = cells[by], heavy[by], of_cell[by]
-        places, scores = np.empty(0, np.int64), np.empty(0)
-        done, step = 0, max(1, -(-2 * top // BLOCK))
-        while done < self.blocks and bound[order[done]] > 0 and bound[order[done]] >= floor - _EPS:
-            x, y = np.searchsorted(of_cell, [done, done + step])
-            begin, finish = self.cells[cells[x:y]], self.cells[cells[x:y] + 1]
-            size = finish - begin
-            posts = np.repeat(begin - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-            total = np.bincount(self.places[posts], np.repeat(heavy[x:y], size) * self.impacts[posts], len(self.doc_ids))
-            found = np.flatnonzero(total)
-            found = found[self.doc_ids[found] != own]
-            places, scores = np.concatenate([places, found]), np.concatenate([scores, np.round(total[found], DECIMALS)])
-            if len(places) > top:
-                keep = np.lexsort((self.doc_ids[places], -scores))[:top]
-                places, scores = places[keep], scores[keep]
-            if len(places) == top:
-                floor = max(floor, float(scores.min()))
-            done, step = done + step, step * 2
-        keep = scores >= floor
-        return places[keep], scores[keep]
+        row = self.row[at]
+        dense[row[row >= 0]] = weights[row >= 0]
+        at, weights = at[row < 0], weights[row < 0]
+        if len(at):
+            begin = self.begins[at]
+            size = self.begins[at + 1] - begin
+            posts = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
+            rest = np.bincount(self.places[posts], np.repeat(weights, size) * self.impacts[posts], self.width)
+        return dense, rest
+
+    def best(self, queries: list[tuple[int, np.ndarray, np.ndarray]], top: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query (own id, terms, weights): up to ``top`` places and scores, unordered, its own id left out."""
+        split = [self._split(t, w) for _, t, w in queries]
+        dense, rest = np.stack([d for d, _ in split]), np.stack([r for _, r in split])
+        bound = dense @ self.maxima + rest.reshape(len(queries), self.blocks, BLOCK).max(axis=2)
+        out: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0))] * len(queries)
+        alike = np.argsort(bound.argmax(axis=1), kind="stable")
+        for begin in range(0, len(queries), TOGETHER):
+            group = alike[begin : begin + TOGETHER]
+            limit = bound[group]
+            order = np.argsort(-limit.max(axis=0), kind="stable")
+            floor = np.zeros(len(group))
+            at = 0
+            while at < self.blocks:
+                # Blocks that some query of the group still needs.
+                left = order[at:]
+                left = left[((limit[:, left] > 0) & (limit[:, left] >= floor[:, None] - _EPS)).any(axis=0)]
+                if not len(left):
+                    break
+                chosen = left[:STRIDE]
+                order, at = np.concatenate([chosen, left[STRIDE:]]), 0
+                places = (chosen[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+                scores = np.round(dense[group] @ self.matrix[:, places] + rest[np.ix_(group, places)], DECIMALS)
+                for n, g in enumerate(group.tolist()):
+                    found = np.flatnonzero(scores[n] >= max(floor[n], _EPS))
+                    if not len(found):
+                        continue
+                    p, v = places[found], scores[n, found]
+                    mine = self.doc_ids[p] != queries[g][0]
+                    p, v = np.concatenate([out[g][0], p[mine]]), np.concatenate([out[g][1], v[mine]])
+                    if len(p) > top:
+                        keep = np.lexsort((self.doc_ids[p], -v))[:top]
+                        p, v = p[keep], v[keep]
+                    if len(p) == top:
+                        floor[n] = v.min()
+                    out[g] = (p, v)
+                order, at = order[len(chosen) :], 0
+                if not len(order):
+                    break
+        return out
 
 
 def pack_queries(weighted: DataFrame, path: str) -> None:
@@ -191,40 +251,42 @@ def search(index: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(found))], names=["query_id", "term"])
 
     asked = queries.where("query_id is not null").select(F.col("query_id").cast("long").alias("query_id"), F.col("text").cast("string").alias("text"))
-    asked = materialize(map_batches(asked, words, "query_id long, term long").distinct(), "bm25-asked")
+    asked = materialize(map_batches(asked, words, "query_id long, term long", "words").distinct(), "bm25-asked")
     bits = spark.sparkContext.broadcast(id_filter(asked, "term", hashed_place))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("index")
         kept: list[np.ndarray] = []
         sizes: list[np.ndarray] = []
         for batch in batches:
             for row in batch.to_pylist():
-                terms = np.frombuffer(row["terms"], np.int64)
+                shard = _load(row)
+                terms = np.array(shard["terms"])
                 good = in_filter(bits.value, np.mod(terms, 8 * len(bits.value)))
                 kept.append(terms[good])
-                sizes.append(np.diff(np.frombuffer(row["begins"], np.int64))[good])
+                sizes.append(np.diff(shard["begins"])[good])
         if kept:
             terms, at = np.unique(np.concatenate(kept), return_inverse=True)
             yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(np.bincount(at, np.concatenate(sizes), len(terms)).astype(np.int64))], names=["term", "df"])
 
     totals = index.agg(F.sum("n_docs"), F.sum("sum_length")).first()
     n, average = float(totals[0] or 0), float(totals[1] or 0) / max(1.0, float(totals[0] or 0))
-    df = index.select("terms", "begins").mapInArrow(frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
+    df = index.mapInArrow(frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
     idf = F.log(F.lit(1.0) + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     pairs = asked.join(df, "term").groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term", idf.alias("w")))).alias("p"))
     packed = materialize(pairs.select("query_id", F.col("p.term").alias("terms"), F.col("p.w").alias("weights")), "bm25-queries")
     path = packed._plateworks_path
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("index")
         for batch in batches:
             for row in batch.to_pylist():
-                shard = Shard(row, average)
+                shard = Shard(_load(row), average)
                 for ids, terms, weights in _query_blocks(path):
-                    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-                    for own, t, w in zip(ids, terms, weights):
-                        places, scores = shard.best(t, w, own, top, 0.0)
-                        out.append((np.full(len(places), own), shard.doc_ids[places], scores))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["query_id", "doc_id", "score"])
+                    found = shard.best(list(zip(ids, terms, weights)), top)
+                    own = np.repeat(np.array(ids, np.int64), [len(p) for p, _ in found])
+                    places, scores = (np.concatenate(c) for c in zip(*found))
+                    yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(shard.doc_ids[places]), pa.array(scores)], names=["query_id", "doc_id", "score"])
 
     # A row a shard: one task each.
     tasks = max(1, index.count())

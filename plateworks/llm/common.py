@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -71,12 +72,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: What a worker remembers between tasks: kind of work -> function that forgets it.
+MEMOS: dict[str, Callable[[], object]] = {}
+_work = [""]
+
+
+def release() -> None:
+    """Give freed memory back to the system: workers live on and are used by later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # not on this system's C library
+        pass
+
+
+def enter(work: str) -> None:
+    """To be called when a task begins: a worker that did other work before forgets what that remembered."""
+    if _work[0] != work:
+        for name, forget in MEMOS.items():
+            if name != work:
+                forget()
+        release()
+        _work[0] = work
+
+
 def map_batches(
-    df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Iterable[pa.RecordBatch]], schema: str
+    df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Iterable[pa.RecordBatch]], schema: str, work: str = "texts"
 ) -> DataFrame:
-    """Apply ``fn`` to each Arrow batch of ``df``."""
+    """Apply ``fn`` to each Arrow batch of ``df``. ``work`` names what the task remembers (see ``enter``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(work)
         for batch in batches:
             if batch.num_rows:
                 out = fn(batch)
@@ -141,6 +167,7 @@ def contract(edges: DataFrame) -> DataFrame:
     """Edges with the same components, and within each partition none that others imply."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("links")
         merger = Merger()
         for batch in batches:
             for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):

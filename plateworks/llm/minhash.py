@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, contract, filter_place, id_filter, materialize
+from .common import MEMOS, components, contract, enter, filter_place, id_filter, materialize
 
 HASHES = 96
 WIDTH = 5
@@ -38,7 +38,7 @@ SLICE_PAIRS = REGION * REGION
 #: Standard deviations below the threshold at which a sketch still makes a candidate.
 SLACK = 3.4
 
-_MEMO_WORDS = 400_000
+_MEMO_WORDS = 300_000
 _SEED = np.random.default_rng(20240229)
 _FLIP = _SEED.integers(0, 1 << 32, HASHES, dtype=np.uint32)[:, None]
 _TIMES = (_SEED.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1))[:, None]
@@ -54,6 +54,7 @@ class _WordHashes(dict):
 
 
 _words = _WordHashes()
+MEMOS["words"] = _words.clear
 
 
 def lowered_words(text: str) -> list[bytes]:
@@ -287,6 +288,7 @@ def linked_classes(
     regions = regions_of(classes.where("n > 0"), depth, name)
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("regions")
         for table in (part for run in _runs(batches) for part in _slices(run)):
             i, j, same, number = _likely(table, threshold, False)
             chosen = _closest(i, j, same, number)
@@ -295,6 +297,7 @@ def linked_classes(
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("regions")
         for batch in batches:
             good = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
@@ -312,12 +315,14 @@ def linked_classes(
     found = components(contract(links), name)
 
     def unjoined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("regions")
         for table in (part for run in _runs(batches) for part in _slices(run)):
             i, j, _, _ = _likely(table, threshold, True)
             rows = np.unique(np.concatenate([i, j]))
             yield from table.select(["tree", "region", "id", "component"]).take(pa.array(rows)).combine_chunks().to_batches()
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("regions")
         for table in (part for run in _runs(batches) for part in _slices(run)):
             tree, region, ids, component = (table.column(c).to_numpy() for c in ("tree", "region", "id", "component"))
             sets = [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()]
