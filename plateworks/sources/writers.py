@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
+import gzip
 import json
 import os
-import shutil
-import tempfile
 import zipfile
 from collections.abc import Iterator
 from xml.sax.saxutils import escape
@@ -13,20 +12,20 @@ from xml.sax.saxutils import escape
 from pyspark.sql import DataFrame
 
 
+def _line(values: list) -> str:
+    return "\t".join("" if v is None else str(v) for v in values) + "\n"
+
+
 def write_tsv(df: DataFrame, path: str, header: bool = True) -> None:
-    """One TSV file at ``path`` (gzip if it ends in .gz). For results of report size: one task writes it."""
-    kind = "gzip" if path.endswith(".gz") else "none"
-    folder = tempfile.mkdtemp(dir=os.path.dirname(os.path.abspath(path)))
-    try:
-        df.coalesce(1).write.mode("overwrite").option("sep", "\t").option("header", header).option("compression", kind).option("quote", "").csv(folder)
-        part = next((f for f in os.listdir(folder) if f.startswith("part-")), None)
-        if part is None:
-            with open(path, "w") as out:
-                out.write("\t".join(df.columns) + "\n" if header else "")
-        else:
-            os.replace(os.path.join(folder, part), path)
-    finally:
-        shutil.rmtree(folder)
+    """One TSV file on the driver's file system (gzip if it ends in .gz), for results of report size.
+
+    Rows come to the driver a partition at a time, so executors need not see ``path``.
+    """
+    with gzip.open(path, "wt") if path.endswith(".gz") else open(path, "w") as out:
+        if header:
+            out.write(_line(df.columns))
+        for row in df.toLocalIterator():
+            out.write(_line(list(row)))
 
 
 def append_tsv(df: DataFrame, path: str) -> None:
@@ -34,9 +33,9 @@ def append_tsv(df: DataFrame, path: str) -> None:
     fresh = not os.path.exists(path)
     with open(path, "a") as out:
         if fresh:
-            out.write("\t".join(df.columns) + "\n")
+            out.write(_line(df.columns))
         for row in df.toLocalIterator():
-            out.write("\t".join("" if v is None else str(v) for v in row) + "\n")
+            out.write(_line(list(row)))
 
 
 def write_shards(df: DataFrame, path: str, order: str, shards: int) -> None:
