@@ -273,7 +273,8 @@ def search(index: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
     n, average = float(totals[0] or 0), float(totals[1] or 0) / max(1.0, float(totals[0] or 0))
     df = index.mapInArrow(frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
     idf = F.log(F.lit(1.0) + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    pairs = asked.join(df, "term").groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term", idf.alias("w")))).alias("p"))
+    # The planner cannot know how many terms a shard's row unfolds to, so it must not broadcast them.
+    pairs = asked.join(df.hint("merge"), "term").groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term", idf.alias("w")))).alias("p"))
     packed = materialize(pairs.select("query_id", F.col("p.term").alias("terms"), F.col("p.w").alias("weights")), "bm25-queries")
     path = packed._plateworks_path
 
