@@ -15,7 +15,9 @@ from plateworks.llm.common import materialize
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known. A row without id cannot be named as rejected and stays."""
+    # Written first, so that its size is known: a small table is broadcast and the texts are not shuffled.
     rejected = langid.identify_documents(docs).where("not accepted").select(F.col("doc_id").alias("_rejected")).distinct()
+    rejected = materialize(rejected, "pipeline-rejected")
     return docs.join(rejected, docs["doc_id"] == rejected["_rejected"], "left_anti")
 
 

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 #: Rows an Arrow batch carries to a Python worker. Long texts make rows wide, so
 #: the default of 10,000 could hold more than a worker's memory.
 ARROW_ROWS = 1000
+#: And bytes, for batches of very long texts or large sets.
+ARROW_BYTES = 4 << 20
 
 _shipped: set[str] = set()
 
@@ -34,6 +36,7 @@ def prepare(spark: SparkSession) -> SparkSession:
         spark.sparkContext.addPyFile(str(target))
         _shipped.add(app)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return spark
 
 
@@ -110,6 +113,7 @@ def map_batches(
                     yield out
                 else:
                     yield from out
+        release()
 
     return df.mapInArrow(run, schema)
 

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import MEMOS, components, contract, enter, filter_place, id_filter, materialize
+from .common import MEMOS, components, contract, enter, filter_place, id_filter, materialize, release
 
 HASHES = 96
 WIDTH = 5
@@ -178,6 +178,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
             kept.append(batch)
     if kept:
         yield pa.Table.from_batches(kept)
+    release()
 
 
 def _numbered(table: pa.Table) -> np.ndarray:

@@ -35,7 +35,7 @@ def shingle_sets(documents: DataFrame, ids: DataFrame, bits: bytes) -> DataFrame
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], names=["id", "shingles"])
 
     read = documents.select("doc_id", "text", filter_place("doc_id").alias("place"))
-    return map_batches(read, compute, "id long, shingles binary").join(ids, "id", "left_semi")
+    return map_batches(read, compute, "id long, shingles binary", "words").join(ids, "id", "left_semi")
 
 
 def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -53,7 +53,7 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
         sets = [minhash.shingles(minhash.lowered_words(t)) for t in texts_of(batch)]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *minhash.sketch_columns(sets, ORDERS, DEPTH)], names=["id", "n", "fp", "keys", "sketch"])
 
-    sketched = materialize(map_batches(read, sketch, minhash.SKETCHED), "near-sketch")
+    sketched = materialize(map_batches(read, sketch, minhash.SKETCHED, "words"), "near-sketch")
     first = F.min(F.struct("id", "n", "keys", "sketch")).alias("first")
     heads = sketched.where("n > 0 and id is not null").groupBy("fp").agg(first).select("fp", "first.*")
     heads = materialize(heads, "near-heads")
@@ -82,7 +82,8 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def keep_first(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``documents`` with one document of each component, the one of the smallest id; columns unchanged."""
-    gone = near_duplicates(documents, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    # Written first, so that its size is known: a small table is broadcast and the texts are not shuffled.
+    gone = materialize(near_duplicates(documents, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "near-gone")
     return documents.join(gone, documents["doc_id"] == gone["_gone"], "left_anti")
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import map_batches, materialize, prepare, texts_of
+from .common import enter, map_batches, materialize, prepare, release, texts_of
 
 WINDOW = 1024
 CHUNKS = "part int, local_start long, n_tokens long, doc_ids array<long>, lengths array<long>, ids binary"
@@ -36,6 +36,7 @@ def encode_chunks(documents: DataFrame, tokenizer: str | None = None, end_id: in
     tokenizer = tokenizer or tokens.default_tokenizer()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("pieces")
         code, kind = tokens.encoder(tokenizer), tokens.id_type(tokenizer)
         end = np.array([end_id], dtype="<u4").tobytes()
         part, at = TaskContext.get().partitionId(), 0
@@ -57,6 +58,8 @@ def encode_chunks(documents: DataFrame, tokenizer: str | None = None, end_id: in
                 names=["part", "local_start", "n_tokens", "doc_ids", "lengths", "ids"],
             )
             at += n
+            del found
+            release()
 
     read = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     chunks = materialize(read.mapInArrow(encode, CHUNKS), "packing-chunks")
@@ -101,7 +104,7 @@ def cut(chunks: DataFrame, tokenizer: str | None = None, window: int = WINDOW) -
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
             )
 
-    return map_batches(chunks.select("base", "doc_ids", "lengths", "ids"), pieces, PIECES)
+    return map_batches(chunks.select("base", "doc_ids", "lengths", "ids"), pieces, PIECES, "cuts")
 
 
 def sequences(chunks: DataFrame, tokenizer: str | None = None, window: int = WINDOW, pad_id: int = 0) -> DataFrame:
@@ -122,7 +125,7 @@ def sequences(chunks: DataFrame, tokenizer: str | None = None, window: int = WIN
                 names=["sequence_id", "offset", "ids"],
             )
 
-    cuts = map_batches(chunks.select("base", "ids"), windows, "sequence_id long, offset int, ids array<int>")
+    cuts = map_batches(chunks.select("base", "ids"), windows, "sequence_id long, offset int, ids array<int>", "cuts")
     whole = cuts.where(F.size("ids") == window).select("sequence_id", "ids")
     joined = (
         cuts.where(F.size("ids") < window)  # boundary records

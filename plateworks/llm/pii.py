@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import map_batches, materialize, prepare, texts_of
+from .common import MEMOS, map_batches, materialize, prepare, texts_of
 
 #: The key for tests and registered queries; a real run passes its own secret.
 DEFAULT_KEY = b"plateworks-surrogates"
@@ -198,6 +198,9 @@ def _cached(key: bytes, kind: str, entity: str) -> str:
     return surrogate(key, kind, entity)
 
 
+MEMOS["entities"] = _cached.cache_clear
+
+
 def _dressed(kind: str, found: str, entity: str, made: str) -> str:
     """The surrogate written as the mention was: its separators and capitals."""
     if kind == "email":
@@ -258,7 +261,7 @@ def surrogate_map(documents: DataFrame, key: bytes = DEFAULT_KEY) -> DataFrame:
         columns = list(zip(*seen)) or [[], [], []]
         yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in columns), pa.array(seen.values(), pa.int64())], names=["kind", "entity", "surrogate", "n"])
 
-    found = map_batches(documents.select(F.col("text").cast("string")), compute, "kind string, entity string, surrogate string, n long")
+    found = map_batches(documents.select(F.col("text").cast("string")), compute, "kind string, entity string, surrogate string, n long", "entities")
     return found.groupBy("kind", "entity", "surrogate").agg(F.sum("n").alias("n_mentions"))
 
 
@@ -295,7 +298,7 @@ def replace(documents: DataFrame, key: bytes = DEFAULT_KEY, check: bool = True)
         yield pa.RecordBatch.from_arrays([*columns, *(pa.array(counts[k], pa.int64()) for k in KINDS)], names=[*batch.schema.names, *names])
 
     schema = StructType([*source.schema.fields, *(StructField(name, LongType()) for name in names)])
-    return map_batches(source, compute, schema)
+    return map_batches(source, compute, schema, "entities")
 
 
 def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import local_path, open_store, prepare, shared_path, texts_of
+from .common import enter, local_path, open_store, prepare, release, shared_path, texts_of
 
 MANIFEST = "shard int, file string, dtype string, n_docs long, n_tokens long"
 #: Stands for a null document id in the files.
@@ -52,6 +52,7 @@ def write_token_files(
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("pieces")
         store, path = open_store(folder)
         code, kind = tokens.encoder(tokenizer), tokens.id_type(tokenizer)
         end = np.array([end_id], dtype="<u4").tobytes()
@@ -66,6 +67,7 @@ def write_token_files(
                     ids.append(NULL_ID if doc_id is None else doc_id)
                     counts.append(len(found) // 4)
                     out.write(np.frombuffer(found, dtype="<u4").astype(kind).tobytes())
+                release()
         offsets = np.zeros(len(counts) + 1, dtype="<u8")
         np.cumsum(counts, out=offsets[1:])
         with store.open_output_stream(f"{path}/{name}.idx") as out:

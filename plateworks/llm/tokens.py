@@ -16,6 +16,8 @@ import sys
 
 import numpy as np
 
+from .common import MEMOS
+
 #: Distinct pieces remembered per worker; beyond it the memory is emptied and refilled.
 MEMO_PIECES = 400_000
 
@@ -79,6 +81,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+MEMOS["pieces"] = encoder.cache_clear
+
+
 def id_type(path: str) -> str:
     """The narrowest unsigned type that holds every id of the vocabulary."""
     return "<u2" if encoder(path).vocabulary <= 1 << 16 else "<u4"

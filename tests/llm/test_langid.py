@@ -59,3 +59,10 @@ def test_held_out_accuracy(spark):
     assert n > 400 and right > 0.97 and kept > 0.97
     pages = langid.identify_pages(spark.read.parquet(f"{DATA}/pages.parquet"), model).where("accepted").count()
     assert pages > 200
+
+
+def test_very_short_texts_are_judged_by_all_evidence(spark):
+    model = small_model(spark)
+    docs = frame(spark, [(1, "the", "en", None, "a", 1), (2, "A.", "en", None, "a", 1), (3, "12 34", "en", None, "a", 1)])
+    got = {r.doc_id: r for r in langid.identify(docs, model, docs["declared"], docs["suffix"], docs["host"]).collect()}
+    assert got[1].accepted and got[1].language == "en" and not got[3].accepted and got[3].language == "und"
