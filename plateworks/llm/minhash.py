@@ -9,16 +9,20 @@ Linking works on distinct sets ("classes": equal sets are one vertex) in these s
    that agree almost everywhere) is dealt into parts that share one member as a hub;
 3. within a region, members are compared by sketch. Each keeps its closest neighbour and
    the region's best-connected member as candidates; these are verified on full sets;
-4. members of one region that may be linked (by sketch) but are not yet in one component
-   are verified exactly, all of them, region by region, on full sets.
-
-Nothing is capped: step 4 covers every pair that step 3 left out and that is not already
-joined through others. What can be missed is a pair that shares no key, or whose sketch is
-off by over three standard deviations.
+4. members with a key in common that may be linked (by sketch) but are not yet in one
+   component are verified exactly, all of them, on full sets. This goes by the regions of
+   step 1, not by those that step 2 made: a large one is dealt into parts, and every two
+   parts that can hold a link are a block.
+
+Nothing is capped: the levels of step 2 only find most links early, and step 4 covers every
+pair that steps 2 and 3 left out and that is not already joined through others. What can be
+missed is a pair that shares no key, or whose sketch is off by over three standard
+deviations. The blocks of a large region whose members are not linked grow with its square.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -131,14 +135,18 @@ def sketch_columns(sets: list[np.ndarray], orders: int, depth: int) -> list[pa.A
     ]
 
 
-def regions_of(classes: DataFrame, depth: int, name: str) -> DataFrame:
-    """Members of regions: ``tree int, region long, id, n, sketch``; every region has 2 to ``REGION`` members,
-    but for the parts of those that no level splits, which a hub joins."""
+def shared_keys(classes: DataFrame, name: str) -> DataFrame:
+    """Members of the regions of step 1: ``tree int, region long, id, n, sketch, size``, for regions of two or more."""
     keyed = classes.select("id", F.posexplode("keys").alias("tree", "region"))
     shared = keyed.groupBy("tree", "region").agg(F.count("*").alias("size")).where("size > 1")
-    rows = materialize(
+    return materialize(
         keyed.join(shared, ["tree", "region"]).join(classes.select("id", "n", "sketch"), "id"), f"{name}-regions"
     )
+
+
+def regions_of(rows: DataFrame, depth: int, name: str) -> DataFrame:
+    """``rows`` of ``shared_keys`` by regions for step 3, of 2 to ``REGION`` members,
+    but for the parts of those that no level splits, which a hub joins."""
     done = rows.where(F.col("size") <= REGION).drop("size")
     large = rows.where(F.col("size") > REGION).drop("size")
     level = depth
@@ -160,6 +168,40 @@ def regions_of(classes: DataFrame, depth: int, name: str) -> DataFrame:
     return done
 
 
+def blocks_of(rows: DataFrame, threshold: float, name: str) -> DataFrame:
+    """Blocks that hold all pairs of ``rows`` of one region but those of one component or of sizes that rule a link out.
+
+    ``rows`` are members of large regions with their ``component``. A region is dealt by size
+    of set, by component where that fills parts of its own, and by hash into parts of about half of ``REGION``; a
+    block is two parts (``side`` 0 and 1, to be compared with each other) or one (``side`` 2).
+    """
+    most = max(REGION // 2, 1)
+    # Sets whose spans are two or more apart differ too much in size; a little wider, for rounding.
+    span = F.floor(F.log(F.col("n")) / F.lit(-math.log(threshold) * 1.0001 if threshold < 1 else 1e-3))
+    keys = ["tree", "region", "span"]
+    rows = materialize(rows.withColumn("span", span), f"{name}-large")
+    kinds = rows.groupBy(*keys, "component").agg(F.count("*").alias("members"))
+    whole = F.when(F.col("members") > most, F.col("component")).alias("own")
+    kinds = materialize(kinds.select(*keys, "component", whole, "members"), f"{name}-kinds")
+    layout = kinds.groupBy(*keys, "own").agg(F.ceil(F.sum("members") / most).cast("int").alias("parts"))
+    layout = materialize(layout, f"{name}-layout")
+    place = F.xxhash64("tree", "region", "span", F.col("own").isNull(), "own", "part").alias("place")
+    parts = materialize(layout.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(*keys, "own", place), f"{name}-parts")
+    a, b = parts.alias("a"), parts.alias("b").withColumn("from", F.explode(F.array(F.col("span"), F.col("span") - 1))).alias("b")
+    met = a.join(b, F.expr("a.tree = b.tree and a.region = b.region and a.span = b.from"))
+    met = met.where("(a.span < b.span or a.place <= b.place) and (a.own is null or b.own is null or a.own <> b.own)")
+    pairs = met.select(F.col("a.place").alias("one"), F.col("b.place").alias("two"), F.xxhash64("a.place", "b.place").alias("block"))
+    sides = F.when(F.col("one") == F.col("two"), F.array(F.struct(F.col("one").alias("place"), F.lit(2).alias("side"))))
+    sides = sides.otherwise(F.array(F.struct(F.col("one").alias("place"), F.lit(0).alias("side")), F.struct(F.col("two").alias("place"), F.lit(1).alias("side"))))
+    dealt = materialize(pairs.select("block", F.inline(sides)), f"{name}-blocks")
+    heavy = kinds.where("own is not null").select(*keys, "component", "own")
+    owned = rows.join(heavy, [*keys, "component"], "left").alias("r").join(
+        layout.alias("l"), F.expr("r.tree = l.tree and r.region = l.region and r.span = l.span and r.own <=> l.own")
+    )
+    owned = owned.select("r.*", F.pmod(F.xxhash64("r.id"), F.col("l.parts")).cast("int").alias("part")).withColumn("place", place)
+    return owned.join(dealt, "place").select("tree", F.col("block").alias("region"), "id", "n", "sketch", "component", "side")
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """The batches of a partition sorted by tree and region, cut where a region ends."""
     kept: list[pa.RecordBatch] = []
@@ -202,7 +244,7 @@ def _slices(table: pa.Table) -> Iterator[pa.Table]:
 def _likely(table: pa.Table, threshold: float, apart: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Pairs (i, j) of rows of one region whose sketches and sizes allow a link, their agreement, and each row's region number."""
     n, number = table.column("n").to_numpy(), _numbered(table)
-    component = table.column("component").to_numpy() if apart else None
+    component, side = (table.column(c).to_numpy() if apart else None for c in ("component", "side"))
     sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, HASHES)
     least = HASHES * threshold - SLACK * np.sqrt(HASHES * threshold * (1 - threshold))
     first: list[np.ndarray] = []
@@ -216,6 +258,7 @@ def _likely(table: pa.Table, threshold: float, apart: bool) -> tuple[np.ndarray,
         near = near[small >= threshold * large]
         if apart:
             near = near[component[near] != component[near + k]]
+            near = near[(side[near] != side[near + k]) | (side[near] == 2)]
         for at in range(0, len(near), 1 << 15):
             part = near[at : at + (1 << 15)]
             same = np.count_nonzero(sketch[part] == sketch[part + k], axis=1)
@@ -286,7 +329,8 @@ def linked_classes(
     of the wanted ids (``bits``: their filter of fixed size); two sets are linked if 100 * intersection >= ``percent`` * union.
     """
     threshold = percent / 100
-    regions = regions_of(classes.where("n > 0"), depth, name)
+    shared = shared_keys(classes.where("n > 0"), name)
+    regions = regions_of(shared, depth, name)
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enter("regions")
@@ -341,9 +385,22 @@ def linked_classes(
                 a, b = own[x[one]], own[y[one]]
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    known = regions.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    large = shared.where(F.col("size") > REGION)
+    split = not large.isEmpty()
+
+    def known_of(rows: DataFrame) -> DataFrame:
+        return rows.drop("size").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+    known = known_of(shared.where(F.col("size") <= REGION)).withColumn("side", F.lit(2))
+    if split:
+        known = known.unionByName(blocks_of(known_of(large), threshold, name))
     open_rows = _sorted_regions(known).mapInArrow(unjoined, "tree int, region long, id long, component long")
     open_rows = materialize(open_rows, f"{name}-open")
+    if split:  # step 3 may not have asked for the sets of members that step 2 parted from all others
+        asked = open_rows.select("id").distinct().join(sets.select("id"), "id", "left_anti")
+        asked = materialize(asked, f"{name}-asked")
+        if not asked.isEmpty():
+            sets = sets.unionByName(materialize(sets_for(asked, id_filter(asked, place=place)), f"{name}-more-sets"))
     more = _sorted_regions(open_rows.join(sets, "id")).mapInArrow(settle, "a long, b long").distinct()
     # Links between components found so far: a small graph on their smallest ids.
     merged = components(more, f"{name}-more").select(F.col("id").alias("was"), F.col("component").alias("now"))

@@ -56,6 +56,19 @@ def test_components_match_brute_force(spark, monkeypatch, region):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == brute(rows)
 
 
+def test_pairs_in_a_hot_family_of_unlinked_texts(spark, monkeypatch):
+    """All share a long passage (similarity 0.65, no link); some pairs share a little more (0.77)."""
+    monkeypatch.setattr(minhash, "REGION", 6)
+    passage = [f"p{k}" for k in range(204)]
+    own = lambda d, n: [f"d{d}x{k}" for k in range(n)]
+    pair = lambda d: own(1000 + d // 2, 21) + own(d, 33) if d < 120 else own(d, 54)
+    rows = [(d, " ".join(passage + pair(d))) for d in range(200)]
+    want = brute(rows)
+    assert len({c for _, c, _ in want.values()}) == 140
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == want
+
+
 def test_regions_that_no_level_splits(spark, monkeypatch):
     monkeypatch.setattr(minhash, "REGION", 8)
     monkeypatch.setattr(minhash, "LAST_LEVEL", 4)
