@@ -1,6 +1,7 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
-Token weights are summed by cell (source, language, topic). Raking scales the cells until
+Token weights are summed by cell (source, language, topic); the query and the pipeline count
+the real tokens of every text by one encoding pass (``measure``). Raking scales the cells until
 their sums meet the target share of every category of the three marginals, with no cell
 scaled above one (a document cannot be taken more than once); a document's probability is
 its cell's scale. Documents are then sampled by a keyed hash of their id, so that a retried
@@ -9,13 +10,16 @@ task, or another run, takes the same ones.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
-from .common import prepare
+from . import tokens as tokenizers
+from .common import map_batches, materialize, prepare, texts_of
 
 OTHER = "other"
 #: Share of all tokens that the mix takes, and target shares of the registered query.
@@ -47,6 +51,40 @@ def _category(column: Column, named: Mapping[str, float]) -> Column:
     return F.when(column.cast("string").isin(list(named)), column.cast("string")).otherwise(OTHER)
 
 
+def _cell_of(documents: DataFrame, targets: Mapping[str, Mapping[str, float]], topic: Column) -> Column:
+    kinds = [_category(documents[c], targets[c]) for c in ("source", "lang")]
+    kinds.append(_category(topic, targets["topic"]))
+    return F.struct(*(k.alias(n) for k, n in zip(kinds, ("source", "lang", "topic"))))
+
+
+def measure(documents: DataFrame, tokenizer: str | None = None, topic: Column | None = None) -> DataFrame:
+    """``doc_id, source, lang, topic, text, n_tokens`` with the real token counts of all texts, written once.
+
+    ``text`` stays only where there is no ``doc_id``, as such a document is drawn by it. Null
+    and empty texts weigh one token.
+    """
+    prepare(documents.sparkSession)
+    tokenizer = tokenizer or tokenizers.default_tokenizer()
+    by_text = F.col("doc_id").isNull().alias("_by_text")
+    read = documents.select(
+        "doc_id",
+        *(F.col(c).cast("string").alias(c) for c in ("source", "lang")),
+        (topic if topic is not None else topic_of(documents["text"])).alias("topic"),
+        F.col("text").cast("string").alias("text"),
+        by_text,
+    )
+
+    def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        code = tokenizers.encoder(tokenizer)
+        n = [max(1, len(code.encode(t)) // 4) for t in texts_of(batch)]
+        kept = [t if wanted else None for t, wanted in zip(batch.column("text").to_pylist(), batch.column("_by_text").to_pylist())]
+        columns = [batch.column(c) for c in ("doc_id", "source", "lang", "topic")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(kept, pa.string()), pa.array(n, pa.int64())], names=["doc_id", "source", "lang", "topic", "text", "n_tokens"])
+
+    schema = StructType(read.schema.fields[:-1]).add("n_tokens", LongType())
+    return materialize(map_batches(read, count, schema, "pieces"), "mixing-counts")
+
+
 def rake(weights: np.ndarray, targets: list[np.ndarray]) -> np.ndarray:
     """Scales of the cells of ``weights`` in [0, 1] whose weighted sums meet the ``targets`` of each axis.
 
@@ -89,20 +127,26 @@ def mix(
     keep: float = KEEP,
     seed: int = 17,
     topic: Column | None = None,
+    tokens: Column | None = None,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
     """``documents`` with ``_tokens``, ``_cell`` (source, lang, topic), ``_probability`` and ``_taken``.
 
+    Documents weigh ``tokens``, or by default the estimate ``tokens_of``; with ``measured``
+    (see ``measure``) the cells have the sums of its real counts, whatever ``_tokens`` says.
     The cells are at most the product of the named categories (each with "other"), a bound
     that the targets set and the data cannot raise; only they reach the driver. Null and
     unnamed categories are "other"; null and empty texts weigh one token; repeated ids share
     their fate; a document without id is drawn by its text. An empty table stays empty.
     """
     prepare(documents.sparkSession)
-    kinds = [_category(documents[c], targets[c]) for c in ("source", "lang")]
-    kinds.append(_category(topic if topic is not None else topic_of(documents["text"]), targets["topic"]))
-    cell = F.struct(*(k.alias(n) for k, n in zip(kinds, ("source", "lang", "topic"))))
-    marked = documents.withColumns({"_tokens": tokens_of(documents["text"]).cast("long"), "_cell": cell})
-    sums = marked.groupBy("_cell").agg(F.sum("_tokens").alias("n")).collect()
+    cell = _cell_of(documents, targets, topic if topic is not None else topic_of(documents["text"]))
+    weight = tokens if tokens is not None else tokens_of(documents["text"])
+    marked = documents.withColumns({"_tokens": weight.cast("long"), "_cell": cell})
+    weighed = marked
+    if measured is not None:
+        weighed = measured.select(_cell_of(measured, targets, measured["topic"]).alias("_cell"), F.col("n_tokens").alias("_tokens"))
+    sums = weighed.groupBy("_cell").agg(F.sum("_tokens").alias("n")).collect()
     chances = calibrate({tuple(r["_cell"]): float(r["n"]) for r in sums}, targets, keep)
     by_name = {"|".join(c): p for c, p in chances.items()}
     known = F.create_map(*[F.lit(x) for pair in sorted(by_name.items()) for x in pair]) if by_name else F.lit(None).cast("map<string,double>")
@@ -113,13 +157,14 @@ def mix(
 
 
 def sample(documents: DataFrame, targets: Mapping[str, Mapping[str, float]] = TARGETS, keep: float = KEEP, seed: int = 17) -> DataFrame:
-    """The documents that the mix takes; columns unchanged."""
-    return mix(documents, targets, keep, seed).where("_taken").select(*documents.columns)
+    """The documents that the mix takes, by real token counts; columns unchanged."""
+    return mix(documents, targets, keep, seed, measured=measure(documents)).where("_taken").select(*documents.columns)
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mix of all ``documents``: each with its probability and whether it is taken."""
-    return mix(spark.read.parquet(f"{sf_dir}/documents.parquet")).select(
+    """The mix of all ``documents``: each with its real token count, its probability and whether it is taken."""
+    counts = measure(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return mix(counts, topic=counts["topic"], tokens=counts["n_tokens"]).select(
         "doc_id",
         F.col("_cell.source").alias("source"),
         F.col("_cell.lang").alias("lang"),

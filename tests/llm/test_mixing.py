@@ -56,3 +56,23 @@ def test_documents(spark):
     assert 0.2 * total < taken < 0.4 * total
     brute = sum((r.text or "").count(" ") + (r.text or "").count("\n") + 1 for r in docs.collect())
     assert brute == total
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
+def test_weights_are_the_tokens_of_the_library(spark):
+    from tokenizers import Tokenizer
+
+    from plateworks.llm.tokens import default_tokenizer
+
+    library = Tokenizer.from_file(default_tokenizer())
+    library.encode_special_tokens = True
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    got = mixing.op4_mixing(spark, DATA).collect()
+    want = {d: max(1, len(library.encode(t, add_special_tokens=False).ids)) for d, t in texts.items()}
+    assert {r.doc_id: r.n_tokens for r in got} == want and len(got) == docs.count()
+    # The share of English among the languages with a target, in real tokens.
+    sums = {k: sum(r.n_tokens * r.probability for r in got if r.lang == k) for k in mixing.TARGETS["lang"]}
+    assert abs(sums["en"] / sum(sums.values()) - mixing.TARGETS["lang"]["en"]) < 0.005
+    taken = {r.doc_id for r in mixing.sample(docs).collect()}
+    assert taken == {r.doc_id for r in got if r.taken}
