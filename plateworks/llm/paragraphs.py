@@ -5,6 +5,11 @@ lines in a row that have so many together; the set of its 5-word shingles is ske
 verified by exact Jaccard similarity (see ``minhash``). Paragraphs linked, directly or over
 others, are one cluster; a cluster that occurs in two documents or more is a repeat, of
 which the first occurrence (by document id, then place) stays.
+
+A passage is a maximal run of ``RUN_WORDS`` words or more that is found word by word in
+another document, wherever lines begin and end. Every run of ``RUN_WORDS`` words has an anchor, the
+smallest hash of its ``ANCHOR_WORDS``-word runs, which depends on these words alone; runs
+whose anchor occurs in two documents are compared by hash with all others of that anchor.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import minhash
-from .common import FILTER_BITS, hashed_place, in_filter, map_batches, materialize, prepare, texts_of
+from .common import FILTER_BITS, enter, hashed_place, id_filter, in_filter, map_batches, materialize, prepare, release, texts_of
 
 LEAST_WORDS = 40
 PERCENT = 75
@@ -29,6 +34,11 @@ BANDS, ROWS = minhash.tune_bands(PERCENT / 100, RECALL)
 FOUND = "doc_id long, paragraph int, begin int, finish int, id long, n long, fp string, keys array<long>, sketch binary"
 _LINE = re.compile("[^\n]+")
 
+RUN_WORDS = 50
+ANCHOR_WORDS = 25
+PASSAGES = "doc_id long, pos int, until int, start int, end int, cluster_id long, first_doc_id long"
+_WORD = re.compile("[^ \t\n\x0b\x0c\r]+")
+
 
 def paragraphs_of(text: str, least: int = LEAST_WORDS) -> list[tuple[int, int, int, list[bytes]]]:
     """(index, start, end, words) of a text's paragraphs; the index is that of the first line, among non-empty ones.
@@ -121,6 +131,139 @@ def _sets(documents: DataFrame, ids: DataFrame, bits: bytes, least: int) -> Data
     return map_batches(documents, compute, "id long, shingles binary", "words").join(ids, "id", "left_semi").dropDuplicates(["id"])
 
 
+def runs_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each run of ``RUN_WORDS`` words: its hash, the place of its anchor and the anchor's hash."""
+    n = len(words) - ANCHOR_WORDS + 1
+    if len(words) < RUN_WORDS:
+        empty = np.empty(0, np.int64)
+        return empty, empty, empty
+    h = np.fromiter(map(minhash._words.__getitem__, words), np.uint64, len(words))
+    short = np.zeros(n, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(ANCHOR_WORDS):
+            short = short * minhash._STEP + h[k : n + k]
+        short = minhash._mixed(short)
+        whole = minhash._mixed(short[: len(words) - RUN_WORDS + 1] * minhash._STEP + short[RUN_WORDS - ANCHOR_WORDS :])
+    seen = np.lib.stride_tricks.sliding_window_view(short, RUN_WORDS - ANCHOR_WORDS + 1)
+    at = np.arange(len(seen)) + seen.argmin(axis=1)
+    return whole.view(np.int64), at, short[at].view(np.int64)
+
+
+def repeated_passages(documents: DataFrame) -> DataFrame:
+    """One row for each passage: ``doc_id, pos, until, start, end, cluster_id, first_doc_id``.
+
+    ``pos`` and ``until`` are words of the text, ``start`` and ``end`` code points. ``first_doc_id`` is
+    the smallest id that holds its words; a run whose parts have different first holders is
+    one row for each. ``cluster_id`` is the hash of its first ``RUN_WORDS`` words. Rows without ``doc_id`` are left out.
+    """
+    prepare(documents.sparkSession)
+    read = documents.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+    def anchors(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        ids, found = [], []
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
+            own = np.unique(runs_of(minhash.lowered_words(text))[2])
+            found.append(own)
+            ids.append(np.full(len(own), doc_id, np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(np.concatenate(ids))], names=["id", "doc_id"])
+
+    seen = map_batches(read, anchors, "id long, doc_id long", "words").groupBy("id").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+    # Lets through too much at most: what counts is the comparison below.
+    shared = documents.sparkSession.sparkContext.broadcast(id_filter(seen.where("a < b").select("id"), place=hashed_place))
+
+    def runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
+            whole, at, anchor = runs_of(minhash.lowered_words(text))
+            if not len(at):
+                continue
+            begins = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+            ends = np.append(begins[1:], len(at))
+            wanted = in_filter(shared.value, np.mod(anchor[begins], FILTER_BITS))
+            if not wanted.any():
+                continue
+            spans = np.array([m.span() for m in _WORD.finditer(text)], np.int32)
+            starts, finishes = spans[: len(at), 0], spans[RUN_WORDS - 1 :, 1]
+            for x, y in zip(begins[wanted].tolist(), ends[wanted].tolist()):
+                rows.append((int(anchor[x]), doc_id, x, whole[x:y].tobytes(), starts[x:y].tobytes(), finishes[x:y].tobytes()))
+        columns = list(zip(*rows)) or [()] * 6
+        types = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["anchor", "doc_id", "pos", "runs", "starts", "ends"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("regions")
+        for part in whole_groups(batches, "anchor"):
+            size = np.array([len(x) // 8 for x in part.column("runs").to_pylist()])
+            run, start, end = (np.frombuffer(b"".join(part.column(c).to_pylist()), t) for c, t in (("runs", "<i8"), ("starts", "<i4"), ("ends", "<i4")))
+            doc = np.repeat(part.column("doc_id").to_numpy(), size)
+            pos = np.repeat(part.column("pos").to_numpy() - np.cumsum(size) + size, size) + np.arange(len(run))
+            _, kind = np.unique(run, return_inverse=True)
+            low = np.full(kind.max() + 1, np.iinfo(np.int64).max)
+            high = np.full(kind.max() + 1, np.iinfo(np.int64).min)
+            np.minimum.at(low, kind, doc)
+            np.maximum.at(high, kind, doc)
+            hit = np.flatnonzero(low[kind] < high[kind])
+            if not len(hit):
+                continue
+            doc, pos, run, start, end, first = doc[hit], pos[hit], run[hit], start[hit], end[hit], low[kind[hit]]
+            cut = (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1] + 1) | (first[1:] != first[:-1])
+            x = np.flatnonzero(np.concatenate([[True], cut]))
+            y = np.append(x[1:], len(hit)) - 1
+            yield _passage_batch(doc[x], pos[x], pos[y] + RUN_WORDS, start[x], end[y], run[x], first[x])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("regions")
+        for part in whole_groups(batches, "doc_id"):
+            doc, pos, until, start, end, run, first = (part.column(c).to_numpy() for c in ("doc_id", "pos", "until", "start", "end", "cluster_id", "first_doc_id"))
+            cut = (doc[1:] != doc[:-1]) | (first[1:] != first[:-1]) | (pos[1:] > until[:-1] - RUN_WORDS + 1)
+            x = np.flatnonzero(np.concatenate([[True], cut]))
+            y = np.append(x[1:], len(doc)) - 1
+            yield _passage_batch(doc[x], pos[x], until[y], start[x], end[y], run[x], first[x])
+
+    held = map_batches(read, runs, "anchor long, doc_id long, pos int, runs binary, starts binary, ends binary", "words")
+    pieces = held.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(compare, PASSAGES)
+    # Rows that repeat a document give the same pieces.
+    return pieces.distinct().repartition("doc_id").sortWithinPartitions("doc_id", "pos").mapInArrow(merge, PASSAGES)
+
+
+def _passage_batch(*columns: np.ndarray) -> pa.RecordBatch:
+    types = (np.int64, np.int32, np.int32, np.int32, np.int32, np.int64, np.int64)
+    names = ["doc_id", "pos", "until", "start", "end", "cluster_id", "first_doc_id"]
+    return pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(columns, types)], names=names)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
+    """The batches of a partition sorted by ``column``, cut where its value changes."""
+    kept: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column(column).to_numpy()
+        if kept and kept[-1].column(column)[-1].as_py() != key[0]:
+            yield pa.Table.from_batches(kept)
+            kept = []
+        at = int(np.searchsorted(key, key[-1]))
+        if at:
+            yield pa.Table.from_batches([*kept, batch.slice(0, at)])
+            kept = []
+        kept.append(batch.slice(at))
+    if kept:
+        yield pa.Table.from_batches(kept)
+    release()
+
+
+def repeats(documents: DataFrame) -> DataFrame:
+    """``repeated_paragraphs``, and with ``paragraph`` null the passages that lie in none of these."""
+    passages = materialize(repeated_passages(documents), "passages")
+    found = materialize(repeated_paragraphs(documents), "paragraphs-found")
+    p, q = passages.alias("p"), found.alias("q")
+    inside = F.expr("p.doc_id = q.doc_id and p.start >= q.start and p.end <= q.end and (q.removed or p.first_doc_id = p.doc_id)")
+    rest = p.join(q, inside, "left_anti").select(
+        "doc_id", F.lit(None).cast("int").alias("paragraph"), "start", "end", "cluster_id", "first_doc_id", (F.col("doc_id") != F.col("first_doc_id")).alias("removed")
+    )
+    return found.unionByName(rest)
+
+
 def without_repeats(documents: DataFrame, percent: int = PERCENT, least: int = LEAST_WORDS) -> DataFrame:
     """``documents`` with removed paragraphs (and their line feeds) cut out of ``text``; columns unchanged."""
     spans = (
@@ -148,5 +291,5 @@ def without_repeats(documents: DataFrame, percent: int = PERCENT, least: int = L
 
 
 def op3_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated paragraphs of all ``documents``."""
-    return repeated_paragraphs(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    """Repeated paragraphs and passages of all ``documents``."""
+    return repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -65,3 +65,40 @@ def test_empty_and_null(spark):
     line = " ".join(f"x{k}" for k in range(50))
     got = paragraphs.repeated_paragraphs(spark.createDataFrame([(None, line), (2, line), (1, line), (1, line)], "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.removed) for r in got) == [(1, False), (1, False), (2, True)]
+
+
+def brute_passages(rows):
+    """Words of each document that lie in a run of 50 words found in another."""
+    holders, texts = {}, {d: (t or "").lower().split() for d, t in rows}
+    for d, w in texts.items():
+        for i in range(len(w) - 49):
+            holders.setdefault(tuple(w[i : i + 50]), set()).add(d)
+    return {(d, i + k) for d, w in texts.items() for i in range(len(w) - 49) if len(holders[tuple(w[i : i + 50])]) > 1 for k in range(50)}
+
+
+def test_passages_match_brute_force(spark, tmp_path):
+    rng = random.Random(5)
+    words = [f"W{k}" for k in range(2000)]
+    some = lambda n: rng.choices(words, k=n)
+    rows, shared = [], [some(n) for n in (50, 51, 55, 80, 200)] + [some(49)]
+    for d in range(60):
+        w = some(rng.randint(30, 400))
+        for _ in range(d % 3):
+            at = rng.randrange(len(w))
+            w[at:at] = rng.choice(shared)
+        rows.append((d, "".join(x + ("\n" if rng.random() < 0.05 else " ") for x in w)))  # any line ends
+    rows += [(60, None), (61, ""), (62, rows[7][1])]
+    docs = spark.createDataFrame(rows + [rows[4]], "doc_id long, text string").repartition(3)
+    got = paragraphs.repeated_passages(docs).collect()
+    want = brute_passages(rows)
+    assert want and {(r.doc_id, k) for r in got for k in range(r.pos, r.until)} == want
+    texts = dict(rows)
+    for r in got:
+        run = texts[r.doc_id].split()[r.pos : r.until]
+        assert texts[r.doc_id][r.start : r.end].split() == run and " ".join(run) in " ".join(texts[r.first_doc_id].split())
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    out = paragraphs.op3_paragraphs(spark, str(tmp_path)).collect()
+    # Every passage is in a row of the query, which by whole paragraphs alone it was not.
+    assert all(any(o.doc_id == r.doc_id and o.start <= r.start and o.end >= r.end for o in out) for r in got)
+    alone = paragraphs.repeated_paragraphs(docs).collect()
+    assert not all(any(o.doc_id == r.doc_id and o.start <= r.start and o.end >= r.end for o in alone) for r in got)
