@@ -33,7 +33,7 @@ def draw(grid: dict[str, list], n: int, seed: int) -> list[dict]:
 
 def training_frame(screen: DataFrame, vectors: DataFrame, strains: DataFrame, splits: DataFrame, width: int) -> DataFrame:
     """Screen rows (chem_id, strain_name, label) with features and split; compounds without vector are left out."""
-    joined = screen.join(vectors, "chem_id").join(F.broadcast(strains.limit(10_000)), "strain_name").join(splits, "chem_id")
+    joined = screen.join(vectors, "chem_id").join(strains, "strain_name").join(splits, "chem_id")
     both = F.concat(F.transform("vector", lambda x: x.cast("double")), one_hot(F.col("strain_ord"), width).cast("array<double>"))
     return joined.withColumn("features", array_to_vector(both)).withColumn("label", F.coalesce(F.col("label"), F.lit(0)).cast("double"))
 

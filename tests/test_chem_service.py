@@ -101,6 +101,14 @@ def test_training(spark):
     assert len(training.draw({"a": [1, 2], "b": [1]}, 9, 1)) == 2
 
 
+def test_training_frame_keeps_every_strain(spark):
+    strains = spark.range(10_050).select(F.concat(F.lit("s"), "id").alias("strain_name"), F.lit(0).alias("strain_ord"))
+    screen = strains.select(F.lit("c").alias("chem_id"), "strain_name", F.lit(1).alias("label"))
+    vectors = spark.createDataFrame([("c", [1.0])], "chem_id string, vector array<float>")
+    frame = training.training_frame(screen, vectors, strains, spark.createDataFrame([("c", "train")], "chem_id string, split string"), 1)
+    assert frame.count() == 10_050
+
+
 @pytest.mark.parametrize("text,tips", [("(('A x':4,B:2)P:1,C);", {("A x", "P"), ("B", "P"), ("C", None)})])
 def test_newick(spark, text, tips):
     from plateworks.sources import newick_tips
