@@ -27,8 +27,8 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import minhash
-from .common import enter, hashed_place, id_filter, in_filter, map_batches, materialize, open_store, prepare, shared_path, texts_of
+from . import wordstream
+from .common import enter, hashed_place, id_filter, in_filter, map_batches, materialize, open_store, prepare, shared_path
 from .token_files import map_ids
 
 K1, B = 1.2, 0.75
@@ -51,16 +51,15 @@ LAYOUT = (
 )
 
 
-def term_ids(text: str) -> np.ndarray:
-    """64-bit hashes of the words of a text (A-Z lower-cased, between ASCII white space)."""
-    words = minhash.lowered_words(text)
-    return np.fromiter(map(minhash._words.__getitem__, words), np.uint64, len(words)).view(np.int64)
-
-
-def term_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct words of a text and how often each occurs."""
-    terms, counts = np.unique(term_ids(text), return_counts=True)
-    return terms, counts.astype(np.uint32)
+def term_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words (64-bit hashes; A-Z lower-cased, between ASCII white space) of each text, how often each occurs, and the texts' offsets."""
+    words = wordstream.Words(column)
+    owner = np.repeat(np.arange(len(column)), np.diff(words.first))
+    order = np.lexsort((words.hashes, owner))
+    terms, owner = words.hashes[order], owner[order]
+    starts = np.flatnonzero(np.concatenate([[True], (terms[1:] != terms[:-1]) | (owner[1:] != owner[:-1])])) if len(terms) else np.empty(0, np.int64)
+    counts = np.diff(np.append(starts, len(terms)))
+    return terms[starts].view(np.int64), counts.astype(np.uint32), np.searchsorted(owner[starts], np.arange(len(column) + 1))
 
 
 def _packed(doc_ids: list[int], found: list[tuple[np.ndarray, np.ndarray]]) -> dict[str, np.ndarray]:
@@ -120,9 +119,10 @@ def build_index(documents: DataFrame) -> DataFrame:
         texts: list[tuple[np.ndarray, np.ndarray]] = []
         held = 0
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
+            terms, counts, cuts = term_sets(batch.column("text"))
+            for doc_id, a, b in zip(batch.column("doc_id").to_pylist(), cuts[:-1].tolist(), cuts[1:].tolist()):
                 ids.append(doc_id)
-                texts.append(term_counts(text))
+                texts.append((terms[a:b], counts[a:b]))
                 held += len(texts[-1][0])
                 if len(ids) == SHARD_DOCS or held >= SHARD_POSTINGS:
                     yield pa.RecordBatch.from_pylist([_store(folder, _packed(ids, texts))], schema=arrow)
@@ -246,9 +246,9 @@ def search(index: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
     spark = prepare(index.sparkSession)
 
     def words(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        found = [np.unique(term_ids(t)) for t in texts_of(batch)]
-        ids = batch.column("query_id").to_numpy().repeat([len(f) for f in found])
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(found))], names=["query_id", "term"])
+        terms, _, cuts = term_sets(batch.column("text"))
+        ids = batch.column("query_id").to_numpy().repeat(np.diff(cuts))
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(terms)], names=["query_id", "term"])
 
     asked = queries.where("query_id is not null").select(F.col("query_id").cast("long").alias("query_id"), F.col("text").cast("string").alias("text"))
     asked = materialize(map_batches(asked, words, "query_id long, term long", "words").distinct(), "bm25-asked")

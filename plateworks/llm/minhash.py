@@ -1,23 +1,24 @@
-"""Shingle sets, MinHash sketches and exact linking of near copies.
+"""MinHash sketches, LSH-forest orders and exact linking of near copies.
 
 Linking works on distinct sets ("classes": equal sets are one vertex) in these steps:
 
-1. every class has short keys made of its smallest shingle hashes; classes with a key in
-   common fall into a region. Keys come from LSH-forest orders or from bands;
-2. a region of more than ``REGION`` members is split by one more level of its order, again
-   and again, so density sets the depth. What still is larger at the last level (sketches
-   that agree almost everywhere) is dealt into parts that share one member as a hub;
-3. within a region, members are compared by sketch. Each keeps its closest neighbour and
-   the region's best-connected member as candidates; these are verified on full sets;
-4. members with a key in common that may be linked (by sketch) but are not yet in one
-   component are verified exactly, all of them, on full sets. This goes by the regions of
-   step 1, not by those that step 2 made: a large one is dealt into parts, and every two
-   parts that can hold a link are a block.
-
-Nothing is capped: the levels of step 2 only find most links early, and step 4 covers every
-pair that steps 2 and 3 left out and that is not already joined through others. What can be
-missed is a pair that shares no key, or whose sketch is off by over three standard
-deviations. The blocks of a large region whose members are not linked grow with its square.
+1. every class has a label in each order: its first ``depth`` signature values (the key),
+   then ``DEEPER`` more. All labels of an order are sorted, range partitioned, so that a
+   dense region is split wherever it is cut and no count or size matters;
+2. in that order the neighbour with the longest common prefix is next to a class. Depth is
+   thus set by density: among like classes neighbours agree to the last value, and a class
+   that shares its key with none still meets those that agree in one value less
+   (``shallower``). Neighbours whose sketches allow a link are candidates, of which each
+   class has its closest, and its closest of a smaller id, verified on full sets;
+3. classes with a key in common that are not yet in one component, and whose sketches allow
+   a link, are verified exactly, all of them, on full sets: region by region, and a large
+   region in blocks of two parts each, which are bounded in rows and in shingles.
+
+Nothing is capped: step 3 covers every pair with a key in common that is not already joined
+through others, so the cuts between partitions, and step 2's choice, lose nothing. What can
+be missed is a pair that shares no key, or whose sketch is off by over ``SLACK`` standard
+deviations (probability 3e-6 at the threshold). The blocks of a large region whose members
+are not linked grow with its square.
 """
 
 from __future__ import annotations
@@ -27,74 +28,44 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import MEMOS, components, contract, enter, filter_place, id_filter, materialize, release
+from . import wordstream
+from .common import components, contract, discard, enter, filter_place, id_filter, materialize, release
 
 HASHES = 96
 WIDTH = 5
-REGION = 2048
-LAST_LEVEL = 40
-#: Pairs of rows that a task compares in memory at a time; one region can have ``REGION`` squared.
-SLICE_PAIRS = REGION * REGION
+#: Weight of a region beyond which it is compared in blocks; a member weighs one, and one more for each ``HEAVY`` shingles.
+REGION, HEAVY = 2048, 512
+#: Pairs of rows, and bytes of sets, that a task compares in memory at a time.
+SLICE_PAIRS, SLICE_BYTES = REGION * REGION, 16 << 20
 #: Standard deviations below the threshold at which a sketch still makes a candidate.
-SLACK = 3.4
+SLACK = 4.5
+#: Signature values in a label after those of its key.
+DEEPER = 4
+#: Shingles whose signatures are computed at a time.
+BLOCK = 1 << 15
 
-_MEMO_WORDS = 300_000
 _SEED = np.random.default_rng(20240229)
-_FLIP = _SEED.integers(0, 1 << 32, HASHES, dtype=np.uint32)[:, None]
-_TIMES = (_SEED.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1))[:, None]
-_STEP = np.uint64(0x9E3779B97F4A7C15)
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _MEMO_WORDS:
-            self.clear()
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-_words = _WordHashes()
-MEMOS["words"] = _words.clear
-
-
-def lowered_words(text: str) -> list[bytes]:
-    """Words between ASCII white space, A-Z lower-cased, as UTF-8."""
-    return text.encode().lower().split()
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
-
-
-def shingles(words: list[bytes], width: int = WIDTH) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word shingles; fewer words: the whole sequence as one."""
-    n = len(words)
-    if not n:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(_words.__getitem__, words), np.uint64, n)
-    size = min(n, width)
-    rolled = np.full(n - size + 1, size, np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(size):
-            rolled = rolled * _STEP + h[k : n - size + 1 + k]
-        return np.unique(_mixed(rolled))
-
-
-def signature(found: np.ndarray) -> np.ndarray:
-    """The smallest of each of ``HASHES`` hashes over a set of shingles (all ones if empty)."""
-    low = found.astype(np.uint32)
-    best = np.full(HASHES, 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(low), 1024):
-        part = low[None, at : at + 1024] ^ _FLIP
-        part *= _TIMES
-        np.minimum(best, part.min(axis=1), out=best)
-    return best
+_FLIP = _SEED.integers(0, 1 << 32, HASHES, dtype=np.uint32)
+_TIMES = _SEED.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
+
+
+def signatures(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The smallest of each of ``HASHES`` hashes over each set (none empty): a row a set."""
+    out = np.empty((len(offsets) - 1, HASHES), np.uint32)
+    a = 0
+    while a < len(out):
+        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + BLOCK, "right")) - 1)
+        low = flat[offsets[a] : offsets[b]].astype(np.uint32)
+        begins = offsets[a:b] - offsets[a]
+        for k in range(HASHES):
+            part = low ^ _FLIP[k]
+            part *= _TIMES[k]
+            out[a:b, k] = np.minimum.reduceat(part, begins)
+        a = b
+    return out
 
 
 def tune_bands(threshold: float, recall: float, hashes: int = HASHES) -> tuple[int, int]:
@@ -111,61 +82,126 @@ def tune_bands(threshold: float, recall: float, hashes: int = HASHES) -> tuple[i
     return best
 
 
-def keys_of(sig: np.ndarray, orders: int, depth: int) -> np.ndarray:
-    """One 64-bit key an order: its first ``depth`` signature values."""
-    with np.errstate(over="ignore"):
-        out = np.arange(1, orders + 1, dtype=np.uint64)
-        parts = sig[: orders * depth].astype(np.uint64).reshape(orders, depth)
-        for k in range(depth):
-            out = _mixed(out * _STEP + parts[:, k])
-    return out.view(np.int64)
+def value_bits(depth: int) -> int:
+    """Bits of each signature value in a key of ``depth`` values."""
+    return min(32, 63 // depth)
 
 
-SKETCHED = "id long, n long, fp string, keys array<long>, sketch binary"
+def labels_of(sigs: np.ndarray, orders: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Key and rest of each set's label in each order, as longs whose order is that of the values.
 
-
-def sketch_columns(sets: list[np.ndarray], orders: int, depth: int) -> list[pa.Array]:
-    """n, fp, keys and sketch of sets. fp names a set by 128 bits; empty sets have no keys."""
-    sigs = [signature(s) if len(s) else None for s in sets]
-    return [
-        pa.array([len(s) for s in sets], pa.int64()),
-        pa.array([xxhash.xxh3_128_hexdigest(s.tobytes()) for s in sets], pa.string()),
-        pa.array([None if g is None else keys_of(g, orders, depth) for g in sigs], pa.list_(pa.int64())),
-        pa.array([None if g is None else (g & np.uint32(0xFF)).astype(np.uint8).tobytes() for g in sigs], pa.binary()),
+    Keys of different orders have no value in common; the rest takes values of the orders after.
+    """
+    bits = value_bits(depth)
+    keys = np.zeros((len(sigs), orders), np.int64)
+    rest = np.zeros((len(sigs), orders), np.uint64)
+    at = np.arange(orders) * depth
+    for k in range(depth):
+        keys = (keys << bits) | (sigs[:, at + k] & np.uint32((1 << bits) - 1)).astype(np.int64)
+    for k in range(DEEPER):
+        rest = (rest << np.uint64(16)) | (sigs[:, (at + depth + k) % HASHES] & np.uint32(0xFFFF)).astype(np.uint64)
+    return keys, rest.view(np.int64)
+
+
+SKETCHED = "n long, keys array<long>, rest array<long>, sketch binary"
+
+
+def sketch_columns(flat: np.ndarray, offsets: np.ndarray, orders: int, depth: int) -> list[pa.Array]:
+    """The columns ``SKETCHED`` of sets; empty sets have no label and no sketch."""
+    size = np.diff(offsets)
+    full = size > 0
+    sigs = signatures(flat, np.unique(offsets)) if full.any() else np.empty((0, HASHES), np.uint32)
+    bounds = np.concatenate([[0], np.cumsum(full)]) * orders
+    lists = [
+        pa.ListArray.from_arrays(pa.array(bounds, pa.int32(), mask=np.append(~full, False)), pa.array(x.ravel()))
+        for x in labels_of(sigs, orders, depth)
     ]
+    low = iter((sigs & np.uint32(0xFF)).astype(np.uint8))
+    return [pa.array(size, pa.int64()), *lists, pa.array([next(low).tobytes() if f else None for f in full.tolist()], pa.binary())]
 
 
-def shared_keys(classes: DataFrame, name: str) -> DataFrame:
-    """Members of the regions of step 1: ``tree int, region long, id, n, sketch, size``, for regions of two or more."""
-    keyed = classes.select("id", F.posexplode("keys").alias("tree", "region"))
-    shared = keyed.groupBy("tree", "region").agg(F.count("*").alias("size")).where("size > 1")
-    return materialize(
-        keyed.join(shared, ["tree", "region"]).join(classes.select("id", "n", "sketch"), "id"), f"{name}-regions"
-    )
+MEMBERS = "tree int, region long, id long, n long, left long"
 
 
-def regions_of(rows: DataFrame, depth: int, name: str) -> DataFrame:
-    """``rows`` of ``shared_keys`` by regions for step 3, of 2 to ``REGION`` members,
-    but for the parts of those that no level splits, which a hub joins."""
-    done = rows.where(F.col("size") <= REGION).drop("size")
-    large = rows.where(F.col("size") > REGION).drop("size")
-    level = depth
-    while not large.isEmpty():
-        if level == LAST_LEVEL:
-            sized = large.groupBy("tree", "region").agg(F.count("*").alias("size"), F.min(F.struct("id", "n", "sketch")).alias("hub"))
-            parts = F.ceil(F.col("size") / F.lit(REGION // 2)).cast("int")
-            dealt = large.join(sized, ["tree", "region"])
-            dealt = dealt.withColumn("region", F.xxhash64("region", F.pmod(F.xxhash64("id"), parts)))
-            hubs = dealt.select("tree", "region", "hub.*").distinct()
-            return done.union(dealt.drop("size", "hub").union(hubs).distinct().select(done.columns))
-        value = F.substring("sketch", F.pmod(F.col("tree") * depth + level, F.lit(HASHES)) + 1, F.lit(1))
-        deeper = large.withColumn("region", F.xxhash64("region", value))
-        shared = deeper.groupBy("tree", "region").agg(F.count("*").alias("size")).where("size > 1")
-        rows = materialize(deeper.join(shared, ["tree", "region"]), f"{name}-regions")
-        done = done.union(rows.where(F.col("size") <= REGION).select(done.columns))
-        large = rows.where(F.col("size") > REGION).drop("size")
-        level += 1
-    return done
+def neighbours(classes: DataFrame, depth: int, threshold: float, shallower: bool) -> DataFrame:
+    """Walk each sorted order: the members of keys held by two or more, each with the neighbour
+    before it (``left``) where their common prefix and their sizes allow a link."""
+    shift = value_bits(depth) if shallower else 0
+    order = ["tree", "region", "deeper", "id"]
+    labels = classes.select("id", "n", F.posexplode(F.arrays_zip("keys", "rest")).alias("tree", "label"))
+    labels = labels.select("tree", F.col("label.keys").alias("region"), F.col("label.rest").alias("deeper"), "id", "n")
+
+    def batch_of(columns: list[np.ndarray], left: np.ndarray, known: np.ndarray, keep: np.ndarray) -> pa.RecordBatch:
+        tree, region, own, n = (c[keep] for c in columns)
+        arrays = [pa.array(tree), pa.array(region), pa.array(own), pa.array(n), pa.array(left[keep], pa.int64(), mask=~known[keep])]
+        return pa.RecordBatch.from_arrays(arrays, names=["tree", "region", "id", "n", "left"])
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("regions")
+        held: list[np.ndarray] | None = None
+        # Of the row held back: whether it is known to share its key (at a cut, it may), and its neighbour.
+        shares, before, met = True, 0, False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(c).to_numpy() for c in ("tree", "region", "id", "n")]
+            if held is not None:
+                columns = [np.concatenate(c) for c in zip(held, columns)]
+            tree, region, own, n = columns
+            one = tree[1:] == tree[:-1]
+            same = one & (region[1:] == region[:-1])
+            small, large = np.minimum(n[1:], n[:-1]), np.maximum(n[1:], n[:-1])
+            near = one & (region[1:] >> shift == region[:-1] >> shift) & (small >= threshold * large)
+            left, known = np.concatenate([[before], own[:-1]]), np.concatenate([[met], near])
+            member = np.concatenate([[shares], same])
+            member[:-1] |= same
+            yield batch_of(columns, left, known, np.flatnonzero((member | known)[:-1]))
+            held, shares, before, met = [c[-1:] for c in columns], bool(member[-1]), left[-1], bool(known[-1])
+        if held is not None:
+            yield batch_of(held, np.array([before]), np.array([met]), np.arange(1))
+
+    return labels.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(walk, MEMBERS)
+
+
+def _least_agreement(threshold: float) -> float:
+    return HASHES * threshold - SLACK * math.sqrt(HASHES * threshold * (1 - threshold))
+
+
+def likely_pairs(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """``pairs(a, b)`` whose sketches allow a link, with the number of values that agree (``same``)."""
+    least = _least_agreement(threshold)
+
+    def agree(batch: pa.RecordBatch) -> pa.RecordBatch:
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, HASHES) for c in ("x", "y"))
+        same = np.count_nonzero(x == y, axis=1).astype(np.int32)
+        fits = pa.array(same >= least)
+        return pa.RecordBatch.from_arrays([batch.column("a").filter(fits), batch.column("b").filter(fits), pa.array(same).filter(fits)], names=["a", "b", "same"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("regions")
+        for batch in batches:
+            if batch.num_rows:
+                yield agree(batch)
+
+    sketches = classes.select("id", "sketch")
+    joined = pairs.join(sketches.select(F.col("id").alias("a"), F.col("sketch").alias("x")), "a")
+    joined = joined.join(sketches.select(F.col("id").alias("b"), F.col("sketch").alias("y")), "b")
+    return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long, same int")
+
+
+def closest(likely: DataFrame) -> DataFrame:
+    """Of ``likely(a, b, same)`` the pairs of each class with its closest, and with its closest of a smaller id."""
+    ends = likely.select(F.inline(F.array(*(F.struct(F.col(x).alias("id"), F.col(y).alias("other"), "same") for x, y in (("a", "b"), ("b", "a"))))))
+    merit = F.struct("same", (-F.col("other")).alias("other"))
+    best = ends.groupBy("id").agg(F.max(merit).alias("any"), F.max(F.when(F.col("other") < F.col("id"), merit)).alias("lower"))
+    best = best.select("id", F.explode(F.array("any", "lower")).alias("best")).where("best is not null")
+    other = -F.col("best.other")
+    return best.select(F.least("id", other).alias("a"), F.greatest("id", other).alias("b")).distinct()
+
+
+def weight() -> Column:
+    """What a member counts in a region."""
+    return F.lit(1) + F.floor(F.col("n") / F.lit(HEAVY))
 
 
 def blocks_of(rows: DataFrame, threshold: float, name: str) -> DataFrame:
@@ -180,10 +216,10 @@ def blocks_of(rows: DataFrame, threshold: float, name: str) -> DataFrame:
     span = F.floor(F.log(F.col("n")) / F.lit(-math.log(threshold) * 1.0001 if threshold < 1 else 1e-3))
     keys = ["tree", "region", "span"]
     rows = materialize(rows.withColumn("span", span), f"{name}-large")
-    kinds = rows.groupBy(*keys, "component").agg(F.count("*").alias("members"))
+    kinds = rows.groupBy(*keys, "component").agg(F.sum(weight()).alias("members"))
     whole = F.when(F.col("members") > most, F.col("component")).alias("own")
     kinds = materialize(kinds.select(*keys, "component", whole, "members"), f"{name}-kinds")
-    layout = kinds.groupBy(*keys, "own").agg(F.ceil(F.sum("members") / most).cast("int").alias("parts"))
+    layout = kinds.groupBy(*keys, "own").agg(F.ceil(F.sum("members") / F.lit(most)).cast("int").alias("parts"))
     layout = materialize(layout, f"{name}-layout")
     place = F.xxhash64("tree", "region", "span", F.col("own").isNull(), "own", "part").alias("place")
     parts = materialize(layout.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(*keys, "own", place), f"{name}-parts")
@@ -230,64 +266,40 @@ def _numbered(table: pa.Table) -> np.ndarray:
 
 
 def _slices(table: pa.Table) -> Iterator[pa.Table]:
-    """Whole regions of a table, so few at a time that their pairs fit in memory (one at least)."""
-    sizes = np.bincount(_numbered(table))
+    """Whole regions of a table, so few at a time that their pairs and sets fit in memory (one at least)."""
+    number = _numbered(table)
+    sizes = np.bincount(number)
+    held = np.bincount(number, [len(s) for s in table.column("shingles").to_pylist()]) if "shingles" in table.column_names else np.zeros(len(sizes))
     begin = at = pairs = 0
-    for size in sizes.tolist():
-        if pairs and pairs + size * size > SLICE_PAIRS:
+    space = 0.0
+    for size, more in zip(sizes.tolist(), held.tolist()):
+        if at > begin and (pairs + size * size > SLICE_PAIRS or space + more > SLICE_BYTES):
             yield table.slice(begin, at - begin)
-            begin, pairs = at, 0
-        at, pairs = at + size, pairs + size * size
+            begin, pairs, space = at, 0, 0.0
+        at, pairs, space = at + size, pairs + size * size, space + more
     yield table.slice(begin)
 
 
-def _likely(table: pa.Table, threshold: float, apart: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (i, j) of rows of one region whose sketches and sizes allow a link, their agreement, and each row's region number."""
+def _unjoined(table: pa.Table, threshold: float) -> np.ndarray:
+    """Rows of a table that, by sketch and size, may be linked with one of another component in their region (or block)."""
     n, number = table.column("n").to_numpy(), _numbered(table)
-    component, side = (table.column(c).to_numpy() if apart else None for c in ("component", "side"))
+    component, side = (table.column(c).to_numpy() for c in ("component", "side"))
     sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, HASHES)
-    least = HASHES * threshold - SLACK * np.sqrt(HASHES * threshold * (1 - threshold))
-    first: list[np.ndarray] = []
-    second: list[np.ndarray] = []
-    agree: list[np.ndarray] = []
+    least = _least_agreement(threshold)
+    wanted = np.zeros(len(number), bool)
     for k in range(1, len(number)):
-        near = np.flatnonzero(number[:-k] == number[k:]).astype(np.int32)
+        near = np.flatnonzero(number[:-k] == number[k:])
         if not len(near):
             break
+        near = near[component[near] != component[near + k]]
+        near = near[(side[near] != side[near + k]) | (side[near] == 2)]
         small, large = np.minimum(n[near], n[near + k]), np.maximum(n[near], n[near + k])
         near = near[small >= threshold * large]
-        if apart:
-            near = near[component[near] != component[near + k]]
-            near = near[(side[near] != side[near + k]) | (side[near] == 2)]
         for at in range(0, len(near), 1 << 15):
             part = near[at : at + (1 << 15)]
-            same = np.count_nonzero(sketch[part] == sketch[part + k], axis=1)
-            fits = same >= least
-            first.append(part[fits])
-            second.append(part[fits] + np.int32(k))
-            agree.append(same[fits].astype(np.int16))
-    if not first:
-        empty = np.empty(0, np.int32)
-        return empty, empty, empty, number
-    return np.concatenate(first), np.concatenate(second), np.concatenate(agree), number
-
-
-def _closest(i: np.ndarray, j: np.ndarray, same: np.ndarray, number: np.ndarray) -> np.ndarray:
-    """Indices of the pairs to verify first: each row with its closest, and all with the best-connected row of its region."""
-    if not len(i):
-        return i
-    rows, pairs = len(number), len(i)
-    degree = np.bincount(i, minlength=rows) + np.bincount(j, minlength=rows)
-    order = np.lexsort((-degree, number))
-    hub = np.zeros(rows, bool)
-    hub[order[np.concatenate([[True], number[order][1:] != number[order][:-1]])]] = True
-    wanted = hub[i] | hub[j]
-    # The closest of a row: the highest agreement, and of equals the first pair.
-    merit = same.astype(np.int64) * pairs + (pairs - 1 - np.arange(pairs))
-    best = np.full(rows, -1, np.int64)
-    np.maximum.at(best, i, merit)
-    np.maximum.at(best, j, merit)
-    wanted[pairs - 1 - best[best >= 0] % pairs] = True
+            part = part[np.count_nonzero(sketch[part] == sketch[part + k], axis=1) >= least]
+            wanted[part] = True
+            wanted[part + k] = True
     return np.flatnonzero(wanted)
 
 
@@ -322,24 +334,16 @@ def linked_classes(
     percent: int,
     name: str,
     place: Callable[[str], Column] = filter_place,
+    shallower: bool = True,
 ) -> DataFrame:
     """Components ``(id, component)`` of the classes that are linked with one of a smaller id.
 
-    ``classes(id, n, keys, sketch)`` are distinct sets; ``sets_for(ids, bits)`` gives ``(id, shingles binary)``
+    ``classes(id, n, keys, rest, sketch)`` are distinct sets; ``sets_for(ids, bits)`` gives ``(id, shingles binary)``
     of the wanted ids (``bits``: their filter of fixed size); two sets are linked if 100 * intersection >= ``percent`` * union.
     """
     threshold = percent / 100
-    shared = shared_keys(classes.where("n > 0"), name)
-    regions = regions_of(shared, depth, name)
-
-    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enter("regions")
-        for table in (part for run in _runs(batches) for part in _slices(run)):
-            i, j, same, number = _likely(table, threshold, False)
-            chosen = _closest(i, j, same, number)
-            ids = table.column("id").to_numpy()
-            a, b = ids[i[chosen]], ids[j[chosen]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+    classes = classes.where("n > 0")
+    members = materialize(neighbours(classes, depth, threshold, shallower), f"{name}-members")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enter("regions")
@@ -351,19 +355,22 @@ def linked_classes(
                 good.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    pairs = materialize(_sorted_regions(regions).mapInArrow(nearest, "a long, b long").where("a <> b").distinct(), f"{name}-pairs")
+    met = members.where("left is not null").select(F.least("id", "left").alias("a"), F.greatest("id", "left").alias("b")).distinct()
+    likely = materialize(likely_pairs(met, classes, threshold), f"{name}-likely")
+    pairs = materialize(closest(likely), f"{name}-pairs")
+    discard(likely)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     sets = materialize(sets_for(wanted.distinct(), id_filter(wanted, place=place)), f"{name}-sets")
     first = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     second = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     links = pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(confirm, "a long, b long")
     found = components(contract(links), name)
+    discard(pairs)
 
     def unjoined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enter("regions")
         for table in (part for run in _runs(batches) for part in _slices(run)):
-            i, j, _, _ = _likely(table, threshold, True)
-            rows = np.unique(np.concatenate([i, j]))
+            rows = _unjoined(table, threshold)
             yield from table.select(["tree", "region", "id", "component"]).take(pa.array(rows)).combine_chunks().to_batches()
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -385,22 +392,24 @@ def linked_classes(
                 a, b = own[x[one]], own[y[one]]
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    large = shared.where(F.col("size") > REGION)
-    split = not large.isEmpty()
-
-    def known_of(rows: DataFrame) -> DataFrame:
-        return rows.drop("size").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-
-    known = known_of(shared.where(F.col("size") <= REGION)).withColumn("side", F.lit(2))
-    if split:
-        known = known.unionByName(blocks_of(known_of(large), threshold, name))
-    open_rows = _sorted_regions(known).mapInArrow(unjoined, "tree int, region long, id long, component long")
+    # Step 3: keys whose holders are in two components or more.
+    known = members.drop("left").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    known = materialize(known, f"{name}-known")
+    parted = known.groupBy("tree", "region").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.sum(weight()).alias("size"))
+    parted = parted.where("least <> most").select("tree", "region", "size")
+    rows = known.join(parted, ["tree", "region"]).join(classes.select("id", "sketch"), "id")
+    rows = materialize(rows, f"{name}-parted")
+    open_rows = rows.where(F.col("size") <= REGION).drop("size").withColumn("side", F.lit(2))
+    large = rows.where(F.col("size") > REGION).drop("size")
+    if not large.isEmpty():
+        open_rows = open_rows.unionByName(blocks_of(large, threshold, name))
+    open_rows = _sorted_regions(open_rows).mapInArrow(unjoined, "tree int, region long, id long, component long")
     open_rows = materialize(open_rows, f"{name}-open")
-    if split:  # step 3 may not have asked for the sets of members that step 2 parted from all others
-        asked = open_rows.select("id").distinct().join(sets.select("id"), "id", "left_anti")
-        asked = materialize(asked, f"{name}-asked")
-        if not asked.isEmpty():
-            sets = sets.unionByName(materialize(sets_for(asked, id_filter(asked, place=place)), f"{name}-more-sets"))
+    discard(known)
+    discard(rows)
+    asked = materialize(open_rows.select("id").distinct().join(sets.select("id"), "id", "left_anti"), f"{name}-asked")
+    if not asked.isEmpty():  # sets that step 2 did not ask for
+        sets = sets.unionByName(materialize(sets_for(asked, id_filter(asked, place=place)), f"{name}-more-sets"))
     more = _sorted_regions(open_rows.join(sets, "id")).mapInArrow(settle, "a long, b long").distinct()
     # Links between components found so far: a small graph on their smallest ids.
     merged = components(more, f"{name}-more").select(F.col("id").alias("was"), F.col("component").alias("now"))

@@ -1,9 +1,10 @@
 """MinHash near-dedup with an LSH forest.
 
 A document's set holds the distinct 5-word shingles of its whole text. Each of ``ORDERS``
-forest orders sorts signatures by other hashes; documents with a common prefix in an order
-are neighbours, and the prefix that counts is longer where a region is dense (see
-``minhash``). At similarity 0.75 two documents share no prefix in any order with
+forest orders sorts all labels by other signature values; the neighbours with the longest
+common prefix are candidates, however dense their region, and all pairs that share the first
+``DEPTH`` values of an order and are not yet in one component are compared besides (see
+``minhash``). At similarity 0.75 two documents share no such prefix in any order with
 probability (1 - 0.75^3)^24 = 2e-6.
 """
 
@@ -11,77 +12,112 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash
-from .common import filter_place, in_filter, map_batches, materialize, prepare, texts_of
+from . import minhash, wordstream
+from .common import filter_place, id_filter, in_filter, map_batches, materialize, prepare
 
 ORDERS = 24
 DEPTH = 3
 PERCENT = 75
 
 
-def shingle_sets(documents: DataFrame, ids: DataFrame, bits: bytes) -> DataFrame:
-    """``(id, shingles)``: sorted 64-bit shingle hashes of the documents in ``ids``.
+def _sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sets of a batch's texts, their offsets, and two 64-bit sums over each that name it (0 if empty)."""
+    words = wordstream.Words(batch.column("text"))
+    flat, offsets = wordstream.shingle_sets(words.hashes, words.first[:-1], words.first[1:], minhash.WIDTH)
+    names = np.zeros((2, len(offsets) - 1), np.uint64)
+    full = np.diff(offsets) > 0
+    if full.any():
+        names[0, full] = np.add.reduceat(flat, offsets[:-1][full])
+        names[1, full] = np.add.reduceat(wordstream.mixed(flat + wordstream.STEP), offsets[:-1][full])
+    first = wordstream.mixed(names[0] + np.diff(offsets).astype(np.uint64)).view(np.int64)
+    return flat, offsets, first, names[1].view(np.int64)
 
-    The filter keeps texts of other documents out of the shuffle; the join is exact."""
-    shared = documents.sparkSession.sparkContext.broadcast(bits)
+
+def shingle_sets(documents: DataFrame, heads: DataFrame, ids: DataFrame) -> DataFrame:
+    """``(id, shingles)``: sorted 64-bit shingle hashes of the classes in ``ids``.
+
+    ``heads(id, doc_id)`` names a document of each class. A filter of the wanted documents keeps
+    other texts unread; the join by class is exact, so that a document id that comes with two texts gives the right one."""
+    wanted = heads.join(ids, "id", "left_semi").select("doc_id")
+    shared = documents.sparkSession.sparkContext.broadcast(id_filter(wanted, "doc_id"))
 
     def compute(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         batch = batch.filter(pa.array(in_filter(shared.value, batch.column("place").to_numpy())))
-        sets = [minhash.shingles(minhash.lowered_words(t)).tobytes() for t in texts_of(batch)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], names=["id", "shingles"])
+        flat, offsets, own, _ = _sets(batch)
+        yield pa.RecordBatch.from_arrays([pa.array(own), wordstream.binaries(flat, offsets)], names=["id", "shingles"])
 
-    read = documents.select("doc_id", "text", filter_place("doc_id").alias("place"))
-    return map_batches(read, compute, "id long, shingles binary", "words").join(ids, "id", "left_semi")
+    read = documents.where("doc_id is not null").select("text", filter_place("doc_id").alias("place"))
+    found = map_batches(read, compute, "id long, shingles binary", "words").join(ids, "id", "left_semi")
+    return found.dropDuplicates(["id"])  # equal sets: any of them
 
 
 def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One row a document: ``doc_id, n_shingles, component_id, kept, fp``.
+    """One row a document: ``doc_id, n_shingles, component_id, kept, class_id``.
 
-    Null and blank texts have an empty set, are linked with nothing and kept. Equal texts
+    Null and blank texts have an empty set, are linked with nothing and kept. Equal sets
     are one class, whatever their number, so a large group of copies costs one row.
     A row without ``doc_id`` is its own: component null, kept. Rows that repeat a ``doc_id``
-    are one vertex. Only ``doc_id`` and ``text`` are read. An empty table gives no rows.
+    are one vertex, with the links of all their texts. Only ``doc_id`` and ``text`` are read. An empty table gives no rows.
     """
     prepare(documents.sparkSession)
     read = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def sketch(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        sets = [minhash.shingles(minhash.lowered_words(t)) for t in texts_of(batch)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *minhash.sketch_columns(sets, ORDERS, DEPTH)], names=["id", "n", "fp", "keys", "sketch"])
-
-    sketched = materialize(map_batches(read, sketch, minhash.SKETCHED, "words"), "near-sketch")
-    first = F.min(F.struct("id", "n", "keys", "sketch")).alias("first")
-    heads = sketched.where("n > 0 and id is not null").groupBy("fp").agg(first).select("fp", "first.*")
+        flat, offsets, first, second = _sets(batch)
+        columns = minhash.sketch_columns(flat, offsets, ORDERS, DEPTH)
+        # Copies within the batch: only the first of them carries its labels.
+        named = np.flatnonzero(batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False))
+        old = np.ones(len(first), bool)
+        old[named[np.unique(first[named], return_index=True)[1]]] = False
+        take = pa.array(np.arange(len(first)), mask=old)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(first), pa.array(second), columns[0], *(c.take(take) for c in columns[1:])],
+            names=["doc_id", "id", "second", "n", "keys", "rest", "sketch"],
+        )
+
+    sketched = materialize(map_batches(read, sketch, f"doc_id long, id long, second long, {minhash.SKETCHED}", "words"), "near-sketch")
+    named = sketched.where("n > 0 and doc_id is not null")
+    # The class of a set; two sets with one 64-bit name but another second sum would be told here.
+    heads = named.groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.min("second").alias("_low"), F.max("second").alias("_high"))
     heads = materialize(heads, "near-heads")
-    classes = heads.select("id", "n", "keys", "sketch")
-    found = minhash.linked_classes(
-        classes,
-        lambda ids, bits: shingle_sets(read, ids, bits).dropDuplicates(["id"]),
-        DEPTH,
-        percent,
-        "near",
-    )
-    members = (
-        sketched.select("id", "n", "fp")
-        .join(heads.select("fp", F.col("id").alias("head")), "fp", "left")
-        .join(found.select(F.col("id").alias("head"), "component"), "head", "left")
-    )
-    component = F.when(F.col("id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component", "head", "id"))
+    if not heads.where("_low <> _high").isEmpty():
+        raise RuntimeError("two sets have one name")
+    heads = heads.select("id", "doc_id")
+    labelled = named.where("keys is not null").select("id", "n", "keys", "rest", "sketch")
+    classes = materialize(labelled.dropDuplicates(["id"]), "near-classes")
+    found = minhash.linked_classes(classes, lambda ids, bits: shingle_sets(read, heads, ids), DEPTH, percent, "near")
+    # Classes that one document id holds are one vertex too.
+    held = named.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b")
+    held = materialize(held, "near-repeated-ids")
+    if not held.isEmpty():
+        both = named.join(held.select("doc_id", "a"), "doc_id").select("a", F.col("id").alias("b"))
+        linked = found.select(F.col("component").alias("a"), F.col("id").alias("b"))
+        found = minhash.components(both.union(linked), "near-repeated")
+    own = heads.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    least = own.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    named_by = materialize(own.join(least, "component").select("id", "component_id"), "near-components")
+    members = sketched.select("doc_id", "n", "id").join(named_by, "id", "left")
+    # A set without words is its own; so is a row without id.
+    component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
     return members.select(
-        F.col("id").alias("doc_id"),
+        "doc_id",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
-        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
-        "fp",
+        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        F.col("id").alias("class_id"),
     )
 
 
 def keep_first(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``documents`` with one document of each component, the one of the smallest id; columns unchanged."""
+    """``documents`` with one document of each component, the one of the smallest id; columns unchanged.
+
+    Rows without id, and blank texts, stay. Rows that repeat a kept id all stay.
+    """
     # Written first, so that its size is known: a small table is broadcast and the texts are not shuffled.
     gone = materialize(near_duplicates(documents, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "near-gone")
     return documents.join(gone, documents["doc_id"] == gone["_gone"], "left_anti")

@@ -14,58 +14,68 @@ whose anchor occurs in two documents are compared by hash with all others of tha
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash
-from .common import FILTER_BITS, enter, hashed_place, id_filter, in_filter, map_batches, materialize, prepare, release, texts_of
+from . import minhash, wordstream
+from .common import FILTER_BITS, discard, enter, hashed_place, id_filter, in_filter, map_batches, materialize, prepare, release
 
 LEAST_WORDS = 40
 PERCENT = 75
 RECALL = 0.9998
 BANDS, ROWS = minhash.tune_bands(PERCENT / 100, RECALL)
 
-FOUND = "doc_id long, paragraph int, begin int, finish int, id long, n long, fp string, keys array<long>, sketch binary"
-_LINE = re.compile("[^\n]+")
+FOUND = f"doc_id long, paragraph int, begin int, finish int, id long, {minhash.SKETCHED}"
 
 RUN_WORDS = 50
 ANCHOR_WORDS = 25
+#: Runs in a row that are carried together.
+RUNS = 64
 PASSAGES = "doc_id long, pos int, until int, start int, end int, cluster_id long, first_doc_id long"
-_WORD = re.compile("[^ \t\n\x0b\x0c\r]+")
 
 
-def paragraphs_of(text: str, least: int = LEAST_WORDS) -> list[tuple[int, int, int, list[bytes]]]:
-    """(index, start, end, words) of a text's paragraphs; the index is that of the first line, among non-empty ones.
+class Paragraphs:
+    """The paragraphs of a batch of texts: ``text``, ``index`` (of the first line among the text's
+    non-empty ones), ``begin`` and ``finish`` (code points), words ``a`` to ``b``, and ``id``,
+    a hash of the words, so that paragraphs with equal words are one.
 
     A line with enough words is a paragraph. Shorter lines that follow each other are joined
     until they have enough; what is left over before a long line or the end is none.
     """
-    out = []
-    first, begin, held = 0, 0, []
-    for k, m in enumerate(_LINE.finditer(text)):
-        words = minhash.lowered_words(m[0])
-        if len(words) >= least:
-            held = []
-            out.append((k, *m.span(), words))
-            continue
-        if not held:
-            first, begin = k, m.start()
-        held = held + words
-        if len(held) >= least:
-            out.append((first, begin, m.end(), held))
-            held = []
-    return out
 
-
-def paragraph_id(words: list[bytes]) -> int:
-    """A signed 64-bit hash of the words: paragraphs with equal words are one."""
-    return xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63)
+    def __init__(self, words: wordstream.Words, least: int):
+        data, at = words.data, words.at
+        starts = np.unique(np.concatenate([at[:-1], np.flatnonzero(data == 10) + 1]))
+        starts = starts[starts < len(data)]
+        ends = np.append(starts[1:], len(data)) if len(starts) else starts
+        ends = ends - (data[ends - 1] == 10)
+        full = ends > starts
+        starts, ends = starts[full], ends[full]
+        owner = np.searchsorted(at, starts, "right") - 1
+        number = np.arange(len(starts)) - np.searchsorted(owner, owner)
+        first, last = np.searchsorted(words.begins, starts), np.searchsorted(words.begins, ends)
+        spans, held, begin, before = [], 0, 0, -1
+        for k, (text, n) in enumerate(zip(owner.tolist(), (last - first).tolist())):
+            if text != before:
+                held, before = 0, text
+            if n >= least:
+                held = 0
+                spans.append((k, k))
+                continue
+            if not held:
+                begin = k
+            held += n
+            if held >= least:
+                spans.append((begin, k))
+                held = 0
+        x, y = np.array(spans, np.int64).reshape(-1, 2).T
+        self.text, self.index, self.a, self.b = owner[x], number[x], first[x], last[y]
+        self.begin, self.finish = words.points(starts[x], self.text), words.points(ends[y], self.text)
+        self.id = wordstream.ordered_hash(words.hashes, self.a, self.b)
 
 
 def repeated_paragraphs(documents: DataFrame, percent: int = PERCENT, least: int = LEAST_WORDS) -> DataFrame:
@@ -79,28 +89,26 @@ def repeated_paragraphs(documents: DataFrame, percent: int = PERCENT, least: int
     read = documents.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def find(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        rows, sets, new, seen = [], [], [], set()
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
-            for k, start, end, words in paragraphs_of(text, least):
-                own = paragraph_id(words)
-                rows.append((doc_id, k, start, end, own))
-                new.append(own not in seen)
-                if own not in seen:
-                    seen.add(own)
-                    sets.append(minhash.shingles(words))
-        sketched = minhash.sketch_columns(sets, BANDS, ROWS)
-        at = np.cumsum(new) - 1
-        take = pa.array(at, pa.int64(), mask=~np.array(new, bool))  # a repeat within the batch carries no sketch
-        columns = list(zip(*rows)) or [()] * 5
-        types = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
+        words = wordstream.Words(batch.column("text"))
+        found = Paragraphs(words, least)
+        # A repeat within the batch carries no sketch.
+        kinds, at = np.unique(found.id, return_index=True)
+        flat, offsets = wordstream.shingle_sets(words.hashes, found.a[at], found.b[at], minhash.WIDTH)
+        sketched = minhash.sketch_columns(flat, offsets, BANDS, ROWS)
+        take = np.full(len(found.id), -1)
+        take[at] = np.arange(len(at))
+        taken = pa.array(take, pa.int64(), mask=take < 0)
         yield pa.RecordBatch.from_arrays(
-            [*(pa.array(c, t) for c, t in zip(columns, types)), *(c.take(take) for c in sketched)],
-            names=["doc_id", "paragraph", "begin", "finish", "id", "n", "fp", "keys", "sketch"],
-        )
+            [
+                batch.column("doc_id").take(pa.array(found.text)), pa.array(found.index, pa.int32()), pa.array(found.begin, pa.int32()), pa.array(found.finish, pa.int32()),
+                pa.array(found.id), *(c.take(taken) for c in sketched),
+            ],
+            names=["doc_id", "paragraph", "begin", "finish", "id", "n", "keys", "rest", "sketch"],
+        )
 
     found = materialize(map_batches(read, find, FOUND, "words"), "paragraphs")
-    distinct = found.where("keys is not null").select("id", "n", "keys", "sketch").dropDuplicates(["id"])
-    linked = minhash.linked_classes(distinct, lambda ids, bits: _sets(read, ids, bits, least), ROWS, percent, "paragraphs", hashed_place)
+    distinct = materialize(found.where("keys is not null").select("id", "n", "keys", "rest", "sketch").dropDuplicates(["id"]), "paragraphs-distinct")
+    linked = minhash.linked_classes(distinct, lambda ids, bits: _sets(read, ids, bits, least), ROWS, percent, "paragraphs", hashed_place, shallower=False)
 
     first = F.struct("doc_id", "paragraph")
     kinds = found.groupBy("id").agg(F.min(first).alias("first"), F.max("doc_id").alias("last"))
@@ -122,31 +130,56 @@ def _sets(documents: DataFrame, ids: DataFrame, bits: bytes, least: int) -> Data
     shared = documents.sparkSession.sparkContext.broadcast(bits)
 
     def compute(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        words = {paragraph_id(w): w for text in texts_of(batch) for _, _, _, w in paragraphs_of(text, least)}
-        own = np.fromiter(words, np.int64, len(words))
-        own = own[in_filter(shared.value, np.mod(own, FILTER_BITS))] if len(own) else own
-        sets = [minhash.shingles(words[k]).tobytes() for k in own.tolist()]
-        yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(sets, pa.binary())], names=["id", "shingles"])
+        words = wordstream.Words(batch.column("text"))
+        found = Paragraphs(words, least)
+        own, at = np.unique(found.id, return_index=True)
+        good = in_filter(shared.value, np.mod(own, FILTER_BITS))
+        own, at = own[good], at[good]
+        flat, offsets = wordstream.shingle_sets(words.hashes, found.a[at], found.b[at], minhash.WIDTH)
+        yield pa.RecordBatch.from_arrays([pa.array(own), wordstream.binaries(flat, offsets)], names=["id", "shingles"])
 
     return map_batches(documents, compute, "id long, shingles binary", "words").join(ids, "id", "left_semi").dropDuplicates(["id"])
 
 
-def runs_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each run of ``RUN_WORDS`` words: its hash, the place of its anchor and the anchor's hash."""
-    n = len(words) - ANCHOR_WORDS + 1
-    if len(words) < RUN_WORDS:
-        empty = np.empty(0, np.int64)
-        return empty, empty, empty
-    h = np.fromiter(map(minhash._words.__getitem__, words), np.uint64, len(words))
-    short = np.zeros(n, np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(ANCHOR_WORDS):
-            short = short * minhash._STEP + h[k : n + k]
-        short = minhash._mixed(short)
-        whole = minhash._mixed(short[: len(words) - RUN_WORDS + 1] * minhash._STEP + short[RUN_WORDS - ANCHOR_WORDS :])
-    seen = np.lib.stride_tricks.sliding_window_view(short, RUN_WORDS - ANCHOR_WORDS + 1)
-    at = np.arange(len(seen)) + seen.argmin(axis=1)
-    return whole.view(np.int64), at, short[at].view(np.int64)
+class Runs:
+    """Every run of ``RUN_WORDS`` words of a batch of texts: its first word (``at``), its ``text``, its
+    hash (``whole``) and its ``anchor``, the smallest hash of its ``ANCHOR_WORDS``-word runs."""
+
+    def __init__(self, words: wordstream.Words):
+        left = np.repeat(words.first[1:], np.diff(words.first)) - np.arange(len(words.hashes))
+        self.at = np.flatnonzero(left >= RUN_WORDS)
+        self.text = np.searchsorted(words.first, self.at, "right") - 1
+        short = wordstream.mixed(_windows(words.hashes, ANCHOR_WORDS))
+        reach = RUN_WORDS - ANCHOR_WORDS
+        low = _sliding_least(short, reach + 1)
+        self.whole = wordstream.mixed(short[self.at] * wordstream.STEP + short[self.at + reach]).view(np.int64) if len(self.at) else self.at
+        self.anchor = low[self.at].view(np.int64) if len(self.at) else self.at
+        cut = (self.at[1:] != self.at[:-1] + 1) | (self.text[1:] != self.text[:-1]) | (self.anchor[1:] != self.anchor[:-1])
+        #: Where the anchor changes: one group of runs begins.
+        self.groups = np.flatnonzero(np.concatenate([[True], cut])) if len(self.at) else self.at
+
+
+def _windows(h: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each ``size`` neighbours, put together from those of powers of two."""
+    n = max(len(h) - size + 1, 0)
+    out, done, part, width = np.zeros(n, np.uint64), 0, h, 1
+    while done < size:
+        if size & width:
+            out = out * (wordstream.STEP + np.uint64(2 * width)) + part[done : done + n]
+            done += width
+        if done < size:
+            part = part[: max(len(part) - width, 0)] * (wordstream.STEP + np.uint64(4 * width)) + part[width:]
+            width *= 2
+    return out
+
+
+def _sliding_least(x: np.ndarray, size: int) -> np.ndarray:
+    """The least of each ``size`` neighbours."""
+    n, width = max(len(x) - size + 1, 0), 1
+    while 2 * width <= size:
+        x = np.minimum(x[: max(len(x) - width, 0)], x[width:])
+        width *= 2
+    return np.minimum(x[:n], x[size - width : size - width + n])
 
 
 def repeated_passages(documents: DataFrame) -> DataFrame:
@@ -155,61 +188,71 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
     ``pos`` and ``until`` are words of the text, ``start`` and ``end`` code points. ``first_doc_id`` is
     the smallest id that holds its words; a run whose parts have different first holders is
     one row for each. ``cluster_id`` is the hash of its first ``RUN_WORDS`` words. Rows without ``doc_id`` are left out.
+
+    Runs with an anchor in two documents are grouped by content and then by run, both with
+    partial sums, so that a passage that very many documents share is a row a task.
     """
     prepare(documents.sparkSession)
     read = documents.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def anchors(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids, found = [], []
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
-            own = np.unique(runs_of(minhash.lowered_words(text))[2])
-            found.append(own)
-            ids.append(np.full(len(own), doc_id, np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(np.concatenate(ids))], names=["id", "doc_id"])
+        found = Runs(wordstream.Words(batch.column("text")))
+        yield pa.RecordBatch.from_arrays([pa.array(found.anchor[found.groups]), batch.column("doc_id").take(pa.array(found.text[found.groups]))], names=["id", "doc_id"])
 
     seen = map_batches(read, anchors, "id long, doc_id long", "words").groupBy("id").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
     # Lets through too much at most: what counts is the comparison below.
     shared = documents.sparkSession.sparkContext.broadcast(id_filter(seen.where("a < b").select("id"), place=hashed_place))
 
     def runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        rows = []
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
-            whole, at, anchor = runs_of(minhash.lowered_words(text))
-            if not len(at):
-                continue
-            begins = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-            ends = np.append(begins[1:], len(at))
-            wanted = in_filter(shared.value, np.mod(anchor[begins], FILTER_BITS))
-            if not wanted.any():
-                continue
-            spans = np.array([m.span() for m in _WORD.finditer(text)], np.int32)
-            starts, finishes = spans[: len(at), 0], spans[RUN_WORDS - 1 :, 1]
-            for x, y in zip(begins[wanted].tolist(), ends[wanted].tolist()):
-                rows.append((int(anchor[x]), doc_id, x, whole[x:y].tobytes(), starts[x:y].tobytes(), finishes[x:y].tobytes()))
-        columns = list(zip(*rows)) or [()] * 6
-        types = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["anchor", "doc_id", "pos", "runs", "starts", "ends"])
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enter("regions")
-        for part in whole_groups(batches, "anchor"):
-            size = np.array([len(x) // 8 for x in part.column("runs").to_pylist()])
-            run, start, end = (np.frombuffer(b"".join(part.column(c).to_pylist()), t) for c, t in (("runs", "<i8"), ("starts", "<i4"), ("ends", "<i4")))
-            doc = np.repeat(part.column("doc_id").to_numpy(), size)
-            pos = np.repeat(part.column("pos").to_numpy() - np.cumsum(size) + size, size) + np.arange(len(run))
-            _, kind = np.unique(run, return_inverse=True)
-            low = np.full(kind.max() + 1, np.iinfo(np.int64).max)
-            high = np.full(kind.max() + 1, np.iinfo(np.int64).min)
-            np.minimum.at(low, kind, doc)
-            np.maximum.at(high, kind, doc)
-            hit = np.flatnonzero(low[kind] < high[kind])
-            if not len(hit):
-                continue
-            doc, pos, run, start, end, first = doc[hit], pos[hit], run[hit], start[hit], end[hit], low[kind[hit]]
-            cut = (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1] + 1) | (first[1:] != first[:-1])
-            x = np.flatnonzero(np.concatenate([[True], cut]))
-            y = np.append(x[1:], len(hit)) - 1
-            yield _passage_batch(doc[x], pos[x], pos[y] + RUN_WORDS, start[x], end[y], run[x], first[x])
+        words = wordstream.Words(batch.column("text"))
+        found = Runs(words)
+        ends = np.append(found.groups[1:], len(found.at))
+        good = in_filter(shared.value, np.mod(found.anchor[found.groups], FILTER_BITS))
+        begin, size = found.groups[good], (ends - found.groups)[good]
+        parts = -(-size // RUNS)  # long groups (repetitive text) in parts
+        nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        begin = np.repeat(begin, parts) + RUNS * nth
+        size = np.minimum(np.repeat(size, parts) - RUNS * nth, RUNS)
+        cuts = np.concatenate([[0], np.cumsum(size)])
+        at = np.repeat(begin - cuts[:-1], size) + np.arange(cuts[-1])
+        word, text = found.at[at], found.text[at]
+        lists = (found.whole[at], words.points(words.begins[word], text).astype(np.int32), words.points(words.ends[word + RUN_WORDS - 1], text).astype(np.int32))
+        owner = found.text[begin]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc_id").take(pa.array(owner)), pa.array((found.at[begin] - words.first[owner]).astype(np.int32)),
+                *(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(x)) for x in lists),
+            ],
+            names=["doc_id", "pos", "runs", "starts", "ends"],
+        )
+
+    held = map_batches(read, runs, "doc_id long, pos int, runs array<long>, starts array<int>, ends array<int>", "words")
+    held = materialize(held.withColumn("content", F.xxhash64("runs")), "passages-runs")
+    contents = held.groupBy("content", "runs").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    contents = materialize(contents, "passages-contents")
+    firsts = contents.select(F.explode("runs").alias("run"), "low", "high").groupBy("run").agg(F.min("low").alias("first"), F.max("high").alias("last"))
+    firsts = materialize(firsts.where("first < last").select("run", "first"), "passages-firsts")
+    # At most ``RUNS`` entries a content.
+    hits = contents.select("content", F.posexplode("runs").alias("k", "run")).join(firsts, "run")
+    hits = hits.groupBy("content").agg(F.sort_array(F.collect_set(F.struct("k", "first"))).alias("hits"))
+    hits = materialize(hits.select("content", F.col("hits.k").alias("ks"), F.col("hits.first").alias("firsts")), "passages-hits")
+    discard(contents)
+    discard(firsts)
+
+    def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        k, first = (batch.column(c) for c in ("ks", "firsts"))
+        size = np.diff(k.offsets.to_numpy())
+        k, first = k.flatten().to_numpy(), first.flatten().to_numpy()
+        lists = [batch.column(c) for c in ("runs", "starts", "ends")]
+        base = lists[0].offsets.to_numpy()[:-1]
+        at = np.repeat(base - base[0], size) + k
+        run, start, end = (x.flatten().to_numpy()[at] for x in lists)
+        doc = np.repeat(batch.column("doc_id").to_numpy(), size)
+        pos = np.repeat(batch.column("pos").to_numpy(), size) + k
+        cut = (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1] + 1) | (first[1:] != first[:-1])
+        x = np.flatnonzero(np.concatenate([[True], cut]))
+        y = np.append(x[1:], len(doc)) - 1
+        yield _passage_batch(doc[x], pos[x], pos[y] + RUN_WORDS, start[x], end[y], run[x], first[x])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enter("regions")
@@ -220,10 +263,9 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
             y = np.append(x[1:], len(doc)) - 1
             yield _passage_batch(doc[x], pos[x], until[y], start[x], end[y], run[x], first[x])
 
-    held = map_batches(read, runs, "anchor long, doc_id long, pos int, runs binary, starts binary, ends binary", "words")
-    pieces = held.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(compare, PASSAGES)
+    found = map_batches(held.join(hits, "content").select("doc_id", "pos", "runs", "starts", "ends", "ks", "firsts"), pieces, PASSAGES, "regions")
     # Rows that repeat a document give the same pieces.
-    return pieces.distinct().repartition("doc_id").sortWithinPartitions("doc_id", "pos").mapInArrow(merge, PASSAGES)
+    return found.distinct().repartition("doc_id").sortWithinPartitions("doc_id", "pos").mapInArrow(merge, PASSAGES)
 
 
 def _passage_batch(*columns: np.ndarray) -> pa.RecordBatch:

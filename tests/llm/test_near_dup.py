@@ -69,9 +69,8 @@ def test_pairs_in_a_hot_family_of_unlinked_texts(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == want
 
 
-def test_regions_that_no_level_splits(spark, monkeypatch):
+def test_one_dense_region(spark, monkeypatch):
     monkeypatch.setattr(minhash, "REGION", 8)
-    monkeypatch.setattr(minhash, "LAST_LEVEL", 4)
     base = [f"v{k}" for k in range(400)]
     rows = [(k, " ".join(base[:-1] + [f"end{k}"])) for k in range(60)]
     got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
@@ -106,3 +105,17 @@ def test_id_filter_has_no_misses(spark):
 def test_bands_reach_the_recall():
     bands, rows = minhash.tune_bands(0.75, 0.9998)
     assert 1 - (1 - 0.75**rows) ** bands >= 0.9998 and bands * rows <= minhash.HASHES
+
+
+def test_one_id_with_two_texts(spark):
+    a, b = "a b c d e f g h i j", "q r s t u v w x y z"
+    for rows in ([(5, a), (5, b), (7, b), (9, a)], [(9, a), (7, b), (5, b), (5, a)]):
+        got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert sorted((r.doc_id, r.component_id) for r in got) == [(5, 5), (5, 5), (7, 5), (9, 5)]
+
+
+def test_a_set_of_very_many_shingles(spark):
+    long = [f"z{k}" for k in range(60_000)]
+    rows = [(1, " ".join(long)), (2, " ".join(long[:-500])), (3, " ".join(long[:30_000])), (4, "x" * 200_000), (5, "x" * 200_001)]
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
