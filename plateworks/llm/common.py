@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -41,9 +42,14 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else a local one (tests)."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset, one of this machine is set if driver and executors are one process (tests);
+    on a cluster that would lose tables, so there it is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = f"file://{tempfile.gettempdir()}/plateworks-checkpoints"
     return root.rstrip("/")
 
@@ -71,6 +77,12 @@ def discard(df: DataFrame) -> None:
         where.getFileSystem(conf).delete(where, True)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs: it does so when the driver collects their plans."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -234,6 +246,11 @@ def in_filter(bits: bytes, places: np.ndarray) -> np.ndarray:
     return (np.frombuffer(bits, np.uint8)[places >> 3] >> (places & 7).astype(np.uint8) & 1).astype(bool)
 
 
+def no_filter() -> bytes:
+    """The filter of no ids."""
+    return bytes(FILTER_BITS // 8)
+
+
 def id_filter(ids: DataFrame, column: str = "id", place: Callable[[str], Column] = filter_place) -> bytes:
     """A bitmap of ``FILTER_BITS`` bits of the hashed ids, as bytes: of fixed size, so safe to send to all executors."""
     at = place(column).cast("long") + 1  # positions count from one

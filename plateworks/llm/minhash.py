@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import wordstream
-from .common import components, contract, discard, enter, filter_place, id_filter, materialize, release
+from .common import components, contract, discard, enter, filter_place, id_filter, materialize, release, tidy
 
 HASHES = 96
 WIDTH = 5
@@ -357,6 +357,7 @@ def linked_classes(
 
     met = members.where("left is not null").select(F.least("id", "left").alias("a"), F.greatest("id", "left").alias("b")).distinct()
     likely = materialize(likely_pairs(met, classes, threshold), f"{name}-likely")
+    tidy(members.sparkSession)
     pairs = materialize(closest(likely), f"{name}-pairs")
     discard(likely)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id"))
@@ -395,6 +396,8 @@ def linked_classes(
     # Step 3: keys whose holders are in two components or more.
     known = members.drop("left").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     known = materialize(known, f"{name}-known")
+    discard(members)
+    tidy(members.sparkSession)
     parted = known.groupBy("tree", "region").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.sum(weight()).alias("size"))
     parted = parted.where("least <> most").select("tree", "region", "size")
     rows = known.join(parted, ["tree", "region"]).join(classes.select("id", "sketch"), "id")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import minhash, wordstream
-from .common import filter_place, id_filter, in_filter, map_batches, materialize, prepare
+from .common import components, filter_place, id_filter, in_filter, map_batches, materialize, prepare, tidy
 
 ORDERS = 24
 DEPTH = 3
@@ -41,67 +41,68 @@ def _sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
 def shingle_sets(documents: DataFrame, heads: DataFrame, ids: DataFrame) -> DataFrame:
     """``(id, shingles)``: sorted 64-bit shingle hashes of the classes in ``ids``.
 
-    ``heads(id, doc_id)`` names a document of each class. A filter of the wanted documents keeps
-    other texts unread; the join by class is exact, so that a document id that comes with two texts gives the right one."""
-    wanted = heads.join(ids, "id", "left_semi").select("doc_id")
+    ``heads(id, name, second, doc_id)`` names a document of each class. A filter of the wanted documents keeps
+    other texts unread; the join by name is exact, so that a document id that comes with two texts gives the right one."""
+    wanted = heads.join(ids, "id", "left_semi")
     shared = documents.sparkSession.sparkContext.broadcast(id_filter(wanted, "doc_id"))
 
     def compute(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         batch = batch.filter(pa.array(in_filter(shared.value, batch.column("place").to_numpy())))
-        flat, offsets, own, _ = _sets(batch)
-        yield pa.RecordBatch.from_arrays([pa.array(own), wordstream.binaries(flat, offsets)], names=["id", "shingles"])
+        flat, offsets, name, second = _sets(batch)
+        yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(second), wordstream.binaries(flat, offsets)], names=["name", "second", "shingles"])
 
     read = documents.where("doc_id is not null").select("text", filter_place("doc_id").alias("place"))
-    found = map_batches(read, compute, "id long, shingles binary", "words").join(ids, "id", "left_semi")
+    found = map_batches(read, compute, "name long, second long, shingles binary", "words").join(wanted, ["name", "second"]).select("id", "shingles")
     return found.dropDuplicates(["id"])  # equal sets: any of them
 
 
 def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One row a document: ``doc_id, n_shingles, component_id, kept, class_id``.
+    """One row a document: ``doc_id, n_shingles, component_id, kept``.
 
     Null and blank texts have an empty set, are linked with nothing and kept. Equal sets
-    are one class, whatever their number, so a large group of copies costs one row.
+    (told by 128 bits) are one class, whatever their number, so a large group of copies costs one row.
     A row without ``doc_id`` is its own: component null, kept. Rows that repeat a ``doc_id``
     are one vertex, with the links of all their texts. Only ``doc_id`` and ``text`` are read. An empty table gives no rows.
     """
-    prepare(documents.sparkSession)
+    spark = prepare(documents.sparkSession)
     read = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def sketch(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        flat, offsets, first, second = _sets(batch)
+        flat, offsets, name, second = _sets(batch)
         columns = minhash.sketch_columns(flat, offsets, ORDERS, DEPTH)
         # Copies within the batch: only the first of them carries its labels.
         named = np.flatnonzero(batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False))
-        old = np.ones(len(first), bool)
-        old[named[np.unique(first[named], return_index=True)[1]]] = False
-        take = pa.array(np.arange(len(first)), mask=old)
+        old = np.ones(len(name), bool)
+        old[named[np.unique(np.stack([name[named], second[named]]), axis=1, return_index=True)[1]]] = False
+        take = pa.array(np.arange(len(name)), mask=old)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(first), pa.array(second), columns[0], *(c.take(take) for c in columns[1:])],
-            names=["doc_id", "id", "second", "n", "keys", "rest", "sketch"],
+            [batch.column("doc_id"), pa.array(name), pa.array(second), columns[0], *(c.take(take) for c in columns[1:])],
+            names=["doc_id", "name", "second", "n", "keys", "rest", "sketch"],
         )
 
-    sketched = materialize(map_batches(read, sketch, f"doc_id long, id long, second long, {minhash.SKETCHED}", "words"), "near-sketch")
+    sketched = materialize(map_batches(read, sketch, f"doc_id long, name long, second long, {minhash.SKETCHED}", "words"), "near-sketch")
+    key = ["name", "second"]
     named = sketched.where("n > 0 and doc_id is not null")
-    # The class of a set; two sets with one 64-bit name but another second sum would be told here.
-    heads = named.groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.min("second").alias("_low"), F.max("second").alias("_high"))
-    heads = materialize(heads, "near-heads")
-    if not heads.where("_low <> _high").isEmpty():
-        raise RuntimeError("two sets have one name")
-    heads = heads.select("id", "doc_id")
-    labelled = named.where("keys is not null").select("id", "n", "keys", "rest", "sketch")
-    classes = materialize(labelled.dropDuplicates(["id"]), "near-classes")
-    found = minhash.linked_classes(classes, lambda ids, bits: shingle_sets(read, heads, ids), DEPTH, percent, "near")
+    labels = [F.any_value(c, F.lit(True)).alias(c) for c in ("keys", "rest", "sketch")]
+    heads = named.groupBy(*key, "n").agg(F.min("doc_id").alias("doc_id"), *labels)
+    # Written at once, so that the numbers stay as they are.
+    classes = materialize(heads.withColumn("id", F.monotonically_increasing_id()), "near-classes")
+    heads = classes.select("id", *key, "doc_id")
+    found = minhash.linked_classes(classes.select("id", "n", "keys", "rest", "sketch"), lambda ids, bits: shingle_sets(read, heads, ids), DEPTH, percent, "near")
     # Classes that one document id holds are one vertex too.
-    held = named.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b")
-    held = materialize(held, "near-repeated-ids")
+    held = named.groupBy("doc_id").agg(F.min(F.struct(*key)).alias("a"), F.max(F.struct(*key)).alias("b")).where("a <> b")
+    held = materialize(held.select("doc_id", "a"), "near-repeated-ids")
     if not held.isEmpty():
-        both = named.join(held.select("doc_id", "a"), "doc_id").select("a", F.col("id").alias("b"))
+        both = named.select("doc_id", *key).distinct().join(held, "doc_id").join(heads.drop("doc_id"), key)
+        first = heads.select(F.struct(*key).alias("a"), F.col("id").alias("one"))
+        both = both.join(first, "a").select(F.col("one").alias("a"), F.col("id").alias("b"))
         linked = found.select(F.col("component").alias("a"), F.col("id").alias("b"))
-        found = minhash.components(both.union(linked), "near-repeated")
+        found = components(both.union(linked), "near-repeated")
     own = heads.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     least = own.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named_by = materialize(own.join(least, "component").select("id", "component_id"), "near-components")
-    members = sketched.select("doc_id", "n", "id").join(named_by, "id", "left")
+    named_by = materialize(own.join(least, "component").select(*key, "component_id"), "near-components")
+    tidy(spark)
+    members = sketched.select("doc_id", "n", *key).join(named_by, key, "left")
     # A set without words is its own; so is a row without id.
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
     return members.select(
@@ -109,7 +110,6 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
-        F.col("id").alias("class_id"),
     )
 
 

@@ -9,7 +9,8 @@ which the first occurrence (by document id, then place) stays.
 A passage is a maximal run of ``RUN_WORDS`` words or more that is found word by word in
 another document, wherever lines begin and end. Every run of ``RUN_WORDS`` words has an anchor, the
 smallest hash of its ``ANCHOR_WORDS``-word runs, which depends on these words alone; runs
-whose anchor occurs in two documents are compared by hash with all others of that anchor.
+whose anchor occurs in two documents are compared by hash. Words, runs and paragraphs are
+told by 64-bit hashes: among 10^11 paragraphs a few hundred would be taken for equal by chance.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import minhash, wordstream
-from .common import FILTER_BITS, discard, enter, hashed_place, id_filter, in_filter, map_batches, materialize, prepare, release
+from .common import FILTER_BITS, discard, enter, hashed_place, id_filter, in_filter, map_batches, materialize, no_filter, prepare, release, tidy
 
 LEAST_WORDS = 40
 PERCENT = 75
@@ -35,7 +36,7 @@ RUN_WORDS = 50
 ANCHOR_WORDS = 25
 #: Runs in a row that are carried together.
 RUNS = 64
-PASSAGES = "doc_id long, pos int, until int, start int, end int, cluster_id long, first_doc_id long"
+CLASS_PASSAGES = "class long, pos int, until int, start int, end int, cluster_id long, first_doc_id long"
 
 
 class Paragraphs:
@@ -189,25 +190,51 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
     the smallest id that holds its words; a run whose parts have different first holders is
     one row for each. ``cluster_id`` is the hash of its first ``RUN_WORDS`` words. Rows without ``doc_id`` are left out.
 
-    Runs with an anchor in two documents are grouped by content and then by run, both with
+    Equal texts are one class, of which two documents (of the smallest and the largest id) are compared with
+    others. Each copy has its whole text as a passage, and besides the parts that a smaller id holds.
+    Runs with an anchor in two classes are grouped by content and then by run, both with
     partial sums, so that a passage that very many documents share is a row a task.
     """
-    prepare(documents.sparkSession)
-    read = documents.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    spark = prepare(documents.sparkSession)
+    kept = documents.where("doc_id is not null and text is not null")
+    read = kept.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    read = read.withColumn("class", F.xxhash64("text"))
+    named = materialize(read.select("doc_id", "class"), "passages-classes")
+    copies = named.groupBy("class").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
+    copies = materialize(copies, "passages-copies")
+    # The copies in between are left out by a filter; documents that it would leave out by chance are named by another.
+    pair = F.pmod(F.xxhash64("doc_id", "class"), F.lit(FILTER_BITS)).cast("int").alias("pair")
+    placed = named.join(copies, "class", "left").select(pair, F.coalesce(F.expr("doc_id <> low and doc_id <> high"), F.lit(False)).alias("between"))
+    placed = materialize(placed, "passages-places")
+    between, back, many = no_filter(), no_filter(), no_filter()
+    if not copies.isEmpty():
+        gone = placed.where("between").select("pair").distinct()
+        between = id_filter(gone, "pair", F.col)
+        back = id_filter(placed.where("not between").join(gone, "pair", "left_semi"), "pair", F.col)
+        many = id_filter(copies, "class", hashed_place)
+    shared = spark.sparkContext.broadcast((between, back, many))
+    read = read.select("doc_id", "class", "text", pair)
+
+    def compared(batch: pa.RecordBatch) -> pa.RecordBatch:
+        place = batch.column("pair").to_numpy()
+        return batch.filter(pa.array(~in_filter(shared.value[0], place) | in_filter(shared.value[1], place)))
 
     def anchors(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        batch = compared(batch)
         found = Runs(wordstream.Words(batch.column("text")))
-        yield pa.RecordBatch.from_arrays([pa.array(found.anchor[found.groups]), batch.column("doc_id").take(pa.array(found.text[found.groups]))], names=["id", "doc_id"])
+        yield pa.RecordBatch.from_arrays([pa.array(found.anchor[found.groups]), batch.column("class").take(pa.array(found.text[found.groups]))], names=["id", "class"])
 
-    seen = map_batches(read, anchors, "id long, doc_id long", "words").groupBy("id").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+    seen = map_batches(read, anchors, "id long, class long", "words").groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("b"))
     # Lets through too much at most: what counts is the comparison below.
-    shared = documents.sparkSession.sparkContext.broadcast(id_filter(seen.where("a < b").select("id"), place=hashed_place))
+    met = spark.sparkContext.broadcast(id_filter(seen.where("a < b").select("id"), place=hashed_place))
+    tidy(spark)
 
     def runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        batch = compared(batch)
         words = wordstream.Words(batch.column("text"))
         found = Runs(words)
         ends = np.append(found.groups[1:], len(found.at))
-        good = in_filter(shared.value, np.mod(found.anchor[found.groups], FILTER_BITS))
+        good = in_filter(met.value, np.mod(found.anchor[found.groups], FILTER_BITS))
         begin, size = found.groups[good], (ends - found.groups)[good]
         parts = -(-size // RUNS)  # long groups (repetitive text) in parts
         nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
@@ -216,28 +243,41 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
         cuts = np.concatenate([[0], np.cumsum(size)])
         at = np.repeat(begin - cuts[:-1], size) + np.arange(cuts[-1])
         word, text = found.at[at], found.text[at]
-        lists = (found.whole[at], words.points(words.begins[word], text).astype(np.int32), words.points(words.ends[word + RUN_WORDS - 1], text).astype(np.int32))
         owner = found.text[begin]
+        # A row more for each text that may have copies: its whole, with its number of words.
+        n = np.diff(words.first)
+        whole = np.flatnonzero((n >= RUN_WORDS) & in_filter(shared.value[2], np.mod(batch.column("class").to_numpy(), FILTER_BITS)))
+        at = np.concatenate([at, np.searchsorted(found.at, words.first[whole])])
+        last = np.concatenate([word + RUN_WORDS, words.first[whole + 1]]) - 1
+        word, text = np.concatenate([word, words.first[whole]]), np.concatenate([text, whole])
+        cuts = np.concatenate([cuts, cuts[-1] + 1 + np.arange(len(whole))])
+        lists = (found.whole[at], words.points(words.begins[word], text).astype(np.int32), words.points(words.ends[last], text).astype(np.int32))
+        pos = np.concatenate([found.at[begin] - words.first[owner], np.zeros(len(whole), np.int64)])
+        owner = pa.array(np.concatenate([owner, whole]))
+        until = pa.array(np.concatenate([np.zeros(len(begin), np.int64), n[whole]]).astype(np.int32))
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id").take(pa.array(owner)), pa.array((found.at[begin] - words.first[owner]).astype(np.int32)),
+                batch.column("doc_id").take(owner), batch.column("class").take(owner), pa.array(pos.astype(np.int32)), until,
                 *(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(x)) for x in lists),
             ],
-            names=["doc_id", "pos", "runs", "starts", "ends"],
+            names=["doc_id", "class", "pos", "until", "runs", "starts", "ends"],
         )
 
-    held = map_batches(read, runs, "doc_id long, pos int, runs array<long>, starts array<int>, ends array<int>", "words")
+    held = map_batches(read, runs, "doc_id long, class long, pos int, until int, runs array<long>, starts array<int>, ends array<int>", "words")
     held = materialize(held.withColumn("content", F.xxhash64("runs")), "passages-runs")
-    contents = held.groupBy("content", "runs").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    contents = held.where("until = 0").groupBy("content", "runs").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     contents = materialize(contents, "passages-contents")
+    tidy(spark)
     firsts = contents.select(F.explode("runs").alias("run"), "low", "high").groupBy("run").agg(F.min("low").alias("first"), F.max("high").alias("last"))
     firsts = materialize(firsts.where("first < last").select("run", "first"), "passages-firsts")
+    tidy(spark)
     # At most ``RUNS`` entries a content.
-    hits = contents.select("content", F.posexplode("runs").alias("k", "run")).join(firsts, "run")
-    hits = hits.groupBy("content").agg(F.sort_array(F.collect_set(F.struct("k", "first"))).alias("hits"))
+    hits = contents.select("content", F.posexplode("runs").alias("k", "run")).join(firsts, "run").select("content", F.struct("k", "first").alias("hit"))
+    hits = hits.groupBy("content").agg(F.sort_array(F.collect_set("hit")).alias("hits"))
     hits = materialize(hits.select("content", F.col("hits.k").alias("ks"), F.col("hits.first").alias("firsts")), "passages-hits")
     discard(contents)
     discard(firsts)
+    tidy(spark)
 
     def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         k, first = (batch.column(c) for c in ("ks", "firsts"))
@@ -247,7 +287,7 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
         base = lists[0].offsets.to_numpy()[:-1]
         at = np.repeat(base - base[0], size) + k
         run, start, end = (x.flatten().to_numpy()[at] for x in lists)
-        doc = np.repeat(batch.column("doc_id").to_numpy(), size)
+        doc = np.repeat(batch.column("class").to_numpy(), size)
         pos = np.repeat(batch.column("pos").to_numpy(), size) + k
         cut = (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1] + 1) | (first[1:] != first[:-1])
         x = np.flatnonzero(np.concatenate([[True], cut]))
@@ -256,21 +296,29 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enter("regions")
-        for part in whole_groups(batches, "doc_id"):
-            doc, pos, until, start, end, run, first = (part.column(c).to_numpy() for c in ("doc_id", "pos", "until", "start", "end", "cluster_id", "first_doc_id"))
+        for part in whole_groups(batches, "class"):
+            doc, pos, until, start, end, run, first = (part.column(c).to_numpy() for c in ("class", "pos", "until", "start", "end", "cluster_id", "first_doc_id"))
             cut = (doc[1:] != doc[:-1]) | (first[1:] != first[:-1]) | (pos[1:] > until[:-1] - RUN_WORDS + 1)
             x = np.flatnonzero(np.concatenate([[True], cut]))
             y = np.append(x[1:], len(doc)) - 1
             yield _passage_batch(doc[x], pos[x], until[y], start[x], end[y], run[x], first[x])
 
-    found = map_batches(held.join(hits, "content").select("doc_id", "pos", "runs", "starts", "ends", "ks", "firsts"), pieces, PASSAGES, "regions")
-    # Rows that repeat a document give the same pieces.
-    return found.distinct().repartition("doc_id").sortWithinPartitions("doc_id", "pos").mapInArrow(merge, PASSAGES)
+    found = held.where("until = 0").join(hits, "content").select("class", "pos", "runs", "starts", "ends", "ks", "firsts")
+    # Two documents of a class give the same pieces.
+    parts = map_batches(found, pieces, CLASS_PASSAGES, "regions").distinct().repartition("class").sortWithinPartitions("class", "pos").mapInArrow(merge, CLASS_PASSAGES)
+    low = copies.select("class", F.col("low").alias("first_doc_id"))
+    parts = parts.join(low, ["class", "first_doc_id"], "left_anti")
+    wholes = held.where("until > 0").select("class", "pos", "until", F.col("starts")[0].alias("start"), F.col("ends")[0].alias("end"), F.col("runs")[0].alias("cluster_id"))
+    by_class = materialize(parts.unionByName(wholes.distinct().join(low, "class")), "passages-by-class")
+    discard(held)
+    discard(hits)
+    tidy(spark)
+    return by_class.join(named.distinct(), "class").select("doc_id", "pos", "until", "start", "end", "cluster_id", "first_doc_id")
 
 
 def _passage_batch(*columns: np.ndarray) -> pa.RecordBatch:
     types = (np.int64, np.int32, np.int32, np.int32, np.int32, np.int64, np.int64)
-    names = ["doc_id", "pos", "until", "start", "end", "cluster_id", "first_doc_id"]
+    names = ["class", "pos", "until", "start", "end", "cluster_id", "first_doc_id"]
     return pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(columns, types)], names=names)
 
 
@@ -297,6 +345,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.
 def repeats(documents: DataFrame) -> DataFrame:
     """``repeated_paragraphs``, and with ``paragraph`` null the passages that lie in none of these."""
     passages = materialize(repeated_passages(documents), "passages")
+    tidy(documents.sparkSession)
     found = materialize(repeated_paragraphs(documents), "paragraphs-found")
     p, q = passages.alias("p"), found.alias("q")
     inside = F.expr("p.doc_id = q.doc_id and p.start >= q.start and p.end <= q.end and (q.removed or p.first_doc_id = p.doc_id)")
