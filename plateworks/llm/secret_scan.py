@@ -1,19 +1,26 @@
-"""Secret scans: fixed patterns, and a battery of randomness tests on other tokens.
-
-Tokens that could be keys are long runs of an encoding's alphabet that mix letters and
-digits. For each, the encoding is inferred (the smallest alphabet that holds it) and three
-tests ask whether it looks drawn evenly from that alphabet: chi-squared over symbols, the
-number of runs of the upper against the lower half of the alphabet, and the serial
-correlation of neighbours. A token stays a candidate if Fisher's combination of the three
-does not reject evenness. Against it stands the hypothesis of ordinary writing: letters by
-their usual frequency, upper case, lower case and digits in long stretches. The ratio of the two likelihoods is
-an e-value against ordinary writing; it grows with length, and the e-value form of the
-Benjamini-Hochberg rule, within length classes and over the whole corpus, bounds the
-expected share of ordinary tokens among the finds by ``RATE``.
+"""Secret scans: fixed patterns, and a battery of randomness tests on every long token.
+
+Every run of 16 or more characters of an encoding's alphabet is tested, whatever it is made
+of and wherever it stands. Its encoding is inferred (the smallest alphabet that holds it), and
+three statistics are taken: chi-squared over the alphabet's symbols, runs of the upper against
+the lower half of the alphabet, and the serial correlation of neighbours. They are used twice:
+
+* against an even draw (the key hypothesis): a token whose three p-values, combined by Fisher,
+  reject evenness at ``EVEN`` is no find;
+* against ordinary writing (the null hypothesis): letters by their usual frequency, upper case,
+  lower case and digits in stretches. For each encoding and length the statistics of simulated
+  writing and of even draws give the linear score that parts them best; its p-value under
+  writing says how rarely writing looks so even.
+
+False discoveries are controlled on these p-values by Benjamini and Hochberg's rule in each
+length class, over all different tokens of the corpus, so that of the finds of a class an
+expected ``RATE`` at most is ordinary writing. Long lower-case words and digits are tested too; as
+writing and even draws hardly differ there (digits: not at all), only great length makes them finds.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import re
@@ -21,38 +28,38 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import map_batches, materialize, prepare, texts_of
 
-RATE = 0.001
+RATE = 0.01
 #: Below this combined p a token is not even enough to be a key.
 EVEN = 1e-4
-CLASSES = (20, 28, 40, 64)
+CLASSES = (16, 20, 28, 40, 64)
 KINDS = ("assign", "access", "hex", "random")
+#: Draws of each kind that a score is fitted to.
+DRAWS = 4000
+#: P-values are compared as steps of log10, rounded against a find.
+STEPS, LEAST_STEP = 50, -1000
 
 _ASSIGN = re.compile(r"""((?a:(?i:password|passwd|secret|token|api_?key)))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile("AKIA[A-Z0-9]+")
-_HEX = re.compile("[0-9a-f]+")
 _LONG_HEX = re.compile("(?<![0-9a-f])[0-9a-f]{32,}")
-_TOKEN = re.compile("(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
+_TOKEN = re.compile("[A-Za-z0-9+/_-]{16,}={0,2}")
 
 # Relative frequencies (per cent) of the letters a to z in English prose.
 _LETTER_PERCENT = (
     8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.15, 0.77, 4.0, 2.4,
     6.7, 7.5, 1.9, 0.095, 6.0, 6.3, 9.1, 2.8, 0.98, 2.4, 0.15, 2.0, 0.074,
 )
+_UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 _ALPHABETS = {
-    "hex": "0123456789abcdef",
-    "HEX": "0123456789ABCDEF",
-    "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
-    "lower36": "0123456789abcdefghijklmnopqrstuvwxyz",
-    "upper36": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
-    "base62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
-    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
-    "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
-}
+    "digits": _DIGITS, "hex": _DIGITS + "abcdef", "HEX": _DIGITS + "ABCDEF", "lower": _LOWER, "upper": _UPPER, "base32": _UPPER + "234567",
+    "lower36": _DIGITS + _LOWER, "upper36": _DIGITS + _UPPER, "letters": _UPPER + _LOWER, "base62": _UPPER + _LOWER + _DIGITS,
+    "base64": _UPPER + _LOWER + _DIGITS + "+/", "base64url": _UPPER + _LOWER + _DIGITS + "-_", "any": _UPPER + _LOWER + _DIGITS + "+/-_",
+}
 _SETS = {name: (frozenset(letters), {c: k for k, c in enumerate(letters)}) for name, letters in _ALPHABETS.items()}
 
 
@@ -63,12 +70,10 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found + [("hex", *m.span()) for m in _LONG_HEX.finditer(text)]
 
 
-def infer_encoding(token: str) -> str | None:
-    """The smallest alphabet that holds the token (without = at its end); None without both letters and digits."""
+def infer_encoding(token: str) -> str:
+    """The smallest alphabet that holds the token (without = at its end)."""
     used = set(token)
-    if not any(c.isdigit() for c in used) or not any(c.isalpha() for c in used):
-        return None
-    return next((name for name, (letters, _) in _SETS.items() if used <= letters), None)
+    return next(name for name, (letters, _) in _SETS.items() if used <= letters)
 
 
 def _normal_tail(z: float) -> float:
@@ -80,35 +85,41 @@ def _chi2_tail(x: float, k: float) -> float:
     return 0.5 * math.erfc((((x / k) ** (1 / 3)) - (1 - 2 / (9 * k))) / math.sqrt(2 / (9 * k)) / math.sqrt(2))
 
 
-def battery(token: str, encoding: str) -> float:
-    """Combined p of evenness: chi-squared, runs and serial correlation, by Fisher."""
-    place = _SETS[encoding][1]
-    x = np.array([place[c] for c in token], float)
-    n, size = len(x), len(place)
-    # With few symbols for a large alphabet the statistic is scaled to its exact mean and variance.
-    counts = np.bincount(x.astype(int), minlength=size)
-    stat = float(((counts - n / size) ** 2).sum() * size / n)
-    mean, var = size - 1, 2 * (size - 1) * (1 - 1 / n)
-    scale = var / (2 * mean)
-    p_even = _chi2_tail(stat / scale, mean / scale)
+def statistics(x: np.ndarray, size: int) -> np.ndarray:
+    """Chi-squared, runs (standardised) and serial correlation (standardised) of each row of symbols below ``size``."""
+    k, n = x.shape
+    counts = np.bincount((np.arange(k)[:, None] * size + x).ravel(), minlength=k * size).reshape(k, size)
+    chi = ((counts - n / size) ** 2).sum(axis=1) * size / n
     high = x >= size / 2
-    n1, n0 = int(high.sum()), int((~high).sum())
-    if n1 and n0:
-        runs = 1 + int((high[1:] != high[:-1]).sum())
-        expected = 1 + 2 * n1 * n0 / n
-        spread = 2 * n1 * n0 * (2 * n1 * n0 - n) / (n * n * (n - 1))
-        p_runs = _normal_tail((runs - expected) / math.sqrt(spread)) if spread > 0 else 1.0
-    else:
-        p_runs = 2.0 ** (1 - n)
-    d = x - x.mean()
-    power = float((d * d).sum())
-    p_serial = _normal_tail((float((d[1:] * d[:-1]).sum()) / power + 1 / n) * math.sqrt(n)) if power else 0.0
-    joint = -2 * sum(math.log(max(p, 1e-300)) for p in (p_even, p_runs, p_serial))
+    n1 = high.sum(axis=1).astype(float)
+    n0 = n - n1
+    runs = 1 + (high[:, 1:] != high[:, :-1]).sum(axis=1)
+    product = 2 * n1 * n0
+    spread = product * (product - n) / (n * n * (n - 1))
+    # All in one half: one run where about half of n is usual.
+    z_runs = np.where(spread > 0, (runs - 1 - product / n) / np.sqrt(np.where(spread > 0, spread, 1)), np.where(product > 0, 0.0, -math.sqrt(n)))
+    d = x - x.mean(axis=1, keepdims=True)
+    power = (d * d).sum(axis=1)
+    z_serial = np.where(power > 0, (d[:, 1:] * d[:, :-1]).sum(axis=1) / np.where(power > 0, power, 1) * math.sqrt(n) + 1 / math.sqrt(n), math.sqrt(n))
+    return np.stack([chi, z_runs, z_serial], axis=1)
+
+
+def evenness(found: np.ndarray, n: int, size: int) -> float:
+    """Combined p of an even draw: chi-squared, runs and serial correlation, by Fisher."""
+    chi, z_runs, z_serial = found.tolist()
+    # With few symbols for a large alphabet the statistic is scaled to its exact mean and variance.
+    scale = 1 - 1 / n
+    ps = (_chi2_tail(chi / scale, (size - 1) / scale), _normal_tail(z_runs), _normal_tail(z_serial))
+    joint = -2 * sum(math.log(max(p, 1e-300)) for p in ps)
     # Upper tail of chi-squared with six degrees of freedom, in closed form.
     return math.exp(-joint / 2) * (1 + joint / 2 + joint * joint / 8)
 
 
-_CHANGE = {"l": {"l": 0.90, "u": 0.03, "d": 0.03, "o": 0.04}, "u": {"l": 0.45, "u": 0.45, "d": 0.05, "o": 0.05}, "d": {"l": 0.06, "u": 0.06, "d": 0.80, "o": 0.08}, "o": {"l": 0.40, "u": 0.20, "d": 0.30, "o": 0.10}}
+#: Styles of writing: how likely a lower-case letter, upper-case letter, digit or other is followed by which.
+STYLES = {
+    "plain": {"l": {"l": 0.90, "u": 0.03, "d": 0.03, "o": 0.04}, "u": {"l": 0.45, "u": 0.45, "d": 0.05, "o": 0.05}, "d": {"l": 0.06, "u": 0.06, "d": 0.80, "o": 0.08}, "o": {"l": 0.40, "u": 0.20, "d": 0.30, "o": 0.10}},
+    "words run together": {"l": {"l": 0.76, "u": 0.18, "d": 0.03, "o": 0.03}, "u": {"l": 0.88, "u": 0.06, "d": 0.03, "o": 0.03}, "d": {"l": 0.15, "u": 0.15, "d": 0.62, "o": 0.08}, "o": {"l": 0.40, "u": 0.40, "d": 0.15, "o": 0.05}},
+}
 _START = {"l": 0.4, "u": 0.3, "d": 0.25, "o": 0.05}
 
 
@@ -116,39 +127,84 @@ def _class_of(c: str) -> str:
     return "l" if c.islower() else "u" if c.isupper() else "d" if c.isdigit() else "o"
 
 
-def log_evidence(token: str, encoding: str) -> float:
-    """Log of the likelihood of an even draw over that of ordinary writing."""
-    usual, total = 0.0, sum(_LETTER_PERCENT)
-    before = None
-    for c in token:
-        kind = _class_of(c)
-        usual += math.log(_CHANGE[before][kind] if before else _START[kind])
-        usual += math.log(_LETTER_PERCENT[ord(c.lower()) - 97] / total) if kind in "lu" else math.log(0.1 if kind == "d" else 0.25)
-        before = kind
-    return -len(token) * math.log(len(_SETS[encoding][0])) - usual
+def writing(encoding: str, n: int, draws: int, style: str = "plain", seed: int = 1) -> np.ndarray:
+    """Symbols of ``draws`` simulated tokens of ordinary writing with ``n`` characters of an alphabet, a row each."""
+    letters = _ALPHABETS[encoding]
+    rng = np.random.default_rng([seed, n, len(letters)])
+    kinds = [k for k in "ludo" if any(_class_of(c) == k for c in letters)]
+    symbols, chances = [], []
+    for kind in kinds:
+        own = [k for k, c in enumerate(letters) if _class_of(c) == kind]
+        weight = np.array([_LETTER_PERCENT[ord(letters[k].lower()) - 97] if kind in "lu" else 1.0 for k in own])
+        symbols.append(np.array(own))
+        chances.append(weight / weight.sum())
+    share = lambda of: np.array([of[k] for k in kinds]) / sum(of[k] for k in kinds)
+    change = np.cumsum([share(STYLES[style][k]) for k in kinds], axis=1)
+    state = np.searchsorted(np.cumsum(share(_START)), rng.random(draws), "right").clip(0, len(kinds) - 1)
+    out = np.empty((draws, n), np.int64)
+    for at in range(n):
+        for k in range(len(kinds)):
+            mine = np.flatnonzero(state == k)
+            out[mine, at] = rng.choice(symbols[k], len(mine), p=chances[k])
+        state = (rng.random(draws)[:, None] >= change[state]).sum(axis=1).clip(0, len(kinds) - 1)
+    return out
+
+
+def _scale(found: np.ndarray) -> np.ndarray:
+    return np.stack([-np.log(found[:, 0] + 1), found[:, 1], found[:, 2]], axis=1)
+
+
+@functools.lru_cache(maxsize=1024)
+def _score(encoding: str, n: int, style: str) -> tuple[np.ndarray, float, float]:
+    """Weights of the three statistics that part even draws from a style of writing best, and the score's mean and deviation under it."""
+    size = len(_ALPHABETS[encoding])
+    usual = _scale(statistics(writing(encoding, n, DRAWS, style), size))
+    even = _scale(statistics(np.random.default_rng([2, n, size]).integers(0, size, (DRAWS, n)), size))
+    spread = np.cov(usual.T) + np.cov(even.T) + 1e-9 * np.eye(3)
+    weights = np.linalg.solve(spread, even.mean(axis=0) - usual.mean(axis=0))
+    score = usual @ weights
+    # The deviation of the upper half, where finds are: the score need not be symmetric.
+    above = score[score > score.mean()] - score.mean()
+    return weights, float(score.mean()), float(max(np.sqrt((above**2).mean()), 1e-9)) if len(above) else 1e-9
 
 
-def candidates(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[int, int, str, float]]:
-    """Tokens that pass the battery and do not overlap a fixed pattern's match: (start, end, encoding, log evidence)."""
+def fitted_length(n: int) -> int:
+    """The length whose score is used for ``n``: itself up to 64, then by steps of about an eighth."""
+    return n if n <= 64 else int(64 * 1.125 ** math.floor(math.log(n / 64) / math.log(1.125) + 1e-9))
+
+
+def p_writing(found: np.ndarray, encoding: str, n: int) -> float:
+    """How likely ordinary writing, in the style that is likeliest to, scores as even as the token."""
+    # Writing of more characters is told from even draws with more certainty, so a shorter length's score errs on the safe side.
+    fits = [_score(encoding, fitted_length(n), style) for style in STYLES]
+    x = _scale(found[None])[0]
+    return max(0.5 * math.erfc((float(x @ weights) - mean) / deviation / math.sqrt(2)) for weights, mean, deviation in fits)
+
+
+def tested(text: str) -> list[tuple[int, int, str, int, bool, int]]:
+    """Every long token: (start, end, encoding, step of its p-value, whether it is even enough, hash)."""
     out = []
     for m in _TOKEN.finditer(text):
-        start, end = m.span()
-        token = m[0].rstrip("=")
-        encoding = infer_encoding(token)
-        if encoding is None or any(a < end and start < b for _, a, b in taken):
-            continue
-        if battery(token, encoding) >= EVEN:
-            out.append((start, end, encoding, log_evidence(token, encoding)))
+        out.append((*m.span(), *_verdict(m[0].rstrip("="))))
     return out
 
 
+@functools.lru_cache(maxsize=4096)
+def _verdict(token: str) -> tuple[str, int, bool, int]:
+    encoding = infer_encoding(token)
+    place, n = _SETS[encoding][1], len(token)
+    found = statistics(np.array([[place[c] for c in token]]), len(place))[0]
+    p = max(p_writing(found, encoding, n), 10.0 ** (LEAST_STEP / STEPS))
+    return encoding, math.ceil(math.log10(p) * STEPS), evenness(found, n, len(place)) >= EVEN, xxhash.xxh3_64_intdigest(token) - (1 << 63)
+
+
 def _length_class(n):
     return sum((F.when(n >= c, 1).otherwise(0) for c in CLASSES[1:]), F.lit(0))
 
 
 SCANNED = (
     "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, "
-    "base array<struct<start:int,kind:int,end:int>>, found array<struct<start:int,end:int,encoding:string,evidence:double>>"
+    "base array<struct<start:int,kind:int,end:int>>, found array<struct<start:int,end:int,encoding:string,step:int,even:boolean,token:long>>"
 )
 
 
@@ -171,7 +227,7 @@ def scan(documents: DataFrame) -> DataFrame:
                     **{f"n_{k}": kinds.count(k) for k in KINDS[:3]},
                     "base_sha256": hashlib.sha256(_span_text(base).encode()).hexdigest(),
                     "base": [{"start": a, "kind": KINDS.index(k), "end": b} for k, a, b in base],
-                    "found": [dict(zip(("start", "end", "encoding", "evidence"), x)) for x in candidates(text, base)],
+                    "found": [dict(zip(("start", "end", "encoding", "step", "even", "token"), x)) for x in tested(text)],
                 }
             )
         yield pa.RecordBatch.from_pylist(rows, schema=arrow)
@@ -185,44 +241,45 @@ def scan(documents: DataFrame) -> DataFrame:
 
 
 def limits(scanned: DataFrame, rate: float = RATE) -> list[float]:
-    """The least log evidence that counts as a find, for each length class.
+    """The largest step of a p-value that counts as a find, for each length class (-inf: none).
 
-    Evidence is summed up as a histogram with steps of 0.1 (a fixed number of rows, whatever
-    the input). With m tokens in a class, the k best are finds for the largest k whose
-    weakest evidence e satisfies e >= m / (k * rate).
+    With m different tokens tested in a class (a token counts once, however often it occurs), and k of them
+    at p or below, p is a find for the largest p with p <= k * rate / m. P-values are summed up by
+    step (a fixed number of rows, whatever the input).
     """
-    tested = scanned.select(F.explode("found").alias("t"))
-    step = F.floor(F.least(F.lit(2000.0), F.greatest(F.lit(-2000.0), F.col("t.evidence"))) * 10).alias("step")
-    rows = tested.groupBy(_length_class(F.col("t.end") - F.col("t.start")).alias("class"), step).agg(F.count("*").alias("n")).collect()
+    seen = scanned.select(F.explode("found").alias("t"))
+    seen = seen.select(_length_class(F.col("t.end") - F.col("t.start")).alias("class"), "t.step", "t.token").distinct()
+    rows = seen.groupBy("class", "step").agg(F.count("*").alias("n")).collect()
     out = []
     for k in range(len(CLASSES)):
-        own = sorted(((r["step"] / 10, r["n"]) for r in rows if r["class"] == k), reverse=True)
-        total, better, least = sum(n for _, n in own), 0, math.inf
-        for evidence, n in own:
-            better += n
-            if evidence >= math.log(total / (better * rate)):
-                least = evidence
-        out.append(least)
+        own = sorted((r["step"], r["n"]) for r in rows if r["class"] == k)
+        total, below, most = sum(n for _, n in own), 0, -math.inf
+        for step, n in own:
+            below += n
+            if step / STEPS <= math.log10(below * rate / total):
+                most = step
+        out.append(most)
     return out
 
 
 def find_secrets(documents: DataFrame, rate: float = RATE) -> DataFrame:
     """Per document: ``doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random, secrets``.
 
-    ``spans`` names all spans in code points; ``secrets`` has them as (kind, start, end).
+    ``spans`` names all spans in code points; ``secrets`` has them as (kind, start, end). The battery's
+    finds (``random``) are listed also where a fixed pattern matches.
     Null text is empty: no spans. Null ids and repeated rows keep rows of their own; only
     ``doc_id`` and ``text`` are read; an empty table gives no rows.
     """
     scanned = scan(documents)
-    least = limits(scanned, rate)
+    most = limits(scanned, rate)
 
     def good(t):
         n = t["end"] - t["start"]
         out = F.lit(False)
-        for k, limit in enumerate(least):
-            if limit < math.inf:
-                out = out | ((_length_class(n) == k) & (t["evidence"] >= limit))
-        return out
+        for k, limit in enumerate(most):
+            if limit > -math.inf:
+                out = out | ((_length_class(n) == k) & (t["step"] <= F.lit(limit)))
+        return out & t["even"]
 
     random = F.transform(F.filter("found", good), lambda t: F.struct(t["start"].alias("start"), F.lit(3).alias("kind"), t["end"].alias("end")))
     both = scanned.withColumn("all", F.array_sort(F.concat("base", random)))
