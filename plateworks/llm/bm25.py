@@ -1,19 +1,18 @@
-"""Exact top-k search by BM25: an inverted index by shard, block-max pruning, exact merge.
+"""Exact top-k search by BM25: an inverted index by shard, block-max WAND, exact merge.
 
 Index: each shard holds up to ``SHARD_DOCS`` documents of its input partition in one file of
 flat arrays, mapped into memory (terms by 64-bit hash, postings by term and place). Documents
 are placed by their commonest word and then by length, so that the blocks of ``BLOCK`` places
-are alike and have tight maxima.
+are alike and have tight maxima. Blocks are aligned to places, the same for every term, so
+that the postings of a term in a block are one entry with its maximum.
 
 Search: document frequencies and lengths are summed over all shards first, so scores do not
-depend on sharding. For a query and a shard, the sum of its terms' block maxima bounds every
-document of a block; blocks are scored from the highest bound down, and scoring stops when
-no bound left reaches the k-th best score (the pivot test of block-max WAND, on blocks of
-documents). Queries with like bounds are taken together: the terms that are frequent in the
-shard are one matrix, whose products with the queries' weights give bounds and scores; the
-others are read from their postings. Shards' best are merged by query. Queries are packed in
-blocks in the shared folder, which each shard's task reads one after another, so neither
-is held whole anywhere.
+depend on sharding. For a query and a shard, the sum of its terms' entry maxima bounds every
+document of a block. Blocks are pivots from the highest bound down; only the postings of
+entries in a pivot block are read, and a block whose bound does not reach the k-th best score
+so far is skipped with all its postings. Shards' best are merged by query. Queries are packed in
+the shared folder in blocks of ``QUERY_BLOCK``; a task has one shard and every so-many-th block, so neither
+shards nor queries are held whole anywhere.
 """
 
 from __future__ import annotations
@@ -33,12 +32,14 @@ from .token_files import map_ids
 
 K1, B = 1.2, 0.75
 TOP = 10
-#: A shard is closed at this many documents, or postings: what a task holds in memory.
-SHARD_DOCS, SHARD_POSTINGS = 16_384, 8_000_000
+#: A shard is closed at this many documents, or postings: what a task holds in memory (some 60 bytes a posting).
+SHARD_DOCS, SHARD_POSTINGS = 16_384, 3_000_000
 BLOCK = 32
 QUERY_BLOCK = 128
-#: Queries scored together, blocks scored at a time, and the share of a shard's documents from which a term is frequent.
-TOGETHER, STRIDE, FREQUENT = 32, 8, 1 / 16
+#: Queries of one task, at most about.
+TASK_QUERIES = 4096
+#: Pivot blocks that are scored first; then twice as many each time.
+PIVOTS = 8
 #: Scores count to this many decimals; ties go to the smaller document id.
 DECIMALS = 6
 _EPS = 10.0**-DECIMALS
@@ -135,100 +136,93 @@ def build_index(documents: DataFrame) -> DataFrame:
 
 
 class Shard:
-    """One shard's arrays with impacts under global statistics."""
+    """One shard's arrays with impacts under global statistics.
+
+    ``read`` and ``skipped`` count the postings of the queries' terms that were and were not read."""
 
     def __init__(self, shard: dict[str, np.ndarray], average: float):
-        self.doc_ids, lengths, self.terms, self.begins, self.places = (shard[k] for k in ("doc_ids", "lengths", "terms", "begins", "places"))
+        self.doc_ids, lengths, self.terms, begins, self.places = (shard[k] for k in ("doc_ids", "lengths", "terms", "begins", "places"))
         self.impacts = shard["counts"].astype(float)
         over = (K1 * (1 - B + B * lengths / max(average, 1e-9)))[self.places]
         over += self.impacts
         self.impacts *= K1 + 1
         self.impacts /= over
+        del over
         self.blocks = -(-len(self.doc_ids) // BLOCK)
-        self.width = self.blocks * BLOCK
-        size = np.diff(self.begins)
-        frequent = np.flatnonzero(size >= max(2, FREQUENT * len(self.doc_ids)))
-        self.row = np.full(len(self.terms), -1)
-        self.row[frequent] = np.arange(len(frequent))
-        self.matrix = np.zeros((len(frequent), self.width))
-        for n, t in enumerate(frequent.tolist()):
-            a, b = self.begins[t], self.begins[t + 1]
-            self.matrix[n, self.places[a:b]] = self.impacts[a:b]
-        self.maxima = self.matrix.reshape(len(frequent), self.blocks, BLOCK).max(axis=2)
-
-    def _split(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """A query's weights of frequent terms, and the scores that its other terms give each place."""
-        dense, rest = np.zeros(len(self.matrix)), np.zeros(self.width)
-        if not len(self.terms):
-            return dense, rest
+        block = (self.places // BLOCK).astype(np.int32)
+        new = np.ones(len(block), bool)
+        new[1:] = block[1:] != block[:-1]
+        new[begins[:-1]] = True
+        starts = np.flatnonzero(new)
+        self.block = block[starts]
+        self.starts = np.append(starts, len(block)).astype(np.int32)
+        self.maxima = np.maximum.reduceat(self.impacts, starts) if len(starts) else np.empty(0)
+        #: Entries of term t: ``entries[t]`` to ``entries[t + 1]``.
+        self.entries = np.searchsorted(self.starts, begins)
+        self.read = self.skipped = 0
+
+    def best(self, own: int, terms: np.ndarray, weights: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
+        """Up to ``top`` places and scores for a query, unordered, its own id left out."""
+        places, scores = np.empty(0, np.int64), np.empty(0)
+        if not len(self.terms) or not len(terms):
+            return places, scores
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         known = self.terms[at] == terms
         at, weights = at[known], weights[known]
-        row = self.row[at]
-        dense[row[row >= 0]] = weights[row >= 0]
-        at, weights = at[row < 0], weights[row < 0]
-        if len(at):
-            begin = self.begins[at]
-            size = self.begins[at + 1] - begin
-            posts = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
-            rest = np.bincount(self.places[posts], np.repeat(weights, size) * self.impacts[posts], self.width)
-        return dense, rest
-
-    def best(self, queries: list[tuple[int, np.ndarray, np.ndarray]], top: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each query (own id, terms, weights): up to ``top`` places and scores, unordered, its own id left out."""
-        split = [self._split(t, w) for _, t, w in queries]
-        dense, rest = np.stack([d for d, _ in split]), np.stack([r for _, r in split])
-        bound = dense @ self.maxima + rest.reshape(len(queries), self.blocks, BLOCK).max(axis=2)
-        out: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0))] * len(queries)
-        alike = np.argsort(bound.argmax(axis=1), kind="stable")
-        for begin in range(0, len(queries), TOGETHER):
-            group = alike[begin : begin + TOGETHER]
-            limit = bound[group]
-            order = np.argsort(-limit.max(axis=0), kind="stable")
-            floor = np.zeros(len(group))
-            at = 0
-            while at < self.blocks:
-                # Blocks that some query of the group still needs.
-                left = order[at:]
-                left = left[((limit[:, left] > 0) & (limit[:, left] >= floor[:, None] - _EPS)).any(axis=0)]
-                if not len(left):
-                    break
-                chosen = left[:STRIDE]
-                order, at = np.concatenate([chosen, left[STRIDE:]]), 0
-                places = (chosen[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-                scores = np.round(dense[group] @ self.matrix[:, places] + rest[np.ix_(group, places)], DECIMALS)
-                for n, g in enumerate(group.tolist()):
-                    found = np.flatnonzero(scores[n] >= max(floor[n], _EPS))
-                    if not len(found):
-                        continue
-                    p, v = places[found], scores[n, found]
-                    mine = self.doc_ids[p] != queries[g][0]
-                    p, v = np.concatenate([out[g][0], p[mine]]), np.concatenate([out[g][1], v[mine]])
-                    if len(p) > top:
-                        keep = np.lexsort((self.doc_ids[p], -v))[:top]
-                        p, v = p[keep], v[keep]
-                    if len(p) == top:
-                        floor[n] = v.min()
-                    out[g] = (p, v)
-                order, at = order[len(chosen) :], 0
-                if not len(order):
-                    break
-        return out
-
-
-def pack_queries(weighted: DataFrame, path: str) -> None:
-    """Write queries ``(query_id, terms array<long>, weights array<double>)`` as Parquet in blocks that tasks stream."""
-    weighted.write.parquet(path)
-
-
-def _query_blocks(path: str) -> Iterator[tuple[list[int], list[np.ndarray], list[np.ndarray]]]:
+        begin = self.entries[at]
+        entry, of = _ranges(begin, self.entries[at + 1] - begin)
+        block, weight = self.block[entry], weights[of]
+        bound = np.bincount(block, weight * self.maxima[entry], self.blocks)
+        order = np.argsort(-bound, kind="stable")
+        order = order[: np.count_nonzero(bound > 0)]
+        self.skipped += int((self.starts[entry + 1] - self.starts[entry]).sum())
+        floor, step = 0.0, PIVOTS
+        rank = np.full(self.blocks, -1)
+        while len(order):
+            pivots, order = order[:step], order[step:]
+            step *= 2
+            rank[pivots] = np.arange(len(pivots))
+            wanted = np.flatnonzero(rank[block] >= 0)
+            starts = self.starts[entry[wanted]]
+            post, of = _ranges(starts, self.starts[entry[wanted] + 1] - starts)
+            self.read += len(post)
+            self.skipped -= len(post)
+            place = rank[block[wanted]][of] * BLOCK + self.places[post] % BLOCK
+            found = np.round(np.bincount(place, weight[wanted][of] * self.impacts[post], len(pivots) * BLOCK), DECIMALS)
+            rank[pivots] = -1
+            good = np.flatnonzero(found >= max(floor, _EPS))
+            p, v = pivots[good // BLOCK] * BLOCK + good % BLOCK, found[good]
+            mine = self.doc_ids[p] != own
+            places, scores = np.concatenate([places, p[mine]]), np.concatenate([scores, v[mine]])
+            if len(places) > top:
+                keep = np.lexsort((self.doc_ids[places], -scores))[:top]
+                places, scores = places[keep], scores[keep]
+            if len(places) == top:
+                floor = float(scores.min())
+                order = order[bound[order] >= floor - _EPS]  # the rest is skipped
+        return places, scores
+
+
+def _ranges(begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all ranges one after another, and the range of each."""
+    size = size.astype(np.int64)
+    of = np.repeat(np.arange(len(size)), size)
+    return (begin - np.cumsum(size) + size)[of] + np.arange(len(of)), of
+
+
+def _query_blocks(path: str, part: int, parts: int) -> Iterator[tuple[list[int], list[np.ndarray], list[np.ndarray]]]:
+    """Every ``parts``-th block of queries."""
     from pyarrow import fs
 
     store, inside = open_store(path)
     files = sorted(f.path for f in store.get_file_info(fs.FileSelector(inside)) if f.path.endswith(".parquet"))
+    number = 0
     for file in files:
         with store.open_input_file(file) as handle:
             for batch in pq.ParquetFile(handle).iter_batches(QUERY_BLOCK, columns=["query_id", "terms", "weights"]):
+                number += 1
+                if number % parts != part:
+                    continue
                 terms, weights = batch.column("terms"), batch.column("weights")
                 t, w = terms.flatten().to_numpy(), weights.flatten().to_numpy()
                 cuts = np.cumsum([0, *(len(x) for x in terms)])
@@ -283,15 +277,16 @@ def search(index: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 shard = Shard(_load(row), average)
-                for ids, terms, weights in _query_blocks(path):
-                    found = shard.best(list(zip(ids, terms, weights)), top)
+                for ids, terms, weights in _query_blocks(path, row["part"], parts):
+                    found = [shard.best(*query, top) for query in zip(ids, terms, weights)]
                     own = np.repeat(np.array(ids, np.int64), [len(p) for p, _ in found])
                     places, scores = (np.concatenate(c) for c in zip(*found))
                     yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(shard.doc_ids[places]), pa.array(scores)], names=["query_id", "doc_id", "score"])
 
-    # A row a shard: one task each.
-    tasks = max(1, index.count())
-    local = index.repartition(tasks).mapInArrow(run, "query_id long, doc_id long, score double")
+    # A task for each shard and part of the queries.
+    parts = max(1, -(-packed.count() // TASK_QUERIES))
+    work = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    local = work.repartition(max(1, index.count() * parts)).mapInArrow(run, "query_id long, doc_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
     return local.withColumn("rank", rank.cast("long")).where(F.col("rank") <= top).select("query_id", "rank", "doc_id", "score")
 
