@@ -3,14 +3,17 @@
 Token weights are summed by cell (source, language, topic); the query and the pipeline count
 the real tokens of every text by one encoding pass (``measure``). Raking scales the cells until
 their sums meet the target share of every category of the three marginals, with no cell
-scaled above one (a document cannot be taken more than once); a document's probability is
+scaled above one (a document cannot be taken more than once). Where that bound keeps the
+targets from being met, the kept share of all tokens is lowered until they are. A document's probability is
 its cell's scale. Documents are then sampled by a keyed hash of their id, so that a retried
 task, or another run, takes the same ones.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -22,15 +25,19 @@ from . import tokens as tokenizers
 from .common import map_batches, materialize, prepare, texts_of
 
 OTHER = "other"
-#: Share of all tokens that the mix takes, and target shares of the registered query.
+#: Share of all tokens that the mix takes at most, and target shares of the registered query.
 KEEP = 0.7
 TARGETS: dict[str, dict[str, float]] = {
     "source": {"src0": 0.25} | {f"src{k}": 0.75 / 19 for k in range(1, 20)},
     "lang": {"en": 0.47, "de": 0.20, "fr": 0.20, "es": 0.13},
     "topic": {"long": 0.42, "prose": 0.58},  # the rest keeps its share
 }
-ROUNDS = 200
+ROUNDS = 500
 CLOSE = 1e-9
+#: The largest difference of a category's share of the mix from its target that counts as met.
+TOLERANCE = 0.002
+#: Halvings of the interval in which the kept share is sought, and the least share tried.
+HALVINGS, LEAST_KEEP = 12, 0.01
 
 
 def tokens_of(text: Column) -> Column:
@@ -89,7 +96,7 @@ def rake(weights: np.ndarray, targets: list[np.ndarray]) -> np.ndarray:
     """Scales of the cells of ``weights`` in [0, 1] whose weighted sums meet the ``targets`` of each axis.
 
     A category whose target is NaN is left free. Where the upper bound makes the targets
-    unreachable, the nearest that scaling finds is returned.
+    unreachable, the nearest that scaling finds is returned (see ``missed``).
     """
     scale = np.full(weights.shape, 1.0)
     for _ in range(ROUNDS):
@@ -104,21 +111,68 @@ def rake(weights: np.ndarray, targets: list[np.ndarray]) -> np.ndarray:
     return scale
 
 
-def calibrate(cells: dict[tuple[str, str, str], float], targets: Mapping[str, Mapping[str, float]], keep: float) -> dict[tuple[str, str, str], float]:
-    """The sampling probability of each cell. Categories without a target ("other") keep their share, scaled by ``keep``."""
+def missed(weights: np.ndarray, scale: np.ndarray, shares: list[np.ndarray]) -> float:
+    """The largest difference of a category's share of the mix from its target share."""
+    total = (weights * scale).sum()
+    if not total:
+        return 0.0
+    sums = [(weights * scale).sum(axis=tuple(k for k in range(weights.ndim) if k != axis)) / total for axis in range(weights.ndim)]
+    return max(float(np.nanmax(np.abs(s - t))) for s, t in zip(sums, shares))
+
+
+@dataclass(frozen=True)
+class Calibration:
+    """The sampling probability of each cell, the share of all tokens kept, and what is missed of the targets."""
+
+    chances: dict[tuple[str, str, str], float]
+    keep: float
+    residual: float
+
+
+def calibrate(
+    cells: Mapping[tuple[str, str, str], float], targets: Mapping[str, Mapping[str, float]], keep: float, tolerance: float = TOLERANCE, strict: bool = False
+) -> Calibration:
+    """Probabilities that meet ``targets`` to ``tolerance`` and keep up to ``keep`` of all tokens.
+
+    Categories without a target ("other") keep their share; a named category without tokens
+    gives its share to the others of its axis. If no kept share meets the targets (cells that
+    are empty can rule it out), the nearest result is used with a warning, or an error if ``strict``.
+    """
     names = [[*named, OTHER] for named in targets.values()]
     weights = np.zeros([len(n) for n in names])
     for cell, tokens in cells.items():
         weights[tuple(n.index(c) for n, c in zip(names, cell))] += tokens
     total = weights.sum()
-    wanted = []
+    shares = []
     for axis, named in enumerate(targets.values()):
         sums = weights.sum(axis=tuple(k for k in range(weights.ndim) if k != axis))
         free = sums[-1] / total if total else 0.0
-        share = np.array([*named.values()]) / max(sum(named.values()), 1e-300) * (1 - free)
-        wanted.append(np.append(share, free) * keep * total)
-    scale = rake(weights, wanted)
-    return {cell: float(scale[tuple(n.index(c) for n, c in zip(names, cell))]) for cell in cells}
+        share = np.array([*named.values()]) * (sums[:-1] > 0)
+        shares.append(np.append(share / max(share.sum(), 1e-300) * (1 - free), free))
+
+    def fitted(part: float) -> tuple[float, np.ndarray]:
+        scale = rake(weights, [s * part * total for s in shares])
+        return missed(weights, scale, shares), scale
+
+    residual, scale = fitted(keep)
+    if residual > tolerance:
+        low, high = min(LEAST_KEEP, keep), keep
+        best, best_scale = fitted(low)
+        if best <= tolerance:
+            residual, scale, keep = best, best_scale, low
+            for _ in range(HALVINGS):
+                part = (low + high) / 2
+                found, tried = fitted(part)
+                if found <= tolerance:
+                    low, keep, residual, scale = part, part, found, tried
+                else:
+                    high = part
+        elif strict:
+            raise ValueError(f"targets are missed by {min(best, residual):.4f} of the tokens")
+        else:
+            warnings.warn(f"targets are missed by {residual:.4f} of the tokens", stacklevel=2)
+    chances = {cell: float(scale[tuple(n.index(c) for n, c in zip(names, cell))]) for cell in cells}
+    return Calibration(chances, keep, residual)
 
 
 def mix(
@@ -129,36 +183,47 @@ def mix(
     topic: Column | None = None,
     tokens: Column | None = None,
     measured: DataFrame | None = None,
+    prefix: str = "_",
+    strict: bool = False,
 ) -> DataFrame:
-    """``documents`` with ``_tokens``, ``_cell`` (source, lang, topic), ``_probability`` and ``_taken``.
+    """``documents`` with ``_tokens``, ``_cell`` (source, lang, topic), ``_probability``, ``_taken`` and
+    ``_residual`` (what the calibration misses of a target share at most); ``prefix`` replaces the underscore.
 
-    Documents weigh ``tokens``, or by default the estimate ``tokens_of``; with ``measured``
+    Columns of these names are overwritten. Documents weigh ``tokens``, or by default the estimate ``tokens_of``; with ``measured``
     (see ``measure``) the cells have the sums of its real counts, whatever ``_tokens`` says.
     The cells are at most the product of the named categories (each with "other"), a bound
     that the targets set and the data cannot raise; only they reach the driver. Null and
     unnamed categories are "other"; null and empty texts weigh one token; repeated ids share
     their fate; a document without id is drawn by its text. An empty table stays empty.
     """
-    prepare(documents.sparkSession)
+    spark = prepare(documents.sparkSession)
+    name = {k: f"{prefix}{k}" for k in ("tokens", "cell", "probability", "taken", "residual")}
     cell = _cell_of(documents, targets, topic if topic is not None else topic_of(documents["text"]))
     weight = tokens if tokens is not None else tokens_of(documents["text"])
-    marked = documents.withColumns({"_tokens": weight.cast("long"), "_cell": cell})
-    weighed = marked
+    marked = documents.withColumns({name["tokens"]: weight.cast("long"), name["cell"]: cell}).drop(name["probability"], name["taken"], name["residual"])
+    weighed = marked.select(F.col(name["cell"]).alias("cell"), F.col(name["tokens"]).alias("n"))
     if measured is not None:
-        weighed = measured.select(_cell_of(measured, targets, measured["topic"]).alias("_cell"), F.col("n_tokens").alias("_tokens"))
-    sums = weighed.groupBy("_cell").agg(F.sum("_tokens").alias("n")).collect()
-    chances = calibrate({tuple(r["_cell"]): float(r["n"]) for r in sums}, targets, keep)
-    by_name = {"|".join(c): p for c, p in chances.items()}
-    known = F.create_map(*[F.lit(x) for pair in sorted(by_name.items()) for x in pair]) if by_name else F.lit(None).cast("map<string,double>")
-    chance = F.coalesce(known[F.concat_ws("|", "_cell.source", "_cell.lang", "_cell.topic")], F.lit(0.0))
+        weighed = measured.select(_cell_of(measured, targets, measured["topic"]).alias("cell"), F.col("n_tokens").alias("n"))
+    sums = weighed.groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    found = calibrate({tuple(r["cell"]): float(r["n"]) for r in sums}, targets, keep, strict=strict)
+    rows = [(source, lang, kind, p, found.residual) for (source, lang, kind), p in sorted(found.chances.items())]
+    of = f"{prefix}of"
+    table = spark.createDataFrame(rows, "source string, lang string, topic string, probability double, residual double")
+    table = table.select(F.struct("source", "lang", "topic").alias(of), F.col("probability").alias(name["probability"]), F.col("residual").alias(name["residual"]))
     drawn = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(seed), F.coalesce("text", F.lit("")))).otherwise(F.xxhash64(F.lit(seed), F.col("doc_id").cast("long")))
     even = F.shiftrightunsigned(drawn, 11) / F.lit(float(1 << 53))
-    return marked.withColumn("_probability", chance).withColumn("_taken", even < F.col("_probability"))
+    # A row a cell: a table of few named categories is small enough to be broadcast by its size.
+    joined = marked.join(table, marked[name["cell"]] == table[of], "left").drop(of)
+    return joined.withColumn(name["probability"], F.coalesce(name["probability"], F.lit(0.0))).withColumn(name["taken"], even < F.col(name["probability"]))
 
 
 def sample(documents: DataFrame, targets: Mapping[str, Mapping[str, float]] = TARGETS, keep: float = KEEP, seed: int = 17) -> DataFrame:
-    """The documents that the mix takes, by real token counts; columns unchanged."""
-    return mix(documents, targets, keep, seed, measured=measure(documents)).where("_taken").select(*documents.columns)
+    """The documents that the mix takes, by real token counts; columns unchanged, whatever their names."""
+    prefix = "_mix_"
+    while any(c.startswith(prefix) for c in documents.columns):
+        prefix = f"_{prefix}"
+    done = mix(documents, targets, keep, seed, measured=measure(documents), prefix=prefix)
+    return done.where(F.col(f"{prefix}taken")).select(*(F.col(f"`{c}`") for c in documents.columns))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,4 +237,5 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_tokens").alias("n_tokens"),
         F.col("_probability").alias("probability"),
         F.col("_taken").alias("taken"),
+        F.col("_residual").alias("residual"),
     )

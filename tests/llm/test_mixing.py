@@ -44,6 +44,61 @@ def test_nulls_and_clashes(spark):
     assert mixing.sample(docs).columns == docs.columns and mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_kept_share_is_lowered_until_targets_are_met():
+    cells = {("src0", "en", "long"): 50.0, ("src0", "de", "prose"): 50.0, ("src1", "en", "long"): 450.0, ("src1", "de", "prose"): 450.0}
+    targets = {"source": {"src0": 0.5, "src1": 0.5, "gone": 0.2}, "lang": {"en": 0.5, "de": 0.5}, "topic": {"long": 0.5, "prose": 0.5}}
+    found = mixing.calibrate(cells, targets, 0.7)
+    assert found.residual <= mixing.TOLERANCE and 0.15 < found.keep < 0.21 and found.chances["src0", "en", "long"] > 0.9
+    assert mixing.calibrate(cells, targets, 0.1).keep == 0.1
+    never = {"source": {"src0": 0.5, "src1": 0.5}, "lang": {"en": 0.9, "de": 0.1}, "topic": {"long": 0.1, "prose": 0.9}}
+    with pytest.raises(ValueError):
+        mixing.calibrate(cells, never, 0.5, strict=True)
+    with pytest.warns(UserWarning):
+        assert mixing.calibrate(cells, never, 0.5).residual > 0.1
+    assert mixing.calibrate({}, targets, 0.5).residual == 0
+
+
+def test_long_texts_and_columns_named_like_ours(spark):
+    rows = [(d, "word " * (200_000 if d == 1 else 5), "en", "src0", d, d, d, "x") for d in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, _taken int, _cell int, _probability int, _mix_of string")
+    got = mixing.sample(docs)
+    assert got.columns == docs.columns and all(r["_taken"] == r["_cell"] == r["_probability"] == r.doc_id and r["_mix_of"] == "x" for r in got.collect())
+    assert {r.doc_id: r.n_tokens for r in mixing.measure(docs).collect()}[1] > 199_999
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
+def test_query_matches_brute_force(spark):
+    """Cells, probabilities by plain proportional fitting with bounds, marginals and draws."""
+    got = mixing.op4_mixing(spark, DATA).toPandas()
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").toPandas().set_index("doc_id").loc[got.doc_id]
+    named = lambda c, axis: c if c in mixing.TARGETS[axis] else "other"
+    assert list(got.source) == [named(c, "source") for c in docs.source] and list(got.lang) == [named(c, "lang") for c in docs.lang]
+    form = lambda t: "short" if len(t) < 300 else "lines" if len(t) < 80 * (t.count("\n") + 1) else "long" if len(t) > 6000 else "prose"
+    assert list(got.topic) == [named(form(t), "topic") for t in docs.text]
+    total, kept = got.n_tokens.sum(), (got.n_tokens * got.probability).sum()
+    scale = {}
+    goal = {}
+    for axis in ("source", "lang", "topic"):
+        sums = got.groupby(axis).n_tokens.sum()
+        part = {c: t for c, t in mixing.TARGETS[axis].items() if sums.get(c, 0) > 0}
+        free = sums.get("other", 0) / total
+        goal[axis] = {c: t / sum(part.values()) * (1 - free) for c, t in part.items()} | ({"other": free} if free else {})
+        mixed = (got.n_tokens * got.probability).groupby(got[axis]).sum() / kept
+        assert all(abs(mixed[c] - t) < 0.01 for c, t in goal[axis].items())
+    cells = got.groupby(["source", "lang", "topic"]).n_tokens.sum().to_dict()
+    scale = dict.fromkeys(cells, 1.0)
+    keep = mixing.calibrate({c: float(n) for c, n in cells.items()}, mixing.TARGETS, mixing.KEEP).keep
+    for _ in range(mixing.ROUNDS):
+        for k, axis in enumerate(("source", "lang", "topic")):
+            for c, t in goal[axis].items():
+                own = [x for x in cells if x[k] == c]
+                factor = t * keep * total / sum(cells[x] * scale[x] for x in own)
+                scale.update({x: min(1.0, scale[x] * factor) for x in own})
+    assert all(abs(p - scale[c]) < 1e-6 for c, p in zip(zip(got.source, got.lang, got.topic), got.probability))
+    draws = {r.doc_id: r.x for r in spark.createDataFrame([(int(d),) for d in got.doc_id], "doc_id long").selectExpr("doc_id", "shiftrightunsigned(xxhash64(17, doc_id), 11) / 9007199254740992D x").collect()}
+    assert list(got.taken) == [draws[d] < p for d, p in zip(got.doc_id, got.probability)]
+
+
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
 def test_documents(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
