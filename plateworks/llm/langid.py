@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import map_batches, materialize, prepare, texts_of
@@ -25,6 +25,8 @@ from .common import map_batches, materialize, prepare, texts_of
 #: Labelled rows a language that the text model is fitted to, at most.
 SAMPLE = 200
 BUCKETS = 1 << 16
+#: Labels at most: a row each reaches the driver, and a column of the model.
+LANGUAGES = 256
 #: The text likelihood's exponent per trigram: neighbouring trigrams overlap.
 TEMPER = 0.3
 #: Probability that a declaration, or an address suffix that stands for a language, is right.
@@ -40,6 +42,7 @@ UNKNOWN = "und"
 # Country suffixes that stand for one language.
 SUFFIX_LANGUAGE = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "ar": "es", "uk": "en", "us": "en", "au": "en", "ie": "en"}
 _HTML_LANG = r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})"
+_SUFFIX = r"(?i)^[a-z0-9.-]+\.([a-z]+)$"
 _HOST = r"(?i)^[a-z][a-z0-9+.-]*://([^/:?#]+)"
 
 
@@ -70,19 +73,31 @@ class TextModel:
         return total.astype(float), len(found)
 
 
+def label_of(column: Column) -> Column:
+    """A language label: lower case, without blanks around it; empty is null."""
+    text = F.lower(F.trim(column.cast("string")))
+    return F.when(text != "", text)
+
+
 def fit_text_model(labelled: DataFrame, text: str = "text", label: str = "lang", sample: int = SAMPLE) -> TextModel:
-    """Fit to at most ``sample`` rows of each label, the least by hash of the id; null labels are left out."""
+    """Fit to at most ``sample`` rows of each label, the least by hash of the id; null labels are left out.
+
+    Labels that differ in case are one. More than ``LANGUAGES`` labels are an error.
+    """
     order = F.xxhash64("doc_id")
-    rows = labelled.where(F.col(label).isNotNull()).withColumn("_label", F.col(label).cast("string"))
-    languages = sorted(r[0] for r in rows.select("_label").distinct().collect()) or [UNKNOWN]
+    rows = labelled.select(label_of(labelled[label]).alias("_label"), labelled[text].alias("_text"), order.alias("_order")).where("_label is not null")
     # The hash below which a label has just `sample` rows; texts are read only for the rows below it.
+    number = F.row_number().over(Window.partitionBy("_label").orderBy("_order"))
+    least = rows.select("_label", "_order").withColumn("_number", number).where(F.col("_number") <= sample)
+    limits = least.groupBy("_label").agg(F.max("_order").alias("_most")).limit(LANGUAGES + 1).collect()
+    if len(limits) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} language labels")
+    languages = sorted(r["_label"] for r in limits) or [UNKNOWN]
     chosen = F.lit(False)
-    for one in languages:
-        least = rows.where(F.col("_label") == one).select(order.alias("order")).orderBy("order").limit(sample)
-        chosen = chosen | ((F.col("_label") == one) & (order <= F.lit(least.agg(F.max("order")).first()[0])))
-    picked = rows.where(chosen).select("_label", F.col(text).alias("_text"), order.alias("_order"))
+    for r in limits:
+        chosen = chosen | ((F.col("_label") == r["_label"]) & (F.col("_order") <= r["_most"]))
     counts = np.full((BUCKETS, len(languages)), 0.1, np.float64)
-    for row in picked.orderBy("_order", "_text").limit(sample * len(languages)).toLocalIterator():
+    for row in rows.where(chosen).orderBy("_order", "_text").limit(sample * len(languages)).toLocalIterator():
         counts[:, languages.index(row["_label"])] += np.bincount(trigrams(row["_text"] or ""), minlength=BUCKETS)
     even = np.log(1 / BUCKETS)
     return TextModel(languages, (np.log(counts / counts.sum(axis=0)) - even).astype(np.float32))
@@ -110,11 +125,12 @@ def text_evidence(documents: DataFrame, model: TextModel) -> DataFrame:
     return map_batches(documents, compute, f"{kept}, gains array<double>, trigrams long, gain double")
 
 
-def identify(documents: DataFrame, model: TextModel, declared: Column, suffix: Column, host: Column) -> DataFrame:
-    """Per document: ``doc_id, language, posterior, text_language, accepted``.
+def identify(documents: DataFrame, model: TextModel, declared: Column, suffix: Column, host: Column, key: Column | None = None) -> DataFrame:
+    """Per document: ``doc_id, language, posterior, text_language, accepted``, and ``key`` where a column for it is given.
 
     ``declared``, ``suffix`` and ``host`` are columns of ``documents``; null or unknown ones
-    add no evidence, and documents without a host share one. Null and empty texts have no
+    add no evidence, and documents without a host share one. A declaration names a language by its label or by
+    a label with a region (``en-US``). Null and empty texts have no
     text evidence; with fewer than ``LEAST_TRIGRAMS`` trigrams, or if no language explains the
     text better than an even spread, the language is "und" and the document is rejected.
     Repeated rows get equal verdicts; an empty table gives no rows; other columns are not read.
@@ -123,10 +139,11 @@ def identify(documents: DataFrame, model: TextModel, declared: Column, suffix: C
     languages = model.languages
     read = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.lower(declared.cast("string")).alias("declared"),
-        F.lower(suffix.cast("string")).alias("suffix"),
+        label_of(declared).alias("declared"),
+        label_of(suffix).alias("suffix"),
         F.coalesce(host.cast("string"), F.lit("")).alias("host"),
         F.col("text").cast("string").alias("text"),
+        *([] if key is None else [key.alias("key")]),
     )
     seen = materialize(text_evidence(read, model), "langid-text")
     known = (F.col("trigrams") >= LEAST_TRIGRAMS) & (F.col("gain") > LEAST_GAIN)
@@ -134,39 +151,41 @@ def identify(documents: DataFrame, model: TextModel, declared: Column, suffix: C
     text_language = F.when(known, F.element_at(names, F.array_position("gains", F.array_max("gains")).cast("int"))).otherwise(UNKNOWN)
     seen = seen.withColumn("known", known).withColumn("text_language", text_language)
 
-    # Counts by host, by suffix and over all: each level is the sum of the one below.
-    ones = [F.sum((F.col("text_language") == one).cast("double")).alias(f"n_{one}") for one in languages]
+    # Counts by host, by suffix and over all: each level is the sum of the one below. Languages by number: labels can be any text.
+    numbers = range(len(languages))
+    ones = [F.sum((F.col("text_language") == one).cast("double")).alias(f"n{k}") for k, one in enumerate(languages)]
     hosts = materialize(seen.groupBy("host", "suffix").agg(*ones), "langid-hosts")
-    suffixes = hosts.groupBy("suffix").agg(*(F.sum(f"n_{one}").alias(f"s_{one}") for one in languages))
-    total = hosts.agg(*(F.sum(f"n_{one}").alias(one) for one in languages)).first()
-    over = np.array([float(total[one] or 0) for one in languages]) + 1.0
+    suffixes = hosts.groupBy("suffix").agg(*(F.sum(f"n{k}").alias(f"s{k}") for k in numbers))
+    total = hosts.agg(*(F.sum(f"n{k}") for k in numbers)).first()
+    over = np.array([float(x or 0) for x in total]) + 1.0
     over /= over.sum()
-    s_sum = sum((F.col(f"s_{one}") for one in languages), F.lit(0.0))
+    s_sum = sum((F.col(f"s{k}") for k in numbers), F.lit(0.0))
     suffix_prior = suffixes.select(
         F.col("suffix").alias("of_suffix"),
-        *((F.col(f"s_{one}") + F.lit(SUFFIX_WEIGHT * over[k])).alias(f"s_{one}") for k, one in enumerate(languages)),
+        *((F.col(f"s{k}") + F.lit(SUFFIX_WEIGHT * float(over[k]))).alias(f"s{k}") for k in numbers),
         (s_sum + F.lit(SUFFIX_WEIGHT)).alias("s_all"),
     )
-    n_sum = sum((F.col(f"n_{one}") for one in languages), F.lit(0.0))
+    n_sum = sum((F.col(f"n{k}") for k in numbers), F.lit(0.0))
     priors = hosts.join(suffix_prior, F.col("suffix").eqNullSafe(F.col("of_suffix"))).select(
         F.col("host").alias("of_host"),
         "of_suffix",
-        F.array(*(((F.col(f"n_{one}") + F.lit(HOST_WEIGHT) * F.col(f"s_{one}") / F.col("s_all")) / (n_sum + F.lit(HOST_WEIGHT))) for one in languages)).alias("prior"),
+        F.array(*(((F.col(f"n{k}") + F.lit(HOST_WEIGHT) * F.col(f"s{k}") / F.col("s_all")) / (n_sum + F.lit(HOST_WEIGHT))) for k in numbers)).alias("prior"),
     )
     priors = materialize(priors, "langid-priors")
     joined = seen.join(priors, (F.col("host") == F.col("of_host")) & F.col("suffix").eqNullSafe(F.col("of_suffix")), "left")
 
-    def right(column: str, one: str, p: float, means) -> Column:
-        says = means(F.col(column))
+    def right(says: Column, one: str, p: float) -> Column:
         wrong = (1 - p) / max(1, len(languages) - 1)
         return F.when(~F.coalesce(says.isin(languages), F.lit(False)), F.lit(0.0)).when(says == one, F.lit(float(np.log(p)))).otherwise(F.lit(float(np.log(wrong))))
 
+    base = F.regexp_extract("declared", "^[^-_]*", 0)
+    says = F.when(F.col("declared").isin(languages), F.col("declared")).otherwise(base)
     stands = F.create_map(*[F.lit(x) for pair in SUFFIX_LANGUAGE.items() for x in pair])
     score = F.array(
         *(
             F.when(F.col("known"), F.col("gains")[k]).otherwise(F.lit(0.0))
-            + right("declared", one, DECLARED_RIGHT, lambda c: F.substring(c, 1, 2))
-            + right("suffix", one, SUFFIX_RIGHT, lambda c: stands[c])
+            + right(says, one, DECLARED_RIGHT)
+            + right(stands[F.col("suffix")], one, SUFFIX_RIGHT)
             + F.ln(F.greatest(F.lit(1e-12), F.coalesce(F.col("prior")[k], F.lit(float(over[k])))))
             for k, one in enumerate(languages)
         )
@@ -180,13 +199,16 @@ def identify(documents: DataFrame, model: TextModel, declared: Column, suffix: C
         posterior.alias("posterior"),
         "text_language",
         (F.col("known") & (posterior >= LEAST_POSTERIOR)).alias("accepted"),
+        *([] if key is None else ["key"]),
     )
 
 
-def identify_documents(documents: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
-    """``identify`` for tables like ``documents``: ``lang`` is the declared language, ``source`` the host."""
+def identify_documents(documents: DataFrame, labelled: DataFrame | None = None, key: Column | None = None) -> DataFrame:
+    """``identify`` for tables like ``documents``: ``lang`` is the declared language, ``source`` the host, and the
+    address suffix that of ``source`` where it is a host name."""
     model = fit_text_model(documents if labelled is None else labelled)
-    return identify(documents, model, documents["lang"], F.lit(None), documents["source"])
+    suffix = F.regexp_extract(documents["source"].cast("string"), _SUFFIX, 1)
+    return identify(documents, model, documents["lang"], suffix, documents["source"], key)
 
 
 def identify_pages(pages: DataFrame, model: TextModel) -> DataFrame:

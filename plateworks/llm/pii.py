@@ -7,7 +7,8 @@ same script, the same country code, valid check digits where they were valid, a
 of the same gender and script. A keyed Feistel network ranks that space, and the surrogate
 is the entity next in rank. That map is one to one and never leaves an entity as it was, so
 distinct entities stay distinct and equal ones equal across all documents, with no table
-to look up. ``surrogate_map`` nevertheless gathers the distinct entities of the corpus and
+to look up. Names are found by title or by a known given name; within a text, every other place
+where such a name or its parts stand as a word takes the same surrogate. ``surrogate_map`` nevertheless gathers the distinct entities of the corpus and
 ``replace`` fails if two of one kind got the same surrogate.
 """
 
@@ -58,6 +59,8 @@ _PATTERNS = {
 
 _NUMERIC = {"iban", "card", "ssn", "ip", "phone"}  # kinds that no text without a digit has
 _DIGIT = re.compile(r"\d")
+_WORD = re.compile(r"(?<!\w)[^\W\d_]\w*(?:-\w+)*")
+_FEW_NAMES = 8
 
 _ALPHABETS = [
     "0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ",
@@ -212,27 +215,44 @@ def _dressed(kind: str, found: str, entity: str, made: str) -> str:
 
 
 def mentions(text: str) -> list[tuple[int, int, str, str]]:
-    """Non-overlapping (start, end, kind, mention); where two overlap, the kind listed first in ``KINDS`` stays."""
-    out: list[tuple[int, int, str, str]] = []
+    """Non-overlapping (start, end, kind, mention); where two overlap, the kind listed first in ``KINDS`` stays.
+
+    A name that is found once in a text is an entity wherever else it stands in it as a word. Linear in the text.
+    """
+    kept: list[tuple[int, int, str, str]] = []
+    taken = bytearray(len(text))
+
+    def take(a: int, b: int, kind: str) -> None:
+        if taken.find(1, a, b) < 0:
+            taken[a:b] = b"\1" * (b - a)
+            kept.append((a, b, kind, text[a:b]))
+
     numbers = _DIGIT.search(text)
+    given: list[tuple[int, int]] = []
     for kind in KINDS:
         if kind == "email" and "@" not in text or kind in _NUMERIC and not numbers:
             continue
         for m in _PATTERNS[kind].finditer(text):
-            if kind == "name":
-                spans = [(m.span(g), "given" if g.endswith("given") else "name") for g in ("tgiven", "tlast", "given", "last") if m[g]]
-                if not m["title"] and not m["last"][0].isupper() or m["title"] and not m["tlast"][0].isupper():
-                    continue
-            else:
-                spans = [(m.span(), kind)]
-            out += [(a, b, k, text[a:b]) for (a, b), k in spans]
-    kept: list[tuple[int, int, str, str]] = []
-    rank = {k: n for n, k in enumerate((*KINDS, "given"))}
-    taken: list[tuple[int, int]] = []
-    for a, b, k, t in sorted(out, key=lambda x: (rank[x[2]], x[0])):
-        if all(b <= x or y <= a for x, y in taken):
-            taken.append((a, b))
-            kept.append((a, b, k, t))
+            if kind != "name":
+                take(*m.span(), kind)
+                continue
+            last = "tlast" if m["title"] else "last"
+            if not m[last][0].isupper():
+                continue
+            a, b = m.span(last)
+            take(a, b - 2 if m[last].endswith("'s") and b - a > 3 else b, "name")
+            given += [m.span(g) for g in ("tgiven", "given") if m[g]]
+    for a, b in given:
+        take(a, b, "given")
+    names: dict[str, tuple[str, int]] = {}
+    for _, _, kind, found in kept:
+        if kind in ("given", "name"):
+            old = names.get(found, (kind, 0))
+            names[found] = ("given" if "given" in (kind, old[0]) else "name", old[1] + 1)
+    if names and (len(names) > _FEW_NAMES or any(text.count(n) > seen for n, (_, seen) in names.items())):
+        for m in _WORD.finditer(text):
+            if m[0] in names:
+                take(*m.span(), names[m[0]][0])
     return sorted(kept)
 
 
@@ -270,6 +290,16 @@ def collisions(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("kind", "surrogate").agg(F.count("*").alias("n_entities")).where("n_entities > 1")
 
 
+def reused(pairs: DataFrame) -> DataFrame:
+    """Surrogates that are also found as entities of the corpus: ``kind, surrogate, entity``.
+
+    Such an entity has another surrogate wherever it is found, so in the result a value still
+    names one entity; in small spaces, as that of given names, this is the rule.
+    """
+    real = pairs.select("kind", F.col("entity").alias("surrogate")).distinct()
+    return pairs.select("kind", "surrogate", "entity").distinct().join(real, ["kind", "surrogate"])
+
+
 def replace(documents: DataFrame, key: bytes = DEFAULT_KEY, check: bool = True) -> DataFrame:
     """``documents`` with new ``text``, and ``_n_<kind>`` counts.
 

@@ -66,3 +66,17 @@ def test_very_short_texts_are_judged_by_all_evidence(spark):
     docs = frame(spark, [(1, "the", "en", None, "a", 1), (2, "A.", "en", None, "a", 1), (3, "12 34", "en", None, "a", 1)])
     got = {r.doc_id: r for r in langid.identify(docs, model, docs["declared"], docs["suffix"], docs["host"]).collect()}
     assert got[1].accepted and got[1].language == "en" and not got[3].accepted and got[3].language == "und"
+
+
+def test_labels_of_any_form(spark):
+    rows = [(k, TEXTS["en"] if k % 2 else TEXTS["de"], ["EN", "x.y", " en", "x.y"][(k % 2 == 0) + 2 * (k % 4 > 1)]) for k in range(12)]
+    docs = spark.createDataFrame([(d, t, label, "h`o.st") for d, t, label in rows], "doc_id long, text string, lang string, source string")
+    assert langid.fit_text_model(docs).languages == ["en", "x.y"]
+    got = {r.doc_id: r.language for r in langid.identify_documents(docs).collect()}
+    assert got == {d: "en" if d % 2 else "x.y" for d in range(12)}
+
+
+def test_very_long_and_repeated_texts(spark):
+    docs = frame(spark, [(1, TEXTS["de"] * 20_000, None, None, "a", 1)] * 2 + [(2, "x" * 300_000, "en", None, "a", 1)])
+    got = langid.identify(docs, small_model(spark), docs["declared"], docs["suffix"], docs["host"]).collect()
+    assert [(r.doc_id, r.language) for r in got if r.doc_id == 1] == [(1, "de")] * 2 and len(got) == 3

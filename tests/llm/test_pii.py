@@ -1,4 +1,6 @@
 import re
+import time
+
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -53,3 +55,42 @@ def test_documents(spark):
     assert pairs.count() == 3 and pii.collisions(pairs).isEmpty()
     assert not pii.collisions(pairs.selectExpr("kind", "entity", "'same' as surrogate", "n_mentions")).isEmpty()
     assert pii.replace(docs.limit(0), KEY).count() == 0
+
+
+def test_later_mentions_of_a_name_take_its_surrogate():
+    text = "Frau Anna Müller came. Later Müller said that Anna was here; Müller's dog, Annas Hund, Müllerstraße."
+    new, counts, pairs = pii.replaced(pii.DEFAULT_KEY, text)
+    made = {e: m for _, e, m in pairs}
+    assert new == f"Frau {made['Anna']} {made['Müller']} came. Later {made['Müller']} said that {made['Anna']} was here; {made['Müller']}'s dog, Annas Hund, Müllerstraße."
+    assert counts["name"] == 5 and set(made) == {"Anna", "Müller"}
+
+
+def test_many_mentions_in_one_text():
+    text = " ".join(f"user{k}@example{k}.org met Anna Schmidt{chr(97 + k % 26)} at 10.0.{k % 250}.{k // 250 % 250}" for k in range(30_000))
+    began = time.perf_counter()
+    assert len(pii.mentions(text)) == 4 * 30_000
+    assert time.perf_counter() - began < 15
+
+
+def test_values_of_the_result_name_one_entity(spark):
+    """Every mention, by text and place, against a plain table of entities and surrogates."""
+    names = ["Anna", "Barbara", "Peter", "Paul", "Maria"]
+    rows = [(k, f"Mail p{k % 7}@a.org or P{k % 7}@A.org, call +49 30 123{k % 5}567, ask {names[k % 5]} Meier{chr(97 + k % 3)} on 10.1.2.{k % 9}.") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    pairs = {(r.kind, r.entity): r.surrogate for r in pii.surrogate_map(docs).collect()}
+    assert len({(k, v) for (k, _), v in pairs.items()}) == len(pairs)
+    assert {(r.kind, r.surrogate) for r in pii.reused(pii.surrogate_map(docs)).collect()} == {(k, v) for (k, _), v in pairs.items() if (k, v) in pairs}
+    got = {r.doc_id: r for r in pii.replace(docs).collect()}
+    for k, text in rows:
+        want, at = [], 0
+        for a, b, kind, found in pii.mentions(text):
+            entity = found.lower() if kind == "email" else f"+49 {re.sub('[^0-9]', '', found)[2:]}" if kind == "phone" else found
+            made = pairs[kind, entity]
+            if kind == "phone":
+                digits = iter(re.sub("[^0-9]", "", made))
+                made = "".join(next(digits) if c.isdigit() else c for c in found)
+            elif kind == "email":
+                made = "".join(c.upper() if f.isupper() else c for c, f in zip(made, found))
+            want += [text[at:a], made]
+            at = b
+        assert got[k].text == "".join([*want, text[at:]]) and got[k]._n_email == 2 and got[k]._n_phone == 1 and got[k]._n_name == 2 and got[k]._n_ip == 1

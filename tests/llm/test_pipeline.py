@@ -40,3 +40,23 @@ def test_nulls_pass(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     for _, stage in corpus_pipeline.STAGES:
         stage(spark, docs, DATA).count()
+
+
+def test_rows_of_one_id_and_clashing_columns(spark):
+    """Rows are judged one by one; columns named like the stages' own come through as they were."""
+    good = "the water and the house of the garden are here with me and all of the others"
+    own = ["_rejected", "_gone", "key", "n", "name", "id", "component", "keep", "_taken", "_cell", "kept", "place", "posterior"]
+    rows = [(1, good, "en", "src1", len(good)), (1, "12 34", "en", "src1", 5), (1, good, "en", "src1", len(good)), (4, "Frau Anna Müller ist hier und der Garten mit dem Haus", "de", "src2", 5)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in own)
+    docs = spark.createDataFrame([(*r, *(f"{c}{k}" for c in own)) for k, r in enumerate(rows)], schema)
+    seen = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = docs.count()
+        docs = spark.createDataFrame(stage(spark, docs, DATA).collect(), docs.schema)
+        assert all(r[c][:-1] == c for r in docs.collect() for c in own)
+        seen[name] = sorted((r.doc_id, r.text) for r in docs.collect())
+        assert docs.count() <= before
+    assert [d for d, _ in seen["language_id"]] == [1, 1, 4]  # the row without words goes, others of its id stay
+    assert [d for d, _ in seen["near_dedup"]] == [1, 1, 4]
+    assert "Anna" not in str(seen["pii_surrogates"]) and "Müller" not in str(seen["pii_surrogates"])
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, DATA).columns[0] == "doc_id"
