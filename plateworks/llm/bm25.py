@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import wordstream
-from .common import enter, hashed_place, id_filter, in_filter, map_batches, materialize, open_store, prepare, shared_path
+from .common import hashed_place, id_filter, in_filter, map_batches, materialize, open_store, prepare, shared_path
 from .token_files import map_ids
 
 K1, B = 1.2, 0.75
@@ -115,7 +115,6 @@ def build_index(documents: DataFrame) -> DataFrame:
     folder = shared_path(documents.sparkSession, "bm25-shards")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enter("words")
         ids: list[int] = []
         texts: list[tuple[np.ndarray, np.ndarray]] = []
         held = 0
@@ -245,11 +244,10 @@ def search(index: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(terms)], names=["query_id", "term"])
 
     asked = queries.where("query_id is not null").select(F.col("query_id").cast("long").alias("query_id"), F.col("text").cast("string").alias("text"))
-    asked = materialize(map_batches(asked, words, "query_id long, term long", "words").distinct(), "bm25-asked")
+    asked = materialize(map_batches(asked, words, "query_id long, term long").distinct(), "bm25-asked")
     bits = spark.sparkContext.broadcast(id_filter(asked, "term", hashed_place))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enter("index")
         kept: list[np.ndarray] = []
         sizes: list[np.ndarray] = []
         for batch in batches:
@@ -273,7 +271,6 @@ def search(index: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
     path = packed._plateworks_path
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enter("index")
         for batch in batches:
             for row in batch.to_pylist():
                 shard = Shard(_load(row), average)

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Rows an Arrow batch carries to a Python worker. Long texts make rows wide, so
 #: the default of 10,000 could hold more than a worker's memory.
@@ -87,13 +88,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: What a worker remembers between tasks: kind of work -> function that forgets it.
-MEMOS: dict[str, Callable[[], object]] = {}
-_work = [""]
+#: What a worker remembers while a task runs: functions that forget it.
+MEMOS: list[Callable[[], object]] = []
 
 
 def release() -> None:
-    """Give freed memory back to the system: workers live on and are used by later stages."""
+    """Give freed memory back to the system: workers live on, idle ones too."""
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
@@ -101,31 +101,27 @@ def release() -> None:
         pass
 
 
-def enter(work: str) -> None:
-    """To be called when a task begins: a worker that did other work before forgets what that remembered."""
-    if _work[0] != work:
-        for name, forget in MEMOS.items():
-            if name != work:
-                forget()
-        release()
-        _work[0] = work
+def leave() -> None:
+    """To be called when a task ends: there are more workers than tasks, and each would keep what it remembers."""
+    for forget in MEMOS:
+        forget()
+    release()
 
 
-def map_batches(
-    df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Iterable[pa.RecordBatch]], schema: str, work: str = "texts"
-) -> DataFrame:
-    """Apply ``fn`` to each Arrow batch of ``df``. ``work`` names what the task remembers (see ``enter``)."""
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Iterable[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """Apply ``fn`` to each Arrow batch of ``df`` that has rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enter(work)
-        for batch in batches:
-            if batch.num_rows:
-                out = fn(batch)
-                if isinstance(out, pa.RecordBatch):
-                    yield out
-                else:
-                    yield from out
-        release()
+        try:
+            for batch in batches:
+                if batch.num_rows:
+                    out = fn(batch)
+                    if isinstance(out, pa.RecordBatch):
+                        yield out
+                    else:
+                        yield from out
+        finally:
+            leave()
 
     return df.mapInArrow(run, schema)
 
@@ -183,7 +179,6 @@ def contract(edges: DataFrame) -> DataFrame:
     """Edges with the same components, and within each partition none that others imply."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enter("links")
         merger = Merger()
         for batch in batches:
             for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):

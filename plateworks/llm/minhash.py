@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import wordstream
-from .common import components, contract, discard, enter, filter_place, id_filter, materialize, release, tidy
+from .common import components, contract, discard, filter_place, id_filter, materialize, release, tidy
 
 HASHES = 96
 WIDTH = 5
@@ -137,7 +137,6 @@ def neighbours(classes: DataFrame, depth: int, threshold: float, shallower: bool
         return pa.RecordBatch.from_arrays(arrays, names=["tree", "region", "id", "n", "left"])
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enter("regions")
         held: list[np.ndarray] | None = None
         # Of the row held back: whether it is known to share its key (at a cut, it may), and its neighbour.
         shares, before, met = True, 0, False
@@ -178,7 +177,6 @@ def likely_pairs(pairs: DataFrame, classes: DataFrame, threshold: float) -> Data
         return pa.RecordBatch.from_arrays([batch.column("a").filter(fits), batch.column("b").filter(fits), pa.array(same).filter(fits)], names=["a", "b", "same"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enter("regions")
         for batch in batches:
             if batch.num_rows:
                 yield agree(batch)
@@ -346,7 +344,6 @@ def linked_classes(
     members = materialize(neighbours(classes, depth, threshold, shallower), f"{name}-members")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enter("regions")
         for batch in batches:
             good = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
@@ -369,13 +366,11 @@ def linked_classes(
     discard(pairs)
 
     def unjoined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enter("regions")
         for table in (part for run in _runs(batches) for part in _slices(run)):
             rows = _unjoined(table, threshold)
             yield from table.select(["tree", "region", "id", "component"]).take(pa.array(rows)).combine_chunks().to_batches()
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enter("regions")
         for table in (part for run in _runs(batches) for part in _slices(run)):
             tree, region, ids, component = (table.column(c).to_numpy() for c in ("tree", "region", "id", "component"))
             sets = [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()]

@@ -89,7 +89,7 @@ def measure(documents: DataFrame, tokenizer: str | None = None, topic: Column |
         yield pa.RecordBatch.from_arrays([*columns, pa.array(kept, pa.string()), pa.array(n, pa.int64())], names=["doc_id", "source", "lang", "topic", "text", "n_tokens"])
 
     schema = StructType(read.schema.fields[:-1]).add("n_tokens", LongType())
-    return materialize(map_batches(read, count, schema, "pieces"), "mixing-counts")
+    return materialize(map_batches(read, count, schema), "mixing-counts")
 
 
 def rake(weights: np.ndarray, targets: list[np.ndarray]) -> np.ndarray:

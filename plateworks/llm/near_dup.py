@@ -52,7 +52,7 @@ def shingle_sets(documents: DataFrame, heads: DataFrame, ids: DataFrame) -> Data
         yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(second), wordstream.binaries(flat, offsets)], names=["name", "second", "shingles"])
 
     read = documents.where("doc_id is not null").select("text", filter_place("doc_id").alias("place"))
-    found = map_batches(read, compute, "name long, second long, shingles binary", "words").join(wanted, ["name", "second"]).select("id", "shingles")
+    found = map_batches(read, compute, "name long, second long, shingles binary").join(wanted, ["name", "second"]).select("id", "shingles")
     return found.dropDuplicates(["id"])  # equal sets: any of them
 
 
@@ -80,7 +80,7 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
             names=["doc_id", "name", "second", "n", "keys", "rest", "sketch"],
         )
 
-    sketched = materialize(map_batches(read, sketch, f"doc_id long, name long, second long, {minhash.SKETCHED}", "words"), "near-sketch")
+    sketched = materialize(map_batches(read, sketch, f"doc_id long, name long, second long, {minhash.SKETCHED}"), "near-sketch")
     key = ["name", "second"]
     named = sketched.where("n > 0 and doc_id is not null")
     labels = [F.any_value(c, F.lit(True)).alias(c) for c in ("keys", "rest", "sketch")]

@@ -9,6 +9,7 @@ ends are boundary records, which alone are shuffled to be joined.
 
 from __future__ import annotations
 
+import io
 import zlib
 from collections.abc import Iterator
 
@@ -19,9 +20,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import enter, map_batches, materialize, prepare, release, texts_of
+from .common import leave, map_batches, materialize, prepare
 
 WINDOW = 1024
+#: Input partitions up to which their bases (16 bytes each) are broadcast; more are joined by a shuffle.
+BROADCAST_PARTS = 500_000
 CHUNKS = "part int, local_start long, n_tokens long, doc_ids array<long>, lengths array<long>, ids binary"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -36,40 +39,46 @@ def encode_chunks(documents: DataFrame, tokenizer: str | None = None, end_id: in
     tokenizer = tokenizer or tokens.default_tokenizer()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enter("pieces")
         code, kind = tokens.encoder(tokenizer), tokens.id_type(tokenizer)
         end = np.array([end_id], dtype="<u4").tobytes()
         part, at = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            found = [code.encode(t) + end for t in texts_of(batch)]
-            lengths = [len(x) // 4 for x in found]
-            n = sum(lengths)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([part], pa.int32()),
-                    pa.array([at], pa.int64()),
-                    pa.array([n], pa.int64()),
-                    pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
-                    pa.array([lengths], pa.list_(pa.int64())),
-                    pa.array([np.frombuffer(b"".join(found), dtype="<u4").astype(kind).tobytes()], pa.binary()),
-                ],
-                names=["part", "local_start", "n_tokens", "doc_ids", "lengths", "ids"],
-            )
-            at += n
-            del found
-            release()
+        try:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                lengths, ids = [], io.BytesIO()
+                for text in batch.column("text"):
+                    found = code.encode(text.as_py() or "") + end
+                    lengths.append(len(found) // 4)
+                    ids.write(np.frombuffer(found, dtype="<u4").astype(kind).tobytes())
+                n = sum(lengths)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([part], pa.int32()),
+                        pa.array([at], pa.int64()),
+                        pa.array([n], pa.int64()),
+                        pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
+                        pa.array([lengths], pa.list_(pa.int64())),
+                        pa.array([ids.getvalue()], pa.binary()),
+                    ],
+                    names=["part", "local_start", "n_tokens", "doc_ids", "lengths", "ids"],
+                )
+                at += n
+        finally:
+            leave()
 
     read = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     chunks = materialize(read.mapInArrow(encode, CHUNKS), "packing-chunks")
-    # One row an input partition: the table that is broadcast has a (number, number) pair for each.
+    # One row of two numbers an input partition.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = (
         chunks.groupBy("part").agg(F.sum("n_tokens").alias("total"))
         .select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("part_base"))
     )
-    return chunks.join(F.broadcast(bases), "part").withColumn("base", F.col("part_base") + F.col("local_start"))
+    bases = materialize(bases, "packing-bases")
+    if bases.count() <= BROADCAST_PARTS:
+        bases = F.broadcast(bases)
+    return chunks.join(bases, "part").withColumn("base", F.col("part_base") + F.col("local_start"))
 
 
 def cut(chunks: DataFrame, tokenizer: str | None = None, window: int = WINDOW) -> DataFrame:
@@ -104,7 +113,7 @@ def cut(chunks: DataFrame, tokenizer: str | None = None, window: int = WINDOW) -
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
             )
 
-    return map_batches(chunks.select("base", "doc_ids", "lengths", "ids"), pieces, PIECES, "cuts")
+    return map_batches(chunks.select("base", "doc_ids", "lengths", "ids"), pieces, PIECES)
 
 
 def sequences(chunks: DataFrame, tokenizer: str | None = None, window: int = WINDOW, pad_id: int = 0) -> DataFrame:
@@ -125,7 +134,7 @@ def sequences(chunks: DataFrame, tokenizer: str | None = None, window: int = WIN
                 names=["sequence_id", "offset", "ids"],
             )
 
-    cuts = map_batches(chunks.select("base", "ids"), windows, "sequence_id long, offset int, ids array<int>", "cuts")
+    cuts = map_batches(chunks.select("base", "ids"), windows, "sequence_id long, offset int, ids array<int>")
     whole = cuts.where(F.size("ids") == window).select("sequence_id", "ids")
     joined = (
         cuts.where(F.size("ids") < window)  # boundary records

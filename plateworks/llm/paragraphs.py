@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import minhash, wordstream
-from .common import FILTER_BITS, discard, enter, hashed_place, id_filter, in_filter, map_batches, materialize, no_filter, prepare, release, tidy
+from .common import FILTER_BITS, discard, hashed_place, id_filter, in_filter, map_batches, materialize, no_filter, prepare, release, tidy
 
 LEAST_WORDS = 40
 PERCENT = 75
@@ -107,7 +107,7 @@ def repeated_paragraphs(documents: DataFrame, percent: int = PERCENT, least: int
             names=["doc_id", "paragraph", "begin", "finish", "id", "n", "keys", "rest", "sketch"],
         )
 
-    found = materialize(map_batches(read, find, FOUND, "words"), "paragraphs")
+    found = materialize(map_batches(read, find, FOUND), "paragraphs")
     distinct = materialize(found.where("keys is not null").select("id", "n", "keys", "rest", "sketch").dropDuplicates(["id"]), "paragraphs-distinct")
     linked = minhash.linked_classes(distinct, lambda ids, bits: _sets(read, ids, bits, least), ROWS, percent, "paragraphs", hashed_place, shallower=False)
 
@@ -139,7 +139,7 @@ def _sets(documents: DataFrame, ids: DataFrame, bits: bytes, least: int) -> Data
         flat, offsets = wordstream.shingle_sets(words.hashes, found.a[at], found.b[at], minhash.WIDTH)
         yield pa.RecordBatch.from_arrays([pa.array(own), wordstream.binaries(flat, offsets)], names=["id", "shingles"])
 
-    return map_batches(documents, compute, "id long, shingles binary", "words").join(ids, "id", "left_semi").dropDuplicates(["id"])
+    return map_batches(documents, compute, "id long, shingles binary").join(ids, "id", "left_semi").dropDuplicates(["id"])
 
 
 class Runs:
@@ -224,7 +224,7 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
         found = Runs(wordstream.Words(batch.column("text")))
         yield pa.RecordBatch.from_arrays([pa.array(found.anchor[found.groups]), batch.column("class").take(pa.array(found.text[found.groups]))], names=["id", "class"])
 
-    seen = map_batches(read, anchors, "id long, class long", "words").groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("b"))
+    seen = map_batches(read, anchors, "id long, class long").groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("b"))
     # Lets through too much at most: what counts is the comparison below.
     met = spark.sparkContext.broadcast(id_filter(seen.where("a < b").select("id"), place=hashed_place))
     tidy(spark)
@@ -263,7 +263,7 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
             names=["doc_id", "class", "pos", "until", "runs", "starts", "ends"],
         )
 
-    held = map_batches(read, runs, "doc_id long, class long, pos int, until int, runs array<long>, starts array<int>, ends array<int>", "words")
+    held = map_batches(read, runs, "doc_id long, class long, pos int, until int, runs array<long>, starts array<int>, ends array<int>")
     held = materialize(held.withColumn("content", F.xxhash64("runs")), "passages-runs")
     contents = held.where("until = 0").groupBy("content", "runs").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     contents = materialize(contents, "passages-contents")
@@ -295,7 +295,6 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
         yield _passage_batch(doc[x], pos[x], pos[y] + RUN_WORDS, start[x], end[y], run[x], first[x])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enter("regions")
         for part in whole_groups(batches, "class"):
             doc, pos, until, start, end, run, first = (part.column(c).to_numpy() for c in ("class", "pos", "until", "start", "end", "cluster_id", "first_doc_id"))
             cut = (doc[1:] != doc[:-1]) | (first[1:] != first[:-1]) | (pos[1:] > until[:-1] - RUN_WORDS + 1)
@@ -305,7 +304,7 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
 
     found = held.where("until = 0").join(hits, "content").select("class", "pos", "runs", "starts", "ends", "ks", "firsts")
     # Two documents of a class give the same pieces.
-    parts = map_batches(found, pieces, CLASS_PASSAGES, "regions").distinct().repartition("class").sortWithinPartitions("class", "pos").mapInArrow(merge, CLASS_PASSAGES)
+    parts = map_batches(found, pieces, CLASS_PASSAGES).distinct().repartition("class").sortWithinPartitions("class", "pos").mapInArrow(merge, CLASS_PASSAGES)
     low = copies.select("class", F.col("low").alias("first_doc_id"))
     parts = parts.join(low, ["class", "first_doc_id"], "left_anti")
     wholes = held.where("until > 0").select("class", "pos", "until", F.col("starts")[0].alias("start"), F.col("ends")[0].alias("end"), F.col("runs")[0].alias("cluster_id"))

@@ -201,7 +201,7 @@ def _cached(key: bytes, kind: str, entity: str) -> str:
     return surrogate(key, kind, entity)
 
 
-MEMOS["entities"] = _cached.cache_clear
+MEMOS.append(_cached.cache_clear)
 
 
 def _dressed(kind: str, found: str, entity: str, made: str) -> str:
@@ -328,7 +328,7 @@ def replace(documents: DataFrame, key: bytes = DEFAULT_KEY, check: bool = True)
         yield pa.RecordBatch.from_arrays([*columns, *(pa.array(counts[k], pa.int64()) for k in KINDS)], names=[*batch.schema.names, *names])
 
     schema = StructType([*source.schema.fields, *(StructField(name, LongType()) for name in names)])
-    return map_batches(source, compute, schema, "entities")
+    return map_batches(source, compute, schema)
 
 
 def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:

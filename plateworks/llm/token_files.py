@@ -2,12 +2,13 @@
 
 Each shard is ``<name>.bin`` (the ids of its documents one after another, no header) and
 ``<name>.idx`` (n + 1 unsigned 64-bit offsets in ids, then n signed 64-bit document ids).
-A manifest table lists the shards in order with their counts; a shard's base is the
+A manifest table lists the shards in order with their counts (``n_nulls`` documents at a shard's start have no id); a shard's base is the
 prefix sum of the counts before it. Readers map the files into memory.
 """
 
 from __future__ import annotations
 
+import array
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -20,11 +21,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import enter, local_path, open_store, prepare, release, shared_path, texts_of
+from .common import leave, local_path, open_store, prepare, shared_path
 
-MANIFEST = "shard int, file string, dtype string, n_docs long, n_tokens long"
-#: Stands for a null document id in the files.
-NULL_ID = -(1 << 63)
+MANIFEST = "shard int, file string, dtype string, n_docs long, n_nulls long, n_tokens long"
+#: Text bytes that a shard holds, about, unless a number of shards is given.
+SHARD_BYTES = 1 << 30
 
 
 @dataclass(frozen=True)
@@ -49,32 +50,39 @@ def write_token_files(
     spark = prepare(documents.sparkSession)
     folder = folder or shared_path(spark, "token-files")
     tokenizer = tokenizer or tokens.default_tokenizer()
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if shards is None:  # enough for the input, whatever the session's number of partitions
+        size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enter("pieces")
         store, path = open_store(folder)
         code, kind = tokens.encoder(tokenizer), tokens.id_type(tokenizer)
         end = np.array([end_id], dtype="<u4").tobytes()
         shard = TaskContext.get().partitionId()
         name = f"{shard:06d}-{uuid.uuid4().hex}"
-        ids: list[int] = []
-        counts: list[int] = []
-        with store.open_output_stream(f"{path}/{name}.bin") as out:
-            for batch in batches:
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
-                    found = code.encode(text) + end
-                    ids.append(NULL_ID if doc_id is None else doc_id)
-                    counts.append(len(found) // 4)
-                    out.write(np.frombuffer(found, dtype="<u4").astype(kind).tobytes())
-                release()
+        ids, counts, nulls = array.array("q"), array.array("q"), array.array("q")
+        try:
+            with store.open_output_stream(f"{path}/{name}.bin") as out:
+                for batch in batches:
+                    for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                        found = code.encode(text.as_py() or "") + end
+                        if doc_id is None:
+                            nulls.append(len(ids))
+                        ids.append(doc_id or 0)
+                        counts.append(len(found) // 4)
+                        out.write(np.frombuffer(found, dtype="<u4").astype(kind).tobytes())
+        finally:
+            leave()
         offsets = np.zeros(len(counts) + 1, dtype="<u8")
-        np.cumsum(counts, out=offsets[1:])
+        np.cumsum(np.frombuffer(counts, np.int64), out=offsets[1:])
+        # Null ids sort first, so their number says which they are.
+        assert list(nulls) == list(range(len(nulls)))
         with store.open_output_stream(f"{path}/{name}.idx") as out:
-            out.write(offsets.tobytes() + np.array(ids, dtype="<i8").tobytes())
-        if ids:
+            out.write(offsets)
+            out.write(np.frombuffer(ids, "<i8"))
+        if len(ids):
             yield pa.RecordBatch.from_pydict(
-                {"shard": pa.array([shard], pa.int32()), "file": [name], "dtype": [kind], "n_docs": [len(ids)], "n_tokens": [int(offsets[-1])]}
+                {"shard": pa.array([shard], pa.int32()), "file": [name], "dtype": [kind], "n_docs": [len(ids)], "n_nulls": [len(nulls)], "n_tokens": [int(offsets[-1])]}
             )
 
     manifest = f"{folder}/manifest"
@@ -128,7 +136,7 @@ def read_token_files(spark: SparkSession, files: TokenFiles) -> DataFrame:
                     doc = np.array(ids[at : at + step])
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(doc, pa.int64(), mask=doc == NULL_ID),
+                            pa.array(doc, pa.int64(), mask=np.arange(at, at + len(doc)) < row["n_nulls"]),
                             pa.array(o[:-1] + row["base"], pa.int64()),
                             pa.array(np.diff(o), pa.int64()),
                             pa.array(crc, pa.int64()),

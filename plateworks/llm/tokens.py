@@ -18,8 +18,8 @@ import numpy as np
 
 from .common import MEMOS
 
-#: Distinct pieces remembered per worker; beyond it the memory is emptied and refilled.
-MEMO_PIECES = 400_000
+#: Distinct pieces remembered during a task (some 200 bytes each); beyond it the memory is emptied and refilled.
+MEMO_PIECES = 300_000
 
 # Letters, digits and white space up to U+024F, as the published pattern sees them.
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
@@ -81,7 +81,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-MEMOS["pieces"] = encoder.cache_clear
+MEMOS.append(encoder.cache_clear)
 
 
 def id_type(path: str) -> str:

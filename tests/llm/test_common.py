@@ -1,14 +1,27 @@
+import pytest
+
 from plateworks.llm import common
 
 
-def test_a_worker_forgets_other_work(monkeypatch):
-    kept = {"a": {1: 1}, "b": {2: 2}}
-    monkeypatch.setattr(common, "MEMOS", {k: v.clear for k, v in kept.items()})
-    common.enter("a")
-    assert kept == {"a": {1: 1}, "b": {}}
-    common.enter("a")
-    common.enter("other")
-    assert kept == {"a": {}, "b": {}}
+def test_a_worker_forgets_when_a_task_ends(monkeypatch):
+    kept = [{1: 1}, {2: 2}]
+    monkeypatch.setattr(common, "MEMOS", [k.clear for k in kept])
+    common.leave()
+    assert kept == [{}, {}]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError):
+        common.shared_root(Session())
+    Session.conf = {"spark.checkpoint.dir": "hdfs://h/shared/"}
+    assert common.shared_root(Session()) == "hdfs://h/shared"
 
 
 def test_shared_folder_is_the_sessions(spark):
