@@ -208,11 +208,12 @@ def mix(
     found = calibrate({tuple(r["cell"]): float(r["n"]) for r in sums}, targets, keep, strict=strict)
     rows = [(source, lang, kind, p, found.residual) for (source, lang, kind), p in sorted(found.chances.items())]
     of = f"{prefix}of"
-    table = spark.createDataFrame(rows, "source string, lang string, topic string, probability double, residual double")
+    kinds = pa.schema([("source", pa.string()), ("lang", pa.string()), ("topic", pa.string()), ("probability", pa.float64()), ("residual", pa.float64())])
+    # A local table, whose size the planner knows: it is broadcast if it is small.
+    table = spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(list(zip(*rows)) or [()] * 5, kinds)], schema=kinds))
     table = table.select(F.struct("source", "lang", "topic").alias(of), F.col("probability").alias(name["probability"]), F.col("residual").alias(name["residual"]))
     drawn = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(seed), F.coalesce("text", F.lit("")))).otherwise(F.xxhash64(F.lit(seed), F.col("doc_id").cast("long")))
     even = F.shiftrightunsigned(drawn, 11) / F.lit(float(1 << 53))
-    # A row a cell: a table of few named categories is small enough to be broadcast by its size.
     joined = marked.join(table, marked[name["cell"]] == table[of], "left").drop(of)
     return joined.withColumn(name["probability"], F.coalesce(name["probability"], F.lit(0.0))).withColumn(name["taken"], even < F.col(name["probability"]))
 

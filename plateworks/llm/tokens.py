@@ -16,10 +16,8 @@ import sys
 
 import numpy as np
 
-from .common import MEMOS
-
-#: Distinct pieces remembered during a task (some 200 bytes each); beyond it the memory is emptied and refilled.
-MEMO_PIECES = 300_000
+#: Distinct pieces of a generation that a worker remembers (some 200 bytes each); there are two.
+MEMO_PIECES = 50_000
 
 # Letters, digits and white space up to U+024F, as the published pattern sees them.
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
@@ -46,13 +44,18 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Memo(dict):
+    """Ids by piece, in two generations: when the young one is full it becomes the old one, from which pieces that come again move on."""
+
     def __init__(self, model, letters):
-        self.model, self.letters = model, letters
+        self.model, self.letters, self.old = model, letters, {}
 
     def __missing__(self, piece: str) -> bytes:
-        shown = piece.encode().decode("latin1").translate(self.letters)
-        ids = array.array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+        ids = self.old.get(piece)
+        if ids is None:
+            shown = piece.encode().decode("latin1").translate(self.letters)
+            ids = array.array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
         if len(self) >= MEMO_PIECES:
+            self.old = dict(self)
             self.clear()
         self[piece] = ids
         return ids
@@ -81,8 +84,6 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-MEMOS.append(encoder.cache_clear)
-
 
 def id_type(path: str) -> str:
     """The narrowest unsigned type that holds every id of the vocabulary."""
