@@ -60,3 +60,28 @@ def logistic(x: Column, top: Column, rate: Column, middle: Column) -> Column:
 def safe_f1(precision: Column, recall: Column) -> Column:
     """Harmonic mean; null where both are zero."""
     return F.try_divide(2 * precision * recall, precision + recall)
+
+
+def title_case(c: Column) -> Column:
+    """Each word's first letter upper case, the rest lower case; words are parted by blanks."""
+    return F.initcap(c)
+
+
+def half_even(c: Column, digits: int = 2) -> Column:
+    """Rounded to ``digits``, halves to the even neighbour."""
+    return F.bround(c, digits)
+
+
+def count_label(n: Column, text: str = "n = %d") -> Column:
+    """A label such as "n = 12" for figures."""
+    return F.format_string(text, n.cast("long"))
+
+
+def to_params(c: Column) -> Column:
+    """A struct or map of settings as JSON text."""
+    return F.to_json(c)
+
+
+def from_params(c: Column, schema: str = "map<string,string>") -> Column:
+    """Settings from JSON text; text that is none gives null."""
+    return F.from_json(c, schema)

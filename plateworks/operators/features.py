@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,11 +26,53 @@ def bit_counts(df: DataFrame, vector: str) -> DataFrame:
 
 
 def correlations(df: DataFrame, vector: str, width: int) -> DataFrame:
-    """Signed correlation of every two positions i < j: one pass that sums products, no row leaves its task but sums."""
-    pairs = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(width - 2)), lambda i: F.transform(F.sequence(i + 1, F.lit(width - 1)), lambda j: F.struct(
-        i.alias("i"), j.alias("j"), F.get(F.col(vector), i).cast("double").alias("x"), F.get(F.col(vector), j).cast("double").alias("y")))))
-    rows = df.select(F.explode(pairs).alias("p")).select("p.*")
-    return rows.groupBy("i", "j").agg(F.corr("x", "y").alias("r"))
+    """Signed correlation of every two positions i < j, from one matrix of sums a partition: only these are shuffled."""
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total, product = 0, np.zeros(width), np.zeros((width, width))
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                rows = [r for r in batch.column(0).slice(at, 1024).to_pylist() if r is not None]
+                if rows:
+                    # About the first row seen, so that large means do not swallow the products.
+                    x = np.array(rows, float) - origin
+                    n, total, product = n + len(x), total + x.sum(axis=0), product + x.T @ x
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([n]), pa.array([total.tolist()]), pa.array([product.ravel().tolist()])], names=["one", "n", "total", "product"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total, product = 0, np.zeros(width), np.zeros((width, width))
+        for batch in batches:
+            for row in batch.to_pylist():
+                n, total, product = n + row["n"], total + np.array(row["total"]), product + np.array(row["product"]).reshape(width, width)
+        if n:
+            cov = product - np.outer(total, total) / n
+            spread = np.sqrt(np.maximum(np.diag(cov), 0))
+            with np.errstate(invalid="ignore", divide="ignore"):
+                r = cov / np.outer(spread, spread)
+            i, j = np.triu_indices(width, 1)
+            yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(r[i, j], from_pandas=True)], names=["i", "j", "r"])
+
+    read = df.select(F.transform(vector, lambda x: x.cast("double")).alias("v"))
+    first = read.where("v is not null").first()
+    origin = np.array(first["v"] if first else np.zeros(width))
+    parts = read.mapInArrow(sums, "one long, n long, total array<double>, product array<double>")
+    # A tree of two levels: square roots of the number of partitions meet.
+    some = max(1, math.isqrt(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
+    halves = parts.repartition(some).mapInArrow(_added(width), "one long, n long, total array<double>, product array<double>")
+    return halves.coalesce(1).mapInArrow(merge, "i long, j long, r double")
+
+
+def _added(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total, product = 0, np.zeros(width), np.zeros(width * width)
+        for batch in batches:
+            for row in batch.to_pylist():
+                n, total, product = n + row["n"], total + np.array(row["total"]), product + np.array(row["product"])
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([n]), pa.array([total.tolist()]), pa.array([product.tolist()])], names=["one", "n", "total", "product"])
+
+    return run
 
 
 def correlated(df: DataFrame, vector: str, width: int, limit: float) -> DataFrame:
@@ -33,16 +80,22 @@ def correlated(df: DataFrame, vector: str, width: int, limit: float) -> DataFram
     return correlations(df, vector, width).where(F.col("r") >= limit).select(F.col("j").cast("long").alias("pos")).distinct()
 
 
-def hamming_features(df: DataFrame, vector: str) -> DataFrame:
-    """Share of compounds in which two bits i < j differ, from co-occurrence counts."""
-    n = df.count()
-    on = df.select(F.monotonically_increasing_id().alias("row"), F.filter(F.transform(vector, lambda x, k: F.when(x > 0, k)), lambda k: k.isNotNull()).alias("on"))
-    single = on.select(F.explode("on").alias("i")).groupBy("i").agg(F.count("*").alias("ni"))
-    both = F.flatten(F.transform("on", lambda i: F.transform(F.filter("on", lambda j: j > i), lambda j: F.struct(i.alias("i"), j.alias("j")))))
-    pairs = on.select(F.explode(both).alias("p")).select("p.*").groupBy("i", "j").agg(F.count("*").alias("nij"))
-    left, right = single, single.select(F.col("i").alias("j"), F.col("ni").alias("nj"))
-    every = left.join(F.broadcast(right), F.col("i") < F.col("j")).join(pairs, ["i", "j"], "left")
-    return every.select(F.col("i").cast("long"), F.col("j").cast("long"), ((F.col("ni") + F.col("nj") - 2 * F.coalesce("nij", F.lit(0))) / F.lit(float(max(n, 1)))).alias("hamming"))
+def hamming_features(df: DataFrame, vector: str, width: int | None = None) -> DataFrame:
+    """Share of compounds in which two bits i < j of ``width`` differ, from co-occurrence counts; bits that none has count too.
+
+    Without ``width`` it is that of the longest vector."""
+    seen = df.agg(F.count("*").alias("n"), F.max(F.size(vector)).alias("width")).first()
+    n, width = seen["n"], width or max(seen["width"] or 0, 1)
+    on = df.select(F.filter(F.transform(vector, lambda x, k: F.when(x > 0, k)), lambda k: k.isNotNull()).alias("on"))
+    pairs = F.flatten(F.transform("on", lambda i: F.transform(F.filter("on", lambda j: j >= i), lambda j: F.struct(i.alias("i"), j.alias("j")))))
+    both = on.select(F.explode(pairs).alias("p")).select("p.*").groupBy("i", "j").agg(F.count("*").alias("nij"))
+    # A row for each two of the ``width`` positions, however many compounds there are.
+    every = df.sparkSession.range(width).select(F.col("id").cast("int").alias("i")).withColumn("j", F.explode(F.sequence("i", F.lit(width - 1)))).where("i < j")
+    single = both.where("i = j").select("i", F.col("nij").alias("ni"))
+    every = every.join(single, "i", "left").join(single.select(F.col("i").alias("j"), F.col("ni").alias("nj")), "j", "left").join(both, ["i", "j"], "left")
+    zero = F.lit(0)
+    differ = F.coalesce("ni", zero) + F.coalesce("nj", zero) - 2 * F.coalesce("nij", zero)
+    return every.select(F.col("i").cast("long"), F.col("j").cast("long"), (differ / F.lit(float(max(n, 1)))).alias("hamming"))
 
 
 def keep_positions(df: DataFrame, vector: str, keep: list[int]) -> DataFrame:

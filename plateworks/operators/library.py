@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import clean_name
 
@@ -34,12 +36,31 @@ def drop_overlap(library: DataFrame, known: DataFrame, name: str, codes: Column,
 
 
 def gather(df: DataFrame, keys: list, key: str) -> DataFrame:
-    """Rows by a list of keys, in its order and as often as listed, with ``ord``; a missing key is an error."""
-    spark = df.sparkSession
-    wanted = spark.createDataFrame(list(enumerate(keys)), f"ord long, _key {df.schema[key].dataType.simpleString()}")
-    out = F.broadcast(wanted).join(df, F.col("_key") == df[key], "left")
-    found = F.assert_true(F.col(key).isNotNull(), F.concat(F.lit("no such key: "), F.col("_key").cast("string")))
-    return out.withColumn("_ok", found).where("_ok is null").drop("_ok", "_key")
+    """Rows by a list of keys, in its order (``ord``) and as often as listed; a missing key is an error.
+
+    The list comes from the driver, so it is the side that is sent to the rows (by its size, which the planner knows).
+    """
+    kind = df.schema[key].dataType
+    wanted = df.sparkSession.createDataFrame(pa.table([pa.array(range(len(keys)), pa.int64()), pa.array(keys, to_arrow_type(kind))], names=["ord", "_key"]))
+    missing = wanted.join(df.select(F.col(key).alias("_found")), F.col("_key") == F.col("_found"), "left_anti").select("_key").distinct().collect()
+    if missing:
+        raise KeyError(f"no such key: {', '.join(str(r[0]) for r in missing)}")
+    return df.join(wanted, df[key] == F.col("_key")).drop("_key")
+
+
+def lookup_by_number(queries: DataFrame, table: DataFrame, number: str, value: str, missing: str = "not_found") -> DataFrame:
+    """``value`` by a compound's registry number (whole numbers, however written: 7, 7.0, "7"), else ``missing``."""
+    whole = lambda c: F.col(c).cast("string").try_cast("double").try_cast("long")
+    known = table.groupBy(whole(number).alias("_n")).agg(F.max(value).alias("_v"))
+    out = queries.withColumn("_q", whole(number)).join(known, F.col("_q") == F.col("_n"), "left")
+    return out.withColumn(value, F.coalesce("_v", F.lit(missing))).drop("_q", "_n", "_v")
+
+
+def enrich(predictions: DataFrame, library: DataFrame, key: str, broad: DataFrame | None = None, cut: int = 10) -> DataFrame:
+    """Predicted totals (``key``, ``nk_total``, scores) with the library's columns, ``broad_spectrum`` by ``cut``,
+    and columns of ``broad`` (literature on some compounds) where there are any; predictions without a library row stay."""
+    out = predictions.join(library, key, "left").withColumn("broad_spectrum", (F.col("nk_total") >= cut).cast("int"))
+    return out if broad is None else out.join(broad, key, "left")
 
 
 def lookup_with_fallback(queries: DataFrame, table: DataFrame, name: str, value: str, missing: str = "not_found") -> DataFrame:

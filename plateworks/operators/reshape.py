@@ -78,3 +78,17 @@ def labelled(df: DataFrame, column: str, labels: dict[str, str], default: str |
 def least_ranked(df: DataFrame, group: str, value: str) -> DataFrame:
     """Rows that hold their group's least value; ties are kept."""
     return df.withColumn("_m", F.min(value).over(Window.partitionBy(group))).where(F.col(value) == F.col("_m")).drop("_m")
+
+
+def transposed(df: DataFrame, key: str, values: list[str], names: list[str]) -> DataFrame:
+    """Rows as columns: ``field`` and a column for each of ``names`` (values of ``key``)."""
+    long = df.select(F.col(key).cast("string").alias("_key"), *(F.col(v).cast("double").alias(v) for v in values)).unpivot(["_key"], values, "field", "_value")
+    return long.groupBy("field").pivot("_key", names).agg(F.first("_value"))
+
+
+def best_of_group(df: DataFrame, group: str, by: str, order: str) -> DataFrame:
+    """Per group the first row (by ``order``) of the largest ``by``; null values come last."""
+    # A struct's maximum, so that partial results are one row a group.
+    columns = df.columns
+    best = df.groupBy(group).agg(F.max_by(F.struct(*columns), F.struct(F.col(by).isNotNull().alias("k"), F.col(by).alias("v"), (-F.col(order)).alias("o"))).alias("best"))
+    return best.select("best.*")

@@ -7,10 +7,25 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import bit_distance, bits_of, cosine_distance, doubles, norm
 
-#: A query table of more rows is refused: it is sent whole to every executor, in place of a join by key.
+#: A query table of up to this many rows is sent whole to every executor; a larger one is dealt in blocks of so many.
 QUERY_LIMIT = 5_000
 
 
+def against_all(queries: DataFrame, references: DataFrame, key: str, limit: int = QUERY_LIMIT) -> DataFrame:
+    """A stated query set against all references. Columns must differ; ``key`` is the queries' id.
+
+    Few queries are broadcast. More are dealt in blocks of about ``limit``, and every block meets the references in as many parts as there are shuffle partitions.
+    """
+    n = queries.count()
+    if n <= limit:
+        return references.crossJoin(F.broadcast(queries))
+    blocks, parts = -(-n // limit), int(references.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = queries.withColumn("_block", F.pmod(F.xxhash64(key), F.lit(blocks))).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    spread = references.withColumn("_part", F.pmod(F.xxhash64(*references.columns[:1]), F.lit(parts)))
+    spread = spread.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    return spread.join(dealt, ["_block", "_part"]).drop("_block", "_part")
+
+
 def prepared(df: DataFrame, key: str, vector: str, prefix: str) -> DataFrame:
     """Key, vector as doubles, its norm and its sign bits, each computed once per row."""
     v = doubles(F.col(vector))
@@ -18,11 +33,9 @@ def prepared(df: DataFrame, key: str, vector: str, prefix: str) -> DataFrame:
 
 
 def distances(queries: DataFrame, references: DataFrame, key: str, vector: str, limit: int = QUERY_LIMIT) -> DataFrame:
-    """``query_id, ref_id, cosine_dist, jaccard_dist``: a stated, size-checked query set against all references."""
-    if queries.limit(limit + 1).count() > limit:
-        raise ValueError(f"more than {limit} queries")
+    """``query_id, ref_id, cosine_dist, jaccard_dist``: a stated query set against all references."""
     q, r = prepared(queries, key, vector, "query"), prepared(references, key, vector, "ref")
-    return r.crossJoin(F.broadcast(q)).select(
+    return against_all(q, r, "query_id", limit).select(
         "query_id",
         "ref_id",
         cosine_distance(F.col("query_v"), F.col("ref_v"), F.col("query_norm"), F.col("ref_norm")).alias("cosine_dist"),

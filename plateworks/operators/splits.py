@@ -2,33 +2,43 @@
 
 from __future__ import annotations
 
+import math
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def group_split(df: DataFrame, group: str, key: str, train: float = 0.8, valid: float = 0.1) -> DataFrame:
-    """Whole groups to splits, the largest first: train while it fits, then validation while it fits, else test.
+    """Whole groups to splits, the largest first: train while it fits, then validation while train and validation
+    together fit in both shares, else test. Groups of equal size go by their first key, larger first.
 
-    Groups of equal size go by their first key, larger first. The fold runs over one row a
-    group, whose only content is its size and first key; members never leave their rows.
+    Groups of one size that do not fit any more stay out for good, so only the number of groups of
+    each size decides: the fold runs over sizes (at most the square root of twice the rows). Ranks are
+    taken only within the sizes that are divided. Null groups are one group.
     """
-    sizes = df.groupBy(group).agg(F.count("*").alias("n"), F.min(key).alias("first"))
-    total = sizes.agg(F.sum("n")).first()[0] or 0
-    ordered = F.sort_array(F.collect_list(F.struct("n", "first", F.col(group).alias("name"))), asc=False)
-    start = F.struct(F.lit(0).cast("long").alias("tr"), F.lit(0).cast("long").alias("va"), F.array().cast("array<struct<name:string,split:string>>").alias("out"))
-
-    def step(acc: Column, g: Column) -> Column:
-        to_train = acc["tr"] + g["n"] <= F.lit(train * total)
-        to_valid = ~to_train & (acc["va"] + g["n"] <= F.lit(valid * total))
-        name = F.when(to_train, "train").when(to_valid, "valid").otherwise("test")
-        return F.struct(
-            (acc["tr"] + F.when(to_train, g["n"]).otherwise(0)).alias("tr"),
-            (acc["va"] + F.when(to_valid, g["n"]).otherwise(0)).alias("va"),
-            F.concat(acc["out"], F.array(F.struct(g["name"].cast("string").alias("name"), name.alias("split")))).alias("out"),
-        )
-
-    folded = sizes.agg(F.aggregate(ordered, start, step)["out"].alias("out")).select(F.inline("out"))
-    return df.join(folded, df[group].cast("string") == F.col("name"), "left").drop("name")
+    sizes = df.groupBy(F.col(group).alias("_group")).agg(F.count("*").alias("_n"), F.min(key).alias("_first"))
+    counts = sizes.groupBy("_n").agg(F.count("*").alias("c")).orderBy(F.desc("_n")).collect()
+    total = sum(r["_n"] * r["c"] for r in counts)
+    most, most_both = math.floor(train * total), math.floor((train + valid) * total)
+    in_train = in_valid = 0
+    to_train, to_valid = {}, {}
+    for r in counts:
+        n, c = r["_n"], r["c"]
+        to_train[n] = min(c, max(0, most - in_train) // n)
+        in_train += n * to_train[n]
+        to_valid[n] = min(c - to_train[n], max(0, most_both - in_train - in_valid) // n)
+        in_valid += n * to_valid[n]
+    fates = pa.table(
+        [pa.array([r["_n"] for r in counts], pa.int64()), pa.array([to_train[r["_n"]] for r in counts], pa.int64()), pa.array([to_train[r["_n"]] + to_valid[r["_n"]] for r in counts], pa.int64()), pa.array([r["c"] for r in counts], pa.int64())],
+        names=["_size", "_t", "_v", "_c"],
+    )
+    known = sizes.join(df.sparkSession.createDataFrame(fates), F.col("_n") == F.col("_size"))
+    whole = (F.col("_t") == F.col("_c")) | ((F.col("_t") == 0) & (F.col("_v").isin(0) | (F.col("_v") == F.col("_c"))))
+    fate = lambda rank: F.when(rank <= F.col("_t"), "train").when(rank <= F.col("_v"), "valid").otherwise("test")
+    rank = F.row_number().over(Window.partitionBy("_n").orderBy(F.desc("_first")))
+    split = known.where(whole).select("_group", fate(F.lit(1)).alias("split")).union(known.where(~whole).select("_group", fate(rank).alias("split")))
+    return df.join(split, df[group].eqNullSafe(F.col("_group")), "left").drop("_group")
 
 
 def exact_split(df: DataFrame, order: Column, valid: float = 0.1, test: float = 0.1) -> DataFrame:

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import random
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import none_if_nan, one_hot
-from . import metrics
+from . import metrics, scoring
 
 #: Trees deeper than this are not supported by the learner.
 MOST_DEPTH = 30
@@ -77,3 +77,27 @@ def save(model, folder: str, name: str, stamp: str | None = None) -> str:
     path = f"{folder}/{name}_{stamp or datetime.now().strftime('%d.%m.%Y_%H.%M')}"
     model.write().overwrite().save(path)
     return path
+
+
+def load(path: str):
+    """A model that ``save`` wrote."""
+    return PipelineModel.load(path)
+
+
+def predict(model, vectors: DataFrame, strains: DataFrame, width: int) -> DataFrame:
+    """``chem_id, strain_name, p`` of a loaded model for every compound and strain."""
+    pairs = scoring.pair_all(vectors, strains)
+    both = F.concat(F.transform("vector", lambda x: x.cast("double")), one_hot(F.col("strain_ord"), width).cast("array<double>"))
+    return probabilities(model, pairs.withColumn("features", array_to_vector(both))).select("chem_id", "strain_name", "p")
+
+
+def repeated(frame: DataFrame, settings: dict, n_train: int = 5, seed: int = 1) -> list[dict]:
+    """One setting fitted ``n_train`` times with other seeds; the log has a row a fit."""
+    out = []
+    for k in range(n_train):
+        model = fit(frame.where("split = 'train'"), settings, seed + k)
+        row = {"model_params": settings, "train": k}
+        for part in ("valid", "test"):
+            row |= {f"{part}_{name}": v for name, v in evaluate(probabilities(model, frame.where(F.col("split") == part))).items()}
+        out.append(row)
+    return out

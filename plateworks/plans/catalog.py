@@ -121,11 +121,15 @@ def screen_unpivot(spark, sf_dir):
     return reshape.lengthen(wide, ["l_returnflag"], ["F", "O"], "status", "n").where("n is not null")
 
 
-@query("select cast(l_quantity as bigint) as quantity, round(avg(l_extendedprice) filter (l_returnflag = 'A'), 4) as a, round(avg(l_extendedprice) filter (l_returnflag = 'N'), 4) as n, round(avg(l_extendedprice) filter (l_returnflag = 'R'), 4) as r from lineitem group by 1")
+MEAN = "cast(sum(cast(l_extendedprice as decimal(18, 2))) filter (l_returnflag = '{0}') as double) / count(*) filter (l_returnflag = '{0}')"
+
+
+@query(f"select cast(l_quantity as bigint) as quantity, {MEAN.format('A')} as a, {MEAN.format('N')} as n, {MEAN.format('R')} as r from lineitem group by 1")
 def pivot_mean(spark, sf_dir):
     li = read(spark, sf_dir, "lineitem").withColumn("quantity", F.col("l_quantity").cast("long"))
-    wide = reshape.widen(li, ["quantity"], "l_returnflag", ["A", "N", "R"], F.avg("l_extendedprice"))
-    return rounded(wide.toDF("quantity", "a", "n", "r"), "a", "n", "r", digits=4)
+    # Sums of decimals are exact, so the means do not depend on the order of rows.
+    mean = F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double") / F.count("l_extendedprice")
+    return reshape.widen(li, ["quantity"], "l_returnflag", ["A", "N", "R"], mean).toDF("quantity", "a", "n", "r")
 
 
 # ---- library
@@ -253,13 +257,12 @@ DIST = """v as (select vec_id, list_transform(embedding, lambda x: cast(x as dou
  b as (select vec_id, v, list_transform(v, lambda x: case when x > 0 then 1 else 0 end) as s from v),
  dist as (select q.vec_id as query_id, r.vec_id as ref_id, 1 - list_dot_product(q.v, r.v) / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(r.v, r.v))) as cosine_dist,
   1 - cast(list_dot_product(cast(q.s as double[]), cast(r.s as double[])) as double) / (list_sum(q.s) + list_sum(r.s) - list_dot_product(cast(q.s as double[]), cast(r.s as double[]))) as jaccard_dist
-  from b q, b r where q.vec_id < 6 and r.vec_id >= 6)"""
+  from b q, b r where q.vec_id % 100 = 0 and r.vec_id <> q.vec_id)"""
 
 
 def dist(spark, sf_dir):
     e = read(spark, sf_dir, "embeddings")
-    d = similarity.distances(e.where("vec_id < 6"), e.where("vec_id >= 6"), "vec_id", "embedding")
-    return d
+    return similarity.distances(e.where("vec_id % 100 = 0"), e, "vec_id", "embedding").where("query_id <> ref_id")
 
 
 @query(f"with {DIST}, r as (select *, row_number() over (partition by query_id order by round(cosine_dist, 9), ref_id) as rank from dist) select query_id, ref_id, round(cosine_dist, 6) as cosine_dist, rank from r where rank <= 10")
@@ -303,11 +306,11 @@ def rank_compare(spark, sf_dir):
 
 
 @query("""with b as (select vec_id, list_transform(embedding, lambda x: case when x > 0 then 1 else 0 end) as s from embeddings)
-  select q.vec_id as query_id, r.vec_id as ref_id, round(list_sum(list_transform(list_zip(q.s, r.s), lambda x: case when x[1] <> x[2] then 1 else 0 end)) / 64.0, 6) as hamming from b q, b r where q.vec_id < 3 and r.vec_id between 3 and 50""")
+  select q.vec_id as query_id, r.vec_id as ref_id, round(list_sum(list_transform(list_zip(q.s, r.s), lambda x: case when x[1] <> x[2] then 1 else 0 end)) / 64.0, 6) as hamming from b q, b r where q.vec_id % 100 = 0 and r.vec_id <> q.vec_id""")
 def hamming_pairs(spark, sf_dir):
     e = read(spark, sf_dir, "embeddings").select("vec_id", bits_of(doubles(F.col("embedding"))).alias("bits"))
-    q = F.broadcast(e.where("vec_id < 3").select(F.col("vec_id").alias("query_id"), F.col("bits").alias("q")))
-    return e.where("vec_id between 3 and 50").crossJoin(q).select("query_id", F.col("vec_id").alias("ref_id"), F.round(hamming_share(F.col("q"), F.col("bits")), 6).alias("hamming"))
+    q = e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("bits").alias("q"))
+    return similarity.against_all(q, e, "query_id").where("query_id <> vec_id").select("query_id", F.col("vec_id").alias("ref_id"), F.round(hamming_share(F.col("q"), F.col("bits")), 6).alias("hamming"))
 
 
 # ---- features
@@ -330,7 +333,7 @@ def bit_frequency(spark, sf_dir):
 
 @query("with x as (select vec_id, unnest(range(0, 64)) as pos, unnest(embedding) > 0 as x from embeddings) select a.pos as i, b.pos as j, round(avg(case when a.x <> b.x then 1.0 else 0.0 end), 6) as hamming from x a join x b using (vec_id) where a.pos < b.pos group by 1, 2")
 def hamming_features(spark, sf_dir):
-    return rounded(features.hamming_features(read(spark, sf_dir, "embeddings"), "embedding"), "hamming")
+    return rounded(features.hamming_features(read(spark, sf_dir, "embeddings"), "embedding", 64), "hamming")
 
 
 @query("with q as (select quantile_cont(p_retailprice, 0.25) as lo, quantile_cont(p_retailprice, 0.75) as hi from part) select p_partkey, round(greatest(lo, least(hi, p_retailprice)), 6) as clipped from part, q")
@@ -395,9 +398,9 @@ def gen_time(spark, sf_dir):
     return rounded(plates.slopes(curves(spark, sf_dir), CURVE_KEYS).drop("slope"), "generation_time", digits=4)
 
 
-@query("select c.s_suppkey, d.p_size from (select s_suppkey from supplier where s_suppkey < 5) c, (select distinct p_size from part where p_size < 10) d")
+@query("select s_suppkey, p_size from supplier, (select distinct p_size from part)")
 def control_replicate(spark, sf_dir):
-    s, p = read(spark, sf_dir, "supplier").where("s_suppkey < 5").select("s_suppkey"), read(spark, sf_dir, "part").where("p_size < 10")
+    s, p = read(spark, sf_dir, "supplier").select("s_suppkey"), read(spark, sf_dir, "part")
     return plates.controls_for_each(s, p, "p_size")
 
 
@@ -417,10 +420,10 @@ def distinct_curves(spark, sf_dir):
 # ---- shapes, strings and ranks
 
 
-@query("select 'part' as kind, p_partkey as id, p_brand as brand, null as market from part where p_partkey < 50 union all select 'customer', c_custkey, null, c_mktsegment from customer where c_custkey < 50")
+@query("select 'part' as kind, p_partkey as id, p_brand as brand, null as market from part union all select 'customer', c_custkey, null, c_mktsegment from customer")
 def union_missing(spark, sf_dir):
-    p = read(spark, sf_dir, "part").where("p_partkey < 50").select(F.lit("part").alias("kind"), F.col("p_partkey").alias("id"), F.col("p_brand").alias("brand"))
-    c = read(spark, sf_dir, "customer").where("c_custkey < 50").select(F.lit("customer").alias("kind"), F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("market"))
+    p = read(spark, sf_dir, "part").select(F.lit("part").alias("kind"), F.col("p_partkey").alias("id"), F.col("p_brand").alias("brand"))
+    c = read(spark, sf_dir, "customer").select(F.lit("customer").alias("kind"), F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("market"))
     return reshape.stack([p, c])
 
 
@@ -507,8 +510,8 @@ SPLIT = """with recursive g as (select p_brand, count(*) as n, min(p_partkey) as
  s as (select *, row_number() over (order by n desc, f desc) as k, sum(n) over () as total from g),
  w as (select 0::bigint as k, 0::hugeint as tr, 0::hugeint as va, ''::varchar as p_brand, ''::varchar as split
   union all select s.k, w.tr + case when w.tr + s.n <= 0.8 * s.total then s.n else 0 end,
-   w.va + case when w.tr + s.n > 0.8 * s.total and w.va + s.n <= 0.1 * s.total then s.n else 0 end, s.p_brand,
-   case when w.tr + s.n <= 0.8 * s.total then 'train' when w.va + s.n <= 0.1 * s.total then 'valid' else 'test' end from w join s on s.k = w.k + 1)
+   w.va + case when w.tr + s.n > 0.8 * s.total and w.tr + w.va + s.n <= 0.9 * s.total then s.n else 0 end, s.p_brand,
+   case when w.tr + s.n <= 0.8 * s.total then 'train' when w.tr + w.va + s.n <= 0.9 * s.total then 'valid' else 'test' end from w join s on s.k = w.k + 1)
  select p_partkey, part.p_brand, split from part join w using (p_brand)"""
 
 
@@ -533,9 +536,9 @@ def histogram_joint(spark, sf_dir):
     return reshape.histogram2d(read(spark, sf_dir, "lineitem"), "l_quantity", "l_extendedprice", (10, 20000))
 
 
-@query("select p_brand, array_to_string(list_sort(list(p_partkey)), ',') as members from part where p_partkey < 200 group by 1")
+@query("select p_brand, array_to_string(list_sort(list(p_partkey)), ',') as members from part group by 1")
 def group_members(spark, sf_dir):
-    lists = reshape.grouped_lists(read(spark, sf_dir, "part").where("p_partkey < 200"), "p_brand", "p_partkey")
+    lists = reshape.grouped_lists(read(spark, sf_dir, "part"), "p_brand", "p_partkey")
     return lists.withColumn("members", F.array_join(F.col("members").cast("array<string>"), ","))
 
 

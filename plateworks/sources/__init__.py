@@ -9,4 +9,4 @@ from .readers import (  # noqa: F401
     read_representation,
     read_sheet,
 )
-from .writers import append_tsv, events, records, write_shards, write_sheets, write_tsv  # noqa: F401
+from .writers import append_tsv, events, markdown, records, write_csv, write_shards, write_sheets, write_tsv  # noqa: F401

@@ -15,8 +15,9 @@ from ..functions import fold_underscore
 MOLECULES = "chem_id string, smiles string"
 
 
-def _tsv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.option("sep", "\t").option("header", True).csv(path)
+def _tsv(spark: SparkSession, path: str | list[str], nameless: bool = False) -> DataFrame:
+    # Files whose header is not the first file's are an error, never read by position.
+    return spark.read.option("sep", "\t").option("header", True).option("enforceSchema", nameless).csv(path)
 
 
 def read_molecules(
@@ -32,8 +33,10 @@ def read_molecules(
 
 
 def read_representation(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``chem_id, vector array<float>`` from a TSV whose first column, without name, is the id."""
-    df = _tsv(spark, path)
+    """``chem_id, vector array<float>`` from a TSV whose first column, without name, is the id; files with other headers are an error."""
+    if spark.read.text(path).where(F.col("value").startswith("\t")).distinct().limit(2).count() > 1:
+        raise ValueError("files with different headers")
+    df = _tsv(spark, path, nameless=True)
     first, *rest = df.columns
     return df.select(F.col(f"`{first}`").alias("chem_id"), F.array(*(F.col(f"`{c}`").cast("float") for c in rest)).alias("vector"))
 
@@ -51,10 +54,13 @@ def read_plates(spark: SparkSession, path: str, time_format: str = "MM/dd/yyyy H
 
     File names are organism and replicate; one with three underscores has its first taken out.
     """
-    df = _tsv(spark, path).withColumn("_file", F.element_at(F.split(F.col("_metadata.file_name"), "/"), -1))
-    wells = [c for c in df.columns if re.fullmatch(r"[A-H]\d{1,2}", c)]
-    wide = df.select("_file", F.to_timestamp("Time", time_format).alias("time"), *(F.col(w).cast("double") for w in wells))
-    long = wide.unpivot(["_file", "time"], wells, "well", "od")
+    lines = spark.read.text(path).where("value <> ''").select(F.split("value", "\t").alias("cells"), F.col("_metadata.file_path").alias("_path"), F.element_at(F.split(F.col("_metadata.file_name"), "/"), -1).alias("_file"))
+    # Every file by its own header, in any order of columns; a row a file.
+    headers = lines.where(F.array_contains("cells", "Time")).select("_path", F.col("cells").alias("header"))
+    rows = lines.where(~F.array_contains("cells", "Time")).join(headers, "_path")
+    at = F.get(F.col("cells"), (F.array_position("header", F.lit("Time")) - 1).cast("int"))
+    cells = rows.select("_file", F.to_timestamp(at, time_format).alias("time"), F.explode(F.arrays_zip(F.col("header").alias("well"), F.col("cells").alias("od"))).alias("cell"))
+    long = cells.select("_file", "time", "cell.well", F.nullif(F.col("cell.od"), F.lit("")).try_cast("double").alias("od")).where(F.col("well").rlike("^[A-H][0-9]{1,2}$"))
     name = fold_underscore(F.col("_file"))
     return long.select(
         name.alias("file"), F.regexp_extract(name, r"^(.*)_([^_]*)$", 1).alias("organism"), F.regexp_extract(name, r"_([^_]*)$", 1).alias("replicate"), "time", "well", "od"

@@ -75,3 +75,15 @@ def events(request_id: str, result: Iterator[dict] | None = None, error: str | N
     yield frame("start", {"id": request_id})
     yield frame("data", {"id": request_id, "result": list(result or [])})
     yield frame("end", {"id": request_id})
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """Comma-separated files with a header."""
+    df.write.option("header", True).mode("overwrite").csv(path)
+
+
+def markdown(df: DataFrame, rows: int = 50) -> str:
+    """The first ``rows`` rows as a Markdown table, for reports."""
+    found = df.limit(rows).collect()
+    lines = ["| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns)]
+    return "\n".join(lines + ["| " + " | ".join("" if v is None else str(v).replace("|", "\\|") for v in r) + " |" for r in found])

@@ -114,3 +114,77 @@ def test_projection_and_dose_growth(spark):
     wells = spark.createDataFrame([("A1", "drug", 2.0), ("A2", "drug", 4.0)], "well string, compound string, concentration double")
     water = spark.createDataFrame([("H1", "Water", 0.0, 0.7)], "well string, compound string, concentration double, rate double")
     assert plates.compare_parameters(fits, wells, water).count() == 3
+
+
+def test_split_follows_a_plain_loop_of_the_rule(spark):
+    import random
+
+    rng = random.Random(3)
+    for case in range(4):
+        groups = [rng.choice([1, 1, 1, 2, 2, 3, 5, 8, 13]) for _ in range(40)] if case else [7, 2, 1]
+        rows, key = [], 0
+        for g, n in enumerate(groups):
+            rows += [(f"g{g}", key + k) for k in range(n)]
+            key += n
+        firsts = {f"g{g}": min(k for x, k in rows if x == f"g{g}") for g in range(len(groups))}
+        sizes = {f"g{g}": n for g, n in enumerate(groups)}
+        train, valid, want = 0, 0, {}
+        for name in sorted(sizes, key=lambda x: (sizes[x], firsts[x]), reverse=True):
+            if train + sizes[name] <= 0.8 * len(rows):
+                train, want[name] = train + sizes[name], "train"
+            elif train + valid + sizes[name] <= 0.9 * len(rows):
+                valid, want[name] = valid + sizes[name], "valid"
+            else:
+                want[name] = "test"
+        got = splits.group_split(spark.createDataFrame(rows, "g string, k long"), "g", "k").collect()
+        assert {r.g: r.split for r in got} == want and len(got) == len(rows)
+    assert {want for want in splits.group_split(spark.createDataFrame([("a", k) for k in range(7)] + [("b", 8), ("b", 9), ("c", 10)], "g string, k long"), "g", "k").select("g", "split").distinct().collect()} == {("a", "train"), ("b", "valid"), ("c", "train")}
+
+
+def test_bits_that_no_row_has(spark):
+    df = spark.createDataFrame([([1.0, 0.0, 1.0],), ([1.0, 0.0, 0.0],)], "v array<double>")
+    assert {(r.i, r.j): r.hamming for r in features.hamming_features(df, "v").collect()} == {(0, 1): 1.0, (0, 2): 0.5, (1, 2): 0.5}
+
+
+def test_many_queries_go_in_blocks(spark):
+    e = spark.createDataFrame([(k, [float(k % 5), 1.0, float(k % 3)]) for k in range(60)], "id long, v array<double>")
+    rows = lambda d: sorted((r.query_id, r.ref_id, r.jaccard_dist) for r in d.collect())
+    whole = rows(similarity.distances(e, e, "id", "v"))
+    assert len(whole) == 3600 and rows(similarity.distances(e, e, "id", "v", limit=7)) == whole
+
+
+def test_small_shapes(spark):
+    df = spark.createDataFrame([("a", 1.0, 2.0), ("b", 3.0, None)], "k string, x double, y double")
+    assert sorted(map(tuple, reshape.transposed(df, "k", ["x", "y"], ["a", "b"]).collect())) == [("x", 1.0, 3.0), ("y", 2.0, None)]
+    best = spark.createDataFrame([("g", 0.5, 2), ("g", 0.5, 1), ("g", None, 0), ("h", None, 3)], "g string, f1 double, n int")
+    assert sorted(map(tuple, reshape.best_of_group(best, "g", "f1", "n").collect()), key=str) == [("g", 0.5, 1), ("h", None, 3)]
+    q = spark.createDataFrame([("7",), ("7.0",), ("x",), (None,)], "cid string")
+    known = spark.createDataFrame([(7, "seven")], "cid long, name string").withColumnRenamed("cid", "number")
+    got = library.lookup_by_number(q.withColumnRenamed("cid", "number"), known, "number", "name").collect()
+    assert [r["name"] for r in got].count("seven") == 2 and [r["name"] for r in got].count("not_found") == 2
+    out = library.enrich(spark.createDataFrame([("c", 12), ("d", 3)], "chem_id string, nk_total int"), spark.createDataFrame([("c", "X")], "chem_id string, ProductName string"), "chem_id")
+    assert sorted((r.chem_id, r.ProductName, r.broad_spectrum) for r in out.collect()) == [("c", "X", 1), ("d", None, 0)]
+
+
+def test_more_functions(spark):
+    from plateworks import functions
+
+    functions.register(spark)
+    df = spark.createDataFrame([("staph aureus", 0.125, 12, "Name\t (x)")], "s string, x double, n int, name string")
+    r = df.select(functions.title_case(F.col("s")).alias("t"), functions.half_even(F.col("x")).alias("h"), functions.count_label(F.col("n")).alias("c"),
+                  functions.from_params(functions.to_params(F.struct("n"))).alias("p"), functions.clean_name(F.col("name")).alias("a"), F.expr("clean_name(name)").alias("b")).first()
+    assert (r.t, r.h, r.c, r.p, r.a, r.b) == ("Staph Aureus", 0.12, "n = 12", {"n": "12"}, "name", "name")
+
+
+def test_models_can_be_loaded_again(spark, tmp_path):
+    from plateworks.operators import training
+
+    rows = [(f"c{k}", f"s{k % 2}", k % 2, [float(k % 5), float(k)], "train" if k < 30 else "valid" if k < 35 else "test") for k in range(40)]
+    screen = spark.createDataFrame([(a, b, c) for a, b, c, _, _ in rows], "chem_id string, strain_name string, label int")
+    vectors = spark.createDataFrame([(a, v) for a, _, _, v, _ in rows], "chem_id string, vector array<double>")
+    strains = spark.createDataFrame([("s0", 0), ("s1", 1)], "strain_name string, strain_ord int")
+    parts = spark.createDataFrame([(a, s) for a, _, _, _, s in rows], "chem_id string, split string")
+    model = training.fit(training.training_frame(screen, vectors, strains, parts, 2), {"maxIter": 2, "maxDepth": 2})
+    path = training.save(model, str(tmp_path), "model", "x")
+    want = sorted(map(tuple, training.predict(model, vectors, strains, 2).collect()))
+    assert sorted(map(tuple, training.predict(training.load(path), vectors, strains, 2).collect())) == want and len(want) == 80

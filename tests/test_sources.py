@@ -1,5 +1,6 @@
 import gzip
 
+import pytest
 from pyspark.sql import functions as F
 
 from plateworks import sources
@@ -77,3 +78,25 @@ def test_streams(spark, tmp_path):
     assert {(r.chem_id, r.ginhib_total) for r in spark.table("pot").collect()} == {("a", 2), ("b", 0)}
     times = spark.createDataFrame([("2024-01-01 00:10:00", "x"), ("2024-01-01 00:50:00", "x"), ("2024-01-01 01:10:00", "x")], "t string, k string").withColumn("t", F.to_timestamp("t"))
     assert sorted(r.n for r in windowed_counts(times, "t", ["k"]).collect()) == [1, 2]
+
+
+def test_files_with_another_order_of_columns(spark, tmp_path):
+    (tmp_path / "a_1_OD.tsv").write_text("Time\tA1\tA2\n01/02/2023 10:00:00\t0.1\t0.2\n")
+    (tmp_path / "b_1_OD.tsv").write_text("Time\tA2\tA1\n01/02/2023 10:00:00\t0.3\t0.4\n")
+    rows = sources.read_plates(spark, str(tmp_path / "*_OD.tsv")).collect()
+    assert {(r.organism, r.well): r.od for r in rows} == {("a_1", "A1"): 0.1, ("a_1", "A2"): 0.2, ("b_1", "A1"): 0.4, ("b_1", "A2"): 0.3}
+    (tmp_path / "m1.tsv").write_text("id\ts1\ts2\nx\t1\t2\n")
+    (tmp_path / "m2.tsv").write_text("id\ts2\ts1\ny\t1\t2\n")
+    with pytest.raises(Exception):
+        sources.read_matrix(spark, [str(tmp_path / "m1.tsv"), str(tmp_path / "m2.tsv")], "id").collect()
+    (tmp_path / "r1.tsv").write_text("\t0\t1\nx\t1\t2\n")
+    (tmp_path / "r2.tsv").write_text("\t1\t0\ny\t1\t2\n")
+    with pytest.raises(ValueError):
+        sources.read_representation(spark, [str(tmp_path / "r1.tsv"), str(tmp_path / "r2.tsv")])
+
+
+def test_csv_and_markdown(spark, tmp_path):
+    df = spark.createDataFrame([("a,b", 1), (None, 2)], "s string, n int").coalesce(1)
+    sources.write_csv(df, str(tmp_path / "c"))
+    assert sorted(map(tuple, spark.read.option("header", True).csv(str(tmp_path / "c")).collect()), key=str) == [("a,b", "1"), (None, "2")]
+    assert sources.markdown(df) == "| s | n |\n| --- | --- |\n| a,b | 1 |\n|  | 2 |"
