@@ -10,7 +10,9 @@ Search: document frequencies and lengths are summed over all shards first, so sc
 depend on sharding. For a query and a shard, the sum of its terms' entry maxima bounds every
 document of a block. Blocks are pivots from the highest bound down; only the postings of
 entries in a pivot block are read, and a block whose bound does not reach the k-th best score
-so far is skipped with all its postings. Shards' best are merged by query. Queries are packed in
+so far is skipped with all its postings. Queries of over ``WAND_WORDS`` words (whole documents), whose summed maxima
+rule out little, are taken together instead: a matrix of the terms that are frequent in the shard gives bounds and
+scores by products, other terms are read from their postings, and blocks that no bound needs are not scored. Shards' best are merged by query. Queries are packed in
 the shared folder in blocks of ``QUERY_BLOCK``; a task has one shard and every so-many-th block, so neither
 shards nor queries are held whole anywhere.
 """
@@ -32,14 +34,18 @@ from .token_files import map_ids
 
 K1, B = 1.2, 0.75
 TOP = 10
-#: A shard is closed at this many documents, or postings: what a task holds in memory (some 60 bytes a posting).
-SHARD_DOCS, SHARD_POSTINGS = 16_384, 3_000_000
+#: A shard is closed at this many documents, or postings: what a task holds in memory (some 40 bytes a posting).
+SHARD_DOCS, SHARD_POSTINGS = 16_384, 4_000_000
 BLOCK = 32
 QUERY_BLOCK = 128
 #: Queries of one task, at most about.
 TASK_QUERIES = 4096
 #: Pivot blocks that are scored first; then twice as many each time.
 PIVOTS = 8
+#: Queries of more words are scored together by matrix products, so many at a time, and so many blocks at a time.
+WAND_WORDS, TOGETHER, STRIDE = 32, 32, 8
+#: The share of a shard's documents from which a term is frequent, and the bytes that the matrix of frequent terms has at most.
+FREQUENT, MATRIX_BYTES = 1 / 16, 96 << 20
 #: Scores count to this many decimals; ties go to the smaller document id.
 DECIMALS = 6
 _EPS = 10.0**-DECIMALS
@@ -147,7 +153,16 @@ class Shard:
         self.impacts *= K1 + 1
         self.impacts /= over
         del over
+        self.begins = begins
         self.blocks = -(-len(self.doc_ids) // BLOCK)
+        self.width = self.blocks * BLOCK
+        self.matrix: np.ndarray | None = None
+        self.entries: np.ndarray | None = None
+        self.read = self.skipped = 0
+
+    def _enter(self) -> None:
+        """The entries: postings of a term in a block."""
+        begins = self.begins
         block = (self.places // BLOCK).astype(np.int32)
         new = np.ones(len(block), bool)
         new[1:] = block[1:] != block[:-1]
@@ -158,13 +173,14 @@ class Shard:
         self.maxima = np.maximum.reduceat(self.impacts, starts) if len(starts) else np.empty(0)
         #: Entries of term t: ``entries[t]`` to ``entries[t + 1]``.
         self.entries = np.searchsorted(self.starts, begins)
-        self.read = self.skipped = 0
 
     def best(self, own: int, terms: np.ndarray, weights: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
         """Up to ``top`` places and scores for a query, unordered, its own id left out."""
         places, scores = np.empty(0, np.int64), np.empty(0)
         if not len(self.terms) or not len(terms):
             return places, scores
+        if self.entries is None:
+            self._enter()
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         known = self.terms[at] == terms
         at, weights = at[known], weights[known]
@@ -201,6 +217,84 @@ class Shard:
                 order = order[bound[order] >= floor - _EPS]  # the rest is skipped
         return places, scores
 
+    def _fill(self) -> None:
+        """The matrix of frequent terms by place, of the most frequent ones if all would be too large."""
+        size = np.diff(self.begins)
+        frequent = np.flatnonzero(size >= max(2, FREQUENT * len(self.doc_ids)))
+        most = MATRIX_BYTES // (8 * max(self.width, 1))
+        if len(frequent) > most:
+            frequent = np.sort(frequent[np.argsort(-size[frequent], kind="stable")[:most]])
+        self.row = np.full(len(self.terms), -1)
+        self.row[frequent] = np.arange(len(frequent))
+        self.matrix = np.zeros((len(frequent), self.width))
+        for n, t in enumerate(frequent.tolist()):
+            a, b = self.begins[t], self.begins[t + 1]
+            self.matrix[n, self.places[a:b]] = self.impacts[a:b]
+        self.matrix_maxima = self.matrix.reshape(len(frequent), self.blocks, BLOCK).max(axis=2)
+
+    def _split(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A query's weights of frequent terms, and the scores that its other terms give each place."""
+        dense, rest = np.zeros(len(self.matrix)), np.zeros(self.width)
+        if not len(self.terms):
+            return dense, rest
+        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        known = self.terms[at] == terms
+        at, weights = at[known], weights[known]
+        row = self.row[at]
+        dense[row[row >= 0]] = weights[row >= 0]
+        at, weights = at[row < 0], weights[row < 0]
+        if len(at):
+            begin = self.begins[at]
+            size = self.begins[at + 1] - begin
+            posts = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
+            rest = np.bincount(self.places[posts], np.repeat(weights, size) * self.impacts[posts], self.width)
+        return dense, rest
+
+    def best_together(self, queries: list[tuple[int, np.ndarray, np.ndarray]], top: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query (own id, terms, weights): up to ``top`` places and scores, unordered, its own id left out."""
+        if not queries:
+            return []
+        if self.matrix is None:
+            self._fill()
+        split = [self._split(t, w) for _, t, w in queries]
+        dense, rest = np.stack([d for d, _ in split]), np.stack([r for _, r in split])
+        bound = dense @ self.matrix_maxima + rest.reshape(len(queries), self.blocks, BLOCK).max(axis=2)
+        out: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0))] * len(queries)
+        alike = np.argsort(bound.argmax(axis=1), kind="stable")
+        for begin in range(0, len(queries), TOGETHER):
+            group = alike[begin : begin + TOGETHER]
+            limit = bound[group]
+            order = np.argsort(-limit.max(axis=0), kind="stable")
+            floor = np.zeros(len(group))
+            at = 0
+            while at < self.blocks:
+                # Blocks that some query of the group still needs.
+                left = order[at:]
+                left = left[((limit[:, left] > 0) & (limit[:, left] >= floor[:, None] - _EPS)).any(axis=0)]
+                if not len(left):
+                    break
+                chosen = left[:STRIDE]
+                order, at = np.concatenate([chosen, left[STRIDE:]]), 0
+                places = (chosen[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+                scores = np.round(dense[group] @ self.matrix[:, places] + rest[np.ix_(group, places)], DECIMALS)
+                for n, g in enumerate(group.tolist()):
+                    found = np.flatnonzero(scores[n] >= max(floor[n], _EPS))
+                    if not len(found):
+                        continue
+                    p, v = places[found], scores[n, found]
+                    mine = self.doc_ids[p] != queries[g][0]
+                    p, v = np.concatenate([out[g][0], p[mine]]), np.concatenate([out[g][1], v[mine]])
+                    if len(p) > top:
+                        keep = np.lexsort((self.doc_ids[p], -v))[:top]
+                        p, v = p[keep], v[keep]
+                    if len(p) == top:
+                        floor[n] = v.min()
+                    out[g] = (p, v)
+                order, at = order[len(chosen) :], 0
+                if not len(order):
+                    break
+        return out
+
 
 def _ranges(begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The numbers of all ranges one after another, and the range of each."""
@@ -275,7 +369,11 @@ def search(index: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
             for row in batch.to_pylist():
                 shard = Shard(_load(row), average)
                 for ids, terms, weights in _query_blocks(path, row["part"], parts):
-                    found = [shard.best(*query, top) for query in zip(ids, terms, weights)]
+                    asked = list(zip(ids, terms, weights))
+                    long = [k for k, t in enumerate(terms) if len(t) > WAND_WORDS]
+                    found = [None if len(t) > WAND_WORDS else shard.best(*query, top) for query, t in zip(asked, terms)]
+                    for k, one in zip(long, shard.best_together([asked[k] for k in long], top)):
+                        found[k] = one
                     own = np.repeat(np.array(ids, np.int64), [len(p) for p, _ in found])
                     places, scores = (np.concatenate(c) for c in zip(*found))
                     yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(shard.doc_ids[places]), pa.array(scores)], names=["query_id", "doc_id", "score"])

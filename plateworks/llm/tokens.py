@@ -17,7 +17,7 @@ import sys
 import numpy as np
 
 #: Distinct pieces of a generation that a worker remembers (some 200 bytes each); there are two.
-MEMO_PIECES = 50_000
+MEMO_PIECES = 150_000
 
 # Letters, digits and white space up to U+024F, as the published pattern sees them.
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
