@@ -1,4 +1,4 @@
-"""Classifier metrics as SQL windows and aggregations over (label, score)."""
+"""Classifier metrics as aggregations and running sums over (label, score)."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import safe_f1
+from .ordered import ordered_sums, with_next
 
 
 def confusion(df: DataFrame, label: str, predicted: Column) -> DataFrame:
@@ -19,50 +20,48 @@ def confusion(df: DataFrame, label: str, predicted: Column) -> DataFrame:
 
 
 def _by_score(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Positives and negatives of each distinct score: the table that the windows run over."""
+    """Positives and negatives of each distinct score: the table that running sums are taken over."""
     return df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(score).alias("threshold")).agg(
         F.sum((F.col(label) == 1).cast("long")).alias("pos"), F.sum((F.col(label) != 1).cast("long")).alias("neg")
     )
 
 
-def auroc(df: DataFrame, label: str, score: str) -> DataFrame:
+def auroc(df: DataFrame, label: str, score: str, parts: int | None = None) -> DataFrame:
     """Area under the ROC curve from average ranks; ties count half. Null with one class only.
 
-    The running count is over distinct scores in one ordered partition: round scores first if
-    they are nearly all distinct and the table is large.
+    ``parts`` is the number of score ranges (default: shuffle partitions).
     """
-    below = F.coalesce(F.sum("neg").over(Window.orderBy("threshold").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    won = _by_score(df, label, score).withColumn("won", F.col("pos") * (below + F.col("neg") / 2))
-    return won.agg(F.try_divide(F.sum("won"), F.sum("pos").cast("double") * F.sum("neg")).alias("auroc"))
+    ranked = ordered_sums(_by_score(df, label, score), [F.asc("threshold")], {"below": F.col("neg")}, parts)
+    won = F.col("pos") * (F.col("below") + F.col("neg") / 2)
+    return ranked.agg(F.try_divide(F.sum(won), F.sum("pos").cast("double") * F.sum("neg")).alias("auroc"))
 
 
-def pr_curve(df: DataFrame, label: str, score: str, legacy_alignment: bool = False) -> DataFrame:
+def pr_curve(df: DataFrame, label: str, score: str, legacy_alignment: bool = False, parts: int | None = None) -> DataFrame:
     """``threshold, precision, recall`` for each distinct score, in descending order, cut where recall reaches one,
     and the end point (null threshold, precision 1, recall 0).
 
     ``legacy_alignment`` moves each threshold one point towards lower scores and gives the
     lowest point an infinite one, as the data behind earlier published figures had.
+    ``parts`` is the number of score ranges (default: shuffle partitions).
     """
-    down = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counts = _by_score(df, label, score).select("threshold", F.sum("pos").over(down).alias("tp"), F.sum("neg").over(down).alias("fp"), "pos")
-    everything = Window.partitionBy()
-    counts = counts.withColumn("total", F.max("tp").over(everything))
-    counts = counts.where(F.col("tp") - F.col("pos") < F.col("total"))
+    counts = ordered_sums(_by_score(df, label, score), [F.desc("threshold")], {"tp": F.col("pos"), "fp": F.col("neg")}, parts)
+    total = counts.agg(F.sum("pos")).first()[0]
+    counts = counts.where(F.col("tp") < F.lit(total)).withColumns({"tp": F.col("tp") + F.col("pos"), "fp": F.col("fp") + F.col("neg")})
     points = counts.select(
-        "threshold", F.try_divide(F.col("tp").cast("double"), F.col("tp") + F.col("fp")).alias("precision"), F.try_divide(F.col("tp").cast("double"), F.col("total")).alias("recall")
+        F.col("threshold").cast("double").alias("threshold"), F.try_divide(F.col("tp").cast("double"), F.col("tp") + F.col("fp")).alias("precision"), F.try_divide(F.col("tp").cast("double"), F.lit(total)).alias("recall")
     )
     if legacy_alignment:
-        low = Window.orderBy("threshold")
-        points = points.withColumn("threshold", F.coalesce(F.lag("threshold").over(low), F.lit(float("inf"))))
+        points = with_next(points, [F.desc("threshold")], {"_lower": "threshold"}, parts)
+        points = points.select(F.coalesce("_lower", F.lit(float("inf"))).alias("threshold"), "precision", "recall")
     end = df.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
-    return points.select(F.col("threshold").cast("double"), "precision", "recall").union(end)
+    return points.union(end)
 
 
-def pr_auc(curve: DataFrame) -> DataFrame:
+def pr_auc(curve: DataFrame, parts: int | None = None) -> DataFrame:
     """Area under a curve of ``pr_curve`` by trapezoids."""
-    order = Window.orderBy(F.desc("recall"), F.asc_nulls_last("threshold"))
-    area = (F.col("recall") - F.lead("recall").over(order)) * (F.col("precision") + F.lead("precision").over(order)) / 2
-    return curve.select(area.alias("a")).agg(F.sum("a").alias("pr_auc"))
+    sides = with_next(curve, [F.desc("recall"), F.asc_nulls_last("threshold")], {"_recall": "recall", "_precision": "precision"}, parts)
+    area = (F.col("recall") - F.col("_recall")) * (F.col("precision") + F.col("_precision")) / 2
+    return sides.agg(F.sum(area).alias("pr_auc"))
 
 
 def best_threshold(curve: DataFrame) -> DataFrame:
