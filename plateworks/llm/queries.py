@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bm25, host_rules, langid, license_scan, mixing, near_dup, packing, paragraphs, pii, resampling, secret_scan, token_files
+from . import alignment, bm25, host_rules, langid, license_scan, mixing, near_dup, packing, paragraphs, pii, resampling, secret_scan, token_files
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -18,5 +18,6 @@ QUERIES = {
     "op10_secret_scan": secret_scan.op10_secret_scan,
     "op11_importance_resampling": resampling.op11_importance_resampling,
     "op12_license_scan": license_scan.op12_license_scan,
+    "op13_token_alignment": alignment.op13_token_alignment,
 }
 ORACLE_SQL: dict[str, str] = {"op6_bm25": bm25.OP6_SQL, "op8_host_rules": host_rules.OP8_SQL, "op11_importance_resampling": resampling.OP11_SQL}

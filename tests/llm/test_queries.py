@@ -11,7 +11,7 @@ from plateworks.llm import queries
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
 #: Queries with one row for every document.
-WHOLE = {"op2_pii_surrogates", "op4_mixing", "op5_language_id", "op7_token_files", "op8_host_rules", "op9_near_dup", "op10_secret_scan", "op11_importance_resampling", "op12_license_scan"}
+WHOLE = {"op2_pii_surrogates", "op4_mixing", "op5_language_id", "op7_token_files", "op8_host_rules", "op9_near_dup", "op10_secret_scan", "op11_importance_resampling", "op12_license_scan", "op13_token_alignment"}
 
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
