@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import generation_time
+from .quantiles import quantiles
 
 FIT = "curve_id string, fit_ok boolean, top double, rate double, middle double, start double, reach double, generation_time double"
 GROWN_OD, GROWN_POINTS = 0.2, 2
@@ -35,8 +38,11 @@ def nearest_time(df: DataFrame, group: list[str], hour: float) -> DataFrame:
 
 
 def dose_stats(df: DataFrame, keys: list[str], od: str) -> DataFrame:
-    """n, mean, exact median and sample deviation; the deviation of one value is null."""
-    return df.groupBy(*keys).agg(F.count("*").alias("n"), F.avg(od).alias("mean_od"), F.median(od).alias("median_od"), F.stddev_samp(od).alias("sd_od"))
+    """n, mean, exact median and sample deviation; the deviation of one value is null. Null keys are a group."""
+    means = df.groupBy(*keys).agg(F.count("*").alias("n"), F.avg(od).alias("mean_od"), F.stddev_samp(od).alias("sd_od"))
+    medians = quantiles(df, od, {"median_od": 0.5}, keys).drop("n").withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+    return means.join(medians, same).select(*keys, "n", "mean_od", "median_od", "sd_od")
 
 
 def mean_times(df: DataFrame) -> DataFrame:

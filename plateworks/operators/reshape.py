@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import quantiles
+
 
 def stack(frames: list[DataFrame]) -> DataFrame:
     """Rows of all frames by column name; missing columns are null."""
@@ -41,15 +43,13 @@ def shares(df: DataFrame, group: str, by: str) -> DataFrame:
 
 
 def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return df.groupBy(group).agg(F.min(value).alias("low"), q.alias("q"), F.max(value).alias("high")).select(
-        group, "low", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "high"
-    )
+    """Least value, exact quartiles and largest value of each group; NaN values do not count."""
+    return quantiles(df, value, {"low": 0.0, "q25": 0.25, "q50": 0.5, "q75": 0.75, "high": 1.0}, [group]).drop("n")
 
 
 def clip_to_quartiles(df: DataFrame, column: str) -> DataFrame:
-    """``column`` held between its quartiles: a one-row aggregate, read back as two numbers."""
-    low, high = df.agg(F.percentile(column, F.array(F.lit(0.25), F.lit(0.75)))).first()[0] or (None, None)
+    """``column`` held between its exact quartiles, which are one row, read back as two numbers."""
+    low, high = quantiles(df, column, {"low": 0.25, "high": 0.75}).select("low", "high").first()
     return df.withColumn("clipped", F.greatest(F.lit(low), F.least(F.lit(high), F.col(column))))
 
 
