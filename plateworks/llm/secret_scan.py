@@ -8,9 +8,11 @@ the lower half of the alphabet, and the serial correlation of neighbours. They a
 * against an even draw (the key hypothesis): a token whose three p-values, combined by Fisher,
   reject evenness at ``EVEN`` is no find;
 * against ordinary writing (the null hypothesis): letters by their usual frequency, upper case,
-  lower case and digits in stretches. For each encoding and length the statistics of simulated
-  writing and of even draws give the linear score that parts them best; its p-value under
-  writing says how rarely writing looks so even.
+  lower case and digits in stretches. For each encoding and some lengths (``LENGTHS``) the statistics
+  of simulated writing and of even draws give the linear score that parts them best; its p-value under
+  writing says how rarely writing looks so even. A token's statistics are brought to the next shorter
+  of these lengths, as they would be on average under writing, so a token of any length costs one pass
+  over its characters, and longer tokens are judged with less certainty than they allow, never more.
 
 False discoveries are controlled on these p-values by Benjamini and Hochberg's rule in each
 length class, over all different tokens of the corpus, so that of the finds of a class an
@@ -32,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialize, prepare, texts_of
+from .common import MEMOS, map_batches, materialize, prepare, texts_of
 
 RATE = 0.01
 #: Below this combined p a token is not even enough to be a key.
@@ -41,6 +43,10 @@ CLASSES = (16, 20, 28, 40, 64)
 KINDS = ("assign", "access", "hex", "random")
 #: Draws of each kind that a score is fitted to.
 DRAWS = 4000
+#: Lengths that scores are fitted at.
+LENGTHS = (16, 18, 20, 24, 28, 32, 40, 48, 64)
+#: Tokens up to this length are remembered with their verdicts.
+REMEMBERED = 128
 #: P-values are compared as steps of log10, rounded against a find.
 STEPS, LEAST_STEP = 50, -1000
 
@@ -60,7 +66,9 @@ _ALPHABETS = {
     "lower36": _DIGITS + _LOWER, "upper36": _DIGITS + _UPPER, "letters": _UPPER + _LOWER, "base62": _UPPER + _LOWER + _DIGITS,
     "base64": _UPPER + _LOWER + _DIGITS + "+/", "base64url": _UPPER + _LOWER + _DIGITS + "-_", "any": _UPPER + _LOWER + _DIGITS + "+/-_",
 }
-_SETS = {name: (frozenset(letters), {c: k for k, c in enumerate(letters)}) for name, letters in _ALPHABETS.items()}
+_SETS = {name: frozenset(letters) for name, letters in _ALPHABETS.items()}
+#: An alphabet's place of each byte.
+_PLACES = {name: np.array([max(letters.find(chr(c)), 0) for c in range(256)]) for name, letters in _ALPHABETS.items()}
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -73,7 +81,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 def infer_encoding(token: str) -> str:
     """The smallest alphabet that holds the token (without = at its end)."""
     used = set(token)
-    return next(name for name, (letters, _) in _SETS.items() if used <= letters)
+    return next(name for name, letters in _SETS.items() if used <= letters)
 
 
 def _normal_tail(z: float) -> float:
@@ -85,18 +93,30 @@ def _chi2_tail(x: float, k: float) -> float:
     return 0.5 * math.erfc((((x / k) ** (1 / 3)) - (1 - 2 / (9 * k))) / math.sqrt(2 / (9 * k)) / math.sqrt(2))
 
 
-def statistics(x: np.ndarray, size: int) -> np.ndarray:
-    """Chi-squared, runs (standardised) and serial correlation (standardised) of each row of symbols below ``size``."""
-    k, n = x.shape
+def _upper_side(letters: str) -> np.ndarray:
+    """Which symbols count as one side in the runs test."""
+    for side in (str.islower, str.isalpha):
+        marks = np.array([side(c) for c in letters])
+        if 0 < marks.sum() < len(letters):
+            return marks
+    return np.arange(len(letters)) >= len(letters) / 2
+
+
+_SIDES = {name: _upper_side(letters) for name, letters in _ALPHABETS.items()}
+
+
+def statistics(x: np.ndarray, encoding: str) -> np.ndarray:
+    """Chi-squared, runs (standardised) and serial correlation (standardised) of each row of symbols of an alphabet."""
+    (k, n), size = x.shape, len(_ALPHABETS[encoding])
     counts = np.bincount((np.arange(k)[:, None] * size + x).ravel(), minlength=k * size).reshape(k, size)
     chi = ((counts - n / size) ** 2).sum(axis=1) * size / n
-    high = x >= size / 2
+    high = _SIDES[encoding][x]
     n1 = high.sum(axis=1).astype(float)
     n0 = n - n1
     runs = 1 + (high[:, 1:] != high[:, :-1]).sum(axis=1)
     product = 2 * n1 * n0
     spread = product * (product - n) / (n * n * (n - 1))
-    # All in one half: one run where about half of n is usual.
+    # All on one side: one run where about half of n is usual.
     z_runs = np.where(spread > 0, (runs - 1 - product / n) / np.sqrt(np.where(spread > 0, spread, 1)), np.where(product > 0, 0.0, -math.sqrt(n)))
     d = x - x.mean(axis=1, keepdims=True)
     power = (d * d).sum(axis=1)
@@ -154,12 +174,12 @@ def _scale(found: np.ndarray) -> np.ndarray:
     return np.stack([-np.log(found[:, 0] + 1), found[:, 1], found[:, 2]], axis=1)
 
 
-@functools.lru_cache(maxsize=1024)
+@functools.lru_cache(maxsize=None)  # as many as there are alphabets, lengths and styles
 def _score(encoding: str, n: int, style: str) -> tuple[np.ndarray, float, float]:
     """Weights of the three statistics that part even draws from a style of writing best, and the score's mean and deviation under it."""
+    usual = _scale(statistics(writing(encoding, n, DRAWS, style), encoding))
     size = len(_ALPHABETS[encoding])
-    usual = _scale(statistics(writing(encoding, n, DRAWS, style), size))
-    even = _scale(statistics(np.random.default_rng([2, n, size]).integers(0, size, (DRAWS, n)), size))
+    even = _scale(statistics(np.random.default_rng([2, n, size]).integers(0, size, (DRAWS, n)), encoding))
     spread = np.cov(usual.T) + np.cov(even.T) + 1e-9 * np.eye(3)
     weights = np.linalg.solve(spread, even.mean(axis=0) - usual.mean(axis=0))
     score = usual @ weights
@@ -169,15 +189,17 @@ def _score(encoding: str, n: int, style: str) -> tuple[np.ndarray, float, float]
 
 
 def fitted_length(n: int) -> int:
-    """The length whose score is used for ``n``: itself up to 64, then by steps of about an eighth."""
-    return n if n <= 64 else int(64 * 1.125 ** math.floor(math.log(n / 64) / math.log(1.125) + 1e-9))
+    """The length whose score is used for ``n``: the next shorter of ``LENGTHS``."""
+    return max(k for k in LENGTHS if k <= max(n, LENGTHS[0]))
 
 
 def p_writing(found: np.ndarray, encoding: str, n: int) -> float:
     """How likely ordinary writing, in the style that is likeliest to, scores as even as the token."""
-    # Writing of more characters is told from even draws with more certainty, so a shorter length's score errs on the safe side.
-    fits = [_score(encoding, fitted_length(n), style) for style in STYLES]
-    x = _scale(found[None])[0]
+    fitted = fitted_length(n)
+    # Under writing chi-squared grows with the length, and the standardised statistics with its root.
+    at_fitted = found * [fitted / n, math.sqrt(fitted / n), math.sqrt(fitted / n)]
+    x = _scale(at_fitted[None])[0]
+    fits = [_score(encoding, fitted, style) for style in STYLES]
     return max(0.5 * math.erfc((float(x @ weights) - mean) / deviation / math.sqrt(2)) for weights, mean, deviation in fits)
 
 
@@ -185,17 +207,20 @@ def tested(text: str) -> list[tuple[int, int, str, int, bool, int]]:
     """Every long token: (start, end, encoding, step of its p-value, whether it is even enough, hash)."""
     out = []
     for m in _TOKEN.finditer(text):
-        out.append((*m.span(), *_verdict(m[0].rstrip("="))))
+        token = m[0].rstrip("=")
+        out.append((*m.span(), *(_verdict(token) if len(token) <= REMEMBERED else _judged(token))))
     return out
 
 
-@functools.lru_cache(maxsize=4096)
-def _verdict(token: str) -> tuple[str, int, bool, int]:
+def _judged(token: str) -> tuple[str, int, bool, int]:
     encoding = infer_encoding(token)
-    place, n = _SETS[encoding][1], len(token)
-    found = statistics(np.array([[place[c] for c in token]]), len(place))[0]
-    p = max(p_writing(found, encoding, n), 10.0 ** (LEAST_STEP / STEPS))
-    return encoding, math.ceil(math.log10(p) * STEPS), evenness(found, n, len(place)) >= EVEN, xxhash.xxh3_64_intdigest(token) - (1 << 63)
+    size, found = len(_ALPHABETS[encoding]), statistics(_PLACES[encoding][np.frombuffer(token.encode(), np.uint8)][None], encoding)[0]
+    p = max(p_writing(found, encoding, len(token)), 10.0 ** (LEAST_STEP / STEPS))
+    return encoding, math.ceil(math.log10(p) * STEPS), evenness(found, len(token), size) >= EVEN, xxhash.xxh3_64_intdigest(token) - (1 << 63)
+
+
+_verdict = functools.lru_cache(maxsize=4096)(_judged)
+MEMOS.append(_verdict.cache_clear)
 
 
 def _length_class(n):

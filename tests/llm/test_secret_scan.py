@@ -4,6 +4,7 @@ import random
 import re
 import string
 import time
+import tracemalloc
 
 import numpy as np
 from hypothesis import given, settings
@@ -32,8 +33,7 @@ def test_base_spans_match_brute_force(text):
 def test_p_values_hold_under_writing_and_find_keys():
     rng = random.Random(5)
     for encoding, n in (("base62", 24), ("letters", 20), ("hex", 32), ("base64", 40)):
-        size = len(secret_scan._ALPHABETS[encoding])
-        usual = secret_scan.statistics(secret_scan.writing(encoding, n, 5000, seed=99), size)
+        usual = secret_scan.statistics(secret_scan.writing(encoding, n, 5000, seed=99), encoding)
         ps = np.array([secret_scan.p_writing(x, encoding, n) for x in usual])
         assert (ps <= 0.1).mean() < 0.13 and (ps <= 0.01).mean() < 0.02
     keys = ["".join(rng.choices(string.ascii_letters + string.digits, k=64)) for _ in range(200)]
@@ -99,3 +99,36 @@ def test_many_tokens_in_one_text():
     began = time.perf_counter()
     assert len(secret_scan.base_spans(text)) == 0 and len(secret_scan.tested(text)) > 0
     assert time.perf_counter() - began < 60
+
+
+def test_very_long_token_costs_one_pass():
+    secret_scan.tested("warm" * 10 + "UP123")
+    rng = random.Random(1)
+    for token in ("".join(rng.choices(string.ascii_letters + string.digits, k=1_000_000)), "a" * 1_000_000, "Zm9v" * 250_000):
+        secret_scan.tested(token[:70])
+        tracemalloc.start()
+        began = time.perf_counter()
+        found = secret_scan.tested(token)
+        assert time.perf_counter() - began < 5 and len(found) == 1
+        assert tracemalloc.get_traced_memory()[1] < 100e6
+        tracemalloc.stop()
+
+
+def test_bare_keys_are_found_and_clean_text_is_not(spark):
+    """Keys of 32 to 64 characters without any word beside them, in the documents that have no secret of their own."""
+    rng = random.Random(3)
+    bare = lambda k: "".join(rng.choices(string.ascii_letters + string.digits, k=rng.randint(32, 64)))
+    rows, keys = [], {}
+    for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect():
+        if secret_scan.base_spans(r.text or ""):
+            continue
+        text = r.text or ""
+        if r.doc_id % 10 == 3:
+            keys[r.doc_id] = bare(r.doc_id)
+            text = f"{text} {keys[r.doc_id]} end"
+        rows.append((r.doc_id, text))
+    text_of = dict(rows)
+    got = secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    finds = {(r.doc_id, text_of[r.doc_id][s.start : s.end]) for r in got for s in r.secrets}
+    assert len(keys) > 50 and len(finds & set(keys.items())) >= 0.9 * len(keys)
+    assert finds <= set(keys.items())
