@@ -87,6 +87,13 @@ def agreement(df: DataFrame, actual: str, first: str, second: str) -> DataFrame:
     return df.withColumn("agreement", F.coalesce(kind, F.lit("Disagreement")))
 
 
+def counts_at_cut(df: DataFrame, actual: str, models: list[str], cut: float = 10) -> DataFrame:
+    """``model, tp, fp, fn, tn``: each model (a column of counts) is positive from ``cut`` on; ``actual`` is 0 or 1. Null counts are left out."""
+    long = df.select(F.col(actual).alias("_y"), *(F.col(m).cast("double").alias(m) for m in models)).unpivot(["_y"], models, "model", "_n").where("_n is not null")
+    y, p = F.col("_y") == 1, F.col("_n") >= cut
+    return long.groupBy("model").agg(F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"), F.count_if(y & ~p).alias("fn"), F.count_if(~y & ~p).alias("tn"))
+
+
 def best_experiment(df: DataFrame, keys: list[str], group: str, metric: str) -> DataFrame:
     """Mean metric by experiment, and within each group the best (ties kept)."""
     means = df.groupBy(*keys, group).agg(F.avg(metric).alias("mean_metric"))

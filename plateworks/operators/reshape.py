@@ -87,8 +87,9 @@ def transposed(df: DataFrame, key: str, values: list[str], names: list[str]) ->
 
 
 def best_of_group(df: DataFrame, group: str, by: str, order: str) -> DataFrame:
-    """Per group the first row (by ``order``) of the largest ``by``; null values come last."""
-    # A struct's maximum, so that partial results are one row a group.
-    columns = df.columns
-    best = df.groupBy(group).agg(F.max_by(F.struct(*columns), F.struct(F.col(by).isNotNull().alias("k"), F.col(by).alias("v"), (-F.col(order)).alias("o"))).alias("best"))
-    return best.select("best.*")
+    """Per group the first row (by ``order``, of any type) of the largest ``by``; null values come last."""
+    # A struct's minimum, so that partial results are one row a group: the largest value is found first.
+    best = df.groupBy(F.col(group).alias("_group")).agg(F.max(by).alias("_best"))
+    among = df.join(best, df[group].eqNullSafe(F.col("_group")) & df[by].eqNullSafe(F.col("_best"))).drop("_group", "_best")
+    first = among.groupBy(group).agg(F.min_by(F.struct(*df.columns), F.struct(F.col(order).isNull(), F.col(order))).alias("best"))
+    return first.select("best.*")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,16 +59,27 @@ def nearest(df: DataFrame, metric: str, k: int, group: str = "query_id", tie: st
     return rank_first(df, F.col(metric), [tie], "rank", group).where(F.col("rank") <= k)
 
 
+def compare_metrics(dist: DataFrame, names: list[str]) -> DataFrame:
+    """Rank by each metric (``<name>_dist``, ties by ``ref_id``) and log2 of its distance (null at zero and below) side by side."""
+    out = dist
+    for m in names:
+        out = rank_first(out, F.col(f"{m}_dist"), ["ref_id"], f"{m}_rank")
+    return out.withColumns({f"{m}_log2": F.when(F.col(f"{m}_dist") > 0, F.log2(f"{m}_dist")) for m in names})
+
+
 def compare_ranks(dist: DataFrame) -> DataFrame:
-    """Both metrics' ranks, distances and log2 distances (null at zero) side by side."""
-    out = rank_first(dist, F.col("cosine_dist"), ["ref_id"], "cosine_rank")
-    out = rank_first(out, F.col("jaccard_dist"), ["ref_id"], "jaccard_rank")
-    return out.withColumns({f"{m}_log2": F.when(F.col(f"{m}_dist") > 0, F.log2(f"{m}_dist")) for m in ("cosine", "jaccard")})
+    """``compare_metrics`` of cosine and Jaccard distance."""
+    return compare_metrics(dist, ["cosine", "jaccard"])
+
+
+def top_of(compared: DataFrame, ranks: list[int], names: list[str]) -> DataFrame:
+    """Rows that hold one of ``ranks`` by any of the metrics."""
+    return compared.where(reduce(lambda a, b: a | b, (F.col(f"{m}_rank").isin(ranks) for m in names)))
 
 
 def top_of_any(compared: DataFrame, ranks: list[int]) -> DataFrame:
-    """Rows that hold one of ``ranks`` by either metric."""
-    return compared.where(F.col("cosine_rank").isin(ranks) | F.col("jaccard_rank").isin(ranks))
+    """``top_of`` cosine and Jaccard distance."""
+    return top_of(compared, ranks, ["cosine", "jaccard"])
 
 
 def closest(dist: DataFrame, metric: str = "jaccard_dist") -> DataFrame:
@@ -74,7 +87,7 @@ def closest(dist: DataFrame, metric: str = "jaccard_dist") -> DataFrame:
 
 
 def last_by_category(df: DataFrame, keys: list[str], category: str, order: list[str]) -> DataFrame:
-    """Per key the row whose category comes last in ``order``."""
+    """Per key the row whose category comes last in ``order``; of several, the first by all columns."""
     place = F.coalesce(F.array_position(F.array(*map(F.lit, order)), F.col(category)), F.lit(0))
-    n = F.row_number().over(Window.partitionBy(*keys).orderBy(place.desc()))
+    n = F.row_number().over(Window.partitionBy(*keys).orderBy(place.desc(), *df.columns))
     return df.withColumn("_n", n).where("_n = 1").drop("_n")
