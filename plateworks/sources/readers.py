@@ -53,11 +53,14 @@ def read_plates(spark: SparkSession, path: str, time_format: str = "MM/dd/yyyy H
     """Plate files (``Time`` and a column a well) as rows ``file, organism, replicate, time, well, od``.
 
     File names are organism and replicate; one with three underscores has its first taken out.
+    A file without a header is an error when it is read.
     """
     lines = spark.read.text(path).where("value <> ''").select(F.split("value", "\t").alias("cells"), F.col("_metadata.file_path").alias("_path"), F.element_at(F.split(F.col("_metadata.file_name"), "/"), -1).alias("_file"))
     # Every file by its own header, in any order of columns; a row a file.
     headers = lines.where(F.array_contains("cells", "Time")).select("_path", F.col("cells").alias("header"))
-    rows = lines.where(~F.array_contains("cells", "Time")).join(headers, "_path")
+    rows = lines.where(~F.array_contains("cells", "Time")).join(headers, "_path", "left")
+    absent = F.raise_error(F.concat(F.lit("no header with Time in "), F.col("_path"))).cast("array<string>")
+    rows = rows.withColumn("header", F.when(F.col("header").isNull(), absent).otherwise(F.col("header")))
     at = F.get(F.col("cells"), (F.array_position("header", F.lit("Time")) - 1).cast("int"))
     cells = rows.select("_file", F.to_timestamp(at, time_format).alias("time"), F.explode(F.arrays_zip(F.col("header").alias("well"), F.col("cells").alias("od"))).alias("cell"))
     long = cells.select("_file", "time", "cell.well", F.nullif(F.col("cell.od"), F.lit("")).try_cast("double").alias("od")).where(F.col("well").rlike("^[A-H][0-9]{1,2}$"))

@@ -100,3 +100,14 @@ def test_csv_and_markdown(spark, tmp_path):
     sources.write_csv(df, str(tmp_path / "c"))
     assert sorted(map(tuple, spark.read.option("header", True).csv(str(tmp_path / "c")).collect()), key=str) == [("a,b", "1"), (None, "2")]
     assert sources.markdown(df) == "| s | n |\n| --- | --- |\n| a,b | 1 |\n|  | 2 |"
+
+
+def test_rows_without_id_and_files_without_header(spark, tmp_path):
+    (tmp_path / "r1.tsv").write_text("\t0\t1\nx\t1\t2\n\t3\t4\n")
+    (tmp_path / "r2.tsv").write_text("\t0\t1\n\t5\t6\n")
+    rows = sources.read_representation(spark, [str(tmp_path / "r1.tsv"), str(tmp_path / "r2.tsv")]).collect()
+    assert sorted(((r.chem_id, r.vector) for r in rows), key=str) == [("x", [1.0, 2.0]), (None, [3.0, 4.0]), (None, [5.0, 6.0])]
+    (tmp_path / "a_1_OD.tsv").write_text("Time\tA1\n01/02/2023 10:00:00\t0.1\n")
+    (tmp_path / "b_1_OD.tsv").write_text("01/02/2023 10:00:00\t0.3\n")
+    with pytest.raises(Exception, match="no header"):
+        sources.read_plates(spark, str(tmp_path / "*_OD.tsv")).collect()
