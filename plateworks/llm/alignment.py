@@ -61,8 +61,9 @@ class Aligner:
         self.b_bytes = [bytes([int(x[3:5], 16)]) if self.model.is_byte(k) else x.replace("▁", " ").encode() for k, x in enumerate(names)]
         self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
-        # Decimal ids with what follows them in a group's writing.
-        self.written = [f"{k}{mark}".encode() for n, marks in ((len(self.a_bytes), ",|"), (len(self.b_bytes), ",;")) for mark in marks for k in range(n)]
+        # Decimal ids with what follows them in a group's writing, padded with zero bytes, and their lengths.
+        written = [f"{k}{mark}".encode() for n, marks in ((len(self.a_bytes), ",|"), (len(self.b_bytes), ",;")) for mark in marks for k in range(n)]
+        self.written, self.written_size = np.array(written), np.array([len(x) for x in written])
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of every text by both; none where a tokenizer's bytes are not those of the text after a blank."""
@@ -115,8 +116,9 @@ def writings(tools: Aligner, found: Aligned, a_cuts: np.ndarray, b_cuts: np.ndar
     parts = np.empty(len(found.a) + len(found.b), np.int64)
     parts[a_place] = found.a + n_a * last(found.a_group)
     parts[b_place] = 2 * n_a + found.b + n_b * last(found.b_group)
-    written, cuts = list(map(tools.written.__getitem__, parts.tolist())), (a_cuts + b_cuts).tolist()
-    return [b"".join(written[x:y])[:-1] for x, y in zip(cuts[:-1], cuts[1:])]
+    flat = tools.written[parts].tobytes().translate(None, b"\0")
+    cuts = np.concatenate([[0], np.cumsum(tools.written_size[parts])])[a_cuts + b_cuts].tolist()
+    return [flat[x : max(x, y - 1)] for x, y in zip(cuts[:-1], cuts[1:])]
 
 
 def _blocks(sizes: list[int]) -> Iterator[tuple[int, int]]:
