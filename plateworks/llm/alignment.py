@@ -71,7 +71,8 @@ class Aligner:
         b = [np.array(x, np.uint32) for x in self.model.encode(texts, num_threads=1)] if texts else []
         for k, text in enumerate(texts):
             whole = b" " + text.encode()
-            if not text or b"".join(map(self.a_bytes.__getitem__, a[k].tolist())) != whole or b"".join(map(self.b_bytes.__getitem__, b[k].tolist())) != whole:
+            # Byte-level tokens are the text's bytes in their order, if the vocabulary has them all: then none is missing.
+            if not text or self.a_size[a[k]].sum() != len(whole) or b"".join(map(self.b_bytes.__getitem__, b[k].tolist())) != whole:
                 a[k] = b[k] = np.empty(0, np.uint32)
         return a, b
 
@@ -269,8 +270,11 @@ def align_documents(documents: DataFrame, byte_level: str | None = None, pieces:
                     rare = np.flatnonzero(~hit)
                     rare_cuts = np.searchsorted(rare, links)
                     for k in range(y - x):
+                        if rare_cuts[k] == rare_cuts[k + 1]:
+                            outcome.append((int(bests[links[k + 1]] - bests[links[k]]), int(total[links[k + 1]] - total[links[k]]), None, None))
+                            continue
                         keys, times = np.unique(pair[rare[rare_cuts[k] : rare_cuts[k + 1]]], return_counts=True)
-                        outcome.append((int(bests[links[k + 1]] - bests[links[k]]), int(total[links[k + 1]] - total[links[k]]), keys.tobytes() if len(keys) else None, times.tobytes() if len(keys) else None))
+                        outcome.append((int(bests[links[k + 1]] - bests[links[k]]), int(total[links[k + 1]] - total[links[k]]), keys.tobytes(), times.tobytes()))
                 n_best, count_sum, keys, times = zip(*outcome)
                 same = [batch.column(c) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "row")]
                 yield pa.RecordBatch.from_arrays([*same, pa.array(n_best, pa.int64()), pa.array(count_sum, pa.int64()), pa.array(keys, pa.binary()), pa.array(times, pa.binary())], names=[c.split()[0] for c in SCORED.split(", ")])
