@@ -33,8 +33,12 @@ def read_molecules(
 
 
 def read_representation(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``chem_id, vector array<float>`` from a TSV whose first column, without name, is the id; files with other headers are an error."""
-    if spark.read.text(path).where(F.col("value").startswith("\t")).distinct().limit(2).count() > 1:
+    """``chem_id, vector array<float>`` from a TSV whose first column, without name, is the id; files with other headers are an error.
+
+    Rows without an id are rows like others, with a null id. The first lines are compared in a pass of their own.
+    """
+    lines = spark.read.text(path).where("value <> ''").select("value", F.col("_metadata.file_path").alias("file"), F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("at"))
+    if lines.groupBy("file").agg(F.min_by("value", "at").alias("header")).select("header").distinct().limit(2).count() > 1:
         raise ValueError("files with different headers")
     df = _tsv(spark, path, nameless=True)
     first, *rest = df.columns
