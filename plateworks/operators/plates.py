@@ -81,55 +81,60 @@ def control_wells(wells: DataFrame, fallback: float = 0.002) -> DataFrame:
     return out.join(water, "_row", "left").join(dmso, "_share", "left").withColumn("water_h", F.lit(edge)).drop("_row", "_share")
 
 
-def fit_curves(df: DataFrame, curve: str, x: str, od: str) -> DataFrame:
-    """A logistic curve for each group by damped least squares; curves that did not grow, or do not settle, get zeros.
+def fit_logistic(times: list[float], values: list[float]) -> tuple[bool, float, float, float, float, float, float]:
+    """``fit_ok, top, rate, middle, start, reach, generation_time`` of one well's readings in order of time, by damped least squares.
 
-    A group is one well's readings, so it fits in a task. ``start`` and ``reach`` are where
-    the tangent at the middle meets zero and the top.
+    Zeros if the well did not grow or no fit settles. ``start`` and ``reach`` are where the
+    tangent at the middle meets zero and the top.
     """
     import numpy as np
+
+    t, y = np.array(times, float), np.array(values, float)
+    none = (False, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0)
+    if (y > GROWN_OD).sum() < GROWN_POINTS or len(y) < 4 or np.ptp(t) == 0:
+        return none
+    scale, span = y.max(), np.ptp(t)
+    u, v = (t - t[0]) / span, y / scale
+    best = None
+    for rate in (5.0, 15.0, 40.0):
+        p, damp = np.array([1.0, rate, float(np.interp(0.5, np.maximum.accumulate(v), u))]), 1e-2
+        model = lambda p: p[0] / (1 + np.exp(np.clip(-p[1] * (u - p[2]), -60, 60)))
+        error = float(((model(p) - v) ** 2).sum())
+        for _ in range(200):
+            s = model(p) / p[0] if p[0] else np.zeros_like(u)
+            jac = np.stack([s, p[0] * s * (1 - s) * (u - p[2]), -p[0] * p[1] * s * (1 - s)], axis=1)
+            normal = jac.T @ jac
+            try:
+                step = np.linalg.solve(normal + damp * np.diag(np.diag(normal) + 1e-12), jac.T @ (v - model(p)))
+            except np.linalg.LinAlgError:
+                break
+            new = float(((model(p + step) - v) ** 2).sum())
+            if new < error:
+                small = error - new < 1e-14
+                p, error, damp = p + step, new, damp / 3
+                if small:
+                    break
+            else:
+                damp *= 4
+                if damp > 1e12:
+                    break
+        if p[1] > 0 and p[0] > 0 and (best is None or error < best[0]):
+            best = (error, p)
+    if best is None:
+        return none
+    top, rate, middle = best[1][0] * scale, best[1][1] / span, best[1][2] * span + t[0]
+    return (True, *(float(x) for x in (top, rate, middle, middle - 2 / rate, middle + 2 / rate, np.log(2) / rate)))
+
+
+def fit_curves(df: DataFrame, curve: str, x: str, od: str) -> DataFrame:
+    """``fit_logistic`` of each group; a group is one well's readings, so it fits in a task. Null readings are left out."""
     import pandas as pd
 
     names = [curve, *(c.split()[0] for c in FIT.split(", ")[1:])]
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        name = str(pdf[curve].iloc[0])
         data = pdf[[x, od]].dropna().sort_values(x)
-        t, y = data[x].to_numpy(float), data[od].to_numpy(float)
-        zeros = pd.DataFrame([(name, False, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0)], columns=names)
-        if (y > GROWN_OD).sum() < GROWN_POINTS or len(y) < 4 or np.ptp(t) == 0:
-            return zeros
-        scale, span = y.max(), np.ptp(t)
-        u, v = (t - t[0]) / span, y / scale
-        best = None
-        for rate in (5.0, 15.0, 40.0):
-            p, damp = np.array([1.0, rate, float(np.interp(0.5, np.maximum.accumulate(v), u))]), 1e-2
-            model = lambda p: p[0] / (1 + np.exp(np.clip(-p[1] * (u - p[2]), -60, 60)))
-            error = float(((model(p) - v) ** 2).sum())
-            for _ in range(200):
-                s = model(p) / p[0] if p[0] else np.zeros_like(u)
-                jac = np.stack([s, p[0] * s * (1 - s) * (u - p[2]), -p[0] * p[1] * s * (1 - s)], axis=1)
-                normal = jac.T @ jac
-                try:
-                    step = np.linalg.solve(normal + damp * np.diag(np.diag(normal) + 1e-12), jac.T @ (v - model(p)))
-                except np.linalg.LinAlgError:
-                    break
-                new = float(((model(p + step) - v) ** 2).sum())
-                if new < error:
-                    small = error - new < 1e-14
-                    p, error, damp = p + step, new, damp / 3
-                    if small:
-                        break
-                else:
-                    damp *= 4
-                    if damp > 1e12:
-                        break
-            if p[1] > 0 and p[0] > 0 and (best is None or error < best[0]):
-                best = (error, p)
-        if best is None:
-            return zeros
-        top, rate, middle = best[1][0] * scale, best[1][1] / span, best[1][2] * span + t[0]
-        return pd.DataFrame([(name, True, top, rate, middle, middle - 2 / rate, middle + 2 / rate, np.log(2) / rate)], columns=names)
+        return pd.DataFrame([(str(pdf[curve].iloc[0]), *fit_logistic(data[x].tolist(), data[od].tolist()))], columns=names)
 
     return df.groupBy(curve).applyInPandas(fit, FIT.replace("curve_id", f"`{curve}`", 1))
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import scalars, vectors
+from ..functions import scalars, tables, vectors
 from ..operators import asof, bitjoin, library, metrics, neighbours, ordered, quantiles, reshape, similarity
-from .catalog import DIST, dist, query, read, rounded
+from .catalog import DIST, QUERIES, curves, dist, query, read, rounded
 
 # ---- orders of all rows
 
@@ -173,3 +173,15 @@ def transposed_totals(spark, sf_dir):
 @query("select c_nationkey, c_custkey from (select *, row_number() over (partition by c_nationkey order by c_acctbal desc, c_custkey) as k from customer) where k = 1")
 def best_customers(spark, sf_dir):
     return reshape.best_of_group(read(spark, sf_dir, "customer"), "c_nationkey", "c_acctbal", "c_custkey").select("c_nationkey", "c_custkey")
+
+
+def growth_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A logistic curve for each event series, by a table function called from SQL text. SQL alone has no form for the fit."""
+    tables.register(spark)
+    c = curves(spark, sf_dir)
+    cumulative = F.sum("corrected").over(Window.partitionBy("event_type", "user_id").orderBy("point"))
+    c.select("event_type", "user_id", "hours", (cumulative / 100).alias("od")).createOrReplaceTempView("plateworks_readings")
+    return spark.sql("select * from growth_parameters(table(plateworks_readings) partition by (event_type, user_id) order by hours)")
+
+
+QUERIES["growth_by_sql"] = growth_by_sql
