@@ -7,12 +7,13 @@ are alike and have tight maxima. Blocks are aligned to places, the same for ever
 that the postings of a term in a block are one entry with its maximum.
 
 Search: document frequencies and lengths are summed over all shards first, so scores do not
-depend on sharding. For a query and a shard, the sum of its terms' entry maxima bounds every
-document of a block. Blocks are pivots from the highest bound down; only the postings of
-entries in a pivot block are read, and a block whose bound does not reach the k-th best score
-so far is skipped with all its postings. Shards' best are merged by query. Queries are packed in
-the shared folder in blocks of ``QUERY_BLOCK``; a task has one shard and every so-many-th block, so neither
-shards nor queries are held whole anywhere.
+depend on sharding. A query's terms are parted in two for each shard: leading terms, and the rest, those with the
+longest postings, whose greatest scores together stay under a share of the k-th best score so far. A document's
+pivot bound is the exact score of its leading terms and the block maxima of the rest; only in
+blocks where a document's bound reaches the k-th best score are the rest's postings read. A task
+takes several shards one after another, so that the k-th best score of those before counts in the next, and
+its results are merged by query. Queries are packed in the shared folder in blocks of
+``QUERY_BLOCK``; a task has every so-many-th block, so neither shards nor queries are held whole anywhere.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.ordered import ordered_ranks
 from . import wordstream
 from .common import hashed_place, id_filter, in_filter, map_batches, materialize, open_store, prepare, shared_path
 from .token_files import map_ids
@@ -36,10 +38,12 @@ TOP = 10
 SHARD_DOCS, SHARD_POSTINGS = 16_384, 3_000_000
 BLOCK = 32
 QUERY_BLOCK = 128
-#: Queries of one task, at most about.
-TASK_QUERIES = 4096
+#: Queries of one task, at most about, and shards.
+TASK_QUERIES, TASK_SHARDS = 512, 8
 #: Pivot blocks that are scored first; then twice as many each time.
 PIVOTS = 8
+#: Share of the k-th best score (of all terms' maxima, while there is none) that the terms which do not lead may reach.
+REST = 0.4
 #: Scores count to this many decimals; ties go to the smaller document id.
 DECIMALS = 6
 _EPS = 10.0**-DECIMALS
@@ -148,6 +152,7 @@ class Shard:
         self.impacts /= over
         del over
         self.blocks = -(-len(self.doc_ids) // BLOCK)
+        self.begins = np.asarray(begins)
         block = (self.places // BLOCK).astype(np.int32)
         new = np.ones(len(block), bool)
         new[1:] = block[1:] != block[:-1]
@@ -156,29 +161,38 @@ class Shard:
         self.block = block[starts]
         self.starts = np.append(starts, len(block)).astype(np.int32)
         self.maxima = np.maximum.reduceat(self.impacts, starts) if len(starts) else np.empty(0)
-        #: Entries of term t: ``entries[t]`` to ``entries[t + 1]``.
+        #: Entries of term t: ``entries[t]`` to ``entries[t + 1]``, and the greatest of their maxima.
         self.entries = np.searchsorted(self.starts, begins)
+        self.greatest = np.maximum.reduceat(self.maxima, self.entries[:-1]) if len(self.maxima) else np.empty(0)
         self.read = self.skipped = 0
 
-    def best(self, own: int, terms: np.ndarray, weights: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
-        """Up to ``top`` places and scores for a query, unordered, its own id left out."""
-        places, scores = np.empty(0, np.int64), np.empty(0)
+    def best(self, own: int, terms: np.ndarray, weights: np.ndarray, top: int, ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ``top`` ids and scores for a query among those given and this shard's, unordered, its own id left out."""
         if not len(self.terms) or not len(terms):
-            return places, scores
+            return ids, scores
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         known = self.terms[at] == terms
         at, weights = at[known], weights[known]
-        begin = self.entries[at]
-        entry, of = _ranges(begin, self.entries[at + 1] - begin)
-        block, weight = self.block[entry], weights[of]
-        bound = np.bincount(block, weight * self.maxima[entry], self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        order = order[: np.count_nonzero(bound > 0)]
-        self.skipped += int((self.starts[entry + 1] - self.starts[entry]).sum())
-        floor, step = 0.0, PIVOTS
-        rank = np.full(self.blocks, -1)
-        while len(order):
-            pivots, order = order[:step], order[step:]
+        if not len(at):
+            return ids, scores
+        order = np.argsort(self.begins[at] - self.begins[at + 1], kind="stable")  # long postings first
+        so_far = np.cumsum((weights * self.greatest[at])[order])
+        full = len(scores) == top
+        rest, leading = np.split(order, [np.searchsorted(so_far, REST * (scores.min() if full else so_far[-1]))])
+        # Leading terms: exact.
+        post, of = _ranges(self.begins[at[leading]], self.begins[at[leading] + 1] - self.begins[at[leading]])
+        partial = np.bincount(self.places[post], weights[leading][of] * self.impacts[post], self.blocks * BLOCK)
+        self.read += len(post)
+        # The rest: block maxima.
+        entry, of = _ranges(self.entries[at[rest]], self.entries[at[rest] + 1] - self.entries[at[rest]])
+        block, weight = self.block[entry], weights[rest][of]
+        self.skipped += int((self.begins[at[rest] + 1] - self.begins[at[rest]]).sum())
+        bound = (partial.reshape(-1, BLOCK).max(axis=1) if self.blocks else partial) + np.bincount(block, weight * self.maxima[entry], self.blocks)
+        pending = np.argsort(-bound, kind="stable")
+        pending = pending[: np.count_nonzero(bound >= max(scores.min() - _EPS if full else 0.0, _EPS))]
+        step, rank = PIVOTS, np.full(self.blocks, -1)
+        while len(pending):
+            pivots, pending = pending[:step], pending[step:]
             step *= 2
             rank[pivots] = np.arange(len(pivots))
             wanted = np.flatnonzero(rank[block] >= 0)
@@ -187,19 +201,19 @@ class Shard:
             self.read += len(post)
             self.skipped -= len(post)
             place = rank[block[wanted]][of] * BLOCK + self.places[post] % BLOCK
-            found = np.round(np.bincount(place, weight[wanted][of] * self.impacts[post], len(pivots) * BLOCK), DECIMALS)
+            found = np.bincount(place, weight[wanted][of] * self.impacts[post], len(pivots) * BLOCK) + partial.reshape(-1, BLOCK)[pivots].ravel()
+            found = np.round(found, DECIMALS)
             rank[pivots] = -1
-            good = np.flatnonzero(found >= max(floor, _EPS))
-            p, v = pivots[good // BLOCK] * BLOCK + good % BLOCK, found[good]
-            mine = self.doc_ids[p] != own
-            places, scores = np.concatenate([places, p[mine]]), np.concatenate([scores, v[mine]])
-            if len(places) > top:
-                keep = np.lexsort((self.doc_ids[places], -scores))[:top]
-                places, scores = places[keep], scores[keep]
-            if len(places) == top:
-                floor = float(scores.min())
-                order = order[bound[order] >= floor - _EPS]  # the rest is skipped
-        return places, scores
+            good = np.flatnonzero(found >= max(scores.min() if len(scores) == top else 0.0, _EPS))
+            p, v = self.doc_ids[pivots[good // BLOCK] * BLOCK + good % BLOCK], found[good]
+            mine = p != own
+            ids, scores = np.concatenate([ids, p[mine]]), np.concatenate([scores, v[mine]])
+            if len(ids) > top:
+                keep = np.lexsort((ids, -scores))[:top]
+                ids, scores = ids[keep], scores[keep]
+            if len(ids) == top:
+                pending = pending[bound[pending] >= scores.min() - _EPS]  # the others are skipped
+        return ids, scores
 
 
 def _ranges(begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -273,17 +287,25 @@ def search(index: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                shard = Shard(_load(row), average)
-                for ids, terms, weights in _query_blocks(path, row["part"], parts):
-                    found = [shard.best(*query, top) for query in zip(ids, terms, weights)]
-                    own = np.repeat(np.array(ids, np.int64), [len(p) for p, _ in found])
-                    places, scores = (np.concatenate(c) for c in zip(*found))
-                    yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(shard.doc_ids[places]), pa.array(scores)], names=["query_id", "doc_id", "score"])
-
-    # A task for each shard and part of the queries.
+                best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+                none = np.empty(0, np.int64), np.empty(0)
+                for one in row["shards"]:
+                    shard = Shard(_load(one), average)
+                    for ids, terms, weights in _query_blocks(path, row["part"], parts):
+                        for query, own, weight in zip(ids, terms, weights):
+                            best[query] = shard.best(query, own, weight, top, *best.get(query, none))
+                    del shard
+                if best:
+                    own = np.repeat(np.array(list(best), np.int64), [len(p) for p, _ in best.values()])
+                    found, scores = (np.concatenate(c) for c in zip(*best.values()))
+                    yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(found), pa.array(scores)], names=["query_id", "doc_id", "score"])
+
+    # A task for some shards and part of the queries.
     parts = max(1, -(-packed.count() // TASK_QUERIES))
-    work = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    local = work.repartition(max(1, index.count() * parts)).mapInArrow(run, "query_id long, doc_id long, score double")
+    numbered = ordered_ranks(index, [F.asc("file")], "number").withColumn("group", F.floor((F.col("number") - 1) / TASK_SHARDS))
+    groups = materialize(numbered.groupBy("group").agg(F.collect_list(F.struct(*index.columns)).alias("shards")), "bm25-groups")
+    work = groups.select("shards", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    local = work.repartition(max(1, groups.count() * parts)).mapInArrow(run, "query_id long, doc_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
     return local.withColumn("rank", rank.cast("long")).where(F.col("rank") <= top).select("query_id", "rank", "doc_id", "score")
 
