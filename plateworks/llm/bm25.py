@@ -178,7 +178,8 @@ class Shard:
         order = np.argsort(self.begins[at] - self.begins[at + 1], kind="stable")  # long postings first
         so_far = np.cumsum((weights * self.greatest[at])[order])
         full = len(scores) == top
-        rest, leading = np.split(order, [np.searchsorted(so_far, REST * (scores.min() if full else so_far[-1]))])
+        cut = np.searchsorted(so_far, REST * (scores.min() if full else so_far[-1]))
+        rest, leading = np.split(order, [max(cut, min(1, len(order) - 1))])  # the longest postings never lead beside others
         # Leading terms: exact.
         post, of = _ranges(self.begins[at[leading]], self.begins[at[leading] + 1] - self.begins[at[leading]])
         partial = np.bincount(self.places[post], weights[leading][of] * self.impacts[post], self.blocks * BLOCK)
