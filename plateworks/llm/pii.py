@@ -7,8 +7,11 @@ same script, the same country code, valid check digits where they were valid, a
 of the same gender and script. A keyed Feistel network ranks that space, and the surrogate
 is the entity next in rank. That map is one to one and never leaves an entity as it was, so
 distinct entities stay distinct and equal ones equal across all documents, with no table
-to look up. Names are found by title or by a known given name; within a text, every other place
-where such a name or its parts stand as a word takes the same surrogate. ``surrogate_map`` nevertheless gathers the distinct entities of the corpus and
+to look up. The parts of a mail address have surrogates of their own, so that one domain stays one
+domain and one user name one user name; network addresses stay in their kind (private, loopback,
+link-local, public). Names are found by title or by a known given name; within a text, every other place
+where such a name or its parts stand as a word takes the same surrogate, also in capitals, in lower case
+beside its other part, and with a genitive s. ``surrogate_map`` nevertheless gathers the distinct entities of the corpus and
 ``replace`` fails if two of one kind got the same surrogate.
 """
 
@@ -18,7 +21,7 @@ import functools
 import hashlib
 import hmac
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +45,12 @@ GIVEN = {
 # Titles before a name, by gender.
 TITLES = {"m": ("Mr", "Herr", "Monsieur", "Señor", "Sr", "господин"), "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "госпожа"), "n": ("Dr", "Prof")}
 
+# Network addresses that are not public, as (first address, number), in order.
+_IP_BLOCKS = {
+    "this": (0x00000000, 1 << 24), "private10": (0x0A000000, 1 << 24), "shared": (0x64400000, 1 << 22), "loopback": (0x7F000000, 1 << 24),
+    "link": (0xA9FE0000, 1 << 16), "private172": (0xAC100000, 1 << 20), "private192": (0xC0A80000, 1 << 16), "beyond": (0xE0000000, 1 << 29),
+}
+
 _POOLS = {name: (pool, pool.index(name)) for pool in GIVEN.values() for name in pool}
 _TITLE_GENDER = {t: g for g, titles in TITLES.items() for t in titles}
 _PATTERNS = {
@@ -155,6 +164,8 @@ def canonical(kind: str, found: str) -> str:
         return f"+{digits[: len(country[0]) - 1]} {digits[len(country[0]) - 1 :]}" if country else ("+" if found[0] == "+" else "") + digits
     if kind == "iban":
         return found.replace(" ", "")
+    if kind == "name" and found.isupper() and len(found) > 2:
+        return found.title()
     return found
 
 
@@ -163,7 +174,7 @@ def surrogate(key: bytes, kind: str, entity: str) -> str:
     if kind == "email":
         local, _, domain = entity.rpartition("@")
         host, _, top = domain.rpartition(".")
-        return f"{shifted(key, kind, f'{local}@{host}')}.{top}"
+        return f"{shifted(key, 'user', local)}@{shifted(key, 'domain', host)}.{top}"
     if kind == "phone":
         head, _, rest = entity.rpartition(" ")
         classes = [("23456789" if k == 0 and c in "23456789" else "0123456789" if c != "+" else None) for k, c in enumerate(rest)]
@@ -179,17 +190,17 @@ def surrogate(key: bytes, kind: str, entity: str) -> str:
             return entity[:4] + bban
         return f"{entity[:2]}{98 - _iban_rest(bban + entity[:2] + '00'):02d}{bban}"
     if kind == "ip":
-        parts = [int(x) for x in entity.split(".")]
-        public = 1 <= parts[0] <= 223
-        sizes, low = [223 if public else 33, 256, 256, 256], 1 if public else 0
-        x = 0
-        first = parts[0] - low if public else (0 if parts[0] == 0 else parts[0] - 223)
-        for v, size in zip([first, *parts[1:]], sizes):
-            x = x * size + v
-        x = next_in_rank(key, f"{kind}{public}", x, sizes[0] << 24)
-        first, rest = x >> 24, x & 0xFFFFFF
-        first = first + 1 if public else (0 if first == 0 else first + 223)
-        return f"{first}.{rest >> 16}.{rest >> 8 & 255}.{rest & 255}"
+        x = functools.reduce(lambda v, part: v << 8 | int(part), entity.split("."), 0)
+        own = next((name for name, (first, size) in _IP_BLOCKS.items() if first <= x < first + size), None)
+        if own:
+            first, size = _IP_BLOCKS[own]
+            x = first + next_in_rank(key, f"{kind}{own}", x - first, size)
+        else:  # public addresses by their number among themselves
+            x -= sum(size for first, size in _IP_BLOCKS.values() if first < x)
+            x = next_in_rank(key, f"{kind}public", x, (1 << 32) - sum(size for _, size in _IP_BLOCKS.values()))
+            for first, size in _IP_BLOCKS.values():
+                x += size if x >= first else 0
+        return ".".join(str(x >> k & 255) for k in (24, 16, 8, 0))
     if kind == "given":
         pool, at = _POOLS[entity]
         return pool[next_in_rank(key, f"given{pool[0]}", at, len(pool))]
@@ -206,6 +217,8 @@ MEMOS.append(_cached.cache_clear)
 
 def _dressed(kind: str, found: str, entity: str, made: str) -> str:
     """The surrogate written as the mention was: its separators and capitals."""
+    if kind in ("name", "given") and found != entity:
+        return made.upper() if found.isupper() else made.lower() if found.islower() else made
     if kind == "email":
         return "".join(c.upper() if f.isupper() else c for c, f in zip(made, found)) if len(made) == len(found) else made
     if kind in ("card", "ssn", "phone", "iban"):
@@ -244,23 +257,48 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
             given += [m.span(g) for g in ("tgiven", "given") if m[g]]
     for a, b in given:
         take(a, b, "given")
-    names: dict[str, tuple[str, int]] = {}
+    names: dict[str, str] = {}
     for _, _, kind, found in kept:
         if kind in ("given", "name"):
-            old = names.get(found, (kind, 0))
-            names[found] = ("given" if "given" in (kind, old[0]) else "name", old[1] + 1)
-    if names and (len(names) > _FEW_NAMES or any(text.count(n) > seen for n, (_, seen) in names.items())):
-        for m in _WORD.finditer(text):
-            if m[0] in names:
-                take(*m.span(), names[m[0]][0])
+            names[found.casefold()] = "given" if "given" in (kind, names.get(found.casefold())) else "name"
+    if names:
+        low = text.casefold() if len(names) <= _FEW_NAMES else ""
+        if len(names) > _FEW_NAMES or any(low.count(n) > 1 for n in names):
+            _further(text, names, take)
     return sorted(kept)
 
 
+def _further(text: str, names: dict[str, str], take: Callable[[int, int, str, str], None]) -> None:
+    """Other places of names that a text is known to hold: as written, in capitals, with a genitive s; in lower case beside another name."""
+    last_end, last_low = -2, None  # the end of the word before, and its span and kind if it is a name in lower case
+    for m in _WORD.finditer(text):
+        word, (a, b) = m[0], m.span()
+        kind = names.get(word.casefold())
+        if kind is None and word[-1] in "sS" and len(word) > 3:
+            kind, b = names.get(word[:-1].casefold()), b - 1
+        low = None
+        if kind and word[0].isupper():
+            take(a, b, kind)
+        elif kind:
+            low = (a, b, kind)
+            if last_low and a - last_end == 1:
+                take(*last_low)
+                take(*low)
+        last_end, last_low = m.end(), low
+
+
+def _originals(found: list[tuple[int, int, str, str]]) -> dict[str, str]:
+    """How each name of a text is written where it is not in capitals or lower case."""
+    return {name.casefold(): name for _, _, kind, name in reversed(found) if kind in ("name", "given") and not name.isupper() and not name.islower()}
+
+
 def replaced(key: bytes, text: str) -> tuple[str, dict[str, int], list[tuple[str, str, str]]]:
     """(new text, mentions by kind, (kind, entity, surrogate) of each mention)."""
     parts, at, counts, pairs = [], 0, dict.fromkeys(KINDS, 0), []
-    for a, b, kind, found in mentions(text):
-        entity = canonical(kind, found)
+    spans = mentions(text)
+    originals = _originals(spans)
+    for a, b, kind, found in spans:
+        entity = originals.get(found.casefold()) or canonical(kind, found) if kind in ("name", "given") else canonical(kind, found)
         made = _cached(key, kind, entity)
         pairs.append((kind, entity, made))
         counts["name" if kind == "given" else kind] += 1

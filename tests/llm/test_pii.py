@@ -61,8 +61,8 @@ def test_later_mentions_of_a_name_take_its_surrogate():
     text = "Frau Anna Müller came. Later Müller said that Anna was here; Müller's dog, Annas Hund, Müllerstraße."
     new, counts, pairs = pii.replaced(pii.DEFAULT_KEY, text)
     made = {e: m for _, e, m in pairs}
-    assert new == f"Frau {made['Anna']} {made['Müller']} came. Later {made['Müller']} said that {made['Anna']} was here; {made['Müller']}'s dog, Annas Hund, Müllerstraße."
-    assert counts["name"] == 5 and set(made) == {"Anna", "Müller"}
+    assert new == f"Frau {made['Anna']} {made['Müller']} came. Later {made['Müller']} said that {made['Anna']} was here; {made['Müller']}'s dog, {made['Anna']}s Hund, Müllerstraße."
+    assert counts["name"] == 6 and set(made) == {"Anna", "Müller"}
 
 
 def test_many_mentions_in_one_text():
@@ -94,3 +94,54 @@ def test_values_of_the_result_name_one_entity(spark):
             want += [text[at:a], made]
             at = b
         assert got[k].text == "".join([*want, text[at:]]) and got[k]._n_email == 2 and got[k]._n_phone == 1 and got[k]._n_name == 2 and got[k]._n_ip == 1
+
+
+def test_names_in_other_case_and_genitive():
+    text = "Frau Anna Müller rief an. ANNA MÜLLER! Das ist Müllers Haus, anna müller schrieb; eine anna allein, ein müller allein. Mr BROWN has a brown dog."
+    new, counts, pairs = pii.replaced(KEY, text)
+    made = {e: m for _, e, m in pairs}
+    a, m, b = made["Anna"], made["Müller"], made["Brown"]
+    assert new == f"Frau {a} {m} rief an. {a.upper()} {m.upper()}! Das ist {m}s Haus, {a.lower()} {m.lower()} schrieb; eine anna allein, ein müller allein. Mr {b.upper()} has a brown dog."
+    assert counts["name"] == 8 and set(made) == {"Anna", "Müller", "Brown"}
+
+
+def test_addresses_stay_in_their_kind():
+    import ipaddress
+
+    kinds = lambda x: [getattr(ipaddress.ip_address(x), k) for k in ("is_loopback", "is_link_local", "is_multicast")] + [ipaddress.ip_address(x) in ipaddress.ip_network(n) for n in ("10.0.0.0/8", "172.16.0.0/12", "192.168.0.0/16", "100.64.0.0/10", "0.0.0.0/8")]
+    for block in ("10.0.0.1", "172.31.255.1", "192.168.1.7", "127.0.0.1", "169.254.3.4", "100.127.0.9", "8.8.8.8", "172.32.0.1", "11.0.0.0", "223.255.255.255", "224.0.0.1", "255.255.255.255", "0.0.0.0"):
+        made = pii.surrogate(KEY, "ip", block)
+        assert made != block and kinds(made)[0] == kinds(block)[0] and kinds(made)[1] == kinds(block)[1] and kinds(made)[3:] == kinds(block)[3:], (block, made)
+    public = [f"{a}.{b}.0.{a}" for a in range(1, 224) for b in (0, 15, 16, 31, 32, 63, 64, 127, 128, 168, 254)]
+    public = [x for x in public if not any(kinds(x)[k] for k in (0, 1, 3, 4, 5, 6, 7))]
+    made = {pii.surrogate(KEY, "ip", x) for x in public}
+    assert len(made) == len(public) and not any(kinds(x)[k] for x in made for k in range(8))
+
+
+def test_parts_of_mail_addresses_keep_their_identity():
+    made = [pii.surrogate(KEY, "email", x) for x in ("ann@acme.com", "bob@acme.com", "ann@other.org", "ann@acme.org")]
+    users, domains = zip(*(x.split("@") for x in made))
+    assert users[0] == users[2] == users[3] != users[1] and domains[0] == domains[1] and domains[0].split(".")[0] == domains[3].split(".")[0] != domains[2].split(".")[0]
+    assert "acme" not in "".join(made) and not set(users) & {"ann", "bob"} and [d.split(".")[-1] for d in domains] == ["com", "com", "org", "org"]
+
+
+def test_mentions_by_an_independent_finder(spark):
+    """Surrogates in the result, told from texts made of known entities, without the library's own finder."""
+    import ipaddress
+
+    people = [("Frau", "Anna", "Müller"), ("Herr", "Karl", "Weiß"), ("Mr", "Paul", "Smith"), ("Ms", "Emma", "Jones")]
+    hosts = ["10.2.3.4", "192.168.0.9", "8.8.4.4", "127.0.0.1"]
+    parts = lambda k: (people[k % 4], f"u{k % 5}x@firm{k % 3}.org", hosts[k % 4], f"+49 30 {1000000 + k % 6}")
+    rows = [(k, "{0[0]} {0[1]} {0[2]} <{1}> [{2}] ({3}) {0[2]} {4} {0[1]}s".format(*parts(k), parts(k)[0][2].upper())) for k in range(120)]
+    seen = {}
+    for r in pii.replace(spark.createDataFrame(rows, "doc_id long, text string"), KEY).collect():
+        got = re.fullmatch(r"(\w+) (\w+) (\w+) <(.+)@(.+)> \[(.+)\] \((.+)\) (\w+) (\w+) (\w+)s", r.text)
+        person, mail, host, phone = parts(r.doc_id)
+        user, domain = mail.split("@")
+        assert got[1] == person[0] and got[3] == got[8] and got[9] == got[3].upper() and got[10] == got[2]
+        for kind, real, made in (("given", person[1], got[2]), ("name", person[2], got[3]), ("user", user, got[4]), ("domain", domain, got[5]), ("ip", host, got[6]), ("phone", phone, got[7])):
+            assert real != made and seen.setdefault((kind, real), made) == made
+        assert ipaddress.ip_address(host).is_private == ipaddress.ip_address(got[6]).is_private
+    for kind in ("given", "name", "user", "domain", "ip", "phone"):
+        made = [v for (k, _), v in seen.items() if k == kind]
+        assert len(made) == len(set(made))
