@@ -5,6 +5,7 @@ posterior(language) is proportional to
 
 Text likelihoods come from hashed character trigrams of the whole text, fitted to a bounded
 sample of labelled rows (at most ``SAMPLE`` a language, those of the smallest hashed ids).
+Whether a text is running text at all is a posterior of its own, from its share of symbols.
 Declared languages (markup) and address suffixes are right with a fixed probability. Host
 priors are counts of the text's best language by host, smoothed towards the host's address
 suffix, and that towards the whole corpus; all three levels are grouped aggregations.
@@ -12,6 +13,7 @@ suffix, and that towards the whole corpus; all three levels are grouped aggregat
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -25,8 +27,9 @@ from .common import map_batches, materialize, prepare, texts_of
 #: Labelled rows a language that the text model is fitted to, at most.
 SAMPLE = 200
 BUCKETS = 1 << 16
-#: Labels at most: a row each reaches the driver, and a column of the model.
+#: Labels with a column of the model, at most: those with the most rows. All others together are ``OTHER``.
 LANGUAGES = 256
+OTHER = "mis"
 #: The text likelihood's exponent per trigram: neighbouring trigrams overlap.
 TEMPER = 0.3
 #: Probability that a declaration, or an address suffix that stands for a language, is right.
@@ -38,6 +41,9 @@ LEAST_POSTERIOR, LEAST_TRIGRAMS = 0.6, 1
 #: A text whose mean log likelihood ratio against evenly spread trigrams is below this is in no known language.
 LEAST_GAIN = 0.0
 UNKNOWN = "und"
+#: Symbols, how likely a character other than white space is one in running text (tables among it) and in junk, and how likely a document is junk.
+SYMBOLS = "#*$%&|<>{}[]^~\\=@_+/"
+SYMBOL_IN_TEXT, SYMBOL_IN_JUNK, JUNK = 0.1, 0.35, 0.02
 
 # Country suffixes that stand for one language.
 SUFFIX_LANGUAGE = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "ar": "es", "uk": "en", "us": "en", "au": "en", "ie": "en"}
@@ -73,6 +79,14 @@ class TextModel:
         return total.astype(float), len(found)
 
 
+def p_running(text: str) -> float:
+    """The posterior that a text is running text, by its symbols; one without characters is by the prior alone."""
+    symbols = sum(map(text.count, SYMBOLS))
+    others = len(text) - sum(map(text.count, " \t\n\x0b\x0c\r")) - symbols
+    odds = symbols * math.log(SYMBOL_IN_TEXT / SYMBOL_IN_JUNK) + others * math.log((1 - SYMBOL_IN_TEXT) / (1 - SYMBOL_IN_JUNK))
+    return 1 / (1 + math.exp(-max(-700.0, min(700.0, TEMPER * odds + math.log((1 - JUNK) / JUNK)))))
+
+
 def label_of(column: Column) -> Column:
     """A language label: lower case, without blanks around it; empty is null."""
     text = F.lower(F.trim(column.cast("string")))
@@ -82,16 +96,19 @@ def label_of(column: Column) -> Column:
 def fit_text_model(labelled: DataFrame, text: str = "text", label: str = "lang", sample: int = SAMPLE) -> TextModel:
     """Fit to at most ``sample`` rows of each label, the least by hash of the id; null labels are left out.
 
-    Labels that differ in case are one. More than ``LANGUAGES`` labels are an error.
+    Labels that differ in case are one. Beyond ``LANGUAGES`` labels, those with the fewest rows (of equals
+    the last by name) are one label, ``OTHER``.
     """
     order = F.xxhash64("doc_id")
     rows = labelled.select(label_of(labelled[label]).alias("_label"), labelled[text].alias("_text"), order.alias("_order")).where("_label is not null")
+    most = rows.groupBy("_label").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "_label").limit(LANGUAGES + 1).collect()
+    if len(most) > LANGUAGES:
+        kept = [r["_label"] for r in most[: LANGUAGES - 1]]
+        rows = rows.withColumn("_label", F.when(F.col("_label").isin(kept), F.col("_label")).otherwise(OTHER))
     # The hash below which a label has just `sample` rows; texts are read only for the rows below it.
     number = F.row_number().over(Window.partitionBy("_label").orderBy("_order"))
     least = rows.select("_label", "_order").withColumn("_number", number).where(F.col("_number") <= sample)
-    limits = least.groupBy("_label").agg(F.max("_order").alias("_most")).limit(LANGUAGES + 1).collect()
-    if len(limits) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} language labels")
+    limits = least.groupBy("_label").agg(F.max("_order").alias("_most")).collect()  # a row a label
     languages = sorted(r["_label"] for r in limits) or [UNKNOWN]
     chosen = F.lit(False)
     for r in limits:
@@ -104,35 +121,37 @@ def fit_text_model(labelled: DataFrame, text: str = "text", label: str = "lang",
 
 
 def text_evidence(documents: DataFrame, model: TextModel) -> DataFrame:
-    """``documents`` without ``text``, with ``gains array<double>`` (tempered) and ``trigrams`` and ``gain``."""
+    """``documents`` without ``text``, with ``gains array<double>`` (tempered), ``trigrams``, ``gain``, and ``p_text``: how likely it is running text."""
     columns = [c for c in documents.columns if c != "text"]
     shared = documents.sparkSession.sparkContext.broadcast((model.languages, model.weights))
 
     def compute(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         own = TextModel(*shared.value)
-        gains, sizes, best = [], [], []
+        gains, sizes, best, running = [], [], [], []
         for text in texts_of(batch):
             g, n = own.gains(text)
             gains.append((TEMPER * g).tolist())
             sizes.append(n)
             best.append(float(g.max() / n) if n else 0.0)
+            running.append(p_running(text))
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in columns), pa.array(gains, pa.list_(pa.float64())), pa.array(sizes, pa.int64()), pa.array(best, pa.float64())],
-            names=[*columns, "gains", "trigrams", "gain"],
+            [*(batch.column(c) for c in columns), pa.array(gains, pa.list_(pa.float64())), pa.array(sizes, pa.int64()), pa.array(best, pa.float64()), pa.array(running, pa.float64())],
+            names=[*columns, "gains", "trigrams", "gain", "p_text"],
         )
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields if f.name != "text")
-    return map_batches(documents, compute, f"{kept}, gains array<double>, trigrams long, gain double")
+    return map_batches(documents, compute, f"{kept}, gains array<double>, trigrams long, gain double, p_text double")
 
 
 def identify(documents: DataFrame, model: TextModel, declared: Column, suffix: Column, host: Column, key: Column | None = None) -> DataFrame:
-    """Per document: ``doc_id, language, posterior, text_language, accepted``, and ``key`` where a column for it is given.
+    """Per document: ``doc_id, language, posterior, text_language, p_text, accepted``, and ``key`` where a column for it is given.
 
     ``declared``, ``suffix`` and ``host`` are columns of ``documents``; null or unknown ones
     add no evidence, and documents without a host share one. A declaration names a language by its label or by
     a label with a region (``en-US``). Null and empty texts have no
     text evidence; with fewer than ``LEAST_TRIGRAMS`` trigrams, or if no language explains the
-    text better than an even spread, the language is "und" and the document is rejected.
+    text better than an even spread, the language is "und" and the document is rejected; so is one that
+    is likelier junk than running text (``p_text``), whatever its language.
     Repeated rows get equal verdicts; an empty table gives no rows; other columns are not read.
     """
     prepare(documents.sparkSession)
@@ -198,7 +217,8 @@ def identify(documents: DataFrame, model: TextModel, declared: Column, suffix: C
         F.when(F.col("known"), best).otherwise(UNKNOWN).alias("language"),
         posterior.alias("posterior"),
         "text_language",
-        (F.col("known") & (posterior >= LEAST_POSTERIOR)).alias("accepted"),
+        "p_text",
+        (F.col("known") & (posterior >= LEAST_POSTERIOR) & (F.col("p_text") >= LEAST_POSTERIOR)).alias("accepted"),
         *([] if key is None else ["key"]),
     )
 

@@ -54,7 +54,10 @@ def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     rest = docs.where(F.col("doc_id") % 2 == 1)
     model = langid.fit_text_model(docs.where(F.col("doc_id") % 2 == 0), sample=50)
-    out = langid.identify(rest, model, F.lit(None), F.lit(None), rest["source"]).join(rest.select("doc_id", "lang"), "doc_id")
+    # Running text: of characters that are no white space, few are symbols.
+    solid = F.regexp_replace("text", r"\s", "")
+    running = F.length(F.regexp_replace(solid, r"[#*$%&|<>{}\[\]^~\\=@_+/]", "")) > 0.85 * F.length(solid)
+    out = langid.identify(rest, model, F.lit(None), F.lit(None), rest["source"]).join(rest.where(running).select("doc_id", "lang"), "doc_id")
     n, right, kept = out.agg(F.count("*"), F.avg((F.col("text_language") == F.col("lang")).cast("double")), F.avg(F.col("accepted").cast("double"))).first()
     assert n > 400 and right > 0.97 and kept > 0.97
     pages = langid.identify_pages(spark.read.parquet(f"{DATA}/pages.parquet"), model).where("accepted").count()
@@ -80,3 +83,35 @@ def test_very_long_and_repeated_texts(spark):
     docs = frame(spark, [(1, TEXTS["de"] * 20_000, None, None, "a", 1)] * 2 + [(2, "x" * 300_000, "en", None, "a", 1)])
     got = langid.identify(docs, small_model(spark), docs["declared"], docs["suffix"], docs["host"]).collect()
     assert [(r.doc_id, r.language) for r in got if r.doc_id == 1] == [(1, "de")] * 2 and len(got) == 3
+
+
+def symbol_share(text):
+    solid = "".join((text or "").split())
+    return sum(c in langid.SYMBOLS for c in solid) / max(1, len(solid))
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
+def test_junk_is_rejected_and_running_text_kept(spark):
+    """Held out: the model sees documents of even id, the others are judged; junk is told by its share of symbols."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rest = docs.where(F.col("doc_id") % 2 == 1)
+    model = langid.fit_text_model(docs.where(F.col("doc_id") % 2 == 0))
+    verdicts = {r.doc_id: r for r in langid.identify(rest, model, rest["lang"], F.lit(None), rest["source"]).collect()}
+    rows = rest.select("doc_id", "text", "lang").collect()
+    junk = [r for r in rows if symbol_share(r.text) >= 0.25]
+    clean = [r for r in rows if symbol_share(r.text) < 0.15]
+    assert len(junk) > 50 and len(clean) > 4000
+    assert sum(not verdicts[r.doc_id].accepted for r in junk) >= 0.95 * len(junk)
+    assert sum(verdicts[r.doc_id].accepted for r in clean) >= 0.999 * len(clean)
+    assert sum(verdicts[r.doc_id].text_language == r.lang for r in clean) >= 0.99 * len(clean)
+    noise = spark.createDataFrame([(k, "".join(chr(97 + (k * 31 + j * j * 17 + j * 7) % 26) for j in range(300))) for k in range(20)], "doc_id long, text string")
+    assert not any(r.accepted for r in langid.identify(noise, model, F.lit("en"), F.lit(None), F.lit("src1")).collect())
+
+
+def test_more_labels_than_columns(spark):
+    rows = [(k, TEXTS["en"], "en", "h") for k in range(40)] + [(100 + k, TEXTS["de"], f"l{k:03d}", "h") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = langid.fit_text_model(docs)
+    assert len(model.languages) == langid.LANGUAGES and "en" in model.languages and langid.OTHER in model.languages
+    got = langid.identify_documents(docs).collect()
+    assert len(got) == 340 and all(r.language == "en" for r in got if r.doc_id < 100)
