@@ -41,7 +41,8 @@ def write_token_files(
 ) -> TokenFiles:
     """Encode every text and write ids in ascending ``doc_id`` order.
 
-    Null text is empty (its document is the end id alone); null ``doc_id`` sorts first;
+    Null text is empty (its document is the end id alone); null ``doc_id`` sorts first; rows of
+    one id, and rows without, are in order of their text's hash, and may be in several shards;
     repeated rows are written as often as they come; an empty table writes an empty
     manifest. Only ``doc_id`` and ``text`` are read, so other columns cannot clash.
     A retried task writes files of another name, and the manifest names only the files of
@@ -86,10 +87,14 @@ def write_token_files(
             )
 
     manifest = f"{folder}/manifest"
+    # Equal ids are told apart by their texts, and equal rows by where they stand, so that a range can end among them.
+    order = [F.asc_nulls_first("doc_id"), F.asc("_hash"), F.asc("_row")]
+    read = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     (
-        documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        .repartitionByRange(shards, "doc_id")
-        .sortWithinPartitions("doc_id")
+        read.select("*", F.xxhash64("text").alias("_hash"), F.monotonically_increasing_id().alias("_row"))
+        .repartitionByRange(shards, *order)
+        .sortWithinPartitions(*order)
+        .select("doc_id", "text")
         .mapInArrow(write, MANIFEST)
         .write.parquet(manifest)
     )

@@ -90,3 +90,18 @@ def test_empty_tables(spark):
     assert packing.pack(empty).count() == 0
     assert packing.sequences(packing.encode_chunks(empty)).count() == 0
     assert token_files.read_token_files(spark, token_files.write_token_files(empty)).count() == 0
+
+
+def test_hot_and_null_ids_are_split_in_one_order(spark, monkeypatch):
+    """Many rows of one id and many without: several shards, texts in order of their hash, starts alike in two runs."""
+    rows = [(7 if k % 3 else None, f"row {k % 997} of many", "x") for k in range(100_000)] + [(9, "last", "x")]
+    docs = frame(spark, rows)
+    runs = []
+    for parts in (3, 5):
+        files = token_files.write_token_files(docs.repartition(parts), shards=8)
+        got = token_files.read_token_files(spark, files).orderBy("start").collect()
+        runs.append([(r.doc_id, r.start, r.ids_crc32) for r in got])
+        sizes = [r.n_docs for r in spark.read.schema(token_files.MANIFEST).parquet(files.manifest).collect()]
+        assert len(sizes) == 8 and max(sizes) < 25_000
+    assert runs[0] == runs[1] and len(runs[0]) == len(rows)
+    assert [d for d, _, _ in runs[0]] == [None] * 33_334 + [7] * 66_666 + [9]
