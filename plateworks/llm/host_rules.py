@@ -79,10 +79,14 @@ def document_features(documents: DataFrame, host: str | Column = "source") -> Da
     return map_batches(read, compute, FEATURES).withColumn("base_failed", F.expr(failed))
 
 
-def host_verdicts(features: DataFrame) -> DataFrame:
+#: Host limit on every rule for raw pages, of which there are plenty: hosts that are surely worse than one page in twenty go.
+PAGE_LIMIT = 0.05
+
+
+def host_verdicts(features: DataFrame, limit: float | None = None) -> DataFrame:
     """Per host: ``host, n_docs``, and for each rule its failures, shrunken rate, lower bound; ``host_failed``.
 
-    Moments are taken over hosts; if hosts do not differ more than chance would have it, the
+    ``limit`` takes the place of every rule's own. Moments are taken over hosts; if hosts do not differ more than chance would have it, the
     prior holds as much as all documents of an average host, at least two documents.
     """
     hosts = features.groupBy("host").agg(
@@ -97,7 +101,7 @@ def host_verdicts(features: DataFrame) -> DataFrame:
     k, n = max(seen["_k"], 1.0), max(seen["_n"], 1.0)
     average = n / k
     out, failed = hosts, F.lit(False)
-    for name, (_, limit) in RULES.items():
+    for name, (_, own_limit) in RULES.items():
         mean = seen[f"_{name}_f"] / n
         spread = max(0.0, seen[f"_{name}_q"] / n - mean * mean)
         chance = mean * (1 - mean) * k / n
@@ -108,11 +112,11 @@ def host_verdicts(features: DataFrame) -> DataFrame:
         rate = (F.col(f"{name}_failures") + F.lit(mean * size)) / total
         low = rate - F.lit(SURE) * F.sqrt(rate * (1 - rate) / (total + 1))
         out = out.withColumn(f"{name}_rate", rate).withColumn(f"{name}_low", low)
-        failed = failed | (F.col(f"{name}_low") > limit)
+        failed = failed | (F.col(f"{name}_low") > (own_limit if limit is None else limit))
     return out.withColumn("host_failed", failed)
 
 
-def judge(documents: DataFrame, host: str | Column = "source") -> DataFrame:
+def judge(documents: DataFrame, host: str | Column = "source", limit: float | None = None) -> DataFrame:
     """Per document: its counts, ``base_failed``, ``own_failures`` (rules it fails), ``host_failed``, ``kept``.
 
     Null texts have no words and fail the base rule; null ids and repeated rows stay rows of
@@ -121,7 +125,7 @@ def judge(documents: DataFrame, host: str | Column = "source") -> DataFrame:
     """
     prepare(documents.sparkSession)
     features = materialize(document_features(documents, host), "host-features")
-    verdicts = materialize(host_verdicts(features), "host-verdicts").select("host", "host_failed")
+    verdicts = materialize(host_verdicts(features, limit), "host-verdicts").select("host", "host_failed")
     own = sum((F.expr(rule).cast("int") for rule, _ in RULES.values()), F.lit(0))
     judged = features.join(verdicts, "host", "left").withColumn("own_failures", own)
     kept = ~F.col("base_failed") & (~F.coalesce("host_failed", F.lit(False)) | (F.col("own_failures") == 0))
@@ -135,8 +139,24 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _verdict_sql() -> str:
-    """The verdicts' SQL, one block a rule."""
+#: A page's text: scripts and styles go, every other tag is a line end, entities stay. Its host is that of the address, in lower case.
+_HIDDEN, _TAG, _HOST = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>", r"(?s)<[^>]*>", r"(?i)^[a-z][a-z0-9+.-]*://([^/:?#]+)"
+
+
+def judge_pages(pages: DataFrame) -> DataFrame:
+    """``judge`` for raw pages: ``page_id`` as id, hosts from addresses, texts without markup. Null addresses and markup are as in ``judge``."""
+    text = F.regexp_replace(F.regexp_replace("html", _HIDDEN, " "), _TAG, "\n")
+    read = pages.select(F.col("page_id").alias("doc_id"), text.alias("text"), F.lower(F.regexp_extract("url", _HOST, 1)).alias("host"))
+    return judge(read, "host", PAGE_LIMIT).withColumnRenamed("doc_id", "page_id")
+
+
+def host_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all ``pages`` with the address' host as host."""
+    return judge_pages(spark.read.parquet(f"{sf_dir}/pages.parquet")).select("page_id", "host", "n_words", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_failed", "own_failures")
+
+
+def _verdict_sql(source: str = "select doc_id, source, text from documents", limit: float = 0.5) -> str:
+    """The verdicts' SQL over the rows of ``source`` (doc_id, source, text), one block a rule."""
     rules = {"base": "base_failed", "symbols": "10 * n_symbols > n_words", "lines": "10 * n_dup_lines > 3 * n_lines", "word_length": "word_chars < 3 * n_words or word_chars > 12 * n_words"}
     marks = ", ".join(f"cast({r} as integer) as f_{n}" for n, r in rules.items())
     sums = ", ".join(f"sum(f_{n}) as f_{n}" for n in rules)
@@ -144,11 +164,11 @@ def _verdict_sql() -> str:
     between = ", ".join(f"greatest(0, (s_{n} - m_{n} * (1 - m_{n}) * k / n) * n / greatest(1, n - n2 / n)) as b_{n}" for n in rules)
     sizes = ", ".join(f"greatest(2, least(n / k, case when b_{n} > 0 then m_{n} * (1 - m_{n}) / b_{n} - 1 else n / k end)) as z_{n}" for n in rules)
     rate = lambda n: f"((h.f_{n} + m_{n} * z_{n}) / (n_docs + z_{n}))"
-    failed = " or ".join(f"{rate(n)} - 2.0 * sqrt({rate(n)} * (1 - {rate(n)}) / (n_docs + z_{n} + 1)) > 0.5" for n in rules)
+    failed = " or ".join(f"{rate(n)} - 2.0 * sqrt({rate(n)} * (1 - {rate(n)}) / (n_docs + z_{n} + 1)) > {limit}" for n in rules)
     return f"""
 with texts as (
   select row_number() over () as rid, doc_id, coalesce(source, '') as host, coalesce(text, '') as t,
-    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as ws from documents
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as ws from ({source})
 ), windows as (
   select rid, i, count(*) over (partition by rid, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) as c
   from (select rid, ws, unnest(range(1, len(ws) - 1)) as i from texts where len(ws) > 2)
@@ -173,3 +193,7 @@ from marked join verdicts using (host)
 
 
 OP8_SQL = _verdict_sql()
+PAGES_SQL = "select doc_id as page_id, host, n_words, n_dup_lines, n_repeat_words, base_failed, kept, host_failed, own_failures from (" + _verdict_sql(
+    f"""select page_id as doc_id, lower(regexp_extract(coalesce(url, ''), '{_HOST}', 1)) as source, regexp_replace(regexp_replace(html, '{_HIDDEN}', ' ', 'g'), '{_TAG}', chr(10), 'g') as text from pages""",
+    PAGE_LIMIT,
+).replace("select doc_id, cast(n_words", "select doc_id, host, cast(n_words") + ")"
