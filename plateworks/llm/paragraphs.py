@@ -341,11 +341,11 @@ def whole_groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.
     release()
 
 
-def repeats(documents: DataFrame) -> DataFrame:
+def repeats(documents: DataFrame, percent: int = PERCENT, least: int = LEAST_WORDS) -> DataFrame:
     """``repeated_paragraphs``, and with ``paragraph`` null the passages that lie in none of these."""
     passages = materialize(repeated_passages(documents), "passages")
     tidy(documents.sparkSession)
-    found = materialize(repeated_paragraphs(documents), "paragraphs-found")
+    found = materialize(repeated_paragraphs(documents, percent, least), "paragraphs-found")
     p, q = passages.alias("p"), found.alias("q")
     inside = F.expr("p.doc_id = q.doc_id and p.start >= q.start and p.end <= q.end and (q.removed or p.first_doc_id = p.doc_id)")
     rest = p.join(q, inside, "left_anti").select(
@@ -355,10 +355,15 @@ def repeats(documents: DataFrame) -> DataFrame:
 
 
 def without_repeats(documents: DataFrame, percent: int = PERCENT, least: int = LEAST_WORDS) -> DataFrame:
-    """``documents`` with removed paragraphs (and their line feeds) cut out of ``text``; columns unchanged."""
+    """``documents`` with removed paragraphs (and their line feeds) and passages cut out of ``text``; columns unchanged.
+
+    What is repeated stays in the document of the smallest id that holds it. Rows without id stay as they are;
+    rows of one id are cut alike.
+    """
+    end = F.col("end") + F.when(F.col("paragraph").isNotNull(), 1).otherwise(0)  # with its line feed
     spans = (
-        repeated_paragraphs(documents, percent, least).where("removed")
-        .groupBy(F.col("doc_id").alias("_cut_doc")).agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_cuts"))
+        repeats(documents, percent, least).where("removed")
+        .groupBy(F.col("doc_id").alias("_cut_doc")).agg(F.sort_array(F.collect_set(F.struct("start", end.alias("end")))).alias("_cuts"))
     )
     joined = documents.join(spans, documents["doc_id"] == spans["_cut_doc"], "left").drop("_cut_doc")
     at, cuts = joined.columns.index("text"), len(joined.columns) - 1
@@ -369,8 +374,9 @@ def without_repeats(documents: DataFrame, percent: int = PERCENT, least: int = L
             if text is not None and gone:
                 parts, begin = [], 0
                 for span in gone:
-                    parts.append(text[begin : span["start"]])
-                    begin = min(len(text), span["end"] + 1)
+                    if span["start"] > begin:
+                        parts.append(text[begin : span["start"]])
+                    begin = max(begin, min(len(text), span["end"]))
                 text = "".join([*parts, text[begin:]])
             texts.append(text)
         columns = list(batch.columns[:-1])

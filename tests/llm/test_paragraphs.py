@@ -102,3 +102,23 @@ def test_passages_match_brute_force(spark, tmp_path):
     assert all(any(o.doc_id == r.doc_id and o.start <= r.start and o.end >= r.end for o in out) for r in got)
     alone = paragraphs.repeated_paragraphs(docs).collect()
     assert not all(any(o.doc_id == r.doc_id and o.start <= r.start and o.end >= r.end for o in alone) for r in got)
+
+
+def test_cleaned_documents_hold_no_passage_twice(spark):
+    """After ``without_repeats`` no run of 50 words is in two documents, and what was not repeated is still there."""
+    rng = random.Random(9)
+    words = [f"w{k}" for k in range(3000)]
+    shared = [rng.choices(words, k=n) for n in (55, 80, 120)]
+    rows = []
+    for d in range(30):
+        w = rng.choices(words, k=rng.randint(60, 200))
+        if d % 2:
+            at = rng.randrange(len(w))
+            w[at:at] = shared[d % 3]
+        rows.append((d, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r.doc_id: r.text for r in paragraphs.without_repeats(docs).collect()}
+    assert brute_passages(rows) and not brute_passages(list(left.items()))
+    assert all(left[d] == t for d, t in rows if d % 2 == 0)
+    holders = {k: [d for d, t in rows if " ".join(s) in t] for k, s in enumerate(shared)}
+    assert all(" ".join(shared[k]) in left[min(ds)] for k, ds in holders.items())
