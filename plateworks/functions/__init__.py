@@ -15,6 +15,7 @@ from .scalars import (  # noqa: F401
     safe_f1,
     strain_number,
     strip_quotes,
+    time_label,
     title_case,
     to_params,
 )

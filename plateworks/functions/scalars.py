@@ -85,3 +85,8 @@ def to_params(c: Column) -> Column:
 def from_params(c: Column, schema: str = "map<string,string>") -> Column:
     """Settings from JSON text; text that is none gives null."""
     return F.from_json(c, schema)
+
+
+def time_label(c: Column | None = None) -> Column:
+    """A time as ``dd.MM.yyyy_HH.mm`` for names of files and models; the current one by default."""
+    return F.date_format(F.current_timestamp() if c is None else c, "dd.MM.yyyy_HH.mm")

@@ -176,3 +176,73 @@ def compare_parameters(fits: DataFrame, wells: DataFrame, water: DataFrame, dose
     named = fits.join(wells, "well").withColumn("is_control", F.lit(False))
     repeated = controls_for_each(water, wells, dose).withColumn("is_control", F.lit(True))
     return named.unionByName(repeated, allowMissingColumns=True)
+
+
+CONTROLS = ("Water", "DMSO")
+#: The DMSO share that stands for none.
+LEAST_SHARE = 0.002
+
+
+def _share(c: Column, fallback: float | None = LEAST_SHARE) -> Column:
+    """A share as a whole number of millionths, so that shares join; 0 stands for ``fallback``."""
+    filled = c if fallback is None else F.when(c == 0, fallback).otherwise(c)
+    return F.round(filled * 1e6, 0).cast("long")
+
+
+def compound_panel(od: DataFrame, wells: DataFrame, deliver: str = "mean_od") -> DataFrame:
+    """Curves of every (organism, compound, concentration) beside its controls.
+
+    ``od`` has ``organism, well, compound, concentration, timepoint, od``; ``wells`` has ``well,
+    compound, concentration, dmso_percentage``. Controls of a compound are the organism's Water wells in the
+    compound's rows and in row H, and the DMSO wells whose concentration is the share of the
+    compound's well at that concentration. ``curve_id`` says what a curve is of: Water, DMSO or the
+    compound. ``deliver``: ``mean_od`` (mean and deviation by time), ``allcurve_od`` (every reading
+    with its well) or ``both`` (marked by ``kind``). All combinations in one plan of equi-joins.
+    """
+    own = od.where(~F.col("compound").isin(*CONTROLS))
+    cases = own.select("organism", "compound", "concentration").distinct()
+    letter = F.substring("well", 1, 1)
+    rows = own.select("organism", "compound", letter.alias("_row"))
+    rows = rows.unionByName(rows.withColumn("_row", F.lit("H"))).distinct()
+    reading = ["well", "timepoint", "od"]
+    water = od.where("compound = 'Water'").select("organism", letter.alias("_row"), *reading)
+    water = water.join(rows, ["organism", "_row"]).join(cases, ["organism", "compound"]).withColumn("curve_id", F.lit("Water"))
+    shares = wells.where(~F.col("compound").isin(*CONTROLS)).select("compound", "concentration", _share(F.col("dmso_percentage")).alias("_share")).distinct()
+    dmso_wells = wells.where("compound = 'DMSO'").select(_share(F.col("concentration"), None).alias("_share"), "well").distinct()
+    dmso = cases.join(shares, ["compound", "concentration"]).join(dmso_wells, "_share").join(od.select("organism", *reading), ["organism", "well"]).withColumn("curve_id", F.lit("DMSO"))
+    columns = ["organism", "compound", "concentration", "curve_id"]
+    every = own.withColumn("curve_id", F.col("compound")).select(*columns, *reading)
+    every = every.unionByName(water.select(*columns, *reading)).unionByName(dmso.select(*columns, *reading))
+    if deliver == "allcurve_od":
+        return every
+    mean = every.groupBy(*columns, "timepoint").agg(F.avg("od").alias("mean_od"), F.stddev_samp("od").alias("stdv"))
+    if deliver == "mean_od":
+        return mean
+    if deliver != "both":
+        raise ValueError(f"deliver is {deliver}")
+    return mean.withColumn("kind", F.lit("mean_od")).unionByName(every.withColumn("kind", F.lit("allcurve_od")), allowMissingColumns=True)
+
+
+def compound_parameters(parameters: DataFrame, common: str) -> DataFrame:
+    """Growth parameters of every compound beside those of its controls, at the compound's concentrations.
+
+    ``parameters`` has ``well, compound, concentration, dmso_percentage`` and any more. Rows get ``for_compound``
+    and ``chem_conc``: own rows at their concentration; DMSO rows at the concentrations at which the
+    compound has their share (a compound without DMSO takes the concentrations and shares of ``common``); the Water
+    rows of row H at every concentration. ``role`` orders them: 0 Water, 1 DMSO, 2 the compound.
+    """
+    own = parameters.where(~F.col("compound").isin(*CONTROLS))
+    at = lambda df: df.select(F.col("compound").alias("for_compound"), F.col("concentration").alias("chem_conc"), _share(F.col("dmso_percentage"), None).alias("_share")).distinct()
+    maps = at(own)
+    some = maps.groupBy("for_compound").agg((F.max("_share") > 0).alias("_some"))
+    with_own = maps.join(some.where("_some"), "for_compound", "left_semi")
+    shared = maps.where(F.col("for_compound") == common).select("chem_conc", "_share")
+    # The map of one compound: its doses.
+    without = some.where("not _some or _some is null").select("for_compound").crossJoin(F.broadcast(shared))
+    dmso = parameters.where("compound = 'DMSO'").withColumn("_share", _share(F.col("dmso_percentage"), None)).join(with_own.unionByName(without), "_share").drop("_share")
+    water = parameters.where("compound = 'Water' and well like 'H%'").withColumn("_row", F.lit("H"))
+    doses = maps.select("for_compound", "chem_conc").distinct().withColumn("_row", F.lit("H"))
+    water = doses.join(F.broadcast(water), "_row").drop("_row")  # one row of a plate
+    compounds = own.withColumns({"for_compound": F.col("compound"), "chem_conc": F.col("concentration")})
+    parts = [part.withColumn("role", F.lit(k)) for k, part in enumerate((water, dmso, compounds))]
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -65,7 +65,7 @@ def graphs(df: DataFrame, column: str = "smiles") -> DataFrame:
 
 
 def represent(df: DataFrame, method: str = "network", weights: dict | None = None, layers: int = 5, column: str = "smiles", key: str = "chem_id") -> DataFrame:
-    """``key`` and ``vector`` by "network", "fingerprint" or "counts"; rows whose structure does not parse are left out."""
+    """``key`` and ``vector`` by "network" (which needs ``weights``), "fingerprint" or "counts"; rows whose structure does not parse are left out."""
     if method == "fingerprint":
         out = structure_columns(df.select(key, column), column).where("fingerprint is not null")
         return out.select(key, F.col("fingerprint").cast("array<float>").alias("vector"))
@@ -74,7 +74,9 @@ def represent(df: DataFrame, method: str = "network", weights: dict | None = Non
         return out.select(key, F.array(*(F.col(f"counts.{c.split()[0]}").cast("float") for c in COUNTS.split(", "))).alias("vector"))
     if method != "network":
         raise ValueError(f"no such method: {method}")
-    shared = df.sparkSession.sparkContext.broadcast(weights if weights is not None else network.random_weights(layers))
+    if weights is None:
+        raise ValueError("the network needs weights")
+    shared = df.sparkSession.sparkContext.broadcast(weights)
     kind = df.schema[key].dataType.simpleString()
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

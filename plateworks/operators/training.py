@@ -39,7 +39,10 @@ def training_frame(screen: DataFrame, vectors: DataFrame, strains: DataFrame, sp
 
 
 def fit(frame: DataFrame, settings: dict, seed: int = 1):
-    tree = GBTClassifier(seed=seed, **{k: min(v, MOST_DEPTH) if k == "maxDepth" else v for k, v in settings.items()})
+    """A fitted classifier; a depth over ``MOST_DEPTH`` is an error."""
+    if settings.get("maxDepth", 0) > MOST_DEPTH:
+        raise ValueError(f"trees deeper than {MOST_DEPTH} are not supported")
+    tree = GBTClassifier(seed=seed, **settings)
     return Pipeline(stages=[tree]).fit(frame)
 
 
@@ -101,3 +104,22 @@ def repeated(frame: DataFrame, settings: dict, n_train: int = 5, seed: int = 1)
             row |= {f"{part}_{name}": v for name, v in evaluate(probabilities(model, frame.where(F.col("split") == part))).items()}
         out.append(row)
     return out
+
+
+def evaluate_models(frame: DataFrame, representation: str, n_models: int = 1, n_train: int = 1, seed: int = 1, grid: dict[str, list] = GRID) -> DataFrame:
+    """Settings times repeats: a table with a row a fit, as ``model, train, model_type, model_params, representation, seed`` and metrics on both held-out parts.
+
+    ``n_models`` random settings of ``grid``, each fitted ``n_train`` times with other seeds on "train".
+    """
+    spark, rows = frame.sparkSession, []
+    for m, settings in enumerate(draw(grid, n_models, seed)):
+        for t in range(n_train):
+            own = seed + 1000 * m + t
+            model = fit(frame.where("split = 'train'"), settings, own)
+            row = {"model": f"model_{m}", "train": f"train_{t}", "model_type": "GBT", "model_params": str(settings), "representation": representation, "seed": own}
+            for part, name in (("valid", "validation"), ("test", "test")):
+                row |= {f"{name}_{k}": v for k, v in evaluate(probabilities(model, frame.where(F.col("split") == part))).items()}
+            rows.append(row)
+    measures = ", ".join(f"{p}_{k} double" for p in ("validation", "test") for k in ("auroc", "prauc", "f1"))
+    names = "model string, train string, model_type string, model_params string, representation string, seed long"
+    return spark.createDataFrame([tuple(r.values()) for r in rows], f"{names}, {measures}")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars, tables, vectors
-from ..operators import asof, bitjoin, library, metrics, neighbours, ordered, quantiles, reshape, similarity
+from ..operators import asof, bitjoin, library, metrics, neighbours, ordered, plates, quantiles, reshape, similarity
 from .catalog import DIST, QUERIES, curves, dist, query, read, rounded
 
 # ---- orders of all rows
@@ -175,6 +175,55 @@ def best_customers(spark, sf_dir):
     return reshape.best_of_group(read(spark, sf_dir, "customer"), "c_nationkey", "c_acctbal", "c_custkey").select("c_nationkey", "c_custkey")
 
 
+WELLS = """w as (select event_id, event_type as organism, chr(65 + cast(user_id % 8 as integer)) || (1 + user_id % 12) as well, case user_id % 5 when 0 then 'Water' when 1 then 'DMSO' else 'C' || (user_id % 4) end as compound,
+  case when user_id % 5 = 1 then 0.002::double * (1 + user_id % 3) else user_id % 3 end as concentration, case when user_id % 5 < 2 then 0.002::double * (1 + user_id % 3) when user_id % 4 = 0 then 0.0::double else 0.002::double * (user_id % 3) end as dmso_percentage,
+  epoch_us(ts) // 86400000000 as timepoint, value as od from events)"""
+
+
+def wells_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as readings of wells: the user's number gives well, compound, dose and share."""
+    u = F.col("user_id")
+    share = F.lit(0.002) * (1 + u % 3)
+    return read(spark, sf_dir, "events").select(
+        F.col("event_type").alias("organism"),
+        F.concat(F.chr(65 + u % 8), (1 + u % 12).cast("string")).alias("well"),
+        F.when(u % 5 == 0, "Water").when(u % 5 == 1, "DMSO").otherwise(F.concat(F.lit("C"), (u % 4).cast("string"))).alias("compound"),
+        F.when(u % 5 == 1, share).otherwise((u % 3).cast("double")).alias("concentration"),
+        F.when(u % 5 < 2, share).when(u % 4 == 0, 0.0).otherwise(F.lit(0.002) * (u % 3)).alias("dmso_percentage"),
+        F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 86400000000).alias("timepoint"),
+        F.col("value").alias("od"),
+    )
+
+
+@query(f"""with {WELLS}, o as (select * from w where compound not in ('Water', 'DMSO')), cases as (select distinct organism, compound, concentration from o),
+  r as (select distinct organism, compound, unnest([well[1], 'H']) as l from o),
+  s as (select distinct compound, concentration, cast(round(case when dmso_percentage = 0 then 0.002 else dmso_percentage end * 1e6) as bigint) as k from o),
+  d as (select distinct cast(round(concentration * 1e6) as bigint) as k, well from w where compound = 'DMSO'),
+  every as (select organism, compound, concentration, compound as curve_id, timepoint, od from o
+    union all select c.organism, c.compound, c.concentration, 'Water', timepoint, od from w join r on w.compound = 'Water' and r.organism = w.organism and r.l = w.well[1] join cases c on c.organism = r.organism and c.compound = r.compound
+    union all select c.organism, c.compound, c.concentration, 'DMSO', timepoint, od from cases c join s using (compound, concentration) join d using (k) join w on w.organism = c.organism and w.well = d.well)
+  select organism, compound, concentration, curve_id, timepoint, round(avg(od), 6) as mean_od, round(stddev_samp(od), 6) as stdv from every group by 1, 2, 3, 4, 5""")
+def panel_with_controls(spark, sf_dir):
+    w = wells_of_events(spark, sf_dir)
+    return rounded(plates.compound_panel(w, w.select("well", "compound", "concentration", "dmso_percentage").distinct()), "mean_od", "stdv")
+
+
+@query(f"""with {WELLS}, p as (select organism, well, compound, concentration, dmso_percentage, max(od) as top from w group by 1, 2, 3, 4, 5), o as (select * from p where compound not in ('Water', 'DMSO')),
+  m as (select distinct compound as for_compound, concentration as chem_conc, cast(round(dmso_percentage * 1e6) as bigint) as k from o), n as (select for_compound, max(k) > 0 as has from m group by 1),
+  f as (select m.* from m join n using (for_compound) where has union all select n.for_compound, m.chem_conc, m.k from n, m where not has and m.for_compound = 'C1')
+  select for_compound, chem_conc, organism, well, compound, top, 1 as role from p join f on compound = 'DMSO' and cast(round(dmso_percentage * 1e6) as bigint) = f.k
+  union all select for_compound, chem_conc, organism, well, compound, top, 0 from p, (select distinct for_compound, chem_conc from m) where compound = 'Water' and well like 'H%'
+  union all select compound, concentration, organism, well, compound, top, 2 from o""")
+def parameters_with_controls(spark, sf_dir):
+    p = wells_of_events(spark, sf_dir).groupBy("organism", "well", "compound", "concentration", "dmso_percentage").agg(F.max("od").alias("top"))
+    return plates.compound_parameters(p, "C1").select("for_compound", "chem_conc", "organism", "well", "compound", "top", "role")
+
+
+@query("select event_id, strftime(ts, '%d.%m.%Y_%H.%M') as label from events")
+def time_labels(spark, sf_dir):
+    return read(spark, sf_dir, "events").select("event_id", scalars.time_label(F.col("ts")).alias("label"))
+
+
 def growth_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A logistic curve for each event series, by a table function called from SQL text. SQL alone has no form for the fit."""
     tables.register(spark)

@@ -21,14 +21,16 @@ def _tsv(spark: SparkSession, path: str | list[str], nameless: bool = False) ->
 
 
 def read_molecules(
-    spark: SparkSession, source: str | DataFrame, smiles: str = "smiles", chem_id: str = "chem_id", valid: Callable[[Column], Column] | None = None
+    spark: SparkSession, source: str | DataFrame, smiles: str = "smiles", chem_id: str = "chem_id", valid: Callable[[Column], Column] | None = None, cast_id_first: bool = False
 ) -> DataFrame:
     """``chem_id, smiles`` from a TSV (plain or gzip) or a DataFrame; rows without either are dropped.
 
-    A missing id is dropped too, not turned into text. ``valid`` is a predicate on structures.
+    A missing id is dropped too, not turned into text, unless ``cast_id_first``: then it is kept as "nan", as where
+    ids become text before rows are dropped. ``valid`` is a predicate on structures.
     """
     df = source if isinstance(source, DataFrame) else _tsv(spark, source)
-    out = df.select(F.col(f"`{chem_id}`").cast("string").alias("chem_id"), F.col(f"`{smiles}`").cast("string").alias("smiles")).na.drop()
+    key = F.col(f"`{chem_id}`").cast("string")
+    out = df.select((F.coalesce(key, F.lit("nan")) if cast_id_first else key).alias("chem_id"), F.col(f"`{smiles}`").cast("string").alias("smiles")).na.drop()
     return out if valid is None else out.where(valid(F.col("smiles")))
 
 

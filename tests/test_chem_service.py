@@ -98,6 +98,11 @@ def test_training(spark):
     assert frame.count() == 120
     log = training.search(frame, 1, grid={"maxDepth": [3], "maxIter": [5], "stepSize": [0.3]})
     assert log[0]["test_auroc"] > 0.8
+    table = training.evaluate_models(frame, "random", 2, 2, grid={"maxDepth": [2, 3], "maxIter": [3], "stepSize": [0.3]}).collect()
+    assert [(r.model, r.train) for r in table] == [(f"model_{m}", f"train_{t}") for m in (0, 1) for t in (0, 1)] and all(0 <= r.validation_f1 <= 1 and r.test_prauc > 0 for r in table)
+    assert len({r.seed for r in table}) == 4 and {r.representation for r in table} == {"random"}
+    with pytest.raises(ValueError):
+        training.fit(frame, {"maxDepth": 31})
     assert len(training.draw({"a": [1, 2], "b": [1]}, 9, 1)) == 2
 
 

@@ -1,10 +1,12 @@
 import gzip
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from plateworks import sources
 from plateworks.__main__ import main
+from plateworks.chem import network
 from plateworks.streaming import potential_stream, score_stream, windowed_counts
 
 
@@ -14,6 +16,8 @@ def test_molecules(spark, tmp_path):
     df = sources.read_molecules(spark, str(path), chem_id="chem_name")
     assert sorted((r.chem_id, r.smiles) for r in df.collect()) == [("A", "C1"), ("A", "CCO")]
     assert sources.read_molecules(spark, df, valid=lambda c: c.rlike("O")).count() == 1
+    kept = sources.read_molecules(spark, str(path), chem_id="chem_name", cast_id_first=True)
+    assert sorted((r.chem_id, r.smiles) for r in kept.collect()) == [("A", "C1"), ("A", "CCO"), ("nan", "CC")]
 
 
 def test_wide_files(spark, tmp_path):
@@ -65,6 +69,11 @@ def test_command_line(spark, tmp_path):
     (tmp_path / "m.tsv").write_text("chem_id\tsmiles\nA\tCCO\n")
     main(["represent", str(tmp_path / "m.tsv"), str(tmp_path / "v.tsv"), "-m", "counts"])
     assert len(open(tmp_path / "v.tsv").readlines()[1].split("\t")) == 8
+    with pytest.raises(SystemExit):
+        main(["represent", str(tmp_path / "m.tsv"), str(tmp_path / "v.tsv")])
+    np.savez(tmp_path / "w.npz", **network.random_weights(5, 8))
+    main(["represent", str(tmp_path / "m.tsv"), str(tmp_path / "v.tsv"), "-w", str(tmp_path / "w.npz")])
+    assert len(open(tmp_path / "v.tsv").readlines()[1].split("\t")) == 41
 
 
 def test_streams(spark, tmp_path):
