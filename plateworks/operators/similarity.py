@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import bit_distance, bits_of, cosine_distance, doubles, norm
+from .ordered import ordered_ranks
 
 #: A query table of up to this many rows is sent whole to every executor; a larger one is dealt in blocks of so many.
 QUERY_LIMIT = 5_000
@@ -59,12 +60,46 @@ def nearest(df: DataFrame, metric: str, k: int, group: str = "query_id", tie: st
     return rank_first(df, F.col(metric), [tie], "rank", group).where(F.col("rank") <= k)
 
 
+def full_ranks(df: DataFrame, by: str, tie: list[str], name: str, group: str = "query_id") -> DataFrame:
+    """``rank_first`` for rows that all are wanted: over ranges of group and value, so that no task sorts all rows of a group."""
+    ranked = ordered_ranks(df, [F.asc(group), F.asc(by), *map(F.asc, tie)], "_place")
+    starts = ranked.groupBy(F.col(group).alias("_group")).agg(F.min("_place").alias("_start"))
+    return ranked.join(starts, ranked[group].eqNullSafe(F.col("_group"))).withColumn(name, F.col("_place") - F.col("_start") + 1).select(*df.columns, name)
+
+
+def full_ranks_shared(df: DataFrame, by: str, name: str, group: str = "query_id") -> DataFrame:
+    """``rank_shared`` for rows that all are wanted: as ``full_ranks``, and equal values take their smallest."""
+    ranked = full_ranks(df, by, [], "_place", group)
+    least = ranked.groupBy(F.col(group).alias("_group"), F.col(by).alias("_by")).agg(F.min("_place").alias(name))
+    same = ranked[group].eqNullSafe(F.col("_group")) & ranked[by].eqNullSafe(F.col("_by"))
+    return ranked.join(least, same).select(*df.columns, name)
+
+
+def _with_logs(df: DataFrame, names: list[str]) -> DataFrame:
+    return df.withColumns({f"{m}_log2": F.when(F.col(f"{m}_dist") > 0, F.log2(f"{m}_dist")) for m in names})
+
+
 def compare_metrics(dist: DataFrame, names: list[str]) -> DataFrame:
-    """Rank by each metric (``<name>_dist``, ties by ``ref_id``) and log2 of its distance (null at zero and below) side by side."""
+    """Rank by each metric (``<name>_dist``, ties by ``ref_id``) and log2 of its distance (null at zero and below) side by side, for all rows."""
     out = dist
     for m in names:
-        out = rank_first(out, F.col(f"{m}_dist"), ["ref_id"], f"{m}_rank")
-    return out.withColumns({f"{m}_log2": F.when(F.col(f"{m}_dist") > 0, F.log2(f"{m}_dist")) for m in names})
+        out = full_ranks(out, f"{m}_dist", ["ref_id"], f"{m}_rank")
+    return _with_logs(out, names)
+
+
+def compare_top(dist: DataFrame, names: list[str], most: int) -> DataFrame:
+    """Rows of ``compare_metrics`` with a rank up to ``most`` by any metric, without ranking the others.
+
+    Those rows are few a query; a row's rank by another metric is the number of rows before it, counted
+    by partial sums. ``(query_id, ref_id)`` must be unique and distances not null.
+    """
+    columns = ["query_id", "ref_id", *(f"{m}_dist" for m in names)]
+    best = [rank_first(dist.select(*columns), F.col(f"{m}_dist"), ["ref_id"], "_r").where(F.col("_r") <= most).drop("_r") for m in names]
+    few = reduce(DataFrame.unionByName, best).distinct()
+    mine = few.select(F.col("query_id"), *(F.col(c).alias(f"_own_{c}") for c in columns[1:]))
+    before = lambda m: (F.col(f"{m}_dist") < F.col(f"_own_{m}_dist")) | (F.col(f"{m}_dist") == F.col(f"_own_{m}_dist")) & (F.col("ref_id") < F.col("_own_ref_id"))
+    counted = dist.select(*columns).join(mine, "query_id").groupBy("query_id", *(f"_own_{c}" for c in columns[1:])).agg(*((F.count_if(before(m)) + 1).alias(f"{m}_rank") for m in names))
+    return _with_logs(counted.withColumnsRenamed({f"_own_{c}": c for c in columns[1:]}), names)
 
 
 def compare_ranks(dist: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import ordered_ranks
+
 
 def group_split(df: DataFrame, group: str, key: str, train: float = 0.8, valid: float = 0.1) -> DataFrame:
     """Whole groups to splits, the largest first: train while it fits, then validation while train and validation
@@ -15,7 +17,7 @@ def group_split(df: DataFrame, group: str, key: str, train: float = 0.8, valid:
 
     Groups of one size that do not fit any more stay out for good, so only the number of groups of
     each size decides: the fold runs over sizes (at most the square root of twice the rows). Ranks are
-    taken only within the sizes that are divided. Null groups are one group.
+    taken only within the sizes that are divided, over ranges. Null groups are one group.
     """
     sizes = df.groupBy(F.col(group).alias("_group")).agg(F.count("*").alias("_n"), F.min(key).alias("_first"))
     counts = sizes.groupBy("_n").agg(F.count("*").alias("c")).orderBy(F.desc("_n")).collect()
@@ -36,8 +38,11 @@ def group_split(df: DataFrame, group: str, key: str, train: float = 0.8, valid:
     known = sizes.join(df.sparkSession.createDataFrame(fates), F.col("_n") == F.col("_size"))
     whole = (F.col("_t") == F.col("_c")) | ((F.col("_t") == 0) & (F.col("_v").isin(0) | (F.col("_v") == F.col("_c"))))
     fate = lambda rank: F.when(rank <= F.col("_t"), "train").when(rank <= F.col("_v"), "valid").otherwise("test")
-    rank = F.row_number().over(Window.partitionBy("_n").orderBy(F.desc("_first")))
-    split = known.where(whole).select("_group", fate(F.lit(1)).alias("split")).union(known.where(~whole).select("_group", fate(rank).alias("split")))
+    # Ranks within sizes: places over ranges of size and first key, less what comes before the size.
+    placed = ordered_ranks(known.where(~whole), [F.asc("_n"), F.desc("_first")], "_place")
+    starts = placed.groupBy(F.col("_n").alias("_of")).agg((F.min("_place") - 1).alias("_start"))
+    placed = placed.join(starts, F.col("_n") == F.col("_of"))
+    split = known.where(whole).select("_group", fate(F.lit(1)).alias("split")).union(placed.select("_group", fate(F.col("_place") - F.col("_start")).alias("split")))
     return df.join(split, df[group].eqNullSafe(F.col("_group")), "left").drop("_group")
 
 

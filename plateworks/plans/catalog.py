@@ -272,12 +272,14 @@ def cosine_topk(spark, sf_dir):
 
 @query(f"with {DIST} select query_id, ref_id, row_number() over (partition by query_id order by round(jaccard_dist, 9), ref_id) as rank from dist")
 def rank_first(spark, sf_dir):
-    return similarity.rank_first(dist(spark, sf_dir), F.round("jaccard_dist", 9), ["ref_id"], "rank").select("query_id", "ref_id", "rank")
+    d = dist(spark, sf_dir).select("query_id", "ref_id", F.round("jaccard_dist", 9).alias("jaccard_dist"))
+    return similarity.full_ranks(d, "jaccard_dist", ["ref_id"], "rank").select("query_id", "ref_id", "rank")
 
 
 @query(f"with {DIST} select query_id, ref_id, rank() over (partition by query_id order by round(jaccard_dist, 9)) as rank from dist")
 def rank_min_ties(spark, sf_dir):
-    return similarity.rank_shared(dist(spark, sf_dir), F.round("jaccard_dist", 9), "rank").select("query_id", "ref_id", "rank")
+    d = dist(spark, sf_dir).select("query_id", "ref_id", F.round("jaccard_dist", 9).alias("jaccard_dist"))
+    return similarity.full_ranks_shared(d, "jaccard_dist", "rank").select("query_id", "ref_id", "rank")
 
 
 @query(f"with {DIST} select query_id, round(min(jaccard_dist), 6) as min_distance from dist group by 1")
@@ -301,7 +303,7 @@ def tanimoto_rank(spark, sf_dir):
   select query_id, ref_id, cosine_rank, jaccard_rank, round(cosine_dist, 6) as cosine_dist, round(jaccard_dist, 6) as jaccard_dist, round(log2(round(cosine_dist, 9)), 6) as cosine_log2, round(log2(round(jaccard_dist, 9)), 6) as jaccard_log2 from r where cosine_rank <= 4 or jaccard_rank <= 4""")
 def rank_compare(spark, sf_dir):
     d = dist(spark, sf_dir).withColumns({"cosine_dist": F.round("cosine_dist", 9), "jaccard_dist": F.round("jaccard_dist", 9)})
-    out = similarity.top_of_any(similarity.compare_ranks(d), [1, 2, 3, 4])
+    out = similarity.compare_top(d, ["cosine", "jaccard"], 4)
     return rounded(out, "cosine_dist", "jaccard_dist", "cosine_log2", "jaccard_log2")
 
 

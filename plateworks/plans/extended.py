@@ -89,8 +89,7 @@ def rank_compare_three(spark, sf_dir):
     shared = vectors.dot(F.col("q"), F.col("r"))
     both = both.withColumn("tanimoto_dist", F.try_divide(shared, vectors.dot(F.col("q"), F.col("q")) + vectors.dot(F.col("r"), F.col("r")) - shared)).drop("q", "r")
     metrics_of = ["cosine", "jaccard", "tanimoto"]
-    compared = similarity.compare_metrics(both.withColumns({f"{m}_dist": F.round(f"{m}_dist", 9) for m in metrics_of}), metrics_of)
-    top = similarity.top_of(compared, [1, 2, 3, 4], metrics_of)
+    top = similarity.compare_top(both.withColumns({f"{m}_dist": F.round(f"{m}_dist", 9) for m in metrics_of}), metrics_of, 4)
     return rounded(top.select("query_id", "ref_id", *(f"{m}_rank" for m in metrics_of), "tanimoto_dist", "tanimoto_log2"), "tanimoto_dist", "tanimoto_log2")
 
 

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from plateworks.operators import similarity
 from plateworks.operators.asof import nearest_time_join
 from plateworks.operators.bitjoin import similar_sets
 from plateworks.operators.neighbours import compared_pairs, nearest_pruned
@@ -89,3 +90,17 @@ def test_similar_sets(spark, limit, postings):
             if (len(x), i) < (len(y), j) and x and len(x & y) / len(x | y) >= limit:
                 want[i, j] = len(x & y) / len(x | y)
     assert len(got) == len(want) and {(r.first_id, r.second_id): r.similarity for r in got} == pytest.approx(want)
+
+
+def test_ranks_over_ranges_and_top_rows(spark):
+    rng = random.Random(1)
+    rows = [(q, r, round(rng.random(), 1), round(rng.random(), 1)) for q in (1, 2, 3) for r in range(60)]
+    df = spark.createDataFrame(rows, "query_id long, ref_id long, a_dist double, b_dist double")
+    place = lambda q, r, k: 1 + sum((x[k], x[1]) < (v, r) for x in rows if x[0] == q for v in [next(y[k] for y in rows if y[0] == q and y[1] == r)])
+    want = {(q, r): (place(q, r, 2), place(q, r, 3)) for q, r, _, _ in rows}
+    every = {(x.query_id, x.ref_id): (x.a_rank, x.b_rank) for x in similarity.compare_metrics(df, ["a", "b"]).collect()}
+    assert every == want
+    top = {(x.query_id, x.ref_id): (x.a_rank, x.b_rank) for x in similarity.compare_top(df, ["a", "b"], 4).collect()}
+    assert top == {k: v for k, v in want.items() if min(v) <= 4}
+    shared = {(x.query_id, x.ref_id): x.rank for x in similarity.full_ranks_shared(df, "a_dist", "rank").collect()}
+    assert shared == {(q, r): 1 + sum(x[0] == q and x[2] < a for x in rows) for q, r, a, _ in rows}
