@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,22 +81,40 @@ def correlated(df: DataFrame, vector: str, width: int, limit: float) -> DataFram
     return correlations(df, vector, width).where(F.col("r") >= limit).select(F.col("j").cast("long").alias("pos")).distinct()
 
 
+def _marks(column: pa.Array, width: int) -> np.ndarray:
+    """Which of ``width`` positions of each row's vector are over zero; null vectors and missing positions are not."""
+    size = np.asarray(pc.fill_null(pc.list_value_length(column), 0))
+    values = np.nan_to_num(column.flatten().to_numpy(zero_copy_only=False).astype(float)) > 0
+    at = np.arange(len(values)) - np.repeat(np.cumsum(size) - size, size)
+    out = np.zeros((len(column), width), np.float32)
+    inside = at < width
+    out[np.repeat(np.arange(len(size)), size)[inside], at[inside]] = values[inside]
+    return out
+
+
 def hamming_features(df: DataFrame, vector: str, width: int | None = None) -> DataFrame:
-    """Share of compounds in which two bits i < j of ``width`` differ, from co-occurrence counts; bits that none has count too.
+    """Share of compounds in which two bits i < j of ``width`` differ; bits that none has count too.
 
-    Without ``width`` it is that of the longest vector."""
+    Without ``width`` it is that of the longest vector. Each partition adds up one matrix of
+    counts, so what is shuffled does not depend on how many bits are set.
+    """
     seen = df.agg(F.count("*").alias("n"), F.max(F.size(vector)).alias("width")).first()
     n, width = seen["n"], width or max(seen["width"] or 0, 1)
-    on = df.select(F.filter(F.transform(vector, lambda x, k: F.when(x > 0, k)), lambda k: k.isNotNull()).alias("on"))
-    pairs = F.flatten(F.transform("on", lambda i: F.transform(F.filter("on", lambda j: j >= i), lambda j: F.struct(i.alias("i"), j.alias("j")))))
-    both = on.select(F.explode(pairs).alias("p")).select("p.*").groupBy("i", "j").agg(F.count("*").alias("nij"))
-    # A row for each two of the ``width`` positions, however many compounds there are.
-    every = df.sparkSession.range(width).select(F.col("id").cast("int").alias("i")).withColumn("j", F.explode(F.sequence("i", F.lit(width - 1)))).where("i < j")
-    single = both.where("i = j").select("i", F.col("nij").alias("ni"))
-    every = every.join(single, "i", "left").join(single.select(F.col("i").alias("j"), F.col("ni").alias("nj")), "j", "left").join(both, ["i", "j"], "left")
-    zero = F.lit(0)
-    differ = F.coalesce("ni", zero) + F.coalesce("nj", zero) - 2 * F.coalesce("nij", zero)
-    return every.select(F.col("i").cast("long"), F.col("j").cast("long"), (differ / F.lit(float(max(n, 1)))).alias("hamming"))
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        differ = np.zeros((width, width), np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                x = _marks(batch.column(0).slice(at, 4096), width)
+                ones = x.sum(axis=0)
+                differ += (ones[:, None] + ones[None, :] - 2 * (x.T @ x)).astype(np.int64)
+        i, j = np.triu_indices(width, 1)
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(differ[i, j])], names=["i", "j", "differ"])
+
+    # No task runs for an empty table, and every pair has its row all the same.
+    every = df.sparkSession.range(width).select(F.col("id").alias("i")).withColumn("j", F.explode(F.sequence(F.col("i"), F.lit(width - 1).cast("long")))).where("i < j").withColumn("differ", F.lit(0).cast("long"))
+    summed = df.select(vector).mapInArrow(counts, "i long, j long, differ long").unionByName(every).groupBy("i", "j").agg(F.sum("differ").alias("differ"))
+    return summed.select("i", "j", (F.col("differ") / F.lit(float(max(n, 1)))).alias("hamming"))
 
 
 def keep_positions(df: DataFrame, vector: str, keep: list[int]) -> DataFrame:
