@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars, tables, vectors
-from ..operators import asof, bitjoin, library, metrics, neighbours, ordered, plates, quantiles, reshape, similarity
+from ..operators import asof, bitjoin, embedding, library, metrics, neighbours, ordered, plates, quantiles, reshape, similarity
 from .catalog import DIST, QUERIES, curves, dist, query, read, rounded
 
 # ---- orders of all rows
@@ -233,3 +233,11 @@ def growth_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["growth_by_sql"] = growth_by_sql
+
+
+def neighbour_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all compounds in two dimensions. SQL has no form for it; tests hold the graph and the kept neighbours against all pairs."""
+    return embedding.embed(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", epochs=15)
+
+
+QUERIES["neighbour_embedding"] = neighbour_embedding
