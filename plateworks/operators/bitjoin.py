@@ -7,6 +7,8 @@ compared, and of these only pairs of fitting sizes and places. Postings of commo
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +26,9 @@ def similar_sets(df: DataFrame, key: str, bits: Column, limit: float, width: int
     """
     if not 0 < limit <= 1:
         raise ValueError("the limit is over 0 and at most 1")
-    sets = stored(df.select(F.col(key).alias("id"), F.array_distinct(bits).alias("bits")).where("id is not null and size(bits) > 0"), "bit-sets")
+    sets = df.select(F.col(key).alias("id"), F.array_distinct(bits).alias("bits")).where("id is not null and size(bits) > 0")
+    # Spread over all tasks: a small file makes many pairs.
+    sets = stored(sets.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id"), "bit-sets")
     counts = dict(sets.select(F.explode("bits").alias("bit")).groupBy("bit").agg(F.count("*").alias("n")).collect())  # a row a bit
     if any(not 0 <= b < width for b in counts):
         raise ValueError(f"a bit is outside 0 to {width - 1}")
@@ -32,10 +36,15 @@ def similar_sets(df: DataFrame, key: str, bits: Column, limit: float, width: int
     place = {b: k for k, b in enumerate(rare_first)}
     ranks = sets.sparkSession.createDataFrame([([place.get(b, 0) for b in range(width)], [-(-counts[b] // postings) for b in rare_first])], "ranks array<int>, parts array<int>")
     ordered = sets.crossJoin(F.broadcast(ranks)).withColumn("bits", F.array_sort(F.transform("bits", lambda b: F.get(F.col("ranks"), b.cast("int")))))
+    # The set as words of 64 bits in order of rarity, a column each: bit r is bit r % 64 of word r / 64.
+    bit = lambda r: F.call_function("shiftleft", F.lit(1).cast("long"), (r % 64).cast("int"))
+    words = [f"w{k}" for k in range((width - 1) // 64 + 1)]
+    word = lambda k: F.aggregate("bits", F.lit(0).cast("long"), lambda s, r: F.when(F.floor(r / 64) == k, s.bitwiseOR(bit(r))).otherwise(s))
+    ordered = stored(ordered.select("id", "bits", "parts", *(word(k).alias(w) for k, w in enumerate(words))), "bit-words")
     n = F.size("bits")
     # Rounding must not make a prefix too short.
     prefix = n - F.ceil(F.lit(limit) * n - 1e-9).cast("int") + 1
-    listed = ordered.select("id", "bits", n.alias("n"), "parts", F.posexplode(F.slice("bits", F.lit(1), prefix)).alias("at", "bit"))
+    listed = ordered.select("id", *words, n.alias("n"), "parts", F.posexplode(F.slice("bits", F.lit(1), prefix)).alias("at", "bit"))
     listed = listed.withColumn("parts", F.get(F.col("parts"), F.col("bit")))
     # One side of a common bit is dealt to parts, the other goes to all of them.
     one = listed.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts").alias("a")
@@ -44,10 +53,12 @@ def similar_sets(df: DataFrame, key: str, bits: Column, limit: float, width: int
     least = F.lit(limit) / (1 + limit) * (a("n") + b("n")) - 1e-9
     fits = (a("bit") == b("bit")) & (a("part") == b("part")) & ((a("n") < b("n")) | (a("n") == b("n")) & (a("id") < b("id")))
     fits = fits & (a("n") >= F.lit(limit) * b("n") - 1e-9) & (1 + F.least(a("n") - a("at"), b("n") - b("at")) >= least)
-    met = one.join(two, fits)
-    # A pair counts where its prefixes meet first.
-    fresh = ~F.arrays_overlap(F.slice(a("bits"), F.lit(1), a("at")), F.slice(b("bits"), F.lit(1), b("at")))
-    shared = F.size(F.array_intersect(a("bits"), b("bits")))
-    pairs = met.where(fresh).select(a("id").alias("first_id"), b("id").alias("second_id"), shared.alias("shared"), (a("n") + b("n") - shared).alias("all"))
-    similarity = F.col("shared") / F.col("all")
+    met = one.join(two, fits).select(a("id").alias("first_id"), b("id").alias("second_id"), a("n").alias("n"), b("n").alias("m"), a("bit").alias("bit"), *(a(w).bitwiseAND(b(w)).alias(w) for w in words))
+    # A pair counts where its prefixes meet first: no rarer bit is in both.
+    at = F.floor(F.col("bit") / 64).cast("int")
+    below = bit(F.col("bit")) - 1
+    rarer = reduce(lambda x, y: x | y, ((F.col(w) != 0) & ((at > k) | (at == k) & (F.col(w).bitwiseAND(below) != 0)) for k, w in enumerate(words)))
+    shared = reduce(lambda x, y: x + y, (F.bit_count(w) for w in words))
+    pairs = met.where(~rarer).select("first_id", "second_id", "n", "m", shared.alias("shared"))
+    similarity = F.col("shared") / (F.col("n") + F.col("m") - F.col("shared"))
     return pairs.where(similarity >= F.lit(limit) - 1e-12).select("first_id", "second_id", similarity.alias("similarity"))

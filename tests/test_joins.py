@@ -75,13 +75,13 @@ def test_neighbours_equal_all_pairs(spark, centres, each, spread, share, cell_ro
     assert "CartesianProduct" not in pairs._jdf.queryExecution().toString()
 
 
-@pytest.mark.parametrize("limit,postings", [(0.5, 20_000), (0.8, 3), (1.0, 20_000), (0.01, 5)])
-def test_similar_sets(spark, limit, postings):
+@pytest.mark.parametrize("limit,postings,apart", [(0.5, 20_000, 1), (0.8, 3, 1), (1.0, 20_000, 1), (0.01, 5, 1), (0.4, 7, 5)])
+def test_similar_sets(spark, limit, postings, apart):
     rng = random.Random(4)
     base = [set(rng.sample(range(40), rng.randrange(1, 15))) for _ in range(20)]
     sets = [b ^ set(rng.sample(range(40), rng.randrange(0, 4))) for b in base for _ in range(5)] + [set(), {39}, {39}]
-    df = spark.createDataFrame([(k, sorted(s)) for k, s in enumerate(sets)] + [(10**6, None)], "id long, bits array<int>")
-    pairs = similar_sets(df, "id", F.col("bits"), limit, 40, postings)
+    df = spark.createDataFrame([(k, [apart * b for b in sorted(s)]) for k, s in enumerate(sets)] + [(10**6, None)], "id long, bits array<int>")
+    pairs = similar_sets(df, "id", F.col("bits"), limit, 40 * apart, postings)
     assert "Cartesian" not in pairs._jdf.queryExecution().toString()
     got = pairs.collect()
     want = {}
