@@ -17,11 +17,11 @@ from pyspark.sql.functions import udtf
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
-from ..operators import plates
+from ..operators.plates import fit_logistic
 
 
 class GrowthParameters:
-    """One row a partition: its key columns, the number of readings, and the logistic fit (``plates.fit_logistic``).
+    """One row a partition: its key columns, the number of readings, and the logistic fit (``fit_logistic``).
 
     Readings without hours or density are not counted; null keys are keys.
     """
@@ -52,13 +52,12 @@ class GrowthParameters:
     def terminate(self):
         if self.keys is not None:
             at = sorted(range(len(self.hours)), key=self.hours.__getitem__)
-            yield (*self.keys, len(at), *plates.fit_logistic([self.hours[k] for k in at], [self.od[k] for k in at]))
+            yield (*self.keys, len(at), *fit_logistic([self.hours[k] for k in at], [self.od[k] for k in at]))
 
 
 def register(spark: SparkSession) -> None:
     """Make the table functions known to SQL; their code goes to the executors with them."""
     from pyspark import cloudpickle
 
-    for module in (sys.modules[__name__], plates):
-        cloudpickle.register_pickle_by_value(module)
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.udtf.register("growth_parameters", udtf(GrowthParameters))

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -129,3 +131,7 @@ def project(df: DataFrame, vector: str, k: int = 2) -> DataFrame:
     ready = df.withColumn("_v", array_to_vector(F.transform(vector, lambda x: x.cast("double"))))
     out = PCA(k=k, inputCol="_v", outputCol="_p").fit(ready).transform(ready)
     return out.withColumn("projection", vector_to_array("_p")).drop("_v", "_p")
+
+
+# Functions that run in tasks go there with the task: executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 from functools import reduce
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -246,3 +248,7 @@ def compound_parameters(parameters: DataFrame, common: str) -> DataFrame:
     compounds = own.withColumns({"for_compound": F.col("compound"), "chem_conc": F.col("concentration")})
     parts = [part.withColumn("role", F.lit(k)) for k, part in enumerate((water, dmso, compounds))]
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+# Functions that run in tasks go there with the task: executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
