@@ -76,11 +76,13 @@ def full_ranks_shared(df: DataFrame, by: str, name: str, group: str = "query_id"
 
 
 def _with_logs(df: DataFrame, names: list[str]) -> DataFrame:
-    return df.withColumns({f"{m}_log2": F.when(F.col(f"{m}_dist") > 0, F.log2(f"{m}_dist")) for m in names})
+    """log2 of each distance, as numpy has it: -Infinity at zero; null below."""
+    log = lambda d: F.when(d > 0, F.log2(d)).when(d == 0, F.lit(float("-inf")))
+    return df.withColumns({f"{m}_log2": log(F.col(f"{m}_dist")) for m in names})
 
 
 def compare_metrics(dist: DataFrame, names: list[str]) -> DataFrame:
-    """Rank by each metric (``<name>_dist``, ties by ``ref_id``) and log2 of its distance (null at zero and below) side by side, for all rows."""
+    """Rank by each metric (``<name>_dist``, ties by ``ref_id``) and log2 of its distance (-Infinity at zero, null below) side by side, for all rows."""
     out = dist
     for m in names:
         out = full_ranks(out, f"{m}_dist", ["ref_id"], f"{m}_rank")

@@ -90,6 +90,7 @@ def rank_compare_three(spark, sf_dir):
     both = both.withColumn("tanimoto_dist", F.try_divide(shared, vectors.dot(F.col("q"), F.col("q")) + vectors.dot(F.col("r"), F.col("r")) - shared)).drop("q", "r")
     metrics_of = ["cosine", "jaccard", "tanimoto"]
     top = similarity.compare_top(both.withColumns({f"{m}_dist": F.round(f"{m}_dist", 9) for m in metrics_of}), metrics_of, 4)
+    top = top.withColumn("tanimoto_log2", F.when(F.col("tanimoto_dist") > 0, F.col("tanimoto_log2")))
     return rounded(top.select("query_id", "ref_id", *(f"{m}_rank" for m in metrics_of), "tanimoto_dist", "tanimoto_log2"), "tanimoto_dist", "tanimoto_log2")
 
 

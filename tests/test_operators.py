@@ -194,3 +194,9 @@ def test_slope_of_readings_at_one_hour_is_open(spark):
     rows = [("one", 2.0, 3.5), ("one", 0.0, 9.0), ("same", 1.0, 2.0), ("same", 3.0, 2.0), ("none", 0.0, 1.0), ("flat", 1.0, 0.0), ("flat", 1.0, 1.0), ("up", 1.0, 0.0), ("up", 2.0, 1.0)]
     got = {r.curve: r.generation_time for r in plates.slopes(spark.createDataFrame(rows, "curve string, corrected double, hours double"), ["curve"]).collect()}
     assert str(got["one"]) == str(got["same"]) == "nan" and got["none"] == got["flat"] == 0 and abs(got["up"] - 1) < 1e-12
+
+
+def test_log_of_distance_zero(spark):
+    df = spark.createDataFrame([(1, 2, 0.0, 0.5), (1, 3, 0.25, 0.0)], "query_id long, ref_id long, a_dist double, b_dist double")
+    for found in (similarity.compare_metrics(df, ["a", "b"]), similarity.compare_top(df, ["a", "b"], 2)):
+        assert {(r.ref_id, r.a_log2, r.b_log2) for r in found.collect()} == {(2, float("-inf"), -1.0), (3, -2.0, float("-inf"))}
