@@ -1,93 +1,170 @@
 """Exact nearest neighbours by cosine distance, with pairs ruled out by the triangle inequality.
 
-On unit vectors the chord, whose square is twice the cosine distance, is a metric. References
-are placed in the cell of their nearest pivot, with their chord to it. A query is first
-compared with cells near it that hold enough references, which bounds its k-th distance;
-then with those references of other cells whose chord to their pivot does not differ from
-the query's by more than that bound. Cells with many references are split, so that no task holds a
-whole one. How much is ruled out depends on the data: much where vectors cluster, little
+On unit vectors the chord, whose square is twice the cosine distance, is a metric. Blocks of
+queries meet parts of references (``blocks``). A task takes its references batch by batch and sorts
+each batch into cells, by nearest pivot, and these into slices by the chord to the pivot. A query is first compared with
+the nearest slices that hold enough references, which bounds its k-th distance; then with those
+whose chords to their pivot do not differ from the query's by more than that bound, which falls as
+more is seen. Comparisons are matrix products; distances that may count are added up anew,
+in order. How much is ruled out depends on the data: much where vectors cluster, little
 where they are spread evenly over many dimensions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.vectors import cosine_distance, doubles, norm
-from ..storage import stored
+from ..functions.vectors import doubles, norm
+from . import blocks
 
 PIVOTS = 64
-#: References of a cell that are compared in one part.
-CELL_ROWS = 50_000
+#: References of a cell that are ruled out or compared together, at most; and where a batch is small.
+CELL_ROWS, FEWEST = 256, 8
+#: Queries of a task: more of them move the references less often.
+BLOCK = 16_384
 #: What rounding can change of a chord's square.
 MARGIN = 1e-8
+#: What nine digits and the order of a sum can change of a distance.
+NEAR = 2e-9
+
+
+def _searches(k: int, pivots: np.ndarray, cell_rows: int, every_pair: bool, others: bool) -> Callable:
+    """Work on a block and a part: each query's ``k`` nearest of the part, or every pair that is compared for them."""
+
+    def chords(unit: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.maximum(2 - 2 * unit @ pivots.T, 0))
+
+    def slices(to_pivots: np.ndarray) -> list[np.ndarray]:
+        cell = to_pivots.argmin(axis=1)
+        order = np.lexsort((to_pivots[np.arange(len(cell)), cell], cell))
+        starts = np.flatnonzero(np.diff(cell[order], prepend=-1))
+        most = min(cell_rows, max(FEWEST, len(order) // (2 * len(pivots))))
+        return [order[low : min(low + most, end)] for start, end in zip(starts, [*starts[1:], len(order)]) for low in range(start, end, most)]
+
+    def work(asked: pa.Table, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q, q_norm = blocks.matrix(asked.column("v")), asked.column("norm").to_numpy()
+        names, q_unit = asked.column("id").combine_chunks(), q / q_norm[:, None]
+        q_chords, q_columns, n = chords(q_unit), np.ascontiguousarray(q.T), len(q)
+        # The k-th key and place so far; those kept, in order of query, key and place.
+        kth, kth_place = np.full(n, np.inf), np.full(n, np.iinfo(np.int64).max)
+        kept, kept_ids, found, found_ids, base = None, None, [], [], 0
+
+        def out(at: np.ndarray, ids: pa.Array, distance: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([names.take(pa.array(at)), ids, pa.array(distance), pa.array(keys)], names=["query_id", "ref_id", "cosine_dist", "_key"])
+
+        def merge() -> None:
+            nonlocal kept, kept_ids
+            if not found:
+                return
+            those = [*found] if kept is None else [kept, *found]
+            at, keys, places, distance = (np.concatenate([t[c] for t in those]) for c in range(4))
+            ids = pa.concat_arrays([*found_ids] if kept is None else [kept_ids, *found_ids])
+            order = np.lexsort((places, keys, at))
+            at = at[order]
+            within = np.arange(len(at)) - np.searchsorted(at, at)
+            order, at, within = order[within < k], at[within < k], within[within < k]
+            kept, kept_ids = (at, keys[order], places[order], distance[order]), ids.take(pa.array(order))
+            last = within == k - 1
+            kth[at[last]], kth_place[at[last]] = kept[1][last], kept[2][last]
+            found.clear(), found_ids.clear()
 
-
-def _chords(df: DataFrame, pivots: np.ndarray, home_only: bool) -> DataFrame:
-    """With ``cell`` and ``to_pivot`` of the nearest pivot, or with ``to_pivots``, the chords to all."""
-    added = "cell int, to_pivot double" if home_only else "to_pivots array<double>"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) if batch.num_rows else np.empty((0, pivots.shape[1]))
-            unit = flat / np.linalg.norm(flat, axis=1, keepdims=True)
-            chord = np.sqrt(np.maximum(2 - 2 * unit @ pivots.T, 0))
-            if home_only:
-                cell = chord.argmin(axis=1)
-                new, names = [pa.array(cell, pa.int32()), pa.array(chord[np.arange(len(cell)), cell])], ["cell", "to_pivot"]
-            else:
-                new, names = [pa.array(list(chord), pa.list_(pa.float64()))], ["to_pivots"]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *names])
-
-    from pyspark.sql.types import StructType
-
-    return df.mapInArrow(run, StructType([*df.schema.fields, *StructType.fromDDL(added).fields]))
-
-
-def compared_pairs(queries: DataFrame, references: DataFrame, key: str, vector: str, k: int, pivots: int = PIVOTS, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """``query_id, ref_id, cosine_dist`` of every pair that is compared: a query's ``k`` nearest are among them.
-
-    Null and zero vectors have no direction and are left out. Vectors must be equally long.
-    """
+            r, r_norm, ids = blocks.matrix(batch.column("v")), batch.column("norm").to_numpy(zero_copy_only=False), batch.column("id")
+            unit = r / r_norm[:, None]
+            to_pivots, columns = chords(unit), np.ascontiguousarray(r.T)
+            parts = slices(to_pivots)
+            cells = np.array([to_pivots[p[0]].argmin() for p in parts])
+            inner, outer = (np.array([to_pivots[p[e], c] for p, c in zip(parts, cells)]) for e in (0, -1))
+            apart = q_chords[:, cells]
+            least = np.maximum(apart - outer, inner - apart)
+            own = np.full(len(ids), -1)
+            if others:
+                mine, there = blocks.same(asked.column("id"), ids)
+                own[there] = mine
+
+            def compare(wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
+                for s, rows in enumerate(parts):
+                    every = np.flatnonzero(wanted[:, s])
+                    step = max(1, blocks.CHUNK // len(rows))
+                    for low in range(0, len(every), step):
+                        some = every[low : low + step]
+                        if every_pair:
+                            at, to = np.repeat(some, len(rows)), np.tile(rows, len(some))
+                        else:
+                            near = 1 - q_unit[some] @ unit[rows].T <= kth[some][:, None] + NEAR
+                            at, to = np.nonzero(near)
+                            at, to = some[at], rows[to]
+                        if others:
+                            at, to = at[own[to] != at], to[own[to] != at]
+                        distance = 1 - blocks.exact_dots(q_columns, at, columns, to) / (q_norm[at] * r_norm[to])
+                        keys, places = blocks.nine_digits(distance), base + to
+                        if every_pair:
+                            yield out(at, ids.take(pa.array(to)), distance, keys)
+                        better = (keys < kth[at]) | (keys == kth[at]) & (places < kth_place[at])
+                        found.append((at[better], keys[better], places[better], distance[better]))
+                        found_ids.append(ids.take(pa.array(to[better])))
+                        if sum(len(f[0]) for f in found) > max(1 << 18, 2 * n * k):
+                            merge()
+                merge()
+
+            first = np.zeros(least.shape, bool)
+            unbound = np.flatnonzero(np.isinf(kth))
+            if len(unbound):
+                # The nearest slices that hold k references between them.
+                order = np.argsort(np.where(least > 0, apart + least, apart)[unbound], axis=1, kind="stable")
+                sizes = np.array([len(p) for p in parts])[order]
+                some = np.zeros(order.shape, bool)
+                np.put_along_axis(some, order, np.cumsum(sizes, axis=1) - sizes < k + others, axis=1)
+                first[unbound] = some
+                yield from compare(first)
+            yield from compare(~first & (least <= np.sqrt(2 * np.maximum(kth, 0) + MARGIN)[:, None] + MARGIN))
+            base += len(ids)
+        if kept is not None and not every_pair:
+            yield out(kept[0], kept_ids, kept[3], kept[1])
+
+    return work
+
+
+def _search(queries: DataFrame, references: DataFrame, key: str, vector: str, k: int, pivots: int, cell_rows: int, every_pair: bool, others: bool = False) -> DataFrame:
+    spark = references.sparkSession
     sided = lambda df: df.select(F.col(key).alias("id"), doubles(F.col(vector)).alias("v")).withColumn("norm", norm(F.col("v"))).where("norm > 0")
     refs, asked = sided(references), sided(queries)
     # A bounded number of vectors, the same in every run.
     chosen = refs.orderBy(F.xxhash64("id"), "id").limit(pivots).select("v", "norm").collect()
-    columns = "query_id", "ref_id", "cosine_dist"
+    kinds = [d.schema["id"].dataType.simpleString() for d in (asked, refs)]
+    schema = f"query_id {kinds[0]}, ref_id {kinds[1]}, cosine_dist double, _key double"
     if not chosen:
-        none = asked.select(F.col("id").alias("query_id"), F.col("id").alias("ref_id"), F.col("norm").alias("cosine_dist"))
-        return none.where(F.lit(False))
+        return spark.createDataFrame([], schema)
     at = np.array([np.array(r["v"]) / r["norm"] for r in chosen])
-    placed = stored(_chords(refs, at, home_only=True), "cells")
-    sizes = placed.groupBy("cell").agg(F.count("*").alias("n"), F.min("to_pivot").alias("inner"), F.max("to_pivot").alias("outer")).collect()  # a row a pivot at most
-    cells = pa.table({"cell": pa.array([r["cell"] for r in sizes], pa.int32()), "n": [r["n"] for r in sizes], "inner": [r["inner"] for r in sizes], "outer": [r["outer"] for r in sizes], "parts": [-(-r["n"] // cell_rows) for r in sizes]})
-    cells = F.broadcast(references.sparkSession.createDataFrame(cells))
-    placed = placed.join(cells.select("cell", "parts"), "cell").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))).drop("parts")
-    near = _chords(asked, at, home_only=False).select(F.col("id").alias("query_id"), F.col("v").alias("query_v"), F.col("norm").alias("query_norm"), F.posexplode("to_pivots").alias("cell", "chord"))
-    near = stored(near.join(cells, "cell"), "query-cells")
-    # The nearest cells that hold k references between them.
-    order = Window.partitionBy("query_id").orderBy("chord", "cell")
-    first = near.withColumn("_before", F.sum("n").over(order) - F.col("n")).where(F.col("_before") < k)
-    in_parts = lambda df: df.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    distance = cosine_distance(F.col("query_v"), F.col("v"), F.col("query_norm"), F.col("norm")).alias("cosine_dist")
-    refs = placed.withColumnRenamed("id", "ref_id")
-    close = stored(in_parts(first).join(refs, ["cell", "part"]).select("query_id", "ref_id", distance), "near-pairs")
-    kth = close.withColumn("_r", F.row_number().over(Window.partitionBy("query_id").orderBy("cosine_dist", "ref_id"))).where(F.col("_r") <= k)
-    # Without k references there is no bound: every cell is one of the first then.
-    bound = kth.groupBy("query_id").agg(F.sqrt(2 * F.greatest(F.max("cosine_dist"), F.lit(0.0)) + MARGIN).alias("bound"))
-    rest = near.join(first.select("query_id", "cell"), ["query_id", "cell"], "left_anti").join(bound, "query_id")
-    rest = rest.where((F.col("chord") - F.col("outer") <= F.col("bound") + MARGIN) & (F.col("inner") - F.col("chord") <= F.col("bound") + MARGIN))
-    ring = F.abs(F.col("chord") - F.col("to_pivot")) <= F.col("bound") + MARGIN
-    more = in_parts(rest).join(refs, ["cell", "part"]).where(ring).select("query_id", "ref_id", distance)
-    return close.unionByName(more).select(*columns)
-
-
-def nearest_pruned(queries: DataFrame, references: DataFrame, key: str, vector: str, k: int, pivots: int = PIVOTS, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """``query_id, ref_id, cosine_dist, rank``: each query's ``k`` nearest by distance to nine digits, then by id."""
-    pairs = compared_pairs(queries, references, key, vector, k, pivots, cell_rows).withColumn("cosine_dist", F.round("cosine_dist", 9))
-    return pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("cosine_dist", "ref_id")).cast("long")).where(F.col("rank") <= k)
+    n_blocks, n_parts = blocks.grid(asked.count(), spark, BLOCK)
+    dealt = blocks.every(blocks.in_blocks(asked, n_blocks), "_part", n_parts), blocks.every(blocks.in_parts(refs, n_parts), "_block", n_blocks)
+    return blocks.meet(*dealt, n_parts, _searches(k, at, cell_rows, every_pair, others), schema, n_blocks)
+
+
+def compared_pairs(queries: DataFrame, references: DataFrame, key: str, vector: str, k: int, pivots: int = PIVOTS, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """``query_id, ref_id, cosine_dist`` of every pair that ``nearest_pruned`` compares: a query's ``k`` nearest are among them.
+
+    Null and zero vectors have no direction and are left out. Vectors must be equally long.
+    """
+    return _search(queries, references, key, vector, k, pivots, cell_rows, True).drop("_key")
+
+
+def nearest_pruned(queries: DataFrame, references: DataFrame, key: str, vector: str, k: int, pivots: int = PIVOTS, cell_rows: int = CELL_ROWS, others: bool = False) -> DataFrame:
+    """``query_id, ref_id, cosine_dist, rank``: each query's ``k`` nearest by distance to nine digits, then by id.
+
+    With ``others``, a query is none of its own neighbours. Keys must be unique, vectors equally long; null and zero vectors are left out.
+    """
+    pairs = _search(queries, references, key, vector, k, pivots, cell_rows, False, others)
+    ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("_key", "ref_id")).cast("long"))
+    return ranked.where(F.col("rank") <= k).drop("_key")
+
+
+# Functions that run in tasks go there with the task: executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
