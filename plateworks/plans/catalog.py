@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import capital_first_two, clean_name, first_letter, one_hot, strain_number, strip_quotes
 from ..functions.vectors import bits_of, doubles, hamming_share
-from ..operators import features, library, metrics, plates, reshape, scoring, similarity, splits
+from ..operators import features, library, metrics, neighbours, plates, reshape, scoring, similarity, splits
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -267,7 +267,8 @@ def dist(spark, sf_dir):
 
 @query(f"with {DIST}, r as (select *, row_number() over (partition by query_id order by round(cosine_dist, 9), ref_id) as rank from dist) select query_id, ref_id, round(cosine_dist, 6) as cosine_dist, rank from r where rank <= 10")
 def cosine_topk(spark, sf_dir):
-    return rounded(similarity.nearest(dist(spark, sf_dir).withColumn("cosine_dist", F.round("cosine_dist", 9)), "cosine_dist", 10).drop("jaccard_dist"), "cosine_dist")
+    e = read(spark, sf_dir, "embeddings")
+    return rounded(neighbours.nearest_pruned(e.where("vec_id % 100 = 0"), e, "vec_id", "embedding", 10, others=True), "cosine_dist")
 
 
 @query(f"with {DIST} select query_id, ref_id, row_number() over (partition by query_id order by round(jaccard_dist, 9), ref_id) as rank from dist")

@@ -40,3 +40,11 @@ def test_nearest_with_other_ids(spark):
     number = lambda found: {(int(str(r.query_id).lstrip("c")), int(str(r.ref_id).lstrip("c")), r.rank) for r in found.collect()}
     assert number(neighbours.nearest_pruned(named, named, "id", "v", 4)) == number(neighbours.nearest_pruned(df, df, "id", "v", 4))
     assert neighbours.nearest_pruned(df, df.where("id < 0"), "id", "v", 4).count() == 0
+
+
+def test_no_query_joins_all_pairs(spark):
+    from plateworks.plans import catalog
+
+    for name in ("cosine_topk",):
+        plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan and "NestedLoop" not in plan and "Cartesian" not in plan, name
