@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import capital_first_two, clean_name, first_letter, one_hot, strain_number, strip_quotes
 from ..functions.vectors import bits_of, doubles, hamming_share
-from ..operators import features, library, metrics, neighbours, plates, reshape, scoring, similarity, splits
+from ..operators import bitranks, features, library, metrics, neighbours, plates, reshape, scoring, similarity, splits
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -273,8 +273,8 @@ def cosine_topk(spark, sf_dir):
 
 @query(f"with {DIST} select query_id, ref_id, row_number() over (partition by query_id order by round(jaccard_dist, 9), ref_id) as rank from dist")
 def rank_first(spark, sf_dir):
-    d = dist(spark, sf_dir).select("query_id", "ref_id", F.round("jaccard_dist", 9).alias("jaccard_dist"))
-    return similarity.full_ranks(d, "jaccard_dist", ["ref_id"], "rank").select("query_id", "ref_id", "rank")
+    e = read(spark, sf_dir, "embeddings")
+    return bitranks.bit_ranks(e.where("vec_id % 100 = 0"), e, "vec_id", "embedding")
 
 
 @query(f"with {DIST} select query_id, ref_id, rank() over (partition by query_id order by round(jaccard_dist, 9)) as rank from dist")

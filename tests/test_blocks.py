@@ -45,6 +45,30 @@ def test_nearest_with_other_ids(spark):
 def test_no_query_joins_all_pairs(spark):
     from plateworks.plans import catalog
 
-    for name in ("cosine_topk",):
+    for name in ("cosine_topk", "rank_first", "rank_min_ties", "tanimoto_rank"):
         plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "MapInArrow" in plan and "NestedLoop" not in plan and "Cartesian" not in plan, name
+
+
+@pytest.mark.parametrize("block", [blocks.BLOCK, 7])
+def test_counted_ranks_equal_sorted_ones(spark, monkeypatch, block):
+    from plateworks.operators import bitranks
+
+    monkeypatch.setattr(bitranks.blocks.grid, "__defaults__", (block,))
+    _, df = spread(spark, 120, 15, width=8)
+    df = df.unionByName(spark.createDataFrame([(1001, [-1.0] * 8), (1003, [-2.0] * 8), (1005, None)], df.schema))
+    sets = {r.id: None if r.v is None else {k for k, x in enumerate(r.v) if x > 0} for r in df.collect()}
+    far = lambda a, b: 9.0 if sets[a] is None or sets[b] is None else 1 - (len(sets[a] & sets[b]) / len(sets[a] | sets[b]) if sets[a] | sets[b] else 1)
+    asked = [q for q in sets if q % 12 == 0 or q > 1000]
+    queries = df.where("id % 12 = 0 or id > 1000")
+    first, least = {}, {}
+    for q in asked:
+        rows = sorted((far(q, r), r) for r in sets if r != q)
+        first |= {(q, r): k for k, (_, r) in enumerate(rows, 1)}
+        least |= {(q, r): 1 + sum(x < d for x, _ in rows) for d, r in rows}
+    found = lambda df: {(r.query_id, r.ref_id): r["rank"] for r in df.collect()}
+    assert found(bitranks.bit_ranks(queries, df, "id", "v")) == first
+    assert found(bitranks.bit_ranks(queries, df, "id", "v", shared=True)) == least
+    top = bitranks.bit_ranks(queries, df, "id", "v", shared=True, most=5).collect()
+    assert {(r.query_id, r.ref_id): r["rank"] for r in top} == {p: k for p, k in least.items() if k <= 5}
+    assert all(r.jaccard_dist == (None if (d := far(r.query_id, r.ref_id)) == 9 else d) for r in top)
