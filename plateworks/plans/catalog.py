@@ -295,9 +295,9 @@ def jaccard_bits(spark, sf_dir):
 
 @query(f"with {DIST}, t as (select query_id, ref_id, round(1 - jaccard_dist, 6) as similarity, rank() over (partition by query_id order by round(1 - jaccard_dist, 9) desc) as rank from dist) select * from t where rank <= 5")
 def tanimoto_rank(spark, sf_dir):
-    d = dist(spark, sf_dir).withColumn("similarity", 1 - F.col("jaccard_dist"))
-    ranked = similarity.rank_shared(d, F.desc(F.round("similarity", 9)), "rank").where("rank <= 5")
-    return rounded(ranked.select("query_id", "ref_id", "similarity", "rank"), "similarity")
+    e = read(spark, sf_dir, "embeddings")
+    ranked = bitranks.bit_ranks(e.where("vec_id % 100 = 0"), e, "vec_id", "embedding", shared=True, most=5)
+    return rounded(ranked.select("query_id", "ref_id", (1 - F.col("jaccard_dist")).alias("similarity"), "rank"), "similarity")
 
 
 @query(f"""with {DIST}, r as (select *, row_number() over (partition by query_id order by round(cosine_dist, 9), ref_id) as cosine_rank, row_number() over (partition by query_id order by round(jaccard_dist, 9), ref_id) as jaccard_rank from dist)
