@@ -75,10 +75,13 @@ def full_ranks_shared(df: DataFrame, by: str, name: str, group: str = "query_id"
     return ranked.join(least, same).select(*df.columns, name)
 
 
+def log_of(d: Column) -> Column:
+    """log2 of a distance, as numpy has it: -Infinity at zero; null below."""
+    return F.when(d > 0, F.log2(d)).when(d == 0, F.lit(float("-inf")))
+
+
 def _with_logs(df: DataFrame, names: list[str]) -> DataFrame:
-    """log2 of each distance, as numpy has it: -Infinity at zero; null below."""
-    log = lambda d: F.when(d > 0, F.log2(d)).when(d == 0, F.lit(float("-inf")))
-    return df.withColumns({f"{m}_log2": log(F.col(f"{m}_dist")) for m in names})
+    return df.withColumns({f"{m}_log2": log_of(F.col(f"{m}_dist")) for m in names})
 
 
 def compare_metrics(dist: DataFrame, names: list[str]) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import capital_first_two, clean_name, first_letter, one_hot, strain_number, strip_quotes
 from ..functions.vectors import bits_of, doubles, hamming_share
-from ..operators import bitranks, features, library, metrics, neighbours, plates, reshape, scoring, similarity, splits
+from ..operators import bitranks, compare, features, library, metrics, neighbours, plates, reshape, scoring, similarity, splits
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -303,9 +303,10 @@ def tanimoto_rank(spark, sf_dir):
 @query(f"""with {DIST}, r as (select *, row_number() over (partition by query_id order by round(cosine_dist, 9), ref_id) as cosine_rank, row_number() over (partition by query_id order by round(jaccard_dist, 9), ref_id) as jaccard_rank from dist)
   select query_id, ref_id, cosine_rank, jaccard_rank, round(cosine_dist, 6) as cosine_dist, round(jaccard_dist, 6) as jaccard_dist, round(log2(round(cosine_dist, 9)), 6) as cosine_log2, round(log2(round(jaccard_dist, 9)), 6) as jaccard_log2 from r where cosine_rank <= 4 or jaccard_rank <= 4""")
 def rank_compare(spark, sf_dir):
-    d = dist(spark, sf_dir).withColumns({"cosine_dist": F.round("cosine_dist", 9), "jaccard_dist": F.round("jaccard_dist", 9)})
-    out = similarity.compare_top(d, ["cosine", "jaccard"], 4)
-    return rounded(out, "cosine_dist", "jaccard_dist", "cosine_log2", "jaccard_log2")
+    e = read(spark, sf_dir, "embeddings")
+    found = compare.compare_vectors(e.where("vec_id % 100 = 0"), e, "vec_id", "embedding", ["cosine", "jaccard"], 4)
+    logs = {f"{m}_log2": similarity.log_of(F.col(f"{m}_key")) for m in ("cosine", "jaccard")}
+    return rounded(found.withColumns(logs).drop("cosine_key", "jaccard_key"), "cosine_dist", "jaccard_dist", *logs)
 
 
 @query("""with b as (select vec_id, list_transform(embedding, lambda x: case when x > 0 then 1 else 0 end) as s from embeddings)

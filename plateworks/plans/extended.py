@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars, tables, vectors
-from ..operators import asof, bitjoin, embedding, library, metrics, neighbours, ordered, plates, quantiles, reshape, similarity
-from .catalog import DIST, QUERIES, curves, dist, query, read, rounded
+from ..operators import asof, bitjoin, compare, embedding, library, metrics, neighbours, ordered, plates, quantiles, reshape
+from .catalog import DIST, QUERIES, curves, query, read, rounded
 
 # ---- orders of all rows
 
@@ -83,15 +83,10 @@ def similar_fingerprints(spark, sf_dir):
   select query_id, ref_id, cosine_rank, jaccard_rank, tanimoto_rank, round(tanimoto_dist, 6) as tanimoto_dist, round(case when round(tanimoto_dist, 9) > 0 then log2(round(tanimoto_dist, 9)) end, 6) as tanimoto_log2 from k where cosine_rank <= 4 or jaccard_rank <= 4 or tanimoto_rank <= 4""")
 def rank_compare_three(spark, sf_dir):
     """Ranks by three metrics side by side; the third is a similarity, ranked upwards as the others are."""
-    e = read(spark, sf_dir, "embeddings").select(F.col("vec_id"), vectors.doubles(F.col("embedding")).alias("v"))
-    q, r = e.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")), e.select(F.col("vec_id").alias("ref_id"), F.col("v").alias("r"))
-    both = dist(spark, sf_dir).join(q, "query_id").join(r, "ref_id")
-    shared = vectors.dot(F.col("q"), F.col("r"))
-    both = both.withColumn("tanimoto_dist", F.try_divide(shared, vectors.dot(F.col("q"), F.col("q")) + vectors.dot(F.col("r"), F.col("r")) - shared)).drop("q", "r")
-    metrics_of = ["cosine", "jaccard", "tanimoto"]
-    top = similarity.compare_top(both.withColumns({f"{m}_dist": F.round(f"{m}_dist", 9) for m in metrics_of}), metrics_of, 4)
-    top = top.withColumn("tanimoto_log2", F.when(F.col("tanimoto_dist") > 0, F.col("tanimoto_log2")))
-    return rounded(top.select("query_id", "ref_id", *(f"{m}_rank" for m in metrics_of), "tanimoto_dist", "tanimoto_log2"), "tanimoto_dist", "tanimoto_log2")
+    e, names = read(spark, sf_dir, "embeddings"), ["cosine", "jaccard", "tanimoto"]
+    top = compare.compare_vectors(e.where("vec_id % 100 = 0"), e, "vec_id", "embedding", names, 4)
+    top = top.withColumn("tanimoto_log2", F.when(F.col("tanimoto_key") > 0, F.log2("tanimoto_key")))
+    return rounded(top.select("query_id", "ref_id", *(f"{m}_rank" for m in names), "tanimoto_dist", "tanimoto_log2"), "tanimoto_dist", "tanimoto_log2")
 
 
 # ---- models and functions

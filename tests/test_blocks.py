@@ -45,7 +45,7 @@ def test_nearest_with_other_ids(spark):
 def test_no_query_joins_all_pairs(spark):
     from plateworks.plans import catalog
 
-    for name in ("cosine_topk", "rank_first", "rank_min_ties", "tanimoto_rank"):
+    for name in ("cosine_topk", "rank_first", "rank_min_ties", "tanimoto_rank", "rank_compare", "rank_compare_three"):
         plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "MapInArrow" in plan and "NestedLoop" not in plan and "Cartesian" not in plan, name
 
@@ -72,3 +72,22 @@ def test_counted_ranks_equal_sorted_ones(spark, monkeypatch, block):
     top = bitranks.bit_ranks(queries, df, "id", "v", shared=True, most=5).collect()
     assert {(r.query_id, r.ref_id): r["rank"] for r in top} == {p: k for p, k in least.items() if k <= 5}
     assert all(r.jaccard_dist == (None if (d := far(r.query_id, r.ref_id)) == 9 else d) for r in top)
+
+
+@pytest.mark.parametrize("block", [blocks.BLOCK, 9])
+def test_compared_metrics_equal_loops(spark, monkeypatch, block):
+    from plateworks.operators import compare
+
+    monkeypatch.setattr(compare.blocks.grid, "__defaults__", (block,))
+    rows, df = spread(spark, 150, 12, width=10)
+    names, most = ["cosine", "jaccard", "tanimoto"], 3
+    g, bits = rows @ rows.T, (rows > 0).astype(float)
+    square, shared, ones = np.diag(g), bits @ bits.T, bits.sum(axis=1)
+    d = {"cosine": 1 - g / np.sqrt(np.outer(square, square)), "jaccard": 1 - shared / (ones[:, None] + ones - shared), "tanimoto": g / (square[:, None] + square - g)}
+    want = {}
+    for q in range(0, 150, 5):
+        rank = {m: {r: k for k, r in enumerate(sorted((r for r in range(150) if r != q), key=lambda r: (round(d[m][q, r], 9), r)), 1)} for m in names}
+        want |= {(2 * q, 2 * r): tuple(rank[m][r] for m in names) for r in rank["cosine"] if min(rank[m][r] for m in names) <= most}
+    got = compare.compare_vectors(df.where("id % 10 = 0"), df, "id", "v", names, most).collect()
+    assert {(r.query_id, r.ref_id): (r.cosine_rank, r.jaccard_rank, r.tanimoto_rank) for r in got} == want and len(got) == len(want)
+    assert all(abs(r[f"{m}_dist"] - d[m][r.query_id // 2, r.ref_id // 2]) < 1e-12 for r in got for m in names)
