@@ -104,3 +104,15 @@ def test_ranks_over_ranges_and_top_rows(spark):
     assert top == {k: v for k, v in want.items() if min(v) <= 4}
     shared = {(x.query_id, x.ref_id): x.rank for x in similarity.full_ranks_shared(df, "a_dist", "rank").collect()}
     assert shared == {(q, r): 1 + sum(x[0] == q and x[2] < a for x in rows) for q, r, a, _ in rows}
+
+
+def test_dense_sets_leave_tasks_as_results_only(spark):
+    rng = random.Random(9)
+    sets = [{b for b in range(64) if rng.random() < 0.5} for _ in range(300)]
+    df = spark.createDataFrame([(k, sorted(s)) for k, s in enumerate(sets)], "id long, bits array<int>")
+    for postings in (4096, 11):
+        pairs = similar_sets(df, "id", F.col("bits"), 0.55, 64, postings)
+        assert "MapInArrow" in pairs._jdf.queryExecution().executedPlan().toString()
+        want = {(i, j) for i, x in enumerate(sets) for j, y in enumerate(sets) if (len(x), i) < (len(y), j) and len(x & y) / len(x | y) >= 0.55}
+        got = [(r.first_id, r.second_id) for r in pairs.collect()]
+        assert set(got) == want and len(got) == len(want)
