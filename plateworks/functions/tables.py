@@ -4,8 +4,9 @@
 
     select * from growth_parameters(table(readings) partition by (plate, well) order by hours)
 
-The table argument needs columns ``hours`` and ``od``; its other columns, which have to be the
-ones it is partitioned by, come back with the fit of each partition.
+The table argument needs columns ``hours`` and ``od``; its other columns, the keys, come back with the
+fit of the rows that have them. A partition may hold several keys, which are fitted together (faster than a
+partition each), as long as all rows of a key are in it: ``partition by pmod(hash(plate, well), 100)``.
 """
 
 from __future__ import annotations
@@ -17,17 +18,17 @@ from pyspark.sql.functions import udtf
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
-from ..operators.plates import fit_logistic
+from ..operators.plates import TOGETHER, fit_many
 
 
 class GrowthParameters:
-    """One row a partition: its key columns, the number of readings, and the logistic fit (``fit_logistic``).
+    """One row a key: its columns, the number of readings, and the logistic fit (``fit_many``).
 
     Readings without hours or density are not counted; null keys are keys.
     """
 
     def __init__(self):
-        self.keys, self.hours, self.od = None, [], []
+        self.curves = {}
 
     @staticmethod
     def analyze(readings: AnalyzeArgument) -> AnalyzeResult:
@@ -44,15 +45,17 @@ class GrowthParameters:
     def eval(self, readings: Row):
         found = readings.asDict()
         hours, od = found.pop("hours"), found.pop("od")
-        self.keys = tuple(found.values())
+        curve = self.curves.setdefault(tuple(found.values()), [])
         if hours is not None and od is not None:
-            self.hours.append(float(hours))
-            self.od.append(float(od))
+            curve.append((float(hours), float(od)))
 
     def terminate(self):
-        if self.keys is not None:
-            at = sorted(range(len(self.hours)), key=self.hours.__getitem__)
-            yield (*self.keys, len(at), *fit_logistic([self.hours[k] for k in at], [self.od[k] for k in at]))
+        keys = list(self.curves)
+        for low in range(0, len(keys), TOGETHER):
+            some = [sorted(self.curves[k]) for k in keys[low : low + TOGETHER]]
+            fits = fit_many([[h for h, _ in c] for c in some], [[o for _, o in c] for c in some])
+            for key, curve, fit in zip(keys[low:], some, fits):
+                yield (*key, len(curve), *fit)
 
 
 def register(spark: SparkSession) -> None:

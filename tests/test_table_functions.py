@@ -30,3 +30,16 @@ def test_query_equals_grouped_fit_on_whole_table(spark):
     assert got.keys() == want.keys() and len(got) > 50
     for key, fit in want.items():
         assert got[key][0] == fit[0] and got[key][1:] == pytest.approx(fit[1:], rel=1e-9)
+
+
+def test_curves_fitted_together_are_as_alone_and_in_one_partition(spark):
+    from plateworks.operators import plates
+
+    times = [[h / 2 for h in range(n)] for n in (30, 12, 30, 3, 12)]
+    values = [[(0.3 + k) / (1 + math.exp(-(1 + k / 4) * (t - 3))) for t in ts] for k, ts in enumerate(times)]
+    assert plates.fit_many(times, values) == [plates.fit_logistic(t, y) for t, y in zip(times, values)]
+    rows = [(k, t, y) for k, (ts, ys) in enumerate(zip(times, values)) for t, y in zip(ts, ys)]
+    spark.createDataFrame(rows, "well int, hours double, od double").createOrReplaceTempView("t_wells")
+    tables.register(spark)
+    got = {r.well: tuple(r)[2:] for r in spark.sql("select * from growth_parameters(table(t_wells) partition by pmod(hash(well), 2) order by hours)").collect()}
+    assert len(got) == 5 and all(got[k] == fit for k, fit in enumerate(plates.fit_many(times, values)))
