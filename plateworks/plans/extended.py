@@ -225,8 +225,8 @@ def growth_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = curves(spark, sf_dir)
     cumulative = F.sum("corrected").over(Window.partitionBy("event_type", "user_id").orderBy("point"))
     c.select("event_type", "user_id", "hours", (cumulative / 100).alias("od")).createOrReplaceTempView("plateworks_readings")
-    # Some hundred curves a partition, and a partition a task at least.
-    many = max(int(spark.conf.get("spark.sql.shuffle.partitions")), read(spark, sf_dir, "events").count() // 8192)
+    # Some thousand curves a partition, and a partition a task at least.
+    many = max(int(spark.conf.get("spark.sql.shuffle.partitions")), read(spark, sf_dir, "events").count() // 65_536)
     return spark.sql(f"select * from growth_parameters(table(plateworks_readings) partition by pmod(hash(event_type, user_id), {many}) order by hours)")
 
 
