@@ -31,18 +31,6 @@ def bit_counts(df: DataFrame, vector: str) -> DataFrame:
 def correlations(df: DataFrame, vector: str, width: int) -> DataFrame:
     """Signed correlation of every two positions i < j, from one matrix of sums a partition: only these are shuffled."""
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, total, product = 0, np.zeros(width), np.zeros((width, width))
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                rows = [r for r in batch.column(0).slice(at, 1024).to_pylist() if r is not None]
-                if rows:
-                    # About the first row seen, so that large means do not swallow the products.
-                    x = np.array(rows, float) - origin
-                    n, total, product = n + len(x), total + x.sum(axis=0), product + x.T @ x
-        if n:
-            yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([n]), pa.array([total.tolist()]), pa.array([product.ravel().tolist()])], names=["one", "n", "total", "product"])
-
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total, product = 0, np.zeros(width), np.zeros((width, width))
         for batch in batches:
@@ -59,11 +47,44 @@ def correlations(df: DataFrame, vector: str, width: int) -> DataFrame:
     read = df.select(F.transform(vector, lambda x: x.cast("double")).alias("v"))
     first = read.where("v is not null").first()
     origin = np.array(first["v"] if first else np.zeros(width))
+    return _moments(read, width, origin).coalesce(1).mapInArrow(merge, "i long, j long, r double")
+
+
+def _moments(read: DataFrame, width: int, origin: np.ndarray) -> DataFrame:
+    """``one, n, total, product``: sums of the vectors ``v`` and of their products about ``origin``, in a few rows."""
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total, product = 0, np.zeros(width), np.zeros((width, width))
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                rows = [r for r in batch.column(0).slice(at, 1024).to_pylist() if r is not None]
+                if rows:
+                    # About the first row seen, so that large means do not swallow the products.
+                    x = np.array(rows, float) - origin
+                    n, total, product = n + len(x), total + x.sum(axis=0), product + x.T @ x
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([n]), pa.array([total.tolist()]), pa.array([product.ravel().tolist()])], names=["one", "n", "total", "product"])
+
     parts = read.mapInArrow(sums, "one long, n long, total array<double>, product array<double>")
     # A tree of two levels: square roots of the number of partitions meet.
-    some = max(1, math.isqrt(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
-    halves = parts.repartition(some).mapInArrow(_added(width), "one long, n long, total array<double>, product array<double>")
-    return halves.coalesce(1).mapInArrow(merge, "i long, j long, r double")
+    some = max(1, math.isqrt(max(1, int(read.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
+    return parts.repartition(some).mapInArrow(_added(width), "one long, n long, total array<double>, product array<double>")
+
+
+def components(df: DataFrame, vector: str, k: int = 2) -> tuple[int, np.ndarray]:
+    """The number of rows and the first ``k`` principal components, as columns, in one pass; those that vectors are too short for are zero."""
+    read = df.select(F.transform(vector, lambda x: x.cast("double")).alias("v"))
+    first = read.first()
+    if first is None:
+        return 0, np.zeros((0, k))
+    width = len(first["v"])
+    rows = _moments(read, width, np.array(first["v"])).collect()
+    n, total, product = sum(r["n"] for r in rows), *(np.sum([r[c] for r in rows], axis=0) for c in ("total", "product"))
+    covariance = (product.reshape(width, width) - np.outer(total, total) / n) / max(n - 1, 1)
+    out = np.zeros((width, k))
+    found = np.linalg.svd(covariance)[0][:, :k]
+    out[:, : found.shape[1]] = found
+    return n, out
 
 
 def _added(width: int):

@@ -12,6 +12,7 @@ where they are spread evenly over many dimensions.
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Callable, Iterator
 
@@ -31,6 +32,10 @@ CELL_ROWS, FEWEST = 256, 8
 BLOCK = 16_384
 #: What rounding can change of a chord's square.
 MARGIN = 1e-8
+#: What single precision can change of a cosine, by position; pairs that are compared at once, and references at first.
+SINGLE, ROUGH, FIRST = 2.4e-7, 1 << 20, 512
+#: Rows of a block where every row is a query.
+EVERY_BLOCK = 32_768
 #: What nine digits and the order of a sum can change of a distance.
 NEAR = 2e-9
 
@@ -166,5 +171,105 @@ def nearest_pruned(queries: DataFrame, references: DataFrame, key: str, vector:
     return ranked.where(F.col("rank") <= k).drop("_key")
 
 
+def _every_pair(k: int) -> Callable:
+    """Work on a block and a part where queries are many: each query's ``k`` nearest other rows of the part.
+
+    Matrix products in single precision tell which pairs can be among the nearest so far, by a
+    margin for their rounding; only those are measured.
+    """
+
+    def work(asked: pa.Table, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q, q_norm = blocks.matrix(asked.column("v")).astype(float), asked.column("norm").to_numpy()
+        names, q_rough, q_columns, n = asked.column("id").combine_chunks(), (q / q_norm[:, None]).astype(np.float32), np.ascontiguousarray(q.T), len(q)
+        margin = SINGLE * (q.shape[1] + 8)
+        # The nearest so far, in order of key and place; inf where there are fewer than k.
+        keys, places, distances = np.full((n, k), np.inf), np.full((n, k), np.iinfo(np.int64).max), np.full((n, k), np.inf)
+        seen, base = [], 0
+
+        def enter(at: np.ndarray, key: np.ndarray, place: np.ndarray, distance: np.ndarray) -> None:
+            """``at`` in order."""
+            rows, starts, counts = np.unique(at, return_index=True, return_counts=True)
+            wide = k + counts.max()
+            new = [np.full((len(rows), wide), fill) for fill in (np.inf, np.iinfo(np.int64).max, np.inf)]
+            to = np.repeat(np.arange(len(rows)), counts), k + np.arange(len(at)) - np.repeat(starts, counts)
+            for table, old, values in zip(new, (keys, places, distances), (key, place, distance)):
+                table[:, :k] = old[rows]
+                table[to] = values
+            order = np.lexsort((new[1], new[0]), axis=1)[:, :k]
+            for table, old in zip(new, (keys, places, distances)):
+                old[rows] = np.take_along_axis(table, order, axis=1)
+
+        def pieces() -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array]]:
+            """A few references at first, then twice as many each time."""
+            held, size = [], FIRST
+            for batch in batches:
+                while batch.num_rows:
+                    room = size - sum(b.num_rows for b in held)
+                    held.append(batch.slice(0, room))
+                    batch = batch.slice(room)
+                    if sum(b.num_rows for b in held) == size:
+                        yield pa.Table.from_batches(held)
+                        held, size = [], min(2 * size, 8 * FIRST)
+            if held:
+                yield pa.Table.from_batches(held)
+
+        for table in pieces():
+            r, r_norm, ids = blocks.matrix(table.column("v")).astype(float), table.column("norm").to_numpy(), table.column("id").combine_chunks()
+            rough, columns, own = np.ascontiguousarray((r / r_norm[:, None]).astype(np.float32).T), np.ascontiguousarray(r.T), np.full(n, -1)
+            mine, there = blocks.same(asked.column("id"), ids)
+            own[mine] = there
+            step = max(1, ROUGH // len(ids))
+            for low in range(0, n, step):
+                near = q_rough[low : low + step] @ rough
+                alike = 1 - keys[low : low + step, -1]
+                if len(ids) > k + 1 and np.isinf(alike).any():
+                    # The (k + 1)-th likest bounds the k-th of the others.
+                    alike = np.maximum(alike, np.partition(near, len(ids) - k - 1, axis=1)[:, len(ids) - k - 1])
+                # References come in order of id: after k at no distance none is nearer.
+                least = np.where(keys[low : low + step, -1] > 0, alike - margin, np.inf).astype(np.float32)
+                some = np.flatnonzero(near.max(axis=1) >= least)
+                at, to = np.nonzero(near[some] >= least[some, None])
+                at = low + some[at]
+                other = own[at] != to
+                at, to = at[other], to[other]
+                distance = 1 - blocks.exact_dots(q_columns, at, columns, to) / (q_norm[at] * r_norm[to])
+                key = blocks.nine_digits(distance)
+                better = key < keys[at, -1]
+                if better.any():
+                    enter(at[better], key[better], base + to[better], distance[better])
+            seen.append(ids)
+            base += len(ids)
+        if not seen:
+            return
+        every = pa.concat_arrays(seen)
+        at, rank = np.nonzero(np.isfinite(keys))
+        for low in range(0, len(at), ROUGH):
+            a, c = at[low : low + ROUGH], rank[low : low + ROUGH]
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(a)), every.take(pa.array(places[a, c])), pa.array(distances[a, c]), pa.array(keys[a, c])], names=["query_id", "ref_id", "cosine_dist", "_key"])
+
+    return work
+
+
+def nearest_lists(df: DataFrame, key: str, vector: str, k: int) -> DataFrame:
+    """``query_id, near``: every row's ``k`` nearest other rows, those by distance to nine digits, then by id, as an array of ``cosine_dist, ref_id`` in order.
+
+    The same as ``nearest_pruned`` of the table with itself, for many queries. Nothing is ruled out by blocks, so
+    the cost is that of all pairs. A row without others has no list.
+    """
+    spark, kind = df.sparkSession, df.schema[vector].dataType.simpleString()
+    # Floats go as they are, half as wide.
+    vectors = F.col(vector) if kind == "array<float>" else doubles(F.col(vector))
+    rows = df.select(F.col(key).alias("id"), vectors.alias("v")).withColumn("norm", norm(doubles(F.col("v")))).where("norm > 0")
+    wanted = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    # Nearest rows move once a part, and references once a block: more blocks than parts.
+    n_blocks = max(-(-rows.count() // EVERY_BLOCK), min(wanted, math.isqrt(3 * wanted)), 1)
+    n_parts = max(1, -(-wanted // n_blocks))
+    dealt = blocks.every(blocks.in_blocks(rows, n_blocks), "_part", n_parts), blocks.every(blocks.in_parts(rows, n_parts), "_block", n_blocks)
+    named = rows.schema["id"].dataType.simpleString()
+    found = blocks.meet(*dealt, n_parts, _every_pair(k), f"query_id {named}, ref_id {named}, cosine_dist double, _key double", n_blocks)
+    lists = found.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(F.struct("_key", "ref_id", "cosine_dist"))), 1, k).alias("near"))
+    return lists.withColumn("near", F.sort_array(F.transform("near", lambda x: F.struct(x["cosine_dist"].alias("cosine_dist"), x["ref_id"].alias("ref_id")))))
+
+
 # Functions that run in tasks go there with the task: executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

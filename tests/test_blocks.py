@@ -91,3 +91,23 @@ def test_compared_metrics_equal_loops(spark, monkeypatch, block):
     got = compare.compare_vectors(df.where("id % 10 = 0"), df, "id", "v", names, most).collect()
     assert {(r.query_id, r.ref_id): (r.cosine_rank, r.jaccard_rank, r.tanimoto_rank) for r in got} == want and len(got) == len(want)
     assert all(abs(r[f"{m}_dist"] - d[m][r.query_id // 2, r.ref_id // 2]) < 1e-12 for r in got for m in names)
+
+
+def test_nearest_of_every_row_equals_loops(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "FIRST", 24)
+    monkeypatch.setattr(neighbours, "ROUGH", 500)
+    rng = np.random.default_rng(3)
+    rows = rng.normal(size=(150, 6)).astype(np.float32)
+    rows[40:70] = rows[40]  # copies, more than the neighbours wanted
+    rows[70:80] = rows[40] * np.float32(1 + 1e-6) + np.float32(1e-6)
+    for kind in ("float", "double"):
+        df = spark.createDataFrame([(k * 2, [float(x) for x in v]) for k, v in enumerate(rows)] + [(999, None), (1001, [0.0] * 6)], f"id long, v array<{kind}>").repartition(3)
+        v = rows.astype(float)
+        norm = np.sqrt((v * v).sum(axis=1))
+        d = 1 - v @ v.T / np.outer(norm, norm)
+        np.fill_diagonal(d, np.inf)
+        for k in (1, 7, 200):
+            got = {r.query_id // 2: [x.ref_id // 2 for x in r.near] for r in neighbours.nearest_lists(df, "id", "v", k).collect()}
+            assert got.keys() == set(range(150)) and all(len(x) == min(k, 149) for x in got.values())
+            want = {i: set(sorted(range(150), key=lambda j: (round(d[i, j], 9), j))[: min(k, 149)]) for i in range(150)}
+            assert all(set(got[i]) == want[i] for i in want)

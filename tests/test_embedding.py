@@ -74,3 +74,63 @@ def test_trustworthiness_by_tables(spark):
 def test_empty(spark):
     empty = spark.createDataFrame([(1, None)], "id long, v array<double>")
     assert embedding.embed(empty.where(F.col("id") > 5), "id", "v").count() == 0
+
+
+def jobs(spark, name, run):
+    """Jobs of Spark that ``run`` starts."""
+    spark.sparkContext.setJobGroup(name, name)
+    run()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+def test_an_epoch_is_one_exchange(spark):
+    _, df = clustered(spark)
+    few, many = (jobs(spark, f"epochs-{epochs}", lambda: embedding.embed(df, "id", "v", 10, epochs).collect()) for epochs in (2, 8))
+    assert many - few <= 6
+
+
+def by_expressions(edges, start, n, epochs, draws):
+    """Places after the epochs, from edges and draws one by one."""
+    at = dict(start)
+    for epoch in range(epochs):
+        force, held = {}, {}
+        for i, j, w, drawn in edges:
+            held[i] = held.get(i, 0) + round(w * embedding.STEPS)
+            for s, to in enumerate([j, *drawn[epoch]]):
+                if to == i:
+                    continue
+                d = np.array(at[i]) - np.array(at[to])
+                q = float(d @ d)
+                curve = 1 + embedding.CURVE_A * q**embedding.CURVE_B
+                pull = -4 * embedding.CURVE_A * embedding.CURVE_B * q ** (embedding.CURVE_B - 1) / curve if q > 0 else 0.0
+                f = np.clip((2 * embedding.CURVE_B / ((q + 0.001) * curve) if s else pull) * d, -embedding.MOST, embedding.MOST)
+                force[i] = force.get(i, 0) + np.rint(f * w * embedding.STEPS).astype(np.int64)
+        step = 1 - epoch / epochs
+        at = {i: np.round(p + step * np.clip(3 * force.get(i, np.zeros(2)) / embedding.STEPS / max(1.0, held.get(i, 0) / embedding.STEPS), -embedding.MOST, embedding.MOST), 9) for i, p in at.items()}
+    return at
+
+
+def test_layout_equals_loops(spark, monkeypatch):
+    monkeypatch.setattr(embedding, "SMALL", 32)
+    rows, df = clustered(spark)
+    n, epochs, draws, k = len(rows), 2, 3, 5
+    graph = embedding.neighbour_graph(df, "id", "v", k).select((F.col("first_id") / 3).cast("long").alias("i"), (F.col("second_id") / 3).cast("long").alias("j"), "weight")
+    drawn = F.array(*(F.array(*(F.pmod(F.xxhash64("i", "j", F.lit(1), F.lit(e), F.lit(s)), F.lit(n)) for s in range(draws))) for e in range(epochs)))
+    edges = [tuple(r) for r in graph.withColumn("drawn", drawn).collect()]
+    count, axes = features.components(df.where("id < 1000000"), "v", 2)
+    linear = dict(enumerate(rows @ axes))
+    # Those of Spark, but for signs.
+    ml = {r.id // 3: np.array(r.projection) for r in features.project(df.where("id < 1000000"), "v", 2).collect()}
+    assert count == n and max(np.abs(np.abs(ml[i]) - np.abs(linear[i])).max() for i in linear) < 1e-9
+    widest = max(np.abs(p).max() for p in linear.values())
+    want = by_expressions(edges, {i: np.round(p * (10 / widest), 9) for i, p in linear.items()}, n, epochs, draws)
+    got = {r.id // 3: (r.x, r.y) for r in embedding.embed(df, "id", "v", k, epochs, draws).collect()}
+    assert got.keys() == want.keys() and max(np.abs(want[i] - got[i]).max() for i in want) < 1e-6
+
+
+def test_hash_is_that_of_expressions(spark):
+    rows = spark.createDataFrame([(i * 7919 - 50, j - 3, j * i) for i in range(20) for j in range(9)], "a long, b long, c int")
+    got = rows.select("*", F.xxhash64("a", "b", "c").alias("h")).toPandas()
+    of = embedding.hashed(got["c"].to_numpy(), embedding.hashed(got["b"].to_numpy(), embedding.hashed(got["a"].to_numpy(), np.uint64(42), True), True), False)
+    assert (of.astype(np.int64) == got["h"].to_numpy()).all()
