@@ -19,7 +19,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import stored
@@ -36,24 +36,38 @@ MOST, STEPS = 4.0, 1e9
 BLOCK, SMALL, CHUNK = 32_768, 1_024, 1 << 17
 
 
+def _weighed(k: int) -> Callable:
+    """Each neighbour's weight, by the scale at which those of a row add up to log2 of their number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = batch.column("near")
+            sizes = near.value_lengths().to_numpy()
+            distances, ids = near.flatten().flatten()
+            at, rank = np.repeat(np.arange(len(sizes)), sizes), np.arange(len(ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            apart = np.full((k, len(sizes)), np.inf)
+            apart[rank, at] = distances.to_numpy()
+            apart -= apart[0].copy()
+            wanted = np.maximum(1.0 + 1e-6, np.log2(sizes))
+            low, high = np.full(len(sizes), 1e-9), np.full(len(sizes), 1e3)
+            for _ in range(48):
+                middle = np.sqrt(low * high)
+                over = sum(np.exp(-a / middle) for a in apart) > wanted
+                low, high = np.where(over, low, middle), np.where(over, middle, high)
+            yield pa.RecordBatch.from_arrays([batch.column("query_id").take(pa.array(at)), ids, pa.array(np.exp(-apart[rank, at] / high[at]))], names=["query_id", "ref_id", "w"])
+
+    return run
+
+
 def neighbour_graph(df: DataFrame, key: str, vector: str, k: int = NEIGHBOURS) -> DataFrame:
     """``first_id, second_id, weight``: the united edges of each row's ``k`` nearest, in both directions.
 
     Null and zero vectors have no edges; keys must be unique.
     """
     lists = nearest_lists(df, key, vector, k)
-    nearest = F.col("near")[0]["cosine_dist"]
-    fall = lambda scale: F.aggregate("near", F.lit(0.0), lambda s, x: s + F.exp(-(x["cosine_dist"] - nearest) / scale))
-    wanted = F.greatest(F.lit(1.0 + 1e-6), F.log2(F.size("near").cast("double")))
-
-    def halve(state: Column, _: Column) -> Column:
-        middle = F.sqrt(state["low"] * state["high"])
-        over = fall(middle) > wanted
-        return F.struct(F.when(over, state["low"]).otherwise(middle).alias("low"), F.when(over, middle).otherwise(state["high"]).alias("high"))
-
-    scale = F.aggregate(F.sequence(F.lit(1), F.lit(48)), F.struct(F.lit(1e-9).alias("low"), F.lit(1e3).alias("high")), halve, lambda s: s["high"])
-    directed = lists.withColumn("scale", scale).select("query_id", F.explode("near").alias("x"), F.exp(-(F.col("x.cosine_dist") - nearest) / F.col("scale")).alias("w"))
-    directed = directed.select(F.least("query_id", "x.ref_id").alias("a"), F.greatest("query_id", "x.ref_id").alias("b"), (F.col("query_id") < F.col("x.ref_id")).alias("up"), "w")
+    named = lists.schema["query_id"].dataType.simpleString()
+    directed = lists.mapInArrow(_weighed(k), f"query_id {named}, ref_id {named}, w double")
+    directed = directed.select(F.least("query_id", "ref_id").alias("a"), F.greatest("query_id", "ref_id").alias("b"), (F.col("query_id") < F.col("ref_id")).alias("up"), "w")
     p, q = (F.coalesce(F.max(F.when(F.col("up") == up, F.col("w"))), F.lit(0.0)) for up in (True, False))
     united = directed.groupBy("a", "b").agg((p + q - p * q).alias("weight")).where("weight > 1e-6")
     united = stored(united, "neighbour-graph")

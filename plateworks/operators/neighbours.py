@@ -228,7 +228,7 @@ def _every_pair(k: int) -> Callable:
                 # References come in order of id: after k at no distance none is nearer.
                 least = np.where(keys[low : low + step, -1] > 0, alike - margin, np.inf).astype(np.float32)
                 some = np.flatnonzero(near.max(axis=1) >= least)
-                at, to = np.nonzero(near[some] >= least[some, None])
+                at, to = np.divmod(np.flatnonzero(near[some] >= least[some, None]), len(ids))
                 at = low + some[at]
                 other = own[at] != to
                 at, to = at[other], to[other]
