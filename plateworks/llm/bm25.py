@@ -42,7 +42,7 @@ BLOCK = 32
 #: Queries of one block, which are searched for together; like ones (by commonest term and number of terms) are in one block.
 QUERY_BLOCK = 256
 #: A task has shards of about so many documents, and queries up to so many; fewer while there are not so many tasks a core.
-TASK_DOCS, TASK_QUERIES, TASKS_A_CORE = 131_072, 8_192, 2
+TASK_DOCS, TASK_QUERIES, TASKS_A_CORE = 131_072, 8_192, 4
 #: Pivot blocks of a query without a k-th best score that are scored first.
 PIVOTS = 8
 #: A shard's terms in this share of its documents or more can be rows of its matrix, of so many cells at most.
@@ -478,7 +478,7 @@ def search(index: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
     # A task for some shards and some blocks of queries.
     shards = _grouped(index, ["file"], F.col("n_docs"), TASK_DOCS, "shards")
     tasks = TASKS_A_CORE * spark.sparkContext.defaultParallelism
-    blocks = _grouped(packed, ["file"], F.col("n_queries"), max(QUERY_BLOCK, min(TASK_QUERIES, count * shards.count() // tasks)), "queries")
+    blocks = _grouped(packed, ["file"], F.col("n_queries"), max(2 * QUERY_BLOCK, min(TASK_QUERIES, count * shards.count() // tasks)), "queries")
     work = materialize(shards.select("shards").crossJoin(blocks.select("queries").hint("broadcast")).withColumn("task", F.monotonically_increasing_id()), "bm25-work")
     local = work.repartitionByRange(max(1, work.count()), "task").mapInArrow(run, "query_id long, doc_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
